@@ -1,0 +1,109 @@
+"""The ``events`` table read as a trade stream, and message texts derived from it."""
+
+from pyspark.sql import functions as F
+
+from tapewright.functions.times import ntz_millis
+
+
+def events_path(sf_dir):
+    return f"{sf_dir.rstrip('/')}/events.parquet"
+
+
+def trades_of(events):
+    """Canonical trades: symbol = event type, price = value, quantity = (k + 1) / 100."""
+    k = F.get_json_object("props", "$.k").try_cast("bigint")
+    return events.select(
+        F.concat("event_type", F.lit("-"), F.col("event_id").cast("string")).alias("trade_id"),
+        F.col("event_type").alias("symbol"),
+        F.col("value").alias("price"),
+        ((k + 1) / F.lit(100)).alias("quantity"),
+        F.when(F.pmod("user_id", F.lit(2)) == 0, "sell").otherwise("buy").alias("side"),
+        ntz_millis("ts").alias("event_time"),
+        "event_id",
+        "user_id",
+    )
+
+
+def read_trades(spark, sf_dir):
+    return trades_of(spark.read.parquet(events_path(sf_dir)))
+
+
+def _text(column):
+    return F.col(column).cast("string")
+
+
+def feed_messages(trades):
+    """Exchange messages: ``error`` events are pings, odd event ids come without an envelope."""
+    body = F.concat(
+        F.lit('{"e":"'),
+        F.when(F.col("symbol") == "error", "ping").otherwise("trade"),
+        F.lit('","s":"'),
+        F.col("symbol"),
+        F.lit('","t":'),
+        _text("event_id"),
+        F.lit(',"p":"'),
+        _text("price"),
+        F.lit('","q":"'),
+        _text("quantity"),
+        F.lit('","m":'),
+        F.when(F.col("side") == "sell", "true").otherwise("false"),
+        F.lit(',"T":'),
+        _text("event_time"),
+        F.lit("}"),
+    )
+    wrapped = F.concat(F.lit('{"stream":"'), F.col("symbol"), F.lit('@trade","data":'), body, F.lit("}"))
+    return trades.select("event_id", F.when(F.pmod("event_id", F.lit(2)) == 1, body).otherwise(wrapped).alias("value"))
+
+
+def dirty_messages(trades):
+    """Canonical JSON with one defect by event id; see the rules in FIXTURES."""
+
+    def every(n):
+        return F.pmod("event_id", F.lit(n)) == 0
+
+    symbol = F.when(every(73) & ~every(79) & ~every(83) & ~every(89), "ab").otherwise(F.col("symbol"))
+    price = F.when(every(89), F.concat(F.lit("-"), _text("price"))).when(
+        every(67) & ~every(71) & ~every(73) & ~every(79) & ~every(83),
+        F.concat(F.lit('"'), _text("price"), F.lit('"')),
+    ).otherwise(_text("price"))
+    side = F.when(every(83) & ~every(89), "hold").otherwise(F.col("side"))
+    extra = F.when(every(79) & ~every(83) & ~every(89), ',"venue":"x"').otherwise("")
+    time = F.when(every(71) & ~every(73) & ~every(79) & ~every(83) & ~every(89), "").otherwise(
+        F.concat(F.lit(',"event_time":'), _text("event_time"))
+    )
+    body = F.concat(
+        F.lit('{"trade_id":"'),
+        F.col("trade_id"),
+        F.lit('","symbol":"'),
+        symbol,
+        F.lit('","price":'),
+        price,
+        F.lit(',"quantity":'),
+        _text("quantity"),
+        F.lit(',"side":"'),
+        side,
+        F.lit('"'),
+        time,
+        extra,
+    )
+    # Truncated text has no closing brace and stops inside the last member.
+    return trades.select("event_id", F.when(every(97), body).otherwise(F.concat(body, F.lit("}"))).alias("value"))
+
+
+def quote_messages(trades):
+    """Top-of-book JSON around the trade price; every 61st bid is zero."""
+    bid = F.when(F.pmod("event_id", F.lit(61)) == 0, F.lit(0.0)).otherwise(F.col("price") * 0.999)
+    size = F.col("quantity") * 100
+    return trades.select(
+        "event_id",
+        F.to_json(
+            F.struct(
+                "symbol",
+                bid.alias("bid_price"),
+                size.alias("bid_size"),
+                (F.col("price") * 1.001).alias("ask_price"),
+                size.alias("ask_size"),
+                "event_time",
+            )
+        ).alias("value"),
+    )
