@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tapewright.functions import text
+from tapewright.operators.rows import emit_where
 from tapewright.schemas import TRADE, TRADE_COLUMNS
 
 # Member names of an exchange trade event and the names used here for them.
@@ -41,10 +42,9 @@ def _typed(parsed):
 def decode_trades(messages, value="value", carry=()):
     """JSON text to the six trade columns. A bad or missing field is NULL, a message that is no
     JSON object is dropped. ``carry`` names input columns to keep, such as the log offset."""
-    return (
-        messages.select(*carry, _parsed_trade(F.col(value)).alias("_t"))
-        .where(F.col("_t").isNotNull())
-        .select(*carry, *_typed(F.col("_t")))
+    parsed = F.col("_t")
+    return emit_where(
+        messages.select(*carry, _parsed_trade(F.col(value)).alias("_t")), parsed.isNotNull(), *carry, *_typed(parsed)
     )
 
 
@@ -124,14 +124,21 @@ def map_feed(messages, value="value", carry=()):
 def normalize_feed(messages, value="value", carry=()):
     """Trades of the feed. Other event types and unusable messages are left out."""
     mapped = map_feed(messages, value, carry)
-    return mapped.where((F.col("kind") == TRADE_EVENT) & (F.size("violations") == 0)).select(*carry, *TRADE_COLUMNS)
+    usable = (F.col("kind") == TRADE_EVENT) & (F.size("violations") == 0)
+    return emit_where(mapped, usable, *carry, *TRADE_COLUMNS)
 
 
 def feed_rejects(messages, value="value", carry=()):
     """Messages of the feed that are no event at all, or trade events with unusable members."""
     mapped = map_feed(messages, value, carry)
     wanted = F.col("kind").isNull() | (F.col("kind") == TRADE_EVENT)
-    return mapped.where(wanted & (F.size("violations") > 0)).select(*carry, "value", "violations")
+    return emit_where(mapped, wanted & (F.size("violations") > 0), *carry, "value", "violations")
+
+
+def decode_rejects(messages, value="value", carry=()):
+    """Messages that are no JSON object or hold a field that does not fit its type."""
+    checked = decode_with_rejects(messages, value, carry)
+    return emit_where(checked, F.size("violations") > 0, *carry, "value", "violations")
 
 
 def select_symbols(trades, symbols, column="symbol"):

@@ -1,10 +1,13 @@
 """Conformance of JSON records to the declared trade and quote shapes."""
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import functions as F
 
 from tapewright.functions.text import looks_like_object
+from tapewright.operators.rows import emit_where
 
 
 @dataclass(frozen=True)
@@ -89,29 +92,24 @@ def violations(records, rules=TRADE_RULES, value="value"):
 def split_records(records, rules=TRADE_RULES, value="value"):
     """Conforming records, and the others with payload and reasons."""
     checked = violations(records, rules, value)
-    good = checked.where(F.size("violations") == 0).drop("violations")
-    bad = checked.where(F.size("violations") > 0)
+    good = emit_where(checked, F.size("violations") == 0, *records.columns)
+    bad = emit_where(checked, F.size("violations") > 0, *checked.columns)
     return good, bad
 
 
 def violation_counts(checked):
     """How often each reason occurs. Only the reason is shuffled, already counted per task."""
+    # Exploding a plain column would add a filter on it, with the parse copied into that.
     return (
-        checked.select(F.explode("violations").alias("violation"))
+        checked.select(F.explode(F.array_distinct("violations")).alias("violation"))
         .groupBy("violation")
         .agg(F.count(F.lit(1)).alias("records"))
     )
 
 
-def missing_columns(columns):
-    """Array of the names among ``columns`` that are NULL in a row."""
-    return F.array_compact(F.array(*[F.when(F.col(c).isNull(), f"{c}:null") for c in columns]))
-
-
 def split_complete(rows, required):
     """Rows fit for a keyed table (no NULL in ``required``), and the others with reasons."""
-    marked = rows.withColumn("violations", missing_columns(required))
-    return (
-        marked.where(F.size("violations") == 0).drop("violations"),
-        marked.where(F.size("violations") > 0),
-    )
+    absent = F.array_compact(F.array(*[F.when(F.col(c).isNull(), f"{c}:null") for c in required]))
+    # Not dropna, which takes NaN for NULL.
+    complete = reduce(and_, [F.col(c).isNotNull() for c in required])
+    return rows.where(complete), rows.where(~complete).withColumn("violations", absent)

@@ -54,15 +54,19 @@ def start_archive(
     checkpoint,
     every=None,
     event_date=False,
+    spread=True,
     partitions=None,
     max_records_per_file=1_000_000,
 ):
     """Appends trades to ``root/trades/dt=/symbol_part=`` as Snappy Parquet, exactly once.
 
     A flush is a micro-batch: time-bound by ``every``, size-bound by the source's own limit per
-    trigger. The offsets are committed after the files.
+    trigger. The offsets are committed after the files. ``spread=False`` writes the source's partitions
+    as they come, the better way for a log keyed by symbol, where each symbol is in one partition.
     """
-    rows = sinks.spread_archive(sinks.archive_rows(trades, event_date), partitions)
+    rows = sinks.archive_rows(trades, event_date)
+    if spread:
+        rows = sinks.spread_archive(rows, partitions)
     writer = (
         rows.writeStream.format("parquet")
         .partitionBy("dt", "symbol_part")
@@ -85,10 +89,7 @@ def start_publish(messages, checkpoint, fmt="kafka", options=None, every=None):
 
 def start_rejects(messages, path, checkpoint, kind="feed", every=None):
     """Keeps the messages the other queries skip, with payload and reasons."""
-    if kind == "feed":
-        bad = decode.feed_rejects(messages)
-    else:
-        bad = decode.decode_with_rejects(messages).where("size(violations) > 0").select("value", "violations")
+    bad = decode.feed_rejects(messages) if kind == "feed" else decode.decode_rejects(messages)
     writer = bad.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
     return _triggered(writer, every).start()
 

@@ -1,0 +1,105 @@
+import random
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tapewright.operators.candles import candles
+
+
+def as_rows(frame):
+    cols = ["symbol", F.unix_millis("window_start").alias("s"), F.unix_millis("window_end").alias("e")]
+    rest = ["open_price", "high_price", "low_price", "close_price", "volume", "trade_count"]
+    return sorted(tuple(r) for r in frame.select(*cols, *rest).collect())
+
+
+def t(number, at, price=1.0, quantity=1.0, symbol="ABC"):
+    return (f"{symbol}-{number}", symbol, price, quantity, "buy", at)
+
+
+def brute(rows, seconds):
+    groups = {}
+    size = seconds * 1000
+    for trade_id, symbol, price, quantity, _, at in rows:
+        if at is not None:
+            number = int(trade_id.rsplit("-", 1)[1])
+            groups.setdefault((symbol.upper(), at // size * size), []).append((at, number, price, quantity))
+    out = []
+    for (symbol, start), members in groups.items():
+        members.sort()
+        prices = [m[2] for m in members]
+        volume = float(round(sum(m[3] for m in members), 6))
+        out.append((symbol, start, start + size, prices[0], max(prices), min(prices), prices[-1], volume, len(members)))
+    return sorted(out)
+
+
+def test_ties_follow_the_trade_number(trades_frame):
+    rows = [t(10, 5000, 3.0), t(9, 5000, 2.0), t(100, 5000, 7.0)]
+    assert as_rows(candles(trades_frame(rows), 10)) == [("ABC", 0, 10000, 2.0, 7.0, 2.0, 7.0, 3.0, 3)]
+
+
+def test_window_bounds_below_and_above_zero(trades_frame):
+    rows = [t(1, 9999), t(2, 10000), t(3, -1), t(4, -10000)]
+    assert [(r[1], r[2], r[8]) for r in as_rows(candles(trades_frame(rows), 10))] == [
+        (-10000, 0, 2),
+        (0, 10000, 1),
+        (10000, 20000, 1),
+    ]
+
+
+def test_window_size_is_at_least_a_second(trades_frame):
+    for size in (0, -5):
+        assert [r[1] for r in as_rows(candles(trades_frame([t(1, 999), t(2, 1000)]), size))] == [0, 1000]
+
+
+def test_volume_is_rounded(trades_frame):
+    rows = [t(1, 0, quantity=0.1), t(2, 1, quantity=0.2)]
+    assert as_rows(candles(trades_frame(rows), 10))[0][7] == 0.3
+
+
+def test_unusable_times_are_left_out(trades_frame):
+    rows = [t(1, None, 9.0), t(2, 5, 1.0), t(3, 2**63 - 1, 9.0), t(4, -(2**63), 9.0)]
+    assert [(r[3], r[8]) for r in as_rows(candles(trades_frame(rows), 10))] == [(1.0, 1)]
+
+
+def test_case_mix_is_one_symbol(trades_frame):
+    rows = [t(1, 1, symbol="abc"), t(2, 2, symbol="ABC"), t(3, 3, symbol="aBc")]
+    assert [(r[0], r[8]) for r in as_rows(candles(trades_frame(rows), 10))] == [("ABC", 3)]
+
+
+def test_numbers_beyond_the_narrow_key(trades_frame):
+    big = 9 * 10**18
+    rows = [t(big, 5, 4.0), t(3, 5, 2.0), t(big + 1, 5, 5.0), t(2, 5, 1.0), t(big - 1, 5, 3.0)]
+    assert [(r[3], r[6]) for r in as_rows(candles(trades_frame(rows), 10))] == [(1.0, 5.0)]
+    later = [t(big, 5, 4.0), t(1, 6, 2.0)]
+    assert [(r[3], r[6]) for r in as_rows(candles(trades_frame(later), 10))] == [(4.0, 2.0)]
+    only = [t(big, 5, 4.0), t(big + 5, 5, 2.0)]
+    assert [(r[3], r[6]) for r in as_rows(candles(trades_frame(only), 86400))] == [(4.0, 2.0)]
+
+
+def test_ids_without_number_are_ordered_by_time_and_stable(trades_frame):
+    rows = [("x", "ABC", 1.0, 1.0, "buy", 5), ("y", "ABC", 2.0, 1.0, "buy", 6), ("z", "ABC", 3.0, 1.0, "buy", 6), (None, "ABC", 9.0, 1.0, "buy", 1)]
+    first = as_rows(candles(trades_frame(rows), 10))
+    assert first[0][3] == 9.0
+    for _ in range(3):
+        random.shuffle(rows)
+        assert as_rows(candles(trades_frame(rows).repartition(3), 10)) == first
+
+
+NUMBERS = st.one_of(st.integers(0, 20), st.sampled_from([2**40, 2**49, 2**50 + 1, 9 * 10**18, 2**63 - 1]))
+TRADES = st.lists(
+    st.tuples(NUMBERS, st.integers(-30000, 30000), st.integers(1, 500), st.integers(1, 100), st.sampled_from(["abc", "ABC", "xyz"])),
+    min_size=1,
+    max_size=40,
+    unique_by=lambda x: (x[0], x[4].upper()),
+)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(drawn=TRADES, seconds=st.sampled_from([1, 7, 10]), parts=st.integers(1, 4))
+def test_against_brute_force(trades_frame, drawn, seconds, parts):
+    rows = [t(n, at // 100 * 100, p / 4, q / 100, s) for n, at, p, q, s in drawn]
+    got = as_rows(candles(trades_frame(rows).repartition(parts), seconds))
+    assert got == brute(rows, seconds)
+    assert sum(r[8] for r in got) == len(rows)
+    assert all(r[5] <= min(r[3], r[6]) and max(r[3], r[6]) <= r[4] for r in got)
