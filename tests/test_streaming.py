@@ -1,0 +1,290 @@
+import json
+import os
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from tapewright.operators import decode
+from tapewright.operators.candles import candles
+from tapewright.operators.keyed import KeyedTable
+from tapewright.plans import events as ev
+from tapewright.plans import monitoring
+from tapewright.schemas import CANDLE, TRADE
+from tapewright.session import scratch_dir, streaming_session
+from tapewright.sources.archive import list_files, read_archive
+from tapewright.sources.log import kafka_options, read_messages, stream_parquet
+from tapewright.streaming import jobs
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def streams(spark):
+    return streaming_session(spark, shuffle_partitions=3)
+
+
+def candle_table(path):
+    return KeyedTable(str(path), CANDLE, ("symbol", "window_start"))
+
+
+def bounds(frame):
+    cols = [c for c in CANDLE.fieldNames() if not c.startswith("window")]
+    return sorted(
+        tuple(r) for r in frame.select(F.unix_millis("window_start"), F.unix_millis("window_end"), *cols).collect()
+    )
+
+
+def put(folder, number, lines):
+    """A file of messages; later files get later times, which sets the order of the source."""
+    folder.mkdir(exist_ok=True)
+    path = folder / f"part-{number:03d}.txt"
+    path.write_text("\n".join(lines) + "\n")
+    stamp = time.time() - 1000 + number
+    os.utime(path, (stamp, stamp))
+
+
+def message(at, price, symbol="A", quantity=0.1, number=0):
+    return json.dumps(
+        {"trade_id": f"{symbol}-{number}", "symbol": symbol, "price": price, "quantity": quantity, "side": "buy", "event_time": at}
+    )
+
+
+def text_trades(streams, folder, per_batch=1):
+    return decode.decode_trades(read_messages(streams, str(folder), stream=True, max_files_per_trigger=per_batch))
+
+
+def test_late_rows(streams, spark, tmp_path):
+    batches = [[(1000, 1.0), (9999, 2.0)], [(14999, 5.0)], [(9000, 7.0)], [(15000, 6.0)], [(9500, 99.0)], [(30000, 8.0)]]
+    for number, batch in enumerate(batches):
+        put(tmp_path / "in", number, [message(at, price, number=at) for at, price in batch])
+    table = candle_table(tmp_path / "table")
+    jobs.start_candles(text_trades(streams, tmp_path / "in"), table, str(tmp_path / "check")).awaitTermination()
+    assert bounds(table.read(spark)) == [
+        (0, 10000, "A", 1.0, 99.0, 1.0, 2.0, 0.4, 4),
+        (10000, 20000, "A", 5.0, 6.0, 5.0, 6.0, 0.2, 2),
+    ]
+
+
+def test_rows_beyond_the_watermark_miss_the_candle_but_are_stored(streams, spark, tmp_path):
+    batches = [[(1000, 1.0)], [(60000, 2.0)], [(61000, 3.0)], [(2000, 99.0)], [(90000, 4.0)]]
+    for number, batch in enumerate(batches):
+        put(tmp_path / "in", number, [message(at, price, number=at) for at, price in batch])
+    table = candle_table(tmp_path / "table")
+    raw = KeyedTable(str(tmp_path / "raw"), TRADE, ("trade_id",))
+    jobs.start_candles(text_trades(streams, tmp_path / "in"), table, str(tmp_path / "c1")).awaitTermination()
+    jobs.start_raw_trades(text_trades(streams, tmp_path / "in"), raw, str(tmp_path / "c2")).awaitTermination()
+    assert [(r[0], r[8]) for r in bounds(table.read(spark))] == [(0, 1), (60000, 2)]
+    assert sorted(r.event_time for r in raw.read(spark).collect()) == [1000, 2000, 60000, 61000, 90000]
+
+
+def test_update_mode_gives_open_candles(streams, spark, tmp_path):
+    put(tmp_path / "in", 0, [message(1000, 1.0, number=1)])
+    put(tmp_path / "in", 1, [message(2000, 3.0, number=2)])
+    table = candle_table(tmp_path / "table")
+    trades = text_trades(streams, tmp_path / "in")
+    jobs.start_candles(trades, table, str(tmp_path / "c"), output_mode="update").awaitTermination()
+    assert [(r[3], r[6], r[8]) for r in bounds(table.read(spark))] == [(1.0, 3.0, 2)]
+
+
+@pytest.fixture(scope="module")
+def contiguous(spark, tmp_path_factory):
+    """Five files, each a stretch of time with its rows in disorder."""
+    folder = tmp_path_factory.mktemp("replay")
+    trades = ev.read_trades(spark, SF).select(*TRADE.fieldNames(), "event_id")
+    total = trades.count()
+    for n in range(5):
+        part = trades.where(F.floor(F.col("event_id") * 5 / total) == n).orderBy(F.xxhash64("event_id"))
+        part.select(F.to_json(F.struct(*TRADE.fieldNames())).alias("value")).coalesce(1).write.text(str(folder / f"s{n}"))
+        (file,) = [f for f in (folder / f"s{n}").iterdir() if f.name.endswith(".txt")]
+        put(folder / "in", n, file.read_text().splitlines())
+    return folder / "in", trades
+
+
+def test_replay_equals_the_batch_result_and_restart_adds_nothing(streams, spark, contiguous, tmp_path):
+    folder, trades = contiguous
+    table = candle_table(tmp_path / "table")
+    last = trades.agg(F.max("event_time")).first()[0]
+    expected = [r for r in bounds(candles(trades, 3600)) if r[1] <= last - 5000]
+    for _ in range(2):
+        query = jobs.start_candles(text_trades(streams, folder), table, str(tmp_path / "check"), 3600)
+        query.awaitTermination()
+        assert bounds(table.read(spark)) == expected
+    table.compact(spark)
+    assert bounds(table.read(spark)) == expected
+
+
+def test_resume_takes_up_where_it_ended(streams, spark, contiguous, tmp_path):
+    folder, trades = contiguous
+    files = sorted(folder.iterdir())
+    table = candle_table(tmp_path / "table")
+    for count in (2, 5):
+        for number, path in enumerate(files[:count]):
+            if not (tmp_path / "in" / path.name).exists():
+                put(tmp_path / "in", number, path.read_text().splitlines())
+        jobs.start_candles(text_trades(streams, tmp_path / "in"), table, str(tmp_path / "check"), 3600).awaitTermination()
+    last = trades.agg(F.max("event_time")).first()[0]
+    assert bounds(table.read(spark)) == [r for r in bounds(candles(trades, 3600)) if r[1] <= last - 5000]
+
+
+def test_streaming_candles_hash_aggregate(streams, contiguous, tmp_path):
+    query = jobs.start_candles(text_trades(streams, contiguous[0]), candle_table(tmp_path / "t"), str(tmp_path / "c"), 3600)
+    query.awaitTermination()
+    text = query._jsq.explainInternal(False)
+    assert "HashAggregate" in text and "SortAggregate" not in text
+
+
+def test_archive(streams, spark, tmp_path):
+    root = tmp_path / "lake"
+    lines = [message(86_400_000 + n, 1.0, "AB", number=n) for n in range(20)]
+    lines += [message(5, 2.0, "cd", number=1), '{"price": 3}', "garbage", "[]"]
+    put(tmp_path / "in", 0, lines)
+    put(tmp_path / "in", 1, [message(6, 2.0, "cd", number=1)])
+    for _ in range(2):
+        trades = text_trades(streams, tmp_path / "in")
+        jobs.start_archive(trades, str(root), str(tmp_path / "check"), partitions=2, max_records_per_file=8).awaitTermination()
+    archive = read_archive(spark, str(root))
+    assert archive.count() == 23
+    unnamed = archive.where("symbol_part = 'UNKNOWN'").collect()
+    assert [(r.symbol, r.price, r.event_time) for r in unnamed] == [(None, 3.0, None)]
+    assert {r.symbol for r in archive.where("symbol_part = 'cd'").collect()} == {"cd"}
+    assert archive.select("dt").distinct().count() == 1
+    stamps = {r.flush for r in monitoring.flush_counts(archive).collect()}
+    assert len(stamps) == 2
+    assert read_archive(spark, str(root), dedupe=True).count() == 22
+    files = monitoring.flush_files(archive).collect()
+    assert sum(f.records for f in files) == 23 and max(f.records for f in files) <= 8
+    assert all(".snappy.parquet" in f.path for f in files)
+    stored = spark.read.parquet(files[0].path).schema.fieldNames()
+    assert stored[:7] == [*TRADE.fieldNames(), "written_at"]
+
+    dt = archive.first().dt
+    listed = list_files(spark, str(root)).collect()
+    assert len(listed) == len(files)
+    only = list_files(spark, str(root), f"trades/dt={dt}/symbol_part=A").collect()
+    assert only and all("/symbol_part=AB/" in r.key for r in only)
+    assert len(list_files(spark, str(root), max_keys=1).collect()) == 1
+    assert list_files(spark, str(root), "nothing/").collect() == []
+    for bad in (0, 201):
+        with pytest.raises(ValueError):
+            list_files(spark, str(root), max_keys=bad)
+
+
+def test_archive_by_event_date_prunes_and_spreads_a_hot_symbol(streams, spark, tmp_path):
+    put(tmp_path / "in", 0, [message(86_400_000 * (n % 2) + n, 1.0, "HOT" if n % 3 else "x", number=n) for n in range(600)])
+    trades = text_trades(streams, tmp_path / "in")
+    jobs.start_archive(trades, str(tmp_path / "lake"), str(tmp_path / "c"), event_date=True, partitions=6).awaitTermination()
+    archive = read_archive(spark, str(tmp_path / "lake"))
+    counts = {r.dt: r["count"] for r in archive.groupBy("dt").count().collect()}
+    assert counts == {"1970-01-01": 300, "1970-01-02": 300}
+    files = [f.records for f in monitoring.flush_files(archive).collect()]
+    assert max(files) <= 200
+    day = archive.where("dt = '1970-01-02' AND symbol_part = 'HOT'")
+    text = day._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    assert "PartitionFilters: [isnotnull(dt" in text and "symbol_part" in text.split("PartitionFilters")[1].split("\n")[0]
+    assert day.count() == 200
+
+
+def test_archive_in_source_order(streams, spark, tmp_path):
+    put(tmp_path / "in", 0, [message(n, 1.0, number=n) for n in range(50)])
+    jobs.start_archive(text_trades(streams, tmp_path / "in"), str(tmp_path / "l"), str(tmp_path / "c"), spread=False).awaitTermination()
+    assert read_archive(spark, str(tmp_path / "l")).count() == 50
+
+
+def test_publish_and_rejects(streams, spark, tmp_path):
+    good = {"e": "trade", "s": "AB", "t": 1, "p": "1.5", "q": "2", "m": False, "T": 7}
+    put(tmp_path / "in", 0, [json.dumps(good), json.dumps({"data": {**good, "t": 2}}), "junk", json.dumps({**good, "p": "x"}), '{"e":"ping"}'])
+    feed = read_messages(streams, str(tmp_path / "in"), stream=True)
+    jobs.start_publish(feed, str(tmp_path / "c1"), "text", {"path": str(tmp_path / "log")}).awaitTermination()
+    out = decode.decode_trades(read_messages(spark, str(tmp_path / "log"))).collect()
+    assert sorted(tuple(r) for r in out) == [("AB-1", "AB", 1.5, 2.0, "buy", 7), ("AB-2", "AB", 1.5, 2.0, "buy", 7)]
+    jobs.start_rejects(feed, str(tmp_path / "bad"), str(tmp_path / "c2")).awaitTermination()
+    assert sorted(r.violations for r in spark.read.parquet(str(tmp_path / "bad")).collect()) == [["message:event"], ["p:unusable"]]
+    jobs.start_rejects(feed, str(tmp_path / "bad2"), str(tmp_path / "c3"), kind="trades").awaitTermination()
+    assert [r.value for r in spark.read.parquet(str(tmp_path / "bad2")).collect()] == ["junk"]
+
+
+def test_console(streams, tmp_path):
+    put(tmp_path / "in", 0, [message(1000, 1.0)])
+    put(tmp_path / "in", 1, [message(60000, 1.0)])
+    query = jobs.start_console(text_trades(streams, tmp_path / "in"), str(tmp_path / "c"))
+    query.awaitTermination()
+    assert "Console" in query.lastProgress["sink"]["description"]
+    assert query.exception() is None
+
+
+def test_incomplete_trades_go_to_the_rejects(streams, spark, tmp_path):
+    put(tmp_path / "in", 0, [message(1, 1.0), '{"trade_id":"x"}'])
+    table = KeyedTable(str(tmp_path / "t"), TRADE, ("trade_id",))
+    trades = text_trades(streams, tmp_path / "in")
+    jobs.start_raw_trades(trades, table, str(tmp_path / "c"), rejects_path=str(tmp_path / "r")).awaitTermination()
+    assert table.read(spark).count() == 1
+    assert spark.read.parquet(str(tmp_path / "r")).first().violations[0] == "symbol:null"
+
+
+def test_stream_of_a_folder(streams, spark, tmp_path):
+    path = str(tmp_path / "events.parquet")
+    spark.read.parquet(ev.events_path(SF)).repartition(3).write.parquet(path)
+    stream = stream_parquet(streams, path, spark.read.parquet(path).schema)
+    raw = KeyedTable(str(tmp_path / "raw"), TRADE, ("trade_id",), ("event_id",))
+    jobs.start_raw_trades(ev.trades_of(stream), raw, str(tmp_path / "c")).awaitTermination()
+    assert raw.read(spark).count() == spark.read.parquet(path).count()
+
+
+def test_streaming_session_leaves_the_caller_alone(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    session = streaming_session(spark, 17)
+    assert session.conf.get("spark.sql.shuffle.partitions") == "17"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+class _Session:
+    """Stands for a session with or without the shared folder setting."""
+
+    def __init__(self, folder, master):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = type("Context", (), {"master": master})
+
+
+def test_scratch_folder_follows_the_setting():
+    made = scratch_dir(_Session("hdfs://shared/folder/", "yarn"), "x")
+    assert made.startswith("hdfs://shared/folder/x-")
+    assert made != scratch_dir(_Session("hdfs://shared/folder/", "yarn"), "x")
+    assert "/run-" in scratch_dir(_Session(None, "local[4]"), "x")
+    with pytest.raises(ValueError):
+        scratch_dir(_Session(None, "yarn"), "x")
+
+
+def test_kafka_options():
+    assert kafka_options("h:1", "trades", 500) == {
+        "kafka.bootstrap.servers": "h:1",
+        "subscribe": "trades",
+        "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "500",
+    }
+
+
+def test_lag(spark):
+    rows = [("lake-writer", "trades", 0, 5200, 4821), ("lake-writer", "trades", 1, 4100, 3902), ("lake-writer", "trades", 2, 5400, 5103)]
+    got = monitoring.lag_report(spark.createDataFrame(rows, monitoring.OFFSETS)).orderBy("partition").collect()
+    assert [r.lag for r in got] == [379, 198, 297]
+    assert {(r.total_lag, r.max_lag) for r in got} == {(874, 379)}
+
+
+def test_progress_offsets(spark):
+    progress = {
+        "sources": [
+            {"latestOffset": {"trades": {"0": 10, "1": 7}}, "endOffset": '{"trades":{"0":4}}'},
+            {"latestOffset": None, "endOffset": None},
+        ]
+    }
+    got = monitoring.progress_offsets(spark, "candles", progress).orderBy("partition").collect()
+    assert [tuple(r) for r in got] == [("candles", "trades", 0, 10, 4), ("candles", "trades", 1, 7, 0)]
+
+
+def test_flush_totals(spark):
+    counts = spark.createDataFrame([(1, "a", 5), (1, "b", 2), (2, "a", 1), (5, "c", 4)], "flush long, symbol string, records long")
+    got = monitoring.flush_totals(counts, 2).orderBy("flush").collect()
+    assert [(r.flush, r.written, r.symbols, r.total_written) for r in got] == [(1, 7, 2, 7), (2, 1, 1, 8), (5, 4, 1, 12)]
