@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tapewright.functions import text
-from tapewright.operators.rows import emit_where
+from tapewright.operators.rows import emit_where, reason_list
 from tapewright.schemas import TRADE, TRADE_COLUMNS
 
 # Member names of an exchange trade event and the names used here for them.
@@ -26,13 +26,16 @@ _TEXT_TRADE = ", ".join(f"{c} string" for c in TRADE_COLUMNS)
 
 
 def _parsed_trade(value):
-    parsed = F.from_json(
+    # Read as text and cast later: a typed read would turn "12.5" in quotes into NULL.
+    return F.from_json(
         F.when(text.looks_like_object(value), value),
         f"{_TEXT_TRADE}, _corrupt string",
         {**text.JSON_OPTIONS, "columnNameOfCorruptRecord": "_corrupt"},
     )
-    # Read as text and cast: a typed read would turn "12.5" in quotes into NULL.
-    return F.when(parsed["_corrupt"].isNull(), parsed)
+
+
+def _is_object(parsed):
+    return parsed.isNotNull() & parsed["_corrupt"].isNull()
 
 
 def _typed(parsed):
@@ -44,7 +47,7 @@ def decode_trades(messages, value="value", carry=()):
     JSON object is dropped. ``carry`` names input columns to keep, such as the log offset."""
     parsed = F.col("_t")
     return emit_where(
-        messages.select(*carry, _parsed_trade(F.col(value)).alias("_t")), parsed.isNotNull(), *carry, *_typed(parsed)
+        messages.select(*carry, _parsed_trade(F.col(value)).alias("_t")), _is_object(parsed), *carry, *_typed(parsed)
     )
 
 
@@ -55,15 +58,17 @@ def decode_with_rejects(messages, value="value", carry=()):
     no object and a field whose text does not fit its type are.
     """
     parsed = F.col("_t")
-    misfit = [
-        F.when(parsed[f.name].isNotNull() & parsed[f.name].try_cast(f.dataType).isNull(), f"{f.name}:type")
-        for f in TRADE.fields
-    ]
-    reasons = F.when(parsed.isNull(), F.array(F.lit("message:object"))).otherwise(
-        F.array_compact(F.array(*misfit))
+    typed = messages.select(*carry, F.col(value).alias("value"), _parsed_trade(F.col(value)).alias("_t")).select(
+        *carry,
+        "value",
+        _is_object(parsed).alias("_object"),
+        *_typed(parsed),
+        *[parsed[f.name].isNotNull().alias(f"_has_{f.name}") for f in TRADE.fields],
     )
-    return messages.select(*carry, F.col(value).alias("value"), _parsed_trade(F.col(value)).alias("_t")).select(
-        *carry, "value", *_typed(parsed), reasons.alias("violations")
+    misfit = [F.when(F.col(f"_has_{c}") & F.col(c).isNull(), f"{c}:type") for c in TRADE_COLUMNS]
+    reasons = F.when(~F.col("_object"), "message:object").otherwise(F.concat_ws(",", *misfit))
+    return typed.select(*carry, "value", *TRADE_COLUMNS, reasons.alias("_joined")).select(
+        *carry, "value", *TRADE_COLUMNS, reason_list(F.col("_joined")).alias("violations")
     )
 
 
@@ -107,9 +112,8 @@ def map_feed(messages, value="value", carry=()):
     )
     needed = ["symbol", "_number", "price", "quantity", "side", "event_time"]
     wire_name = dict(zip(needed, ["s", "t", "p", "q", "m", "T"]))
-    reasons = F.when(F.col("kind").isNull(), F.array(F.lit("message:event"))).otherwise(
-        F.array_compact(F.array(*[F.when(F.col(c).isNull(), f"{wire_name[c]}:unusable") for c in needed]))
-    )
+    unusable = F.concat_ws(",", *[F.when(F.col(c).isNull(), f"{wire_name[c]}:unusable") for c in needed])
+    reasons = F.when(F.col("kind").isNull(), "message:event").otherwise(unusable)
     return mapped.select(
         *carry,
         "value",
@@ -117,8 +121,8 @@ def map_feed(messages, value="value", carry=()):
         # concat, not concat_ws: a missing part must not give a shorter id.
         F.concat("symbol", F.lit("-"), "_number").alias("trade_id"),
         *TRADE_COLUMNS[1:],
-        reasons.alias("violations"),
-    )
+        reasons.alias("_joined"),
+    ).select(*carry, "value", "kind", *TRADE_COLUMNS, reason_list(F.col("_joined")).alias("violations"))
 
 
 def normalize_feed(messages, value="value", carry=()):

@@ -7,7 +7,7 @@ from operator import and_
 from pyspark.sql import functions as F
 
 from tapewright.functions.text import looks_like_object
-from tapewright.operators.rows import emit_where
+from tapewright.operators.rows import emit_where, reason_list
 
 
 @dataclass(frozen=True)
@@ -42,51 +42,62 @@ QUOTE_RULES = (
 # End of fixed values.
 
 
-def _checks(rule, member):
-    """Reason columns (NULL when satisfied) for one member given as a struct of its readings."""
-    kind, as_text, as_number = member["kind"], member["text"], member["number"]
-    numeric = kind.rlike("^(BIGINT|DECIMAL|FLOAT|DOUBLE)")
-    # 1, 1.0 and 1e2 are integers, 1.5 is not; the JSON type alone does not tell. A decimal is
-    # printed without trailing zeros, so a point in it means a fraction.
-    whole = F.when(kind.startswith("DECIMAL"), ~as_text.contains(".")).otherwise(as_number == F.floor(as_number))
-    fits = {"string": kind == "STRING", "number": numeric, "integer": numeric & whole}[rule.kind]
-    reasons = [F.when(kind.isNull(), f"{rule.name}:required").when(~fits, f"{rule.name}:type")]
+def _readings(rule):
+    """JSON kind, text and number of one member, each only if some rule needs it.
+
+    They become plain columns: fields of a struct would be copied into every later use.
+    """
+    member = F.try_variant_get("_v", f"$.{rule.name}", "variant")
+    readings = [F.schema_of_variant(member).alias(f"_kind_{rule.name}")]
+    if rule.kind != "number":
+        readings.append(F.try_variant_get("_v", f"$.{rule.name}", "string").alias(f"_text_{rule.name}"))
+    if rule.kind != "string":
+        readings.append(F.try_variant_get("_v", f"$.{rule.name}", "double").alias(f"_number_{rule.name}"))
+    return readings
+
+
+def _reason(rule):
+    """Why one member does not conform, NULL when it does. The reasons of a member exclude each other."""
+    kind, as_text, as_number = (F.col(f"_{part}_{rule.name}") for part in ("kind", "text", "number"))
+    if rule.kind == "string":
+        fits = kind == "STRING"
+    else:
+        fits = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+    if rule.kind == "integer":
+        # 1, 1.0 and 1e2 are integers, 1.5 is not; the JSON type alone does not tell. A decimal is
+        # printed without trailing zeros, so a point in it means a fraction.
+        whole = F.when(kind.startswith("DECIMAL"), ~as_text.contains(".")).otherwise(as_number == F.floor(as_number))
+        fits = fits & whole
+    reason = F.when(kind.isNull(), f"{rule.name}:required").when(~fits, f"{rule.name}:type")
     if rule.min_length is not None:
-        reasons.append(F.when(fits & (F.length(as_text) < rule.min_length), f"{rule.name}:length"))
+        reason = reason.when(F.length(as_text) < rule.min_length, f"{rule.name}:length")
     if rule.one_of:
-        reasons.append(F.when(fits & ~as_text.isin(*rule.one_of), f"{rule.name}:enum"))
+        reason = reason.when(~as_text.isin(*rule.one_of), f"{rule.name}:enum")
     if rule.above is not None:
-        reasons.append(F.when(fits & ~(as_number > rule.above), f"{rule.name}:range"))
+        reason = reason.when(~(as_number > rule.above), f"{rule.name}:range")
     if rule.at_least is not None:
-        reasons.append(F.when(fits & ~(as_number >= rule.at_least), f"{rule.name}:range"))
-    return reasons
+        reason = reason.when(~(as_number >= rule.at_least), f"{rule.name}:range")
+    return reason
 
 
 def violations(records, rules=TRADE_RULES, value="value"):
-    """Adds ``violations``, the sorted reasons a JSON record does not conform; empty if it does."""
+    """Adds ``violations``, the reasons a JSON record does not conform, by member name; empty if it does."""
     raw = F.col(value)
     parsed = records.withColumn("_v", F.when(looks_like_object(raw), F.try_parse_json(raw)))
-    member = {r.name: F.try_variant_get("_v", f"$.{r.name}", "variant") for r in rules}
     read = parsed.select(
         *records.columns,
         F.col("_v").isNull().alias("_bad"),
         F.json_object_keys(raw).alias("_keys"),
-        *[
-            F.struct(
-                F.schema_of_variant(member[r.name]).alias("kind"),
-                F.try_variant_get("_v", f"$.{r.name}", "string").alias("text"),
-                F.try_variant_get("_v", f"$.{r.name}", "double").alias("number"),
-            ).alias(f"_m_{r.name}")
-            for r in rules
-        ],
+        *[reading for r in rules for reading in _readings(r)],
     )
-    known = F.array(*[F.lit(r.name) for r in rules])
-    extra = F.when(F.size(F.array_except("_keys", known)) > 0, "record:extra")
-    reasons = [c for r in rules for c in _checks(r, F.col(f"_m_{r.name}"))] + [extra]
-    found = F.when(F.col("_bad"), F.array(F.lit("record:object"))).otherwise(
-        F.sort_array(F.array_compact(F.array(*reasons)))
+    # Duplicate names do not parse, so a key beyond the known members present is an extra one.
+    present = sum((F.when(F.col(f"_kind_{r.name}").isNotNull(), 1).otherwise(0) for r in rules), F.lit(0))
+    reasons = {r.name: _reason(r) for r in rules}
+    reasons["record"] = F.when(F.size("_keys") > present, "record:extra")
+    joined = F.when(F.col("_bad"), "record:object").otherwise(F.concat_ws(",", *[reasons[n] for n in sorted(reasons)]))
+    return read.select(*records.columns, joined.alias("_joined")).select(
+        *records.columns, reason_list(F.col("_joined")).alias("violations")
     )
-    return read.select(*records.columns, found.alias("violations"))
 
 
 def split_records(records, rules=TRADE_RULES, value="value"):
@@ -109,7 +120,7 @@ def violation_counts(checked):
 
 def split_complete(rows, required):
     """Rows fit for a keyed table (no NULL in ``required``), and the others with reasons."""
-    absent = F.array_compact(F.array(*[F.when(F.col(c).isNull(), f"{c}:null") for c in required]))
+    absent = reason_list(F.concat_ws(",", *[F.when(F.col(c).isNull(), f"{c}:null") for c in required]))
     # Not dropna, which takes NaN for NULL.
     complete = reduce(and_, [F.col(c).isNotNull() for c in required])
     return rows.where(complete), rows.where(~complete).withColumn("violations", absent)

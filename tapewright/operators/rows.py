@@ -11,3 +11,8 @@ def emit_where(rows, condition, *columns):
     where the condition reads parsed members, and ``where`` everywhere else.
     """
     return rows.select(F.inline(F.when(condition, F.array(F.struct(*columns)))))
+
+
+def reason_list(joined):
+    """Comma-joined reasons as an array. Nearly all rows have none, so joining first is cheap."""
+    return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, ","))
