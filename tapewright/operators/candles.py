@@ -1,10 +1,7 @@
 """OHLCV candles over tumbling event-time windows, the same plan for tables and streams."""
 
-from decimal import Decimal
-
 from pyspark.sql import functions as F
 
-from tapewright.functions.text import trade_sequence
 from tapewright.functions.times import event_timestamp
 
 # Window length and watermark delay used when the caller names none.
@@ -12,17 +9,19 @@ DEFAULT_WINDOW_SECONDS = 10
 DEFAULT_WATERMARK = "5 seconds"
 # End of fixed values.
 
-_RADIX = Decimal(10) ** 19  # above every bigint
-
-
 def with_event_time(trades, watermark=None):
     """Adds ``ts`` and drops rows without a usable event time; sets the watermark on a stream."""
-    timed = trades.withColumn("ts", event_timestamp("event_time")).where(F.col("ts").isNotNull())
+    timed = trades.withColumn("ts", event_timestamp("event_time")).where("ts IS NOT NULL")
     return timed.withWatermark("ts", watermark) if watermark and trades.isStreaming else timed
 
 
+def _wide(offset, number):
+    """(offset, number) as one DECIMAL; the factor is above every BIGINT."""
+    return f"CAST({offset} AS DECIMAL(18,0)) * 10000000000000000000BD + CAST({number} AS DECIMAL(20,0))"
+
+
 def _order_keys(window_ms):
-    """Two columns that order trades of one window by (event time, trade number).
+    """Two SQL expressions that order trades of one window by (event time, trade number).
 
     Spark aggregates by hashing only when the buffer has fixed width; ordering by a struct makes it
     sort its whole input. So the offset in the window and the trade number share one BIGINT. A number
@@ -30,18 +29,14 @@ def _order_keys(window_ms):
     by its hash). Every row has exactly one of the two.
     """
     shift = 63 - max(1, (window_ms - 1).bit_length())
-    offset = F.pmod("event_time", F.lit(window_ms))
-    seq = F.col("_seq")
-    narrow = F.when((seq >= 0) & (seq < F.lit(1 << shift)), F.shiftleft(offset, shift).bitwiseOR(seq))
-    number = F.coalesce(F.when(seq >= 0, seq), F.shiftrightunsigned(F.xxhash64("trade_id"), 1))
-    wide = F.when(narrow.isNull(), _as_wide(offset, number))
+    offset = f"pmod(event_time, {window_ms}L)"
+    fits = f"coalesce(_seq >= 0 AND _seq < {1 << shift}L, false)"
+    number = "coalesce(CASE WHEN _seq >= 0 THEN _seq END, shiftrightunsigned(xxhash64(trade_id), 1))"
+    narrow = f"CASE WHEN {fits} THEN shiftleft({offset}, {shift}) | _seq END"
+    wide = f"CASE WHEN NOT {fits} THEN {_wide(offset, number)} END"
     return narrow, wide, shift
 
 
-def _as_wide(offset, number):
-    return offset.cast("decimal(18,0)") * F.lit(_RADIX).cast("decimal(20,0)") + number.cast("decimal(20,0)")
-
-
 def candles(trades, window_seconds=DEFAULT_WINDOW_SECONDS, watermark=DEFAULT_WATERMARK):
     """One row per upper-cased symbol and window: open, high, low, close, volume, trade_count.
 
@@ -51,49 +46,42 @@ def candles(trades, window_seconds=DEFAULT_WINDOW_SECONDS, watermark=DEFAULT_WAT
     """
     window_seconds = max(1, int(window_seconds))
     narrow, wide, shift = _order_keys(window_seconds * 1000)
-    keyed = (
+    grouped = (
         with_event_time(trades, watermark)
-        .withColumn("_seq", trade_sequence("trade_id"))
-        .select(
-            F.upper("symbol").alias("symbol"),
-            "ts",
-            "price",
-            "quantity",
-            narrow.alias("_narrow"),
-            wide.alias("_wide"),
+        # The exchange's own number ends the trade id.
+        .selectExpr("*", "try_cast(substring_index(trade_id, '-', -1) AS BIGINT) AS _seq")
+        .selectExpr(
+            "upper(symbol) AS symbol", "ts", "price", "quantity", f"{narrow} AS _narrow", f"{wide} AS _wide"
+        )
+        .groupBy("symbol", F.window("ts", f"{window_seconds} seconds").alias("w"))
+        .agg(
+            F.expr("min_by(price, _narrow) AS _open_n"),
+            F.expr("max_by(price, _narrow) AS _close_n"),
+            F.expr("min(_narrow) AS _first_n"),
+            F.expr("max(_narrow) AS _last_n"),
+            F.expr("min_by(price, _wide) AS _open_w"),
+            F.expr("max_by(price, _wide) AS _close_w"),
+            F.expr("min(_wide) AS _first_w"),
+            F.expr("max(_wide) AS _last_w"),
+            F.expr("max(price) AS high_price"),
+            F.expr("min(price) AS low_price"),
+            F.expr("round(sum(quantity), 6) AS volume"),
+            F.expr("count(1) AS trade_count"),
         )
-    )
-    grouped = keyed.groupBy("symbol", F.window("ts", f"{window_seconds} seconds").alias("w")).agg(
-        F.min_by("price", "_narrow").alias("_open_n"),
-        F.max_by("price", "_narrow").alias("_close_n"),
-        F.min("_narrow").alias("_first_n"),
-        F.max("_narrow").alias("_last_n"),
-        F.min_by("price", "_wide").alias("_open_w"),
-        F.max_by("price", "_wide").alias("_close_w"),
-        F.min("_wide").alias("_first_w"),
-        F.max("_wide").alias("_last_w"),
-        F.max("price").alias("high_price"),
-        F.min("price").alias("low_price"),
-        F.round(F.sum("quantity"), 6).alias("volume"),
-        F.count(F.lit(1)).alias("trade_count"),
     )
 
     def widened(key):
-        return _as_wide(F.shiftright(key, shift), key.bitwiseAND(F.lit((1 << shift) - 1)))
-
-    first_n, last_n = F.col("_first_n"), F.col("_last_n")
-    first_w, last_w = F.col("_first_w"), F.col("_last_w")
-    # A NULL comparison (no narrow key at all) falls through to the wide side.
-    open_price = F.when(first_w.isNull() | (widened(first_n) <= first_w), F.col("_open_n")).otherwise(F.col("_open_w"))
-    close_price = F.when(last_w.isNull() | (widened(last_n) >= last_w), F.col("_close_n")).otherwise(F.col("_close_w"))
-    return grouped.select(
+        return _wide(f"shiftright({key}, {shift})", f"({key} & {(1 << shift) - 1}L)")
+
+    return grouped.selectExpr(
         "symbol",
-        F.col("w.start").alias("window_start"),
-        F.col("w.end").alias("window_end"),
-        open_price.alias("open_price"),
+        "w.start AS window_start",
+        "w.end AS window_end",
+        # A NULL comparison (no narrow key at all) falls through to the wide side.
+        f"CASE WHEN _first_w IS NULL OR {widened('_first_n')} <= _first_w THEN _open_n ELSE _open_w END AS open_price",
         "high_price",
         "low_price",
-        close_price.alias("close_price"),
+        f"CASE WHEN _last_w IS NULL OR {widened('_last_n')} >= _last_w THEN _close_n ELSE _close_w END AS close_price",
         "volume",
         "trade_count",
     )

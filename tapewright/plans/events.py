@@ -11,13 +11,12 @@ def events_path(sf_dir):
 
 def trades_of(events):
     """Canonical trades: symbol = event type, price = value, quantity = (k + 1) / 100."""
-    k = F.get_json_object("props", "$.k").try_cast("bigint")
     return events.select(
-        F.concat("event_type", F.lit("-"), F.col("event_id").cast("string")).alias("trade_id"),
+        F.expr("concat(event_type, '-', event_id) AS trade_id"),
         F.col("event_type").alias("symbol"),
         F.col("value").alias("price"),
-        ((k + 1) / F.lit(100)).alias("quantity"),
-        F.when(F.pmod("user_id", F.lit(2)) == 0, "sell").otherwise("buy").alias("side"),
+        F.expr("(try_cast(get_json_object(props, '$.k') AS BIGINT) + 1) / 100 AS quantity"),
+        F.expr("CASE WHEN pmod(user_id, 2) = 0 THEN 'sell' ELSE 'buy' END AS side"),
         ntz_millis("ts").alias("event_time"),
         "event_id",
         "user_id",

@@ -18,6 +18,8 @@ def local_session(cpus="*", app="tapewright", **conf):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # No Python call sites in query errors; recording them slows every Column call.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
