@@ -28,19 +28,24 @@ def latest_candle(candle_rows):
     )
 
 
-def _committed_children(spark, folder, prefix):
-    """Numbers of the ``prefix=<n>`` folders below ``folder`` that finished writing."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
-    root = jvm_path(folder)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+def _folder(spark, path):
+    """Hadoop file system and path object of a folder."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def _numbers(spark, path, prefix):
+    """All n for which a folder ``prefix=<n>`` lies below ``path``, ascending."""
+    fs, root = _folder(spark, path)
     if not fs.exists(root):
         return []
-    found = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith(f"{prefix}=") and fs.exists(jvm_path(status.getPath(), "_SUCCESS")):
-            found.append(int(name.split("=", 1)[1]))
-    return sorted(found)
+    names = [status.getPath().getName() for status in fs.listStatus(root)]
+    return sorted(int(name.split("=", 1)[1]) for name in names if name.startswith(f"{prefix}="))
+
+
+def _finished(spark, path):
+    fs, marker = _folder(spark, f"{path}/_SUCCESS")
+    return fs.exists(marker)
 
 
 @dataclass(frozen=True)
@@ -50,7 +55,8 @@ class KeyedTable:
     ``delta/batch=<id>`` holds the rows of one micro-batch; writing a batch again replaces its folder,
     so a replay adds nothing. ``base/upto=<id>`` holds one row per key for all batches up to that id.
     A later batch beats an earlier one; inside a batch ``order_by`` decides. Batch ids are those of one
-    stream checkpoint: a stream started anew needs a new table path.
+    stream checkpoint: a stream started anew needs a new table path. ``files_per_batch`` bounds the
+    files of a small batch that comes in many partitions.
     """
 
     path: str
@@ -58,6 +64,7 @@ class KeyedTable:
     keys: tuple
     order_by: tuple = ()
     cluster_by: tuple = ()
+    files_per_batch: int | None = None
 
     @property
     def _stored(self):
@@ -77,38 +84,44 @@ class KeyedTable:
         rows = rows.select(*self._stored.fieldNames())
         if not unique:
             rows = latest_per_key(rows, self.keys, [c for c in self.order_by if c not in self.keys])
-        rows.write.mode("overwrite").parquet(f"{self.path}/delta/{BATCH}={batch_id}")
+        if self.files_per_batch:
+            # A shuffle and not coalesce, which would also merge the tasks that compute the batch.
+            rows = rows.repartition(self.files_per_batch, *self.keys)
+        rows.write.mode("overwrite").parquet(self._delta(batch_id))
 
-    def _base(self, spark):
-        """The newest finished base: its last batch id (-1 if none) and its rows."""
-        done = _committed_children(spark, f"{self.path}/base", "upto")
-        stored = T.StructType(self._stored.fields + [T.StructField(BATCH, T.LongType())])
-        if not done:
-            return -1, spark.createDataFrame([], stored)
-        return done[-1], spark.read.schema(stored).parquet(f"{self.path}/base/upto={done[-1]}")
+    def _delta(self, batch_id):
+        return f"{self.path}/delta/{BATCH}={batch_id}"
 
-    def _deltas(self, spark, after):
-        stored = T.StructType(self._stored.fields + [T.StructField(BATCH, T.LongType())])
-        folder = f"{self.path}/delta"
-        ids = [n for n in _committed_children(spark, folder, BATCH) if n > after]
-        if not ids:
-            return None, after
-        reader = spark.read.schema(stored).option("basePath", folder)
-        return reader.parquet(*[f"{folder}/{BATCH}={n}" for n in ids]), ids[-1]
+    def _base(self, upto):
+        return f"{self.path}/base/upto={upto}"
+
+    def _last_base(self, spark):
+        """Last batch id of the newest finished base, -1 if there is none."""
+        for upto in reversed(_numbers(spark, f"{self.path}/base", "upto")):
+            if _finished(spark, self._base(upto)):
+                return upto
+        return -1
 
     def _current(self, spark):
-        upto, base = self._base(spark)
-        deltas, last = self._deltas(spark, upto)
-        if deltas is None:
-            return base, last
+        """The current rows, and the last batch id they cover."""
+        stored = T.StructType(self._stored.fields + [T.StructField(BATCH, T.LongType())])
+        upto = self._last_base(spark)
+        base = spark.read.schema(stored).parquet(self._base(upto)) if upto >= 0 else None
+        newer = [n for n in _numbers(spark, f"{self.path}/delta", BATCH) if n > upto]
+        newer = [n for n in newer if _finished(spark, self._delta(n))]
+        if not newer:
+            return base if base is not None else spark.createDataFrame([], stored), upto
+        reader = spark.read.schema(stored).option("basePath", f"{self.path}/delta")
+        deltas = reader.parquet(*[self._delta(n) for n in newer])
         fresh = latest_per_key(deltas, self.keys, self._version)
-        if upto < 0:
-            return fresh, last
+        if base is None:
+            return fresh, newer[-1]
         # Every delta row is newer than the base, so base rows only leave. Spark broadcasts the keys
         # of the deltas if they are small, and the base is then read in place: filters on any of its
         # columns reach the scan.
         touched = deltas.select(*self.keys).distinct()
-        return base.join(touched, list(self.keys), "left_anti").select(*fresh.columns).unionByName(fresh), last
+        kept = base.join(touched, list(self.keys), "left_anti").select(*fresh.columns)
+        return kept.unionByName(fresh), newer[-1]
 
     def read(self, spark):
         """One current row per key."""
@@ -125,6 +138,17 @@ class KeyedTable:
             spread = [*self.cluster_by, *[k for k in self.keys if k not in self.cluster_by]]
             args = [files, *spread] if files else spread
             current = current.repartitionByRange(*args).sortWithinPartitions(*spread)
-        if last not in _committed_children(spark, f"{self.path}/base", "upto"):
-            current.write.mode("overwrite").parquet(f"{self.path}/base/upto={last}")
+        if last != self._last_base(spark):
+            current.write.mode("overwrite").parquet(self._base(last))
         return last
+
+    def expire(self, spark):
+        """Deletes the batches the newest base covers, and older bases. Call it when no reader of an
+        earlier state is left."""
+        upto = self._last_base(spark)
+        old = [self._delta(n) for n in _numbers(spark, f"{self.path}/delta", BATCH) if n <= upto]
+        old += [self._base(n) for n in _numbers(spark, f"{self.path}/base", "upto") if n < upto]
+        for path in old:
+            fs, jpath = _folder(spark, path)
+            fs.delete(jpath, True)
+        return len(old)

@@ -1,19 +1,31 @@
 """Analytic functions along an order, without putting one key's whole history into one task."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tapewright.functions.times import floor_div
 
 
+def _chunked(rows, order, chunk_size, *keys):
+    """Rows shuffled by key and chunk. Both users of the result share this shuffle; the join between
+    them would otherwise add its NULL test to one side only, and each side would then be computed anew."""
+    cut = [*keys, "_chunk"]
+    # isNotNull and not dropna, whose condition the optimizer does not recognise as the same test.
+    present = reduce(and_, [F.col(c).isNotNull() for c in cut])
+    return rows.withColumn("_chunk", floor_div(order, chunk_size)).where(present).repartition(*cut)
+
+
 def with_previous(rows, key, order, value, chunk_size, name="previous"):
     """Adds the value of the preceding row of the same key, by the BIGINT column ``order``.
 
     A key's rows are cut into chunks of ``chunk_size`` along the order. Inside a chunk it is a lag; the
     first row of a chunk gets the last value of the key's chunk before, from a table with one row per
-    chunk. Values must not be NULL and orders must be distinct within a key.
+    chunk. (key, order) is a primary key: distinct and not NULL; values are not NULL either.
     """
-    chunked = rows.withColumn("_chunk", floor_div(order, chunk_size)).repartition(key, "_chunk")
+    chunked = _chunked(rows, order, chunk_size, key)
     inside = Window.partitionBy(key, "_chunk").orderBy(order)
     lagged = chunked.withColumn(name, F.lag(value).over(inside))
     ends = chunked.groupBy(key, "_chunk").agg(F.max_by(value, order).alias("_end"))
@@ -32,7 +44,7 @@ def with_running_total(rows, order, value, chunk_size=1000, name="running_total"
 
     Chunks are summed in parallel; only one row per chunk passes through the single ordered window.
     """
-    chunked = rows.withColumn("_chunk", floor_div(order, chunk_size)).repartition("_chunk")
+    chunked = _chunked(rows, order, chunk_size)
     inside = Window.partitionBy("_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     local = chunked.withColumn(name, F.sum(value).over(inside))
     sums = chunked.groupBy("_chunk").agg(F.sum(value).alias("_sum"))

@@ -2,6 +2,7 @@
 
 import json
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tapewright.operators.ordered import with_running_total
@@ -10,10 +11,11 @@ OFFSETS = "consumer string, topic string, partition int, latest bigint, committe
 
 
 def lag_report(offsets):
-    """Lag per consumer and partition, with the consumer's total. One small row per log partition."""
+    """Lag per consumer and log partition, with the consumer's total and highest. The input has one row
+    per log partition, so a consumer's window is short."""
+    consumer = Window.partitionBy("consumer")
     lagged = offsets.withColumn("lag", F.col("latest") - F.col("committed"))
-    totals = lagged.groupBy("consumer").agg(F.sum("lag").alias("total_lag"), F.max("lag").alias("max_lag"))
-    return lagged.join(totals, "consumer")
+    return lagged.withColumns({"total_lag": F.sum("lag").over(consumer), "max_lag": F.max("lag").over(consumer)})
 
 
 def progress_offsets(spark, consumer, progress):

@@ -22,15 +22,21 @@ def symbols(candle_rows):
     return candle_rows.select("symbol").distinct().orderBy("symbol")
 
 
-def _last_candles(candle_rows, symbol, limit):
+def _last_candles(candle_rows, symbol, limit, since_ms):
     """The newest ``limit`` candles of a symbol, oldest first. A top-k per task, then a merge."""
-    newest = candle_rows.where(F.col("symbol") == symbol.upper()).orderBy(F.desc("window_start")).limit(limit)
-    return newest.orderBy("window_start")
+    wanted = candle_rows.where(F.col("symbol") == symbol.upper())
+    if since_ms is not None:
+        wanted = wanted.where(F.col("window_start") >= F.timestamp_millis(F.lit(since_ms)))
+    return wanted.orderBy(F.desc("window_start")).limit(limit).orderBy("window_start")
 
 
-def candles(candle_rows, symbol, limit=60):
-    """The last ``limit`` candles of a symbol, oldest first, with ISO-8601 bounds."""
-    rows = _last_candles(candle_rows, symbol, check_limit(limit, 500))
+def candles(candle_rows, symbol, limit=60, since_ms=None):
+    """The last ``limit`` candles of a symbol, oldest first, with ISO-8601 bounds.
+
+    ``since_ms`` asks for windows starting at that epoch time or later only. A caller that polls knows
+    such a bound; it reaches the scan, so files and row groups of older times are not read.
+    """
+    rows = _last_candles(candle_rows, symbol, check_limit(limit, 500), since_ms)
     return rows.select(
         "symbol",
         iso_utc("window_start").alias("window_start"),
@@ -39,10 +45,16 @@ def candles(candle_rows, symbol, limit=60):
     )
 
 
-def latest_trades(trade_rows, symbol, limit=50):
-    """The last ``limit`` trades of a symbol, newest first; equal times follow the trade number."""
+def latest_trades(trade_rows, symbol, limit=50, since_ms=None):
+    """The last ``limit`` trades of a symbol, newest first; equal times follow the trade number.
+
+    ``since_ms`` asks for trades of that epoch time or later only, see :func:`candles`.
+    """
     check_limit(limit, 200)
-    newest = trade_rows.where(F.col("symbol") == symbol.upper()).orderBy(
+    wanted = trade_rows.where(F.col("symbol") == symbol.upper())
+    if since_ms is not None:
+        wanted = wanted.where(F.col("event_time") >= since_ms)
+    newest = wanted.orderBy(
         F.desc("event_time"), F.desc(trade_sequence(F.col("trade_id"))), F.desc("trade_id")
     )
     return newest.limit(limit).select(*TRADE_COLUMNS)
@@ -122,9 +134,9 @@ def ticker_changes(candle_rows, chunk_ms=DAY_MS):
     )
 
 
-def chart_series(candle_rows, symbol, limit=120):
+def chart_series(candle_rows, symbol, limit=120, since_ms=None):
     """Chart points of the last ``limit`` candles: whole epoch seconds and open, high, low, close."""
-    return _last_candles(candle_rows, symbol, check_limit(limit, 500)).select(
+    return _last_candles(candle_rows, symbol, check_limit(limit, 500), since_ms).select(
         epoch_seconds("window_start").alias("time"),
         F.col("open_price").alias("open"),
         F.col("high_price").alias("high"),
@@ -133,9 +145,9 @@ def chart_series(candle_rows, symbol, limit=120):
     )
 
 
-def trade_tape(trade_rows, symbol, limit=30):
+def trade_tape(trade_rows, symbol, limit=30, since_ms=None):
     """Display rows of the last ``limit`` trades: UTC clock time, price, quantity, side."""
-    return latest_trades(trade_rows, symbol, limit).select(
+    return latest_trades(trade_rows, symbol, limit, since_ms).select(
         "trade_id",
         utc_clock("event_time").alias("time"),
         display.price_label(F.col("price")).alias("price"),

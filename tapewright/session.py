@@ -42,6 +42,8 @@ def streaming_session(spark, shuffle_partitions=None, state_provider=ROCKSDB_PRO
     session.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if state_provider:
         session.conf.set("spark.sql.streaming.stateStore.providerClass", state_provider)
+        # A batch then stores its changes and not a snapshot of the whole state.
+        session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return session
 
 

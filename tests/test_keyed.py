@@ -78,6 +78,25 @@ def test_compaction_changes_nothing(spark, table):
             assert content(table.read(spark)) == sorted(expected.items())
 
 
+def test_expire_keeps_the_content(spark, table, tmp_path):
+    for batch in range(4):
+        table.write_batch(rows(spark, ("a", batch, 1), (f"k{batch}", batch, 1)), batch)
+        if batch in (1, 2):
+            table.compact(spark)
+    before = content(table.read(spark))
+    assert table.expire(spark) == 4
+    assert [p.name for p in (tmp_path / "table" / "delta").iterdir()] == ["batch=3"]
+    assert content(table.read(spark)) == before == [("a", 3.0), ("k0", 0.0), ("k1", 1.0), ("k2", 2.0), ("k3", 3.0)]
+
+
+def test_files_per_batch(spark, tmp_path):
+    table = KeyedTable(str(tmp_path / "few"), TRADE, ("trade_id",), ("event_id",), files_per_batch=1)
+    many = rows(spark, *[(f"k{n}", n, 1) for n in range(50)]).repartition(8)
+    table.write_batch(many, 0, unique=True)
+    assert len(table.read(spark).inputFiles()) == 1
+    assert table.read(spark).count() == 50
+
+
 def test_unfinished_folders_are_not_read(spark, table, tmp_path):
     table.write_batch(rows(spark, ("a", 1, 1)), 0)
     table.write_batch(rows(spark, ("a", 2, 2)), 1)

@@ -74,6 +74,14 @@ def test_latest_trades_ties_by_number(trade_rows):
     assert got == ["ABC-11", "ABC-10", "ABC-9", "ABC-8"]
 
 
+def test_since_bounds_the_lookup(spark, candle_rows, trade_rows, tmp_path):
+    assert [r.time for r in serving.chart_series(candle_rows, "abc", 5, since_ms=60000).collect()] == [60, 70]
+    assert [r.event_time for r in serving.latest_trades(trade_rows, "abc", 9, since_ms=3000).collect()] == [3000] * 3
+    trade_rows.write.parquet(str(tmp_path / "t"))
+    text = plan_of(serving.trade_tape(spark.read.parquet(str(tmp_path / "t")), "abc", since_ms=3000))
+    assert "GreaterThanOrEqual(event_time,3000)" in text
+
+
 def test_stats(candle_rows, trade_rows, spark):
     row = serving.pipeline_stats(candle_rows, trade_rows).first()
     assert tuple(row) == (10, 12, 3, "1970-01-01T00:01:20+00:00")
@@ -137,6 +145,12 @@ def test_lookups_push_the_symbol_and_use_top_k(spark, tmp_path, trade_rows, cand
     assert "volume" not in text.split("ReadSchema: ")[1].split("\n")[0]
 
 
+def test_both_sides_of_the_carry_share_one_shuffle(spark, candle_rows):
+    frame = serving.ticker_changes(candle_rows)
+    frame.collect()
+    assert "ReusedExchange" in frame._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("chunk", [1, 3, 1000])
 def test_previous_and_running_total_in_chunks(spark, chunk):
     data = [(k, n * 7 - 20, n) for k in ("a", "b") for n in range(15)]
