@@ -17,7 +17,7 @@ from tapewright.operators import candles as candle_ops
 from tapewright.operators import decode, quality
 from tapewright.operators.keyed import KeyedTable, latest_per_key
 from tapewright.plans import events as ev
-from tapewright.plans import monitoring, serving
+from tapewright.plans import monitoring, serving, views
 from tapewright.schemas import CANDLE, TRADE, TRADE_COLUMNS
 from tapewright.session import scratch_dir, streaming_session
 from tapewright.sources.archive import list_files, read_archive
@@ -207,7 +207,7 @@ def candles_upsert(spark, sf_dir):
 
 
 def keyed_table_roundtrip(spark, sf_dir):
-    """Three upsert batches, a replay, a compaction between them, read back."""
+    """All trades in three upsert batches, one of them replayed, a compaction between; read back."""
     rows = decode.raw_trades(_reissued(ev.read_trades(spark, sf_dir)), carry=["event_id"])
     table = _trade_table(scratch_dir(spark, "keyed"))
     cycle = F.floor(F.pmod("event_id", F.lit(15000)) / 5000)
@@ -259,6 +259,22 @@ def trade_tape(spark, sf_dir):
     return serving.trade_tape(_stored(spark, sf_dir), SYMBOL, 30)
 
 
+def sql_views(spark, sf_dir):
+    """Plain SQL over the registered tables, in a session of its own."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    views.register(_candles(session, sf_dir), _stored(session, sf_dir))
+    return session.sql(
+        """
+        SELECT l.symbol, l.close_price, unix_millis(l.window_end) AS window_end_ms, c.candles, t.trades
+        FROM latest_ohlcv l
+        JOIN (SELECT symbol, count(*) AS candles FROM ohlcv GROUP BY symbol) c ON c.symbol = l.symbol
+        JOIN (SELECT symbol, count(*) AS trades FROM raw_trades GROUP BY symbol) t ON t.symbol = l.symbol
+        ORDER BY l.symbol
+        """
+    )
+
+
 # --- monitoring --------------------------------------------------------------------------------
 
 
@@ -373,6 +389,7 @@ _QUERIES = [
     ticker_changes,
     chart_series,
     trade_tape,
+    sql_views,
     lag_report,
     flush_totals,
     stream_ohlcv_closed,
@@ -438,10 +455,14 @@ SELECT event_id, trade_id, CASE WHEN defect = 'short' THEN 'ab' ELSE symbol END
 FROM (SELECT *, {_DIRTY_CASE} AS defect FROM ({_TRADES}))
 """
 
+# Reasons in member order, so that several join as the query joins them.
 _TRADE_REASON = """
-CASE defect WHEN 'truncated' THEN 'record:object' WHEN 'negative' THEN 'price:range' WHEN 'hold' THEN 'side:enum'
-     WHEN 'extra' THEN 'record:extra' WHEN 'short' THEN 'symbol:length' WHEN 'untimed' THEN 'event_time:required'
-     WHEN 'quoted' THEN 'price:type' ELSE '' END
+CASE WHEN defect = 'truncated' THEN 'record:object' ELSE concat_ws(',',
+     CASE WHEN defect = 'untimed' THEN 'event_time:required' END,
+     CASE WHEN defect = 'quoted' THEN 'price:type' WHEN price <= 0 THEN 'price:range' END,
+     CASE WHEN defect = 'extra' THEN 'record:extra' END,
+     CASE WHEN defect = 'hold' THEN 'side:enum' END,
+     CASE WHEN defect = 'short' THEN 'symbol:length' END) END
 """
 
 _REISSUED_LATEST = f"""
@@ -495,10 +516,17 @@ SELECT symbol AS key, '{{"trade_id":"' || trade_id || '","symbol":"' || symbol |
 FROM ({_TRADES})
 """,
         "trade_violations": f"SELECT event_id, {_TRADE_REASON} AS violations FROM ({_DIRTY_ROWS})",
-        "quote_violations": "SELECT event_id, CASE WHEN event_id % 61 = 0 THEN 'bid_price:range' ELSE '' END AS violations FROM events",
-        "quarantine_split": f"SELECT event_id, CASE WHEN defect = 'clean' THEN 'valid' ELSE 'rejected' END AS outcome FROM ({_DIRTY_ROWS})",
+        "quote_violations": """
+SELECT event_id, concat_ws(',', CASE WHEN value <= 0 THEN 'ask_price:range' END,
+                           CASE WHEN value <= 0 OR event_id % 61 = 0 THEN 'bid_price:range' END) AS violations
+FROM events
+""",
+        "quarantine_split": f"""
+SELECT event_id, CASE WHEN {_TRADE_REASON} = '' THEN 'valid' ELSE 'rejected' END AS outcome FROM ({_DIRTY_ROWS})
+""",
         "violation_counts": f"""
-SELECT {_TRADE_REASON} AS violation, count(*) AS records FROM ({_DIRTY_ROWS}) WHERE defect <> 'clean' GROUP BY 1
+SELECT violation, count(*) AS records
+FROM (SELECT unnest(string_split({_TRADE_REASON}, ',')) AS violation FROM ({_DIRTY_ROWS})) WHERE violation <> '' GROUP BY 1
 """,
         "raw_trades_upsert": _REISSUED_LATEST,
         "candles_upsert": f"""
@@ -560,6 +588,14 @@ FROM (SELECT * FROM candles WHERE symbol = 'CLICK' ORDER BY window_start_ms DESC
 SELECT trade_id, strftime(make_timestamp(event_time * 1000), '%H:%M:%S') AS time, {_LABEL.format('price')} AS price,
        format('{{:,.4f}}', round(quantity, 4)) AS quantity, upper(side) AS side
 FROM (SELECT * FROM stored WHERE symbol = 'CLICK' ORDER BY event_time DESC, event_id DESC LIMIT 30)
+"""
+        ),
+        "sql_views": _with_candles(
+            f"""
+SELECT symbol, close_price, window_end_ms, candles, trades
+FROM ({newest}) JOIN (SELECT symbol, count(*) AS candles FROM candles GROUP BY 1) USING (symbol)
+     JOIN (SELECT symbol, count(*) AS trades FROM stored GROUP BY 1) USING (symbol)
+ORDER BY symbol
 """
         ),
         "lag_report": """

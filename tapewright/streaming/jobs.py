@@ -48,6 +48,20 @@ def start_raw_trades(trades, table, checkpoint, every=None, rejects_path=None):
     return _triggered(writer, every).start()
 
 
+def start_pipeline(trades, candle_table, trade_table, checkpoints, console=False, **candle_options):
+    """The whole serving side of one trade stream: stored trades, candles, and candles on the console if
+    asked. Each query reads the source on its own and keeps its own position below ``checkpoints``."""
+    every = candle_options.get("every")
+    queries = [
+        start_raw_trades(trades, trade_table, f"{checkpoints}/raw", every),
+        start_candles(trades, candle_table, f"{checkpoints}/candles", **candle_options),
+    ]
+    if console:
+        seconds = candle_options.get("window_seconds", candle_ops.DEFAULT_WINDOW_SECONDS)
+        queries.append(start_console(trades, f"{checkpoints}/console", seconds, every))
+    return queries
+
+
 def start_archive(
     trades,
     root,

@@ -11,6 +11,9 @@ TABLES = (
 ).split()
 
 
+SAME_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+
+
 def connect(sf_dir):
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
@@ -39,6 +42,10 @@ def compare(spark, con, name, query, sql, sf_dir):
     want = normalized(columns, result.fetchall())
     if sorted(columns) != sorted(frame.columns):
         return f"{name}: columns {sorted(frame.columns)} != {sorted(columns)}"
+    kinds = {d[0]: str(d[1]) for d in con.execute(f"DESCRIBE {sql}").fetchall()}
+    for field, kind in frame.dtypes:
+        if SAME_TYPE.get(kind) != kinds[field]:
+            return f"{name}: {field} is {kind}, expected {kinds[field]}"
     if len(got) != len(want):
         return f"{name}: {len(got)} rows, expected {len(want)}"
     for a, b in zip(got, want):

@@ -9,7 +9,7 @@ from tapewright.operators import decode
 from tapewright.operators.candles import candles
 from tapewright.operators.keyed import KeyedTable
 from tapewright.plans import events as ev
-from tapewright.plans import monitoring
+from tapewright.plans import monitoring, views
 from tapewright.schemas import CANDLE, TRADE
 from tapewright.session import scratch_dir, streaming_session
 from tapewright.sources.archive import list_files, read_archive
@@ -215,6 +215,24 @@ def test_console(streams, tmp_path):
     assert query.exception() is None
 
 
+def test_pipeline(streams, spark, contiguous, tmp_path):
+    folder, trades = contiguous
+    raw = KeyedTable(str(tmp_path / "raw"), TRADE, ("trade_id",))
+    table = candle_table(tmp_path / "candles")
+    queries = jobs.start_pipeline(text_trades(streams, folder), table, raw, str(tmp_path / "c"), console=True, window_seconds=3600)
+    assert len(queries) == 3
+    for query in queries:
+        query.awaitTermination()
+    assert raw.read(spark).count() == trades.count()
+    views.register(table.read(spark), raw.read(spark))
+    last = trades.agg(F.max("event_time")).first()[0]
+    closed = [r for r in bounds(candles(trades, 3600)) if r[1] <= last - 5000]
+    assert spark.sql("SELECT count(*) FROM ohlcv").first()[0] == len(closed)
+    newest = {r[2]: r[6] for r in closed}
+    rows = spark.sql("SELECT symbol, close_price, window_end FROM latest_ohlcv ORDER BY symbol").collect()
+    assert {r.symbol: r.close_price for r in rows} == newest
+
+
 def test_incomplete_trades_go_to_the_rejects(streams, spark, tmp_path):
     put(tmp_path / "in", 0, [message(1, 1.0), '{"trade_id":"x"}'])
     table = KeyedTable(str(tmp_path / "t"), TRADE, ("trade_id",))
