@@ -1,8 +1,5 @@
 """Analytic functions along an order, without putting one key's whole history into one task."""
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -10,12 +7,8 @@ from tapewright.functions.times import floor_div
 
 
 def _chunked(rows, order, chunk_size, *keys):
-    """Rows shuffled by key and chunk. Both users of the result share this shuffle; the join between
-    them would otherwise add its NULL test to one side only, and each side would then be computed anew."""
-    cut = [*keys, "_chunk"]
-    # isNotNull and not dropna, whose condition the optimizer does not recognise as the same test.
-    present = reduce(and_, [F.col(c).isNotNull() for c in cut])
-    return rows.withColumn("_chunk", floor_div(order, chunk_size)).where(present).repartition(*cut)
+    """Rows shuffled by key and chunk. A lag or sum per chunk and the carry between chunks share this shuffle."""
+    return rows.withColumn("_chunk", floor_div(order, chunk_size)).repartition(*keys, "_chunk")
 
 
 def with_previous(rows, key, order, value, chunk_size, name="previous"):
@@ -25,7 +18,9 @@ def with_previous(rows, key, order, value, chunk_size, name="previous"):
     first row of a chunk gets the last value of the key's chunk before, from a table with one row per
     chunk. (key, order) is a primary key: distinct and not NULL; values are not NULL either.
     """
-    chunked = _chunked(rows, order, chunk_size, key)
+    # The join below would test the key for NULL on one side only, and each side would then be
+    # computed anew. Testing it up front keeps the sides equal.
+    chunked = _chunked(rows.where(F.col(key).isNotNull()), order, chunk_size, key)
     inside = Window.partitionBy(key, "_chunk").orderBy(order)
     lagged = chunked.withColumn(name, F.lag(value).over(inside))
     ends = chunked.groupBy(key, "_chunk").agg(F.max_by(value, order).alias("_end"))
@@ -51,7 +46,8 @@ def with_running_total(rows, order, value, chunk_size=1000, name="running_total"
     before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("_chunk", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
     return (
-        local.join(offsets, "_chunk", "inner")
+        # An inner join would add a NULL test to this side only, and undo the shared shuffle.
+        local.join(offsets, "_chunk", "left")
         .withColumn(name, F.col(name) + F.col("_before"))
         .drop("_chunk", "_before")
     )
