@@ -87,13 +87,13 @@ def violations(records, rules=TRADE_RULES, value="value"):
     read = parsed.select(
         *records.columns,
         F.col("_v").isNull().alias("_bad"),
-        F.json_object_keys(raw).alias("_keys"),
+        F.size(F.col("_v").try_cast("map<string,variant>")).alias("_members"),
         *[reading for r in rules for reading in _readings(r)],
     )
-    # Duplicate names do not parse, so a key beyond the known members present is an extra one.
+    # Duplicate names do not parse, so a member beyond the known ones present is an extra one.
     present = sum((F.when(F.col(f"_kind_{r.name}").isNotNull(), 1).otherwise(0) for r in rules), F.lit(0))
     reasons = {r.name: _reason(r) for r in rules}
-    reasons["record"] = F.when(F.size("_keys") > present, "record:extra")
+    reasons["record"] = F.when(F.col("_members") > present, "record:extra")
     joined = F.when(F.col("_bad"), "record:object").otherwise(F.concat_ws(",", *[reasons[n] for n in sorted(reasons)]))
     return read.select(*records.columns, joined.alias("_joined")).select(
         *records.columns, reason_list(F.col("_joined")).alias("violations")
