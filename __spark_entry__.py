@@ -233,7 +233,7 @@ def latest_trades(spark, sf_dir):
     return serving.latest_trades(_stored(spark, sf_dir), SYMBOL, 50)
 
 
-def pipeline_stats(spark, sf_dir):
+def serving_stats(spark, sf_dir):
     return serving.pipeline_stats(_candles(spark, sf_dir), _stored(spark, sf_dir))
 
 
@@ -284,7 +284,7 @@ def lag_report(spark, sf_dir):
         F.max("event_id").alias("latest"),
         F.max(F.when(F.col("user_id") < 100, F.col("event_id"))).alias("committed"),
     )
-    return monitoring.lag_report(offsets.withColumn("consumer", F.lit("lake-writer"))).select(
+    return monitoring.lag_report(offsets.withColumn("consumer", F.lit("archive"))).select(
         "consumer", "partition", "latest", "committed", "lag", "total_lag", "max_lag"
     )
 
@@ -383,7 +383,7 @@ _QUERIES = [
     symbols,
     candles_last_n,
     latest_trades,
-    pipeline_stats,
+    serving_stats,
     latest_prices,
     price_message,
     ticker_changes,
@@ -549,7 +549,7 @@ FROM (SELECT * FROM candles WHERE symbol = 'CLICK' ORDER BY window_start_ms DESC
         "latest_trades": _with_candles(
             f"SELECT {_TRADE_LIST} FROM stored WHERE symbol = 'CLICK' ORDER BY event_time DESC, event_id DESC LIMIT 50"
         ),
-        "pipeline_stats": _with_candles(
+        "serving_stats": _with_candles(
             f"""
 SELECT (SELECT count(*) FROM candles) AS total_candles, (SELECT count(*) FROM stored) AS total_trades_stored,
        (SELECT count(DISTINCT symbol) FROM candles) AS active_symbols,
@@ -599,7 +599,7 @@ ORDER BY symbol
 """
         ),
         "lag_report": """
-SELECT 'lake-writer' AS consumer, *, sum(lag) OVER ()::BIGINT AS total_lag, max(lag) OVER () AS max_lag
+SELECT 'archive' AS consumer, *, sum(lag) OVER ()::BIGINT AS total_lag, max(lag) OVER () AS max_lag
 FROM (SELECT CAST(user_id % 3 AS INTEGER) AS partition, max(event_id) AS latest,
              max(event_id) FILTER (user_id < 100) AS committed, latest - committed AS lag
       FROM events GROUP BY 1)

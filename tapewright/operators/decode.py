@@ -6,7 +6,8 @@ from tapewright.functions import text
 from tapewright.operators.rows import emit_where, reason_list
 from tapewright.schemas import TRADE, TRADE_COLUMNS
 
-# Member names of an exchange trade event and the names used here for them.
+# Member names of an exchange trade event with the names used here for them, the event
+# type kept, and the symbols followed when the caller names none.
 FEED_MEMBERS = [
     ("e", "kind", "string"),
     ("s", "pair", "string"),
@@ -17,6 +18,7 @@ FEED_MEMBERS = [
     ("T", "time_text", "string"),
 ]
 TRADE_EVENT = "trade"
+DEFAULT_SYMBOLS = "btcusdt,ethusdt,solusdt,bnbusdt,xrpusdt"
 # End of fixed values.
 
 _FEED_WIRE = ", ".join(f"{wire}: {kind}" for wire, _, kind in FEED_MEMBERS)
@@ -145,7 +147,7 @@ def decode_rejects(messages, value="value", carry=()):
     return emit_where(checked, F.size("violations") > 0, *carry, "value", "violations")
 
 
-def select_symbols(trades, symbols, column="symbol"):
+def select_symbols(trades, symbols=DEFAULT_SYMBOLS, column="symbol"):
     """Rows whose symbol is in the universe, in any case.
 
     ``symbols`` is a comma list, a Python list, or a DataFrame with a ``symbol`` column. A DataFrame

@@ -5,6 +5,11 @@ from tapewright.operators import decode
 from tapewright.streaming import sinks
 
 
+# How often the archive flushes when the caller follows the stream.
+ARCHIVE_EVERY = "60 seconds"
+# End of fixed values.
+
+
 def _triggered(writer, every):
     """``every`` is an interval such as '60 seconds', or None to process what is there and end."""
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
@@ -74,7 +79,7 @@ def start_archive(
 ):
     """Appends trades to ``root/trades/dt=/symbol_part=`` as Snappy Parquet, exactly once.
 
-    A flush is a micro-batch: time-bound by ``every``, size-bound by the source's own limit per
+    A flush is a micro-batch: time-bound by ``every`` (usually ``ARCHIVE_EVERY``), size-bound by the source's own limit per
     trigger. The offsets are committed after the files. ``spread=False`` writes the source's partitions
     as they come, the better way for a log keyed by symbol, where each symbol is in one partition.
     """

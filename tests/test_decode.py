@@ -121,6 +121,8 @@ def test_symbol_list():
 def test_select_symbols(spark, trades_frame):
     rows = trades_frame([("A-1", "Abc", 1.0, 1.0, "buy", 1), ("B-1", "BCD", 1.0, 1.0, "buy", 1)])
     assert [r.symbol for r in decode.select_symbols(rows, "abc").collect()] == ["Abc"]
+    pair = trades_frame([("A-1", "BTCUSDT", 1.0, 1.0, "buy", 1), ("B-1", "ZZZ", 1.0, 1.0, "buy", 1)])
+    assert [r.symbol for r in decode.select_symbols(pair).collect()] == ["BTCUSDT"]
     table = spark.createDataFrame([(" bcd ",), ("",), ("BCD",)], "symbol string")
     assert [r.symbol for r in decode.select_symbols(rows, table).collect()] == ["BCD"]
 

@@ -285,7 +285,7 @@ def test_kafka_options():
 
 
 def test_lag(spark):
-    rows = [("lake-writer", "trades", 0, 5200, 4821), ("lake-writer", "trades", 1, 4100, 3902), ("lake-writer", "trades", 2, 5400, 5103)]
+    rows = [("archive", "trades", 0, 5200, 4821), ("archive", "trades", 1, 4100, 3902), ("archive", "trades", 2, 5400, 5103)]
     got = monitoring.lag_report(spark.createDataFrame(rows, monitoring.OFFSETS)).orderBy("partition").collect()
     assert [r.lag for r in got] == [379, 198, 297]
     assert {(r.total_lag, r.max_lag) for r in got} == {(874, 379)}
