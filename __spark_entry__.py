@@ -24,6 +24,14 @@ from tapewright.sources.archive import list_files, read_archive
 from tapewright.sources.log import read_messages, stream_parquet
 from tapewright.streaming import jobs
 
+try:  # the operators for training text come as a subpackage that may be left out
+    import corpus_pipeline
+    from tapewright.llm import queries as text_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tapewright.llm"):
+        raise
+    corpus_pipeline = text_queries = None
+
 HOUR = 3600
 SYMBOL = "click"
 
@@ -408,7 +416,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in _QUERIES}
+    found = {q.__name__: q for q in _QUERIES}
+    if text_queries:
+        found |= text_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 # --- SQL counterparts --------------------------------------------------------------------------
@@ -478,6 +489,10 @@ _FLOORED = f"SELECT * REPLACE (event_time - event_time % 3600000 AS event_time)
 
 
 def oracle_sql() -> dict[str, str]:
+    return _trade_sql() | (text_queries.ORACLE_SQL if text_queries else {})
+
+
+def _trade_sql():
     start, end = _ISO.format("window_start_ms"), _ISO.format("window_end_ms")
     newest = "SELECT DISTINCT ON (symbol) symbol, close_price, window_end_ms FROM candles ORDER BY symbol, window_end_ms DESC"
     hour, day = _ohlcv_sql(HOUR), _ohlcv_sql(24 * HOUR)
