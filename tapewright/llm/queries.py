@@ -2,18 +2,57 @@
 
 from pyspark.sql import functions as F
 
-from tapewright.llm import simhash
+from tapewright.llm import decontamination, html, language, passages, simhash, toxicity
+from tapewright.llm.text import fold
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html(spark, sf_dir):
+    """Main text of all pages."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def op2_decontamination(spark, sf_dir):
+    """Each document and benchmark item of which tiles cover half or more."""
+    found = decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    longest = F.array_max(F.transform("tiles", lambda t: t[2]))
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "coverage", F.size("tiles").alias("n_tiles"), longest.alias("longest_tile")
+    )
+
+
 def op3_simhash(spark, sf_dir):
     """Near-duplicate classes of all documents: 4-word shingles, links at 4 bits or fewer."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, tau=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-QUERIES = {q.__name__: q for q in [op3_simhash]}
-ORACLE_SQL = {}
+def op4_toxicity(spark, sf_dir):
+    """Toxicity of all documents, learned from labels outside the held-out fold."""
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, toxicity.learned_rows(_table(spark, sf_dir, "labels")))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op5_language(spark, sf_dir):
+    """Language of all documents, learned from documents outside the held-out fold."""
+    docs = _table(spark, sf_dir, "documents")
+    names, vectors = language.prototypes(docs.where(fold("doc_id", 3) != 1))
+    found = language.identify(docs.select("doc_id", "text"), names, vectors)
+    return found.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+def op10_passages(spark, sf_dir):
+    """All documents without repeated passages; spans of what was removed, in code points of the original text."""
+    done = passages.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.array_join(F.transform("removed", lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
+    return done.select("doc_id", "text", "n_units", "n_removed", spans.alias("removed"))
+
+
+QUERIES = {q.__name__: q for q in [op1_html, op2_decontamination, op3_simhash, op4_toxicity, op5_language, op10_passages]}
+ORACLE_SQL = {"op10_passages": passages.SQL}
