@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tapewright.llm import decontamination, html, language, passages, simhash, toxicity
+from tapewright.llm import bloom_lm, decontamination, html, language, licenses, mixing, passages, quality, simhash, toxicity
 from tapewright.llm.text import fold
 
 
@@ -47,6 +47,34 @@ def op5_language(spark, sf_dir):
     return found.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op6_mixing(spark, sf_dir):
+    """The mix of all documents: 150 % of all words, sources weighted 5, 2, 1, no document above twice."""
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+def op7_quality(spark, sf_dir):
+    """Base rules and distribution divergence of all documents."""
+    found = quality.rules(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "nearest", "class_distance", "word_distance",
+    )
+
+
+def op8_licenses(spark, sf_dir):
+    """License notices in all documents."""
+    found = licenses.scan(_table(spark, sf_dir, "documents"))
+    return found.withColumn("differences", F.array_join("differences", "; "))
+
+
+def op9_language_model(spark, sf_dir):
+    """Scores of all documents by a model of those outside the held-out fold."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold("doc_id", 5) == 1
+    scored = bloom_lm.score(docs, docs.where(~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_passages(spark, sf_dir):
     """All documents without repeated passages; spans of what was removed, in code points of the original text."""
     done = passages.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -54,5 +82,11 @@ def op10_passages(spark, sf_dir):
     return done.select("doc_id", "text", "n_units", "n_removed", spans.alias("removed"))
 
 
-QUERIES = {q.__name__: q for q in [op1_html, op2_decontamination, op3_simhash, op4_toxicity, op5_language, op10_passages]}
+QUERIES = {
+    q.__name__: q
+    for q in [
+        op1_html, op2_decontamination, op3_simhash, op4_toxicity, op5_language,
+        op6_mixing, op7_quality, op8_licenses, op9_language_model, op10_passages,
+    ]
+}
 ORACLE_SQL = {"op10_passages": passages.SQL}
