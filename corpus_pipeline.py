@@ -1,10 +1,78 @@
-"""Documents to a training mix: each stage works on all rows that the stage before it kept."""
+"""Documents to a training mix: each stage works on all rows that the stage before it kept.
 
-STAGES = []
+A stage takes (spark, docs, sf_dir) and returns the columns of ``docs``, the last one those and ``copy``. Rows without an id, with null or
+empty texts, and repeated rows pass through every stage as its operator says; an empty table stays empty.
+"""
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tapewright.llm import decontamination, mixing, passages, simhash, toxicity
+from tapewright.llm.tables import stored
+
+#: Fixed: the pipeline's decisions come from trained models, classes and sampling, which SQL can't express.
+ORACLE_SQL = None
+
+
+def _table(spark, sf_dir, name):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def drop_toxic(spark, docs, sf_dir):
+    """Rows that the toxicity model gives a score below one half; a row without words passes."""
+    model = toxicity.train(docs, toxicity.learned_rows(_table(spark, sf_dir, "labels")))
+    scored = toxicity.score(docs, model, score_col="__toxicity")
+    return scored.where(F.col("__toxicity") < 0.5).select(docs.columns)
+
+
+def drop_near_duplicates(spark, docs, sf_dir):
+    """Of each class of near-duplicates, the row with the smallest id; a row without an id only if no other has one.
+
+    Rows with equal id differ by their text; rows equal in both are one row.
+    """
+    text_hash = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    identity = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("doc_id"), text_hash.alias("text_hash"))
+    found = simhash.near_duplicates(docs.select(identity.alias("row"), "text"), "row", "text", shingle=4, tau=4)
+    first = found.where("row = component").select("row.doc_id", "row.text_hash").distinct().alias("first")
+    named = docs.withColumn("__text_hash", text_hash).alias("named")
+    kept = named.join(first, F.expr("named.doc_id <=> first.doc_id AND named.__text_hash = first.text_hash"), "left_semi")
+    order = Window.partitionBy("doc_id", "__text_hash").orderBy(F.xxhash64(*docs.columns))
+    return kept.withColumn("__copy", F.row_number().over(order)).where("__copy = 1").select(docs.columns)
+
+
+def cut_repeated_passages(spark, docs, sf_dir):
+    """All rows, without passages that an earlier row has; ``n_chars`` follows the text."""
+    cut = passages.remove_repeats(docs, spans_col="__removed", units_col="__units", removed_col="__gone")
+    return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
+
+
+def drop_contaminated(spark, docs, sf_dir):
+    """Rows of whose text no benchmark item is covered by half or more."""
+    return decontamination.remove_contaminated(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark, docs, sf_dir):
+    """Rows that the mix takes, each as often as it is taken; ``copy`` counts from 1."""
+    mixed = mixing.mix(docs).where("times > 0").select("doc_id", "text_hash", "source", "times").distinct().alias("mixed")
+    text_hash = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    named = docs.withColumn("__text_hash", text_hash).alias("named")
+    same = "named.doc_id <=> mixed.doc_id AND named.__text_hash = mixed.text_hash AND named.source <=> mixed.source"
+    taken = named.join(mixed, F.expr(same)).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("mixed.times"))))
+    return taken.select(*[F.col(f"named.{c}") for c in docs.columns], "copy")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("repeated_passages", cut_repeated_passages),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+]
 
 
 def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    """All stages over ``documents``; each result is written as Parquet and read again."""
+    docs = _table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs
