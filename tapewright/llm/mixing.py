@@ -3,12 +3,13 @@
 Each source gets a target number of words. A source's ratio of target to size is split into whole copies of every document
 and a fraction, which is every document's inclusion probability. The flight phase of the cube method moves the probabilities of a block of documents
 through the null space of two constraints, document and word totals, until at most two per block lie between 0 and 1;
-those meet in larger rounds of blocks until one block a source is left, whose last two or so are landed by trying all outcomes.
-Documents are taken from the longest to the shortest, so the documents left to land are short.
+those, and a few documents of all lengths that each block holds back, meet in further rounds of blocks until one block a
+source is left. Its small rest is landed by trying all outcomes, so a source misses its target by a few words at most.
 """
 
 import random
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -19,6 +20,7 @@ WEIGHTS = (5, 2, 1)  # of the sources in order, repeating
 SHARE = 1.5  # of all words that the mix takes
 REPEATS = 2  # times a document may be taken
 BLOCK = 2000  # documents of a block
+HELD_BACK = 12  # documents of a block, spread over its lengths, that are left to the landing
 _NONE = 1e-9  # probabilities this close to 0 or 1 are decided
 
 
@@ -86,34 +88,39 @@ def fly(chances, rows, rng):
     return chances
 
 
-def land(chances, rows, missed=(0.0, 0.0)):
+def land(chances, rows):
     """Whole decisions for what the flight left open: of all outcomes, the one nearest in words, then in documents."""
     left = [k for k, c in enumerate(chances) if 0 < c < 1]
-    best = None
-    for outcome in range(1 << len(left)):
-        off = [missed[0], missed[1]]
-        for bit, k in enumerate(left):
-            moved = (outcome >> bit & 1) - chances[k]
-            off[0] += moved * rows[k][0]
-            off[1] += moved * rows[k][1]
-        found = (abs(off[1]), abs(off[0]), outcome)
-        best = found if best is None or found < best else best
+    outcomes = np.arange(1 << len(left))
+    off = np.zeros((len(outcomes), 2))
+    for bit, k in enumerate(left):
+        off += ((outcomes >> bit & 1) - chances[k])[:, None] * np.array(rows[k])
+    best = np.lexsort((outcomes, np.abs(off[:, 0]).round(6), np.abs(off[:, 1]).round(6)))[0]
     done = list(chances)
     for bit, k in enumerate(left):
-        done[k] = float(best[2] >> bit & 1)
+        done[k] = float(best >> bit & 1)
     return done
 
 
+def settle(chances, rows, rng, last):
+    """One block: the flight of all but a few units of all lengths; with ``last``, the landing too. Units come by falling length."""
+    still = [k for k, c in enumerate(chances) if _NONE < c < 1 - _NONE]
+    back = {still[i * len(still) // HELD_BACK] for i in range(HELD_BACK)} if len(still) > HELD_BACK else set(still)
+    free = [k for k in range(len(chances)) if k not in back]
+    done = list(chances)
+    for k, moved in zip(free, fly([chances[k] for k in free], [rows[k] for k in free], rng)):
+        done[k] = moved
+    return land(done, rows) if last else done
+
+
 def _round(seed, level):
-    """A function for applyInPandas: one block's flight, and its landing if it is the only block of its source."""
+    """A function for applyInPandas: one block, settled; it is the last if it is the only one of its source."""
 
     def run(table):
         table = table.sort_values(["words", "order_a", "order_b"], ascending=[False, True, True], kind="stable")
         rows = list(zip(table["copies"].astype(float), table["words"].astype(float)))
         rng = random.Random(f"{seed}-{level}-{table['rank'].iat[0]}-{table['block'].iat[0]}")
-        chances = fly(table["chance"], rows, rng)
-        if table["blocks"].iat[0] == 1:
-            chances = land(chances, rows)
+        chances = settle(table["chance"].tolist(), rows, rng, table["blocks"].iat[0] == 1)
         return table.assign(chance=pd.Series(chances, index=table.index, dtype=float))[list(table.columns)]
 
     return run

@@ -22,7 +22,7 @@ MOST_LANGUAGES = 5000  # references that workers hold, about 3 KB each
 GUARD_CHARS = 200  # characters of a text whose character classes are judged
 GUARD_WORDS = 80  # words of a text whose common words are judged
 CHAR_LIMIT, WORD_LIMIT = 0.10, 0.12  # distances of a very long text that are still accepted
-CHAR_SLACK, WORD_SLACK = 3.0, 2.2  # added to the limits, divided by the square root of the length
+CHAR_SLACK, WORD_SLACK = 2.0, 2.2  # added to the limits, divided by the square root of the length
 
 COMMON = sorted({w for words in STOP_WORDS.values() for w in words.split()})
 CLASSES = ("lower", "upper", "digit", "space", "sentence", "symbol", "other")
