@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
+import market_events as ev
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +17,6 @@ from pyspark.sql import types as T
 from tapewright.operators import candles as candle_ops
 from tapewright.operators import decode, quality
 from tapewright.operators.keyed import KeyedTable, latest_per_key
-from tapewright.plans import events as ev
 from tapewright.plans import monitoring, serving, views
 from tapewright.schemas import CANDLE, TRADE, TRADE_COLUMNS
 from tapewright.session import scratch_dir, streaming_session
@@ -140,6 +140,12 @@ def normalize_exchange_trades(spark, sf_dir):
     return decode.normalize_feed(_feed(spark, sf_dir))
 
 
+def feed_rejects(spark, sf_dir):
+    """Feed messages that are no event, and trades with unusable members."""
+    bad = decode.feed_rejects(_feed(spark, sf_dir), carry=["event_id"])
+    return bad.select("event_id", F.array_join("violations", ",").alias("violations"))
+
+
 def lenient_decode(spark, sf_dir):
     return decode.decode_trades(_dirty(spark, sf_dir), carry=["event_id"])
 
@@ -181,10 +187,7 @@ def quote_violations(spark, sf_dir):
 
 
 def quarantine_split(spark, sf_dir):
-    good, bad = quality.split_records(_dirty(spark, sf_dir))
-    return good.select("event_id", F.lit("valid").alias("outcome")).unionByName(
-        bad.select("event_id", F.lit("rejected").alias("outcome"))
-    )
+    return quality.split_records(_dirty(spark, sf_dir)).select("event_id", "outcome")
 
 
 def violation_counts(spark, sf_dir):
@@ -375,6 +378,7 @@ _QUERIES = [
     ohlcv_tied_wide_ids,
     feed_to_candles,
     normalize_exchange_trades,
+    feed_rejects,
     lenient_decode,
     archive_decode,
     symbol_universe,
@@ -451,8 +455,14 @@ def _with_candles(select, seconds=HOUR):
     return f"WITH candles AS ({_ohlcv_sql(seconds)}), stored AS (SELECT * REPLACE (upper(symbol) AS symbol) FROM ({_TRADES}))\n{select}"
 
 
-_DIRTY_CASE = """
-CASE WHEN event_id % 97 = 0 THEN 'truncated' WHEN event_id % 89 = 0 THEN 'negative'
+# Messages with text behind their object.
+_TAIL = "(event_id % 61 = 0 OR event_id % 59 = 0 OR event_id % 53 = 0 OR event_id % 47 = 0)"
+_FEED_TRADES = f"""
+SELECT * FROM ({_TRADES}) WHERE symbol <> 'error' AND NOT {_TAIL} AND event_id % 43 <> 0 AND event_id % 41 <> 0
+"""
+
+_DIRTY_CASE = f"""
+CASE WHEN event_id % 97 = 0 OR {_TAIL} THEN 'broken' WHEN event_id % 89 = 0 THEN 'negative'
      WHEN event_id % 83 = 0 THEN 'hold' WHEN event_id % 79 = 0 THEN 'extra'
      WHEN event_id % 73 = 0 THEN 'short' WHEN event_id % 71 = 0 THEN 'untimed'
      WHEN event_id % 67 = 0 THEN 'quoted' ELSE 'clean' END
@@ -468,7 +478,7 @@ FROM (SELECT *, {_DIRTY_CASE} AS defect FROM ({_TRADES}))
 
 # Reasons in member order, so that several join as the query joins them.
 _TRADE_REASON = """
-CASE WHEN defect = 'truncated' THEN 'record:object' ELSE concat_ws(',',
+CASE WHEN defect = 'broken' THEN 'record:object' ELSE concat_ws(',',
      CASE WHEN defect = 'untimed' THEN 'event_time:required' END,
      CASE WHEN defect = 'quoted' THEN 'price:type' WHEN price <= 0 THEN 'price:range' END,
      CASE WHEN defect = 'extra' THEN 'record:extra' END,
@@ -509,15 +519,20 @@ def _trade_sql():
             seq="CASE WHEN event_id % 2 = 0 THEN 9000000000000000000 - event_id ELSE event_id END",
             body=_FLOORED,
         ),
-        "feed_to_candles": _ohlcv_sql(HOUR, body=f"SELECT * FROM ({_TRADES}) WHERE symbol <> 'error'"),
-        "normalize_exchange_trades": f"SELECT {_TRADE_LIST} FROM ({_TRADES}) WHERE symbol <> 'error'",
-        "lenient_decode": f"SELECT event_id, {_TRADE_LIST} FROM ({_DIRTY_ROWS}) WHERE defect <> 'truncated'",
+        "feed_to_candles": _ohlcv_sql(HOUR, body=_FEED_TRADES),
+        "normalize_exchange_trades": f"SELECT {_TRADE_LIST} FROM ({_FEED_TRADES})",
+        "feed_rejects": f"""
+SELECT event_id, CASE WHEN {_TAIL} THEN 'message:event' ELSE
+       concat_ws(',', CASE WHEN event_id % 43 = 0 THEN 'p:unusable' END, CASE WHEN event_id % 41 = 0 THEN 'T:unusable' END) END AS violations
+FROM ({_TRADES}) WHERE {_TAIL} OR (symbol <> 'error' AND (event_id % 43 = 0 OR event_id % 41 = 0))
+""",
+        "lenient_decode": f"SELECT event_id, {_TRADE_LIST} FROM ({_DIRTY_ROWS}) WHERE defect <> 'broken'",
         "archive_decode": f"""
 SELECT event_id, CASE WHEN ok THEN trade_id END AS trade_id, CASE WHEN ok THEN symbol END AS symbol,
        CASE WHEN ok THEN price END AS price, CASE WHEN ok THEN quantity END AS quantity,
        CASE WHEN ok THEN side END AS side, CASE WHEN ok THEN event_time END AS event_time,
        CASE WHEN ok THEN '' ELSE 'message:object' END AS violations
-FROM (SELECT *, defect <> 'truncated' AS ok FROM ({_DIRTY_ROWS}))
+FROM (SELECT *, defect <> 'broken' AS ok FROM ({_DIRTY_ROWS}))
 """,
         "symbol_universe": f"SELECT {_TRADE_LIST} FROM ({_TRADES}) WHERE symbol IN ('click', 'view', 'purchase')",
         "symbol_universe_table": f"""
@@ -632,5 +647,5 @@ SELECT * FROM ({hour}) WHERE window_end_ms <= (SELECT max(epoch_us(ts) // 1000)
 SELECT {_TRADE_LIST}, strftime(make_timestamp(event_time * 1000), '%Y-%m-%d') AS dt, symbol AS symbol_part FROM ({_TRADES})
 """,
         "archive_flushes": "SELECT event_type AS symbol, count(*) AS records FROM events GROUP BY 1",
-        "stream_publish_decode": f"SELECT {_TRADE_LIST} FROM ({_TRADES}) WHERE symbol <> 'error'",
+        "stream_publish_decode": f"SELECT {_TRADE_LIST} FROM ({_FEED_TRADES})",
     }

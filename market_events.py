@@ -31,8 +31,26 @@ def _text(column):
     return F.col(column).cast("string")
 
 
+def every(n):
+    return F.pmod("event_id", F.lit(n)) == 0
+
+
+def _with_tail(body):
+    """Some messages go on behind their object: with another one, with junk, or with text that closes and reopens a wrapper."""
+    return (
+        F.when(every(61), F.concat(body, body))
+        .when(every(59), F.concat(body, F.lit(" junk }")))
+        .when(every(53), F.concat(body, F.lit("] ["), body))
+        .when(every(47), F.concat(body, F.lit('}} {"r":'), body))
+        .otherwise(body)
+    )
+
+
 def feed_messages(trades):
-    """Exchange messages: ``error`` events are pings, odd event ids come without an envelope."""
+    """Exchange messages: ``error`` events are pings, odd event ids come without an envelope, some are broken, see ``_with_tail``.
+
+    Every 43rd has a price that is no number, every 41st no time.
+    """
     body = F.concat(
         F.lit('{"e":"'),
         F.when(F.col("symbol") == "error", "ping").otherwise("trade"),
@@ -41,25 +59,21 @@ def feed_messages(trades):
         F.lit('","t":'),
         _text("event_id"),
         F.lit(',"p":"'),
-        _text("price"),
+        F.when(every(43), "x").otherwise(_text("price")),
         F.lit('","q":"'),
         _text("quantity"),
         F.lit('","m":'),
         F.when(F.col("side") == "sell", "true").otherwise("false"),
-        F.lit(',"T":'),
-        _text("event_time"),
+        F.when(every(41), "").otherwise(F.concat(F.lit(',"T":'), _text("event_time"))),
         F.lit("}"),
     )
     wrapped = F.concat(F.lit('{"stream":"'), F.col("symbol"), F.lit('@trade","data":'), body, F.lit("}"))
-    return trades.select("event_id", F.when(F.pmod("event_id", F.lit(2)) == 1, body).otherwise(wrapped).alias("value"))
+    message = F.when(F.pmod("event_id", F.lit(2)) == 1, body).otherwise(wrapped)
+    return trades.select("event_id", _with_tail(message).alias("value"))
 
 
 def dirty_messages(trades):
     """Canonical JSON with one defect by event id; see the rules in FIXTURES."""
-
-    def every(n):
-        return F.pmod("event_id", F.lit(n)) == 0
-
     symbol = F.when(every(73) & ~every(79) & ~every(83) & ~every(89), "ab").otherwise(F.col("symbol"))
     price = F.when(every(89), F.concat(F.lit("-"), _text("price"))).when(
         every(67) & ~every(71) & ~every(73) & ~every(79) & ~every(83),
@@ -86,7 +100,7 @@ def dirty_messages(trades):
         extra,
     )
     # Truncated text has no closing brace and stops inside the last member.
-    return trades.select("event_id", F.when(every(97), body).otherwise(F.concat(body, F.lit("}"))).alias("value"))
+    return trades.select("event_id", F.when(every(97), body).otherwise(_with_tail(F.concat(body, F.lit("}")))).alias("value"))
 
 
 def quote_messages(trades):

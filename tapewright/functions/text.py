@@ -8,10 +8,29 @@ JSON_SPACE = " \t\r\n"
 JSON_OPTIONS = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
 
 
-def looks_like_object(value):
-    """Text framed by braces. from_json alone would take the first element of an array and would
-    ignore whatever follows the object."""
-    return F.ltrim(value, F.lit(JSON_SPACE)).startswith("{") & F.rtrim(value, F.lit(JSON_SPACE)).endswith("}")
+# Member of the element that closes a wrapped message.
+END = "_end"
+
+
+def end_mark(value):
+    """What the closing element of a wrapped message holds: a hash of the message, so no message can bring it along."""
+    return F.xxhash64(value).cast("string")
+
+
+def wrapped(value):
+    """A message as the first element of a JSON array, with a closing element behind it; NULL if it starts with no brace.
+
+    A JSON reader stops at the end of the first value and ignores what follows, so text after the object would go unseen. Inside an
+    array, such text is an error, an element too many, or it cuts the closing element off.
+    """
+    opened = F.ltrim(value, F.lit(JSON_SPACE)).startswith("{")
+    closing = F.concat(F.lit(f',{{"{END}":"'), end_mark(value), F.lit('"}]'))
+    return F.when(opened, F.concat(F.lit("["), value, closing))
+
+
+def is_sole(elements, mark):
+    """Whether a parsed array of wrapped elements is one object and the closing element."""
+    return F.coalesce((F.size(elements) == 2) & (F.get(elements, F.lit(1))[END] == mark), F.lit(False))
 
 
 def to_double(value):

@@ -27,17 +27,14 @@ _FEED_NAMED = ", ".join(f"{name}: {kind}" for _, name, kind in FEED_MEMBERS)
 _TEXT_TRADE = ", ".join(f"{c} string" for c in TRADE_COLUMNS)
 
 
-def _parsed_trade(value):
+def _parsed_trade(messages, value, *keep):
+    """``keep``, the parsed members as ``_t`` (NULL if there is no object), and whether the message is one JSON object as ``_object``; one parse."""
     # Read as text and cast later: a typed read would turn "12.5" in quotes into NULL.
-    return F.from_json(
-        F.when(text.looks_like_object(value), value),
-        f"{_TEXT_TRADE}, _corrupt string",
-        {**text.JSON_OPTIONS, "columnNameOfCorruptRecord": "_corrupt"},
-    )
-
-
-def _is_object(parsed):
-    return parsed.isNotNull() & parsed["_corrupt"].isNull()
+    elements = F.from_json(text.wrapped(value), f"array<struct<{_TEXT_TRADE}, {text.END} string>>", text.JSON_OPTIONS)
+    parsed = messages.select(*keep, elements.alias("_elements"), text.end_mark(value).alias("_mark"))
+    sole = text.is_sole(F.col("_elements"), F.col("_mark"))
+    names = [c if isinstance(c, str) else "value" for c in keep]
+    return parsed.select(*names, F.when(sole, F.get("_elements", F.lit(0))).alias("_t"), sole.alias("_object"))
 
 
 def _typed(parsed):
@@ -47,10 +44,8 @@ def _typed(parsed):
 def decode_trades(messages, value="value", carry=()):
     """JSON text to the six trade columns. A bad or missing field is NULL, a message that is no
     JSON object is dropped. ``carry`` names input columns to keep, such as the log offset."""
-    parsed = F.col("_t")
-    return emit_where(
-        messages.select(*carry, _parsed_trade(F.col(value)).alias("_t")), _is_object(parsed), *carry, *_typed(parsed)
-    )
+    parsed = _parsed_trade(messages, F.col(value), *carry)
+    return emit_where(parsed, F.col("_object"), *carry, *_typed(F.col("_t")))
 
 
 def decode_with_rejects(messages, value="value", carry=()):
@@ -60,10 +55,10 @@ def decode_with_rejects(messages, value="value", carry=()):
     no object and a field whose text does not fit its type are.
     """
     parsed = F.col("_t")
-    typed = messages.select(*carry, F.col(value).alias("value"), _parsed_trade(F.col(value)).alias("_t")).select(
+    typed = _parsed_trade(messages, F.col(value), *carry, F.col(value).alias("value")).select(
         *carry,
         "value",
-        _is_object(parsed).alias("_object"),
+        "_object",
         *_typed(parsed),
         *[parsed[f.name].isNotNull().alias(f"_has_{f.name}") for f in TRADE.fields],
     )
@@ -81,18 +76,19 @@ def feed_events(messages, value="value", carry=()):
     (t, T), which column access cannot tell apart, so the struct is renamed by position.
     """
     raw = F.col(value)
+    end = f"{text.END}: string"
     parsed = F.from_json(
-        F.when(text.looks_like_object(raw), raw),
-        f"struct<data: struct<{_FEED_WIRE}>, {_FEED_WIRE}>",
-        text.JSON_OPTIONS,
-    ).cast(f"struct<data: struct<{_FEED_NAMED}>, {_FEED_NAMED}>")
+        text.wrapped(raw), f"array<struct<data: struct<{_FEED_WIRE}>, {_FEED_WIRE}, {end}>>", text.JSON_OPTIONS
+    ).cast(f"array<struct<data: struct<{_FEED_NAMED}>, {_FEED_NAMED}, {end}>>")
     names = [name for _, name, _ in FEED_MEMBERS]
     wire = F.col("_w")
     bare = F.struct(*[wire[n].alias(n) for n in names])
     # The key list is only read when the text mentions "data" and no object was found under it.
     empty_envelope = wire["data"].isNull() & raw.contains('"data"') & F.array_contains(F.json_object_keys(raw), "data")
     event = F.when(wire["data"].isNotNull(), wire["data"]).when(~F.coalesce(empty_envelope, F.lit(False)), bare)
-    return messages.select("*", parsed.alias("_w")).select(*carry, raw.alias("value"), event.alias("event"))
+    first = F.when(text.is_sole(F.col("_elements"), F.col("_mark")), F.get("_elements", F.lit(0)))
+    read = messages.select("*", parsed.alias("_elements"), text.end_mark(raw).alias("_mark")).select("*", first.alias("_w"))
+    return read.select(*carry, raw.alias("value"), event.alias("event"))
 
 
 def map_feed(messages, value="value", carry=()):

@@ -6,8 +6,8 @@ from operator import and_
 
 from pyspark.sql import functions as F
 
-from tapewright.functions.text import looks_like_object
-from tapewright.operators.rows import emit_where, reason_list
+from tapewright.functions.text import END, end_mark, wrapped
+from tapewright.operators.rows import reason_list
 
 
 @dataclass(frozen=True)
@@ -47,12 +47,12 @@ def _readings(rule):
 
     They become plain columns: fields of a struct would be copied into every later use.
     """
-    member = F.try_variant_get("_v", f"$.{rule.name}", "variant")
+    member = F.try_variant_get("_v", f"$[0].{rule.name}", "variant")
     readings = [F.schema_of_variant(member).alias(f"_kind_{rule.name}")]
     if rule.kind != "number":
-        readings.append(F.try_variant_get("_v", f"$.{rule.name}", "string").alias(f"_text_{rule.name}"))
+        readings.append(F.try_variant_get("_v", f"$[0].{rule.name}", "string").alias(f"_text_{rule.name}"))
     if rule.kind != "string":
-        readings.append(F.try_variant_get("_v", f"$.{rule.name}", "double").alias(f"_number_{rule.name}"))
+        readings.append(F.try_variant_get("_v", f"$[0].{rule.name}", "double").alias(f"_number_{rule.name}"))
     return readings
 
 
@@ -83,11 +83,13 @@ def _reason(rule):
 def violations(records, rules=TRADE_RULES, value="value"):
     """Adds ``violations``, the reasons a JSON record does not conform, by member name; empty if it does."""
     raw = F.col(value)
-    parsed = records.withColumn("_v", F.when(looks_like_object(raw), F.try_parse_json(raw)))
+    parsed = records.withColumn("_v", F.try_parse_json(wrapped(raw)))
+    closed = F.try_variant_get("_v", f"$[1].{END}", "string") == end_mark(raw)
+    sole = F.coalesce(closed & F.try_variant_get("_v", "$[2]", "variant").isNull(), F.lit(False))
     read = parsed.select(
         *records.columns,
-        F.col("_v").isNull().alias("_bad"),
-        F.size(F.col("_v").try_cast("map<string,variant>")).alias("_members"),
+        (~sole).alias("_bad"),
+        F.size(F.try_variant_get("_v", "$[0]", "map<string,variant>")).alias("_members"),
         *[reading for r in rules for reading in _readings(r)],
     )
     # Duplicate names do not parse, so a member beyond the known ones present is an extra one.
@@ -101,11 +103,12 @@ def violations(records, rules=TRADE_RULES, value="value"):
 
 
 def split_records(records, rules=TRADE_RULES, value="value"):
-    """Conforming records, and the others with payload and reasons."""
+    """All records with ``violations`` and ``outcome``, valid or rejected, from one scan and one parse.
+
+    Whoever stores both kinds partitions by ``outcome`` or caches the frame; two filters would parse twice.
+    """
     checked = violations(records, rules, value)
-    good = emit_where(checked, F.size("violations") == 0, *records.columns)
-    bad = emit_where(checked, F.size("violations") > 0, *checked.columns)
-    return good, bad
+    return checked.withColumn("outcome", F.when(F.size("violations") == 0, "valid").otherwise("rejected"))
 
 
 def violation_counts(checked):

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from conftest import plan_of
 
 from tapewright.functions.text import symbol_list
 from tapewright.operators import decode
@@ -49,6 +50,25 @@ def test_bad_field_is_null(spark, changes, expected):
     assert one(spark, " \n" + trade(**changes) + "\t ") == [expected]
 
 
+TRAILING = ["{0}{0}", "{0} junk }}", "{0},{0}", "{0}] [{0}", '{0}}} {{"r":{0}', "{0}]", "{0},", '{0},{{"_end":"1"}}] [{0}', "{0} // note"]
+
+
+@pytest.mark.parametrize("form", TRAILING)
+def test_text_after_the_object_is_rejected(spark, form):
+    text = form.format(trade())
+    assert one(spark, text) == []
+    assert [r.violations for r in decode.decode_rejects(messages(spark, text)).collect()] == [["message:object"]]
+    for body in (json.dumps(feed()), json.dumps({"stream": "x", "data": feed()})):
+        message = messages(spark, form.format(body))
+        assert decode.normalize_feed(message).collect() == []
+        assert [r.violations for r in decode.feed_rejects(message).collect()] == [["message:event"]]
+
+
+def test_one_parse_per_message(spark):
+    for build in (decode.decode_trades, decode.decode_with_rejects, decode.normalize_feed, decode.feed_rejects):
+        assert plan_of(build(messages(spark, trade()))).count("from_json(") <= 2  # one node, shown once or twice
+
+
 def test_rejects_tell_misfits_but_not_missing_fields(spark):
     texts = [trade(), trade(symbol=...), trade(price="x", event_time=1.5)]
     bad = decode.decode_rejects(messages(spark, *texts)).collect()

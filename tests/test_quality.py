@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from conftest import plan_of
 
 from tapewright.operators import quality
 
@@ -57,6 +58,11 @@ def test_no_object(spark, text):
     assert reasons(spark, text) == ["record:object"]
 
 
+@pytest.mark.parametrize("form", ["{0}{0}", "{0} junk }}", "{0},{0}", "{0}] [{0}", '{0}}} {{"r":{0}', "{0}]", '{0},{{"_end":"1"}}] [{0}'])
+def test_text_after_the_object(spark, form):
+    assert reasons(spark, form.format(json.dumps(TRADE))) == ["record:object"]
+
+
 def test_quotes_may_cross(spark):
     assert reasons(spark, json.dumps(QUOTE), quality.QUOTE_RULES) == []
     assert reasons(spark, json.dumps({**QUOTE, "bid_price": 0}), quality.QUOTE_RULES) == ["bid_price:range"]
@@ -65,9 +71,11 @@ def test_quotes_may_cross(spark):
 def test_split_and_counts(spark):
     texts = [json.dumps(TRADE), json.dumps({**TRADE, "price": 0, "side": "x"}), "x", json.dumps({**TRADE, "price": -1})]
     frame = spark.createDataFrame(list(enumerate(texts)), "n int, value string")
-    good, bad = quality.split_records(frame)
-    assert [(r.n, r.value) for r in good.collect()] == [(0, texts[0])]
-    assert {r.n: r.violations for r in bad.collect()} == {
+    split = quality.split_records(frame)
+    rows = split.collect()
+    assert [(r.n, r.value) for r in rows if r.outcome == "valid"] == [(0, texts[0])]
+    assert plan_of(split).count("parse_json") <= 2  # one node, shown once or twice
+    assert {r.n: r.violations for r in rows if r.outcome == "rejected"} == {
         1: ["price:range", "side:enum"],
         2: ["record:object"],
         3: ["price:range"],

@@ -2,13 +2,13 @@ import json
 import os
 import time
 
+import market_events as ev
 import pytest
 from pyspark.sql import functions as F
 
 from tapewright.operators import decode
 from tapewright.operators.candles import candles
 from tapewright.operators.keyed import KeyedTable
-from tapewright.plans import events as ev
 from tapewright.plans import monitoring, views
 from tapewright.schemas import CANDLE, TRADE
 from tapewright.session import scratch_dir, streaming_session
