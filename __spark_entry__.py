@@ -129,6 +129,21 @@ def ohlcv_tied_wide_ids(spark, sf_dir):
     return _flat(candle_ops.candles(wide, HOUR))
 
 
+def ohlcv_tied_same_number(spark, sf_dir):
+    """Tied times and numbers that occur twice, in ids of which some are equal but for case."""
+    trades = ev.read_trades(spark, sf_dir)
+    floored = F.col("event_time") - F.pmod("event_time", F.lit(HOUR * 1000))
+    name = F.when(F.pmod("event_id", F.lit(2)) == 1, F.upper("symbol")).otherwise(F.col("symbol"))
+    tied = trades.withColumn("event_time", floored).withColumn("symbol", name)
+    return _flat(candle_ops.candles(tied.withColumn("trade_id", F.concat_ws("-", "symbol", F.expr("event_id div 2"))), HOUR))
+
+
+def ohlcv_null_price(spark, sf_dir):
+    """Two of three trades without a price; they count, but set no price."""
+    trades = ev.read_trades(spark, sf_dir)
+    return _flat(candle_ops.candles(trades.withColumn("price", F.when(F.pmod("event_id", F.lit(3)) == 0, F.col("price"))), HOUR))
+
+
 def feed_to_candles(spark, sf_dir):
     return _flat(candle_ops.candles(decode.normalize_feed(_feed(spark, sf_dir)), HOUR))
 
@@ -376,6 +391,8 @@ _QUERIES = [
     ohlcv_case_mix,
     ohlcv_tied_times,
     ohlcv_tied_wide_ids,
+    ohlcv_tied_same_number,
+    ohlcv_null_price,
     feed_to_candles,
     normalize_exchange_trades,
     feed_rejects,
@@ -519,6 +536,12 @@ def _trade_sql():
             seq="CASE WHEN event_id % 2 = 0 THEN 9000000000000000000 - event_id ELSE event_id END",
             body=_FLOORED,
         ),
+        "ohlcv_tied_same_number": _ohlcv_sql(
+            HOUR,
+            seq="event_id // 2, CASE WHEN event_id % 2 = 1 THEN upper(symbol) ELSE symbol END || '-' || event_id // 2",
+            body=_FLOORED,
+        ),
+        "ohlcv_null_price": _ohlcv_sql(HOUR, body=f"SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN price END AS price) FROM ({_TRADES})"),
         "feed_to_candles": _ohlcv_sql(HOUR, body=_FEED_TRADES),
         "normalize_exchange_trades": f"SELECT {_TRADE_LIST} FROM ({_FEED_TRADES})",
         "feed_rejects": f"""

@@ -46,9 +46,13 @@ def finite(value):
     return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
 
 
-def trade_sequence(trade_id):
-    """The exchange's own number at the end of a trade id (``BTCUSDT-123`` gives 123), else NULL."""
-    return F.substring_index(trade_id, "-", -1).try_cast("bigint")
+# The exchange's own number at the end of a trade id (``BTCUSDT-123`` gives 123), else NULL.
+TRADE_SEQUENCE = "CASE WHEN trade_id RLIKE '(^|-)[0-9]+$' THEN try_cast(substring_index(trade_id, '-', -1) AS BIGINT) END"
+
+
+def trade_sequence():
+    """The number of the trade id in the column ``trade_id``."""
+    return F.expr(TRADE_SEQUENCE)
 
 
 def symbol_list(symbols):

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tapewright.functions.text import TRADE_SEQUENCE
 from tapewright.functions.times import event_timestamp
 
 # Window length and watermark delay used when the caller names none.
@@ -15,54 +16,76 @@ def with_event_time(trades, watermark=None):
     return timed.withWatermark("ts", watermark) if watermark and trades.isStreaming else timed
 
 
-def _wide(offset, number):
-    """(offset, number) as one DECIMAL; the factor is above every BIGINT."""
-    return f"CAST({offset} AS DECIMAL(18,0)) * 10000000000000000000BD + CAST({number} AS DECIMAL(20,0))"
+_NUMBER_BITS, _CASE_CHARS = 64, 16
+_TEXT_BYTES = 11
+
+
+def _code(trade_id, bits):
+    """Orders ids of one symbol and number: by letter case over the first characters as text does, then by a hash."""
+    head = f"rpad(substr({trade_id}, 1, {_CASE_CHARS}), {_CASE_CHARS}, '0')"
+    cases = f"CAST(conv(regexp_replace(regexp_replace({head}, '[^a-z]', '0'), '[a-z]', '1'), 2, 10) AS BIGINT)"
+    hashed = bits - _CASE_CHARS
+    return f"(shiftleft({cases}, {hashed}) | (xxhash64({trade_id}) & {(1 << hashed) - 1}L))"
+
+
+def _wide(offset, number, code, bits):
+    """(offset, number, code) as one DECIMAL of at most 126 bits."""
+    high, low = f"{1 << (_NUMBER_BITS + bits)}BD", f"{1 << bits}BD"
+    return f"CAST({offset} AS DECIMAL(12,0)) * {high} + CAST({number} AS DECIMAL(20,0)) * {low} + CAST({code} AS DECIMAL(18,0))"
+
+
+def _text_key(offset):
+    """(offset, first bytes of the id) as one DECIMAL, for ids without a number."""
+    digits = f"rpad(hex(substr(encode(coalesce(trade_id, ''), 'utf-8'), 1, {_TEXT_BYTES})), {2 * _TEXT_BYTES}, '0')"
+    high, low = (f"CAST(conv(substr({digits}, {start}, {size}), 16, 10) AS DECIMAL(20,0))" for start, size in ((1, 10), (11, 12)))
+    return f"CAST({offset} AS DECIMAL(12,0)) * {1 << 88}BD + {high} * {1 << 48}BD + {low}"
 
 
 def _order_keys(window_ms):
-    """Two SQL expressions that order trades of one window by (event time, trade number).
+    """SQL expressions that order the priced trades of one window by (event time, trade number, trade id).
 
-    Spark aggregates by hashing only when the buffer has fixed width; ordering by a struct makes it
-    sort its whole input. So the offset in the window and the trade number share one BIGINT. A number
-    too large for the bits left, or an id without one, goes to a DECIMAL instead (such an id counts
-    by its hash). Every row has exactly one of the two.
+    Spark aggregates by hashing only when the buffer has fixed width; ordering by a struct makes it sort its whole input, which took
+    three times as long over 10 million rows. So the order goes into numbers. An id that is the symbol in one case, a dash and a number shares one
+    BIGINT with its time; its lowest bit tells lower case, which follows upper case. Other ids with a number, and numbers too
+    large for that, go to a DECIMAL. Ids without a number come first at their time, in text order of their first
+    bytes, in a DECIMAL of their own. A trade without a price has no key, and every other has exactly one.
     """
-    shift = 63 - max(1, (window_ms - 1).bit_length())
+    offset_bits = max(1, (window_ms - 1).bit_length())
+    shift, bits = 63 - offset_bits, 126 - _NUMBER_BITS - offset_bits
     offset = f"pmod(event_time, {window_ms}L)"
-    fits = f"coalesce(_seq >= 0 AND _seq < {1 << shift}L, false)"
-    number = "coalesce(CASE WHEN _seq >= 0 THEN _seq END, shiftrightunsigned(xxhash64(trade_id), 1))"
-    narrow = f"CASE WHEN {fits} THEN shiftleft({offset}, {shift}) | _seq END"
-    wide = f"CASE WHEN NOT {fits} THEN {_wide(offset, number)} END"
-    return narrow, wide, shift
+    plain = "(_seq IS NOT NULL AND trade_id IN (concat(upper(symbol), '-', _seq), concat(lower(symbol), '-', _seq)))"
+    fits = f"coalesce({plain} AND _seq < {1 << (shift - 1)}L, false)"
+    lower = "CASE WHEN trade_id = concat(upper(symbol), '-', _seq) THEN 0L ELSE 1L END"
+    narrow = f"CASE WHEN price IS NOT NULL AND {fits} THEN shiftleft({offset}, {shift}) | shiftleft(_seq, 1) | {lower} END"
+    wide = f"CASE WHEN price IS NOT NULL AND _seq IS NOT NULL AND NOT {fits} THEN {_wide(offset, '_seq', _code('trade_id', bits), bits)} END"
+    text = f"CASE WHEN price IS NOT NULL AND _seq IS NULL THEN {_text_key(offset)} END"
+    return {"n": narrow, "w": wide, "t": text}, shift, bits
 
 
 def candles(trades, window_seconds=DEFAULT_WINDOW_SECONDS, watermark=DEFAULT_WATERMARK):
     """One row per upper-cased symbol and window: open, high, low, close, volume, trade_count.
 
-    Open and close follow event time, then trade number, not arrival. All measures combine
+    Open and close follow event time, then trade number, then trade id, and never arrival; trades without a price count, but set no price. All measures combine
     partially before the one shuffle on (symbol, window), so a hot symbol or a hot window sends one
     row per map task and not its trades.
     """
     window_seconds = max(1, int(window_seconds))
-    narrow, wide, shift = _order_keys(window_seconds * 1000)
+    keys, shift, bits = _order_keys(window_seconds * 1000)
+    edges = [
+        f"{function} AS {name}_{k}"
+        for k in keys
+        for function, name in (
+            (f"min_by(price, _{k})", "_open"), (f"max_by(price, _{k})", "_close"), (f"min(_{k})", "_first"), (f"max(_{k})", "_last"),
+        )
+    ]
     grouped = (
         with_event_time(trades, watermark)
         # The exchange's own number ends the trade id.
-        .selectExpr("*", "try_cast(substring_index(trade_id, '-', -1) AS BIGINT) AS _seq")
-        .selectExpr(
-            "upper(symbol) AS symbol", "ts", "price", "quantity", f"{narrow} AS _narrow", f"{wide} AS _wide"
-        )
+        .selectExpr("*", f"{TRADE_SEQUENCE} AS _seq")
+        .selectExpr("upper(symbol) AS symbol", "ts", "price", "quantity", *[f"{key} AS _{k}" for k, key in keys.items()])
         .groupBy("symbol", F.window("ts", f"{window_seconds} seconds").alias("w"))
         .agg(
-            F.expr("min_by(price, _narrow) AS _open_n"),
-            F.expr("max_by(price, _narrow) AS _close_n"),
-            F.expr("min(_narrow) AS _first_n"),
-            F.expr("max(_narrow) AS _last_n"),
-            F.expr("min_by(price, _wide) AS _open_w"),
-            F.expr("max_by(price, _wide) AS _close_w"),
-            F.expr("min(_wide) AS _first_w"),
-            F.expr("max(_wide) AS _last_w"),
+            *[F.expr(edge) for edge in edges],
             F.expr("max(price) AS high_price"),
             F.expr("min(price) AS low_price"),
             F.expr("round(sum(quantity), 6) AS volume"),
@@ -71,22 +94,31 @@ def candles(trades, window_seconds=DEFAULT_WINDOW_SECONDS, watermark=DEFAULT_WAT
     )
 
     def widened(key):
-        return _wide(f"shiftright({key}, {shift})", f"({key} & {(1 << shift) - 1}L)")
+        number = f"shiftright({key} & {(1 << shift) - 1}L, 1)"
+        own_id = f"concat(CASE WHEN {key} & 1L = 0 THEN symbol ELSE lower(symbol) END, '-', {number})"
+        return _wide(f"shiftright({key}, {shift})", number, _code(own_id, bits), bits)
+
+    def edge(kind, name, sign):
+        """The price at one end: of the two keys with a number the outer one, then against ids without a number by time."""
+        n, w, t = (f"_{kind}_{k}" for k in "nwt")
+        price = [f"_{name}_{k}" for k in "nwt"]
+        outer_n = f"{w} IS NULL OR {widened(n)} {sign} {w}"
+        numbered = f"CASE WHEN {n} IS NULL THEN {price[1]} WHEN {outer_n} THEN {price[0]} ELSE {price[1]} END"
+        time_n = f"CAST(shiftright({n}, {shift}) AS DECIMAL(38,0))"
+        time_w = f"CAST(floor({w} / {1 << (_NUMBER_BITS + bits)}BD) AS DECIMAL(38,0))"
+        time = f"{'least' if sign == '<=' else 'greatest'}({time_n}, {time_w})"
+        time_t = f"CAST(floor({t} / {1 << 88}BD) AS DECIMAL(38,0))"
+        text_wins = f"{time_t} <= {time}" if sign == "<=" else f"{time_t} > {time}"
+        return f"CASE WHEN {t} IS NULL THEN {numbered} WHEN {n} IS NULL AND {w} IS NULL OR {text_wins} THEN {price[2]} ELSE {numbered} END"
 
     return grouped.selectExpr(
         "symbol",
         "w.start AS window_start",
         "w.end AS window_end",
-        # A NULL comparison (no narrow key at all) falls through to the wide side.
-        f"CASE WHEN _first_w IS NULL OR {widened('_first_n')} <= _first_w THEN _open_n ELSE _open_w END AS open_price",
+        f"{edge('first', 'open', '<=')} AS open_price",
         "high_price",
         "low_price",
-        f"CASE WHEN _last_w IS NULL OR {widened('_last_n')} >= _last_w THEN _close_n ELSE _close_w END AS close_price",
+        f"{edge('last', 'close', '>=')} AS close_price",
         "volume",
         "trade_count",
     )
-
-
-def closed_candles(candle_rows, last_event_ms, delay_ms=5000):
-    """Candles a stream has surely emitted once ``last_event_ms`` was seen with that delay."""
-    return candle_rows.where(F.unix_millis("window_end") <= F.lit(last_event_ms - delay_ms))

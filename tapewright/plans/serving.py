@@ -55,7 +55,7 @@ def latest_trades(trade_rows, symbol, limit=50, since_ms=None):
     if since_ms is not None:
         wanted = wanted.where(F.col("event_time") >= since_ms)
     newest = wanted.orderBy(
-        F.desc("event_time"), F.desc(trade_sequence(F.col("trade_id"))), F.desc("trade_id")
+        F.desc("event_time"), F.desc(trade_sequence()), F.desc("trade_id")
     )
     return newest.limit(limit).select(*TRADE_COLUMNS)
 

@@ -1,6 +1,8 @@
 import random
+import re
 
 from hypothesis import HealthCheck, given, settings
+from conftest import plan_of
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -22,14 +24,16 @@ def brute(rows, seconds):
     size = seconds * 1000
     for trade_id, symbol, price, quantity, _, at in rows:
         if at is not None:
-            number = int(trade_id.rsplit("-", 1)[1])
-            groups.setdefault((symbol.upper(), at // size * size), []).append((at, number, price, quantity))
+            tail = trade_id.rsplit("-", 1)[-1]
+            # Ids without a number come before all others of their time.
+            number = int(tail) if re.fullmatch("[0-9]+", tail) and int(tail) < 2**63 else -1
+            groups.setdefault((symbol.upper(), at // size * size), []).append((at, number, trade_id.encode(), price, quantity))
     out = []
     for (symbol, start), members in groups.items():
-        members.sort()
-        prices = [m[2] for m in members]
-        volume = float(round(sum(m[3] for m in members), 6))
-        out.append((symbol, start, start + size, prices[0], max(prices), min(prices), prices[-1], volume, len(members)))
+        prices = [m[3] for m in sorted(members, key=lambda m: m[:3]) if m[3] is not None] or [None]
+        volume = float(round(sum(m[4] for m in members), 6))
+        high, low = (None, None) if prices == [None] else (max(prices), min(prices))
+        out.append((symbol, start, start + size, prices[0], high, low, prices[-1], volume, len(members)))
     return sorted(out)
 
 
@@ -103,3 +107,39 @@ def test_against_brute_force(trades_frame, drawn, seconds, parts):
     assert got == brute(rows, seconds)
     assert sum(r[8] for r in got) == len(rows)
     assert all(r[5] <= min(r[3], r[6]) and max(r[3], r[6]) <= r[4] for r in got)
+
+
+def test_ids_equal_but_for_case(trades_frame):
+    rows = [("btc-5", "btc", 1.0, 1.0, "buy", 5), ("BTC-5", "BTC", 2.0, 1.0, "buy", 5), ("Btc-5", "bTc", 3.0, 1.0, "buy", 5)]
+    for order in (rows, rows[::-1]):
+        assert [(r[3], r[6]) for r in as_rows(candles(trades_frame(order), 10))] == [(2.0, 1.0)]
+
+
+def test_trades_without_a_price_set_no_edge(trades_frame):
+    rows = [t(1, 1, None), t(2, 2, 5.0), t(3, 3, 4.0), t(4, 4, None), ("x", "ABC", None, 1.0, "buy", 0), (f"ABC-{9 * 10**18}", "ABC", None, 1.0, "buy", 9)]
+    assert as_rows(candles(trades_frame(rows), 10)) == [("ABC", 0, 10000, 5.0, 5.0, 4.0, 4.0, 6.0, 6)]
+    assert as_rows(candles(trades_frame([t(1, 1, None)]), 10)) == [("ABC", 0, 10000, None, None, None, None, 1.0, 1)]
+
+
+PREFIXES = ["abc", "ABC", "aBc", "Abc"]
+IDS = st.one_of(
+    st.tuples(st.sampled_from(PREFIXES), st.sampled_from([0, 1, 2, 2**37, 9 * 10**18, 2**63 - 1, 2**63])).map(lambda x: f"{x[0]}-{x[1]}"),
+    st.sampled_from(["", "a", "b", "abc", "abc-x", "abc-x1", "ABC-", "é", "7"]),
+)
+TIED = st.lists(
+    st.tuples(IDS, st.sampled_from(PREFIXES), st.one_of(st.none(), st.integers(1, 50)), st.sampled_from([0, 1, 999, 86_399_999])),
+    min_size=1, max_size=25, unique_by=lambda x: (x[0], x[3]),
+)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(drawn=TIED, seconds=st.sampled_from([1, 10, 86_400]), seed=st.integers(0, 9))
+def test_open_and_close_do_not_depend_on_row_order(trades_frame, drawn, seconds, seed):
+    rows = [(i, s, p and p / 2, 0.5, "buy", at) for i, s, p, at in drawn]
+    moved = random.Random(seed).sample(rows, len(rows))
+    assert as_rows(candles(trades_frame(moved).repartition(1 + seed % 3), seconds)) == brute(rows, seconds)
+
+
+def test_candles_still_aggregate_by_hashing(trades_frame):
+    plan = plan_of(candles(trades_frame([t(1, 1)]), 10))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
