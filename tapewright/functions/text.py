@@ -47,7 +47,7 @@ def finite(value):
 
 
 # The exchange's own number at the end of a trade id (``BTCUSDT-123`` gives 123), else NULL.
-TRADE_SEQUENCE = "CASE WHEN trade_id RLIKE '(^|-)[0-9]+$' THEN try_cast(substring_index(trade_id, '-', -1) AS BIGINT) END"
+TRADE_SEQUENCE = "try_cast(substring_index(trade_id, '-', -1) AS BIGINT)"
 
 
 def trade_sequence():

@@ -16,6 +16,10 @@ def with_event_time(trades, watermark=None):
     return timed.withWatermark("ts", watermark) if watermark and trades.isStreaming else timed
 
 
+# 0 or 1 if the id is the symbol in upper or lower case, a dash and the number.
+_PLAIN = """CASE WHEN trade_id = concat(upper(symbol), '-', _seq) THEN 0L
+                 WHEN trade_id = concat(lower(symbol), '-', _seq) THEN 1L END"""
+
 _NUMBER_BITS, _CASE_CHARS = 64, 16
 _TEXT_BYTES = 11
 
@@ -53,10 +57,8 @@ def _order_keys(window_ms):
     offset_bits = max(1, (window_ms - 1).bit_length())
     shift, bits = 63 - offset_bits, 126 - _NUMBER_BITS - offset_bits
     offset = f"pmod(event_time, {window_ms}L)"
-    plain = "(_seq IS NOT NULL AND trade_id IN (concat(upper(symbol), '-', _seq), concat(lower(symbol), '-', _seq)))"
-    fits = f"coalesce({plain} AND _seq < {1 << (shift - 1)}L, false)"
-    lower = "CASE WHEN trade_id = concat(upper(symbol), '-', _seq) THEN 0L ELSE 1L END"
-    narrow = f"CASE WHEN price IS NOT NULL AND {fits} THEN shiftleft({offset}, {shift}) | shiftleft(_seq, 1) | {lower} END"
+    fits = f"coalesce(_lower IS NOT NULL AND _seq < {1 << (shift - 1)}L, false)"
+    narrow = f"CASE WHEN price IS NOT NULL AND {fits} THEN shiftleft({offset}, {shift}) | shiftleft(_seq, 1) | _lower END"
     wide = f"CASE WHEN price IS NOT NULL AND _seq IS NOT NULL AND NOT {fits} THEN {_wide(offset, '_seq', _code('trade_id', bits), bits)} END"
     text = f"CASE WHEN price IS NOT NULL AND _seq IS NULL THEN {_text_key(offset)} END"
     return {"n": narrow, "w": wide, "t": text}, shift, bits
@@ -82,6 +84,7 @@ def candles(trades, window_seconds=DEFAULT_WINDOW_SECONDS, watermark=DEFAULT_WAT
         with_event_time(trades, watermark)
         # The exchange's own number ends the trade id.
         .selectExpr("*", f"{TRADE_SEQUENCE} AS _seq")
+        .selectExpr("*", f"{_PLAIN} AS _lower")
         .selectExpr("upper(symbol) AS symbol", "ts", "price", "quantity", *[f"{key} AS _{k}" for k, key in keys.items()])
         .groupBy("symbol", F.window("ts", f"{window_seconds} seconds").alias("w"))
         .agg(
