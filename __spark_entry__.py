@@ -10,7 +10,7 @@ import math
 from collections.abc import Callable
 
 import market_events as ev
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,9 +20,10 @@ from tapewright.operators.keyed import KeyedTable, latest_per_key
 from tapewright.plans import monitoring, serving, views
 from tapewright.schemas import CANDLE, TRADE, TRADE_COLUMNS
 from tapewright.session import scratch_dir, streaming_session
-from tapewright.sources.archive import list_files, read_archive
+from tapewright.sources.archive import list_files, read_archive, read_flushes
 from tapewright.sources.log import read_messages, stream_parquet
 from tapewright.streaming import jobs
+from tapewright.streaming.sinks import read_rejects, upsert_batch
 
 try:  # the operators for training text come as a subpackage that may be left out
     import corpus_pipeline
@@ -86,7 +87,52 @@ def _candle_table(path):
 
 
 def _trade_table(path):
-    return KeyedTable(path, TRADE, ("trade_id",), order_by=("event_id",), cluster_by=("symbol", "event_time"))
+    by = {"order_by": ("event_id",), "cluster_by": ("symbol", "event_time"), "determined": ("symbol",)}
+    return KeyedTable(path, TRADE, ("trade_id",), **by)
+
+
+def _once(spark, sf_dir, name, build):
+    """What ``build`` stores below a fresh folder, done once per application and input: its result."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        _STORED[key] = build(scratch_dir(spark, name))
+    return _STORED[key]
+
+
+_STORED = {}
+
+
+def _slices(spark, sf_dir, trades, folder, numbers, count=5):
+    """Adds files to ``folder``, each a stretch of time; later stretches get later files."""
+    first, last = trades.agg(F.min("event_time"), F.max("event_time")).first()
+    number = F.floor((F.col("event_time") - first) * count / (last - first + 1))
+    for n in numbers:
+        trades.where(number == n).coalesce(1).write.mode("append").parquet(folder)
+
+
+def _sliced_stream(spark, folder, schema):
+    return stream_parquet(streaming_session(spark), folder, schema, max_files_per_trigger=1)
+
+
+def _stored_tables(spark, sf_dir):
+    """The candle and trade tables as the streams write them: every window in its last state, every trade."""
+
+    def build(root):
+        candle_table, trade_table = _candle_table(f"{root}/ohlcv"), _trade_table(f"{root}/raw")
+        stream, paths = _event_stream(spark, sf_dir), (f"{root}/checkpoints", f"{root}/rejects")
+        _run(jobs.start_candles(stream, candle_table, f"{paths[0]}/c", f"{paths[1]}/c", HOUR, "366 days", "update"))
+        _run(jobs.start_raw_trades(stream, trade_table, f"{paths[0]}/r", f"{paths[1]}/r"))
+        return candle_table, trade_table
+
+    return _once(spark, sf_dir, "served", build)
+
+
+def _served_candles(spark, sf_dir):
+    return _stored_tables(spark, sf_dir)[0].read(spark)
+
+
+def _served_trades(spark, sf_dir):
+    return _stored_tables(spark, sf_dir)[1].read(spark)
 
 
 # --- candles -----------------------------------------------------------------------------------
@@ -233,14 +279,12 @@ def candles_upsert(spark, sf_dir):
 
 
 def keyed_table_roundtrip(spark, sf_dir):
-    """All trades in three upsert batches, one of them replayed, a compaction between; read back."""
+    """All trades in three upsert batches, one of them replayed; read back."""
     rows = decode.raw_trades(_reissued(ev.read_trades(spark, sf_dir)), carry=["event_id"])
     table = _trade_table(scratch_dir(spark, "keyed"))
     cycle = F.floor(F.pmod("event_id", F.lit(15000)) / 5000)
     for batch in (0, 1, 1, 2):
         table.write_batch(rows.where(cycle == batch), batch)
-        if batch == 0:
-            table.compact(spark)
     return table.read(spark)
 
 
@@ -248,48 +292,49 @@ def keyed_table_roundtrip(spark, sf_dir):
 
 
 def symbols(spark, sf_dir):
-    return serving.symbols(_candles(spark, sf_dir))
+    return serving.symbols(_served_candles(spark, sf_dir))
 
 
 def candles_last_n(spark, sf_dir):
-    return serving.candles(_candles(spark, sf_dir), SYMBOL, 60)
+    return serving.candles(_served_candles(spark, sf_dir), SYMBOL, 60)
 
 
 def latest_trades(spark, sf_dir):
-    return serving.latest_trades(_stored(spark, sf_dir), SYMBOL, 50)
+    return serving.latest_trades(_served_trades(spark, sf_dir), SYMBOL, 50)
 
 
 def serving_stats(spark, sf_dir):
-    return serving.pipeline_stats(_candles(spark, sf_dir), _stored(spark, sf_dir))
+    return serving.pipeline_stats(_served_candles(spark, sf_dir), _served_trades(spark, sf_dir))
 
 
 def latest_prices(spark, sf_dir):
-    return serving.latest_prices(_candles(spark, sf_dir))
+    return serving.latest_prices(_served_candles(spark, sf_dir))
 
 
 def price_message(spark, sf_dir):
-    return serving.price_message(_candles(spark, sf_dir))
+    return serving.price_message(_served_candles(spark, sf_dir))
 
 
 def ticker_changes(spark, sf_dir):
-    return serving.ticker_changes(_candles(spark, sf_dir)).withColumns(
+    return serving.ticker_changes(_served_candles(spark, sf_dir)).withColumns(
         {"change": F.round("change", 6), "percent": F.round("percent", 6)}
     )
 
 
 def chart_series(spark, sf_dir):
-    return serving.chart_series(_candles(spark, sf_dir), SYMBOL, 120)
+    return serving.chart_series(_served_candles(spark, sf_dir), SYMBOL, 120)
 
 
 def trade_tape(spark, sf_dir):
-    return serving.trade_tape(_stored(spark, sf_dir), SYMBOL, 30)
+    return serving.trade_tape(_served_trades(spark, sf_dir), SYMBOL, 30)
 
 
 def sql_views(spark, sf_dir):
     """Plain SQL over the registered tables, in a session of its own."""
     session = spark.newSession()
     session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
-    views.register(_candles(session, sf_dir), _stored(session, sf_dir))
+    candle_table, trade_table = _stored_tables(spark, sf_dir)
+    views.register(candle_table.read(session), trade_table.read(session))
     return session.sql(
         """
         SELECT l.symbol, l.close_price, unix_millis(l.window_end) AS window_end_ms, c.candles, t.trades
@@ -315,11 +360,23 @@ def lag_report(spark, sf_dir):
     )
 
 
+def _flushed(spark, sf_dir):
+    """An archive of five flushes, each a stretch of time."""
+
+    def build(root):
+        trades = ev.read_trades(spark, sf_dir)
+        _slices(spark, sf_dir, trades, f"{root}/in", range(5))
+        _run(jobs.start_archive(_sliced_stream(spark, f"{root}/in", trades.schema), root, f"{root}/checkpoint"))
+        return root
+
+    return _once(spark, sf_dir, "flushed", build)
+
+
 def flush_totals(spark, sf_dir):
-    """Flushes of 500 trades each."""
-    trades = ev.read_trades(spark, sf_dir)
-    counts = trades.groupBy(F.expr("event_id div 500").alias("flush"), "symbol").agg(F.count(F.lit(1)).alias("records"))
-    return monitoring.flush_totals(counts, chunk_size=50)
+    """Rows and running total of the five flushes of an archive, numbered in order."""
+    totals = monitoring.flush_totals(monitoring.flush_counts(read_flushes(spark, _flushed(spark, sf_dir))))
+    number = F.row_number().over(Window.orderBy("flush")).cast("long")  # one row a flush
+    return totals.select((number - 1).alias("flush"), "written", "symbols", "total_written")
 
 
 # --- streams -----------------------------------------------------------------------------------
@@ -329,50 +386,129 @@ def stream_ohlcv_closed(spark, sf_dir):
     """Append mode with the default delay: closed candles only, through the keyed table."""
     root = scratch_dir(spark, "candles")
     table = _candle_table(f"{root}/table")
-    _run(jobs.start_candles(_event_stream(spark, sf_dir), table, f"{root}/checkpoint", HOUR))
+    _run(jobs.start_candles(_event_stream(spark, sf_dir), table, f"{root}/checkpoint", f"{root}/rejects", HOUR))
+    return _flat(table.read(spark))
+
+
+def stream_restart(spark, sf_dir):
+    """Append mode over five files in time order, ended after three and started again from its checkpoint."""
+    root, trades = scratch_dir(spark, "restart"), ev.read_trades(spark, sf_dir)
+    table = _candle_table(f"{root}/table")
+    for numbers in (range(3), range(3, 5)):
+        _slices(spark, sf_dir, trades, f"{root}/in", numbers)
+        stream = _sliced_stream(spark, f"{root}/in", trades.schema)
+        _run(jobs.start_candles(stream, table, f"{root}/checkpoint", f"{root}/rejects", HOUR))
+    return _flat(table.read(spark))
+
+
+def stream_late(spark, sf_dir):
+    """Every 50th trade comes last, as do all of the last stretch: what the watermark has passed misses its candle."""
+    root, trades = scratch_dir(spark, "late"), ev.read_trades(spark, sf_dir)
+    late = F.pmod("event_id", F.lit(50)) == 0
+    punctual = trades.where(~late)
+    _slices(spark, sf_dir, punctual, f"{root}/in", range(5))
+    trades.where(late).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    table = _candle_table(f"{root}/table")
+    stream = _sliced_stream(spark, f"{root}/in", trades.schema)
+    _run(jobs.start_candles(stream, table, f"{root}/checkpoint", f"{root}/rejects", HOUR))
     return _flat(table.read(spark))
 
 
 def stream_ohlcv_update(spark, sf_dir):
     """Update mode over files that each span the whole time, so every batch revises most candles."""
+
+    def build(root):
+        slices = ev.read_trades(spark, sf_dir).withColumn("slice", F.pmod("event_id", F.lit(7)))
+        slices.write.partitionBy("slice").parquet(root)
+        return root
+
+    staged = _once(spark, sf_dir, "slices", build)
     root = scratch_dir(spark, "revised")
-    staged = f"{root}/input"
-    slices = ev.read_trades(spark, sf_dir).withColumn("slice", F.pmod("event_id", F.lit(7)))
-    slices.write.partitionBy("slice").parquet(staged)
     files = len(spark.read.parquet(staged).inputFiles())
     session = streaming_session(spark)
     schema = T.StructType(TRADE.fields + [T.StructField("slice", T.IntegerType())])
     trades = stream_parquet(session, staged, schema, max_files_per_trigger=math.ceil(files / 7))
     table = _candle_table(f"{root}/table")
-    _run(jobs.start_candles(trades, table, f"{root}/checkpoint", HOUR, "366 days", "update"))
+    _run(jobs.start_candles(trades, table, f"{root}/checkpoint", f"{root}/rejects", HOUR, "366 days", "update"))
     return _flat(table.read(spark))
 
 
 def stream_raw_upsert(spark, sf_dir):
     root = scratch_dir(spark, "raw")
     table = _trade_table(f"{root}/table")
-    _run(jobs.start_raw_trades(_reissued(_event_stream(spark, sf_dir)), table, f"{root}/checkpoint"))
+    _run(jobs.start_raw_trades(_reissued(_event_stream(spark, sf_dir)), table, f"{root}/checkpoint", f"{root}/rejects"))
     return table.read(spark)
 
 
+def stream_replay(spark, sf_dir):
+    """A stream of five batches, after which its first and last batches come once more."""
+    root, trades = scratch_dir(spark, "replay"), ev.read_trades(spark, sf_dir)
+    _slices(spark, sf_dir, trades, f"{root}/in", range(5))
+    table = _trade_table(f"{root}/table")
+    _run(jobs.start_raw_trades(_sliced_stream(spark, f"{root}/in", trades.schema), table, f"{root}/checkpoint", f"{root}/rejects"))
+    again = upsert_batch(table, f"{root}/rejects")
+    for batch_id in (0, 4):
+        again(decode.raw_trades(trades, carry=["event_id"]).withColumn("price", F.lit(0.0)), batch_id)
+    return table.read(spark)
+
+
+def pipeline_rejects(spark, sf_dir):
+    """What the whole pipeline can't store: trades without a price, a time or a symbol, candles without a price or a symbol."""
+    root, trades = scratch_dir(spark, "rejects"), _event_stream(spark, sf_dir)
+    broken = trades.withColumns(
+        {
+            "price": F.when(F.floor(F.col("event_time") / (HOUR * 1000)) % 20 != 0, F.col("price")),
+            "symbol": F.when(F.pmod("event_id", F.lit(29)) != 0, F.col("symbol")),
+            "event_time": F.when(F.pmod("event_id", F.lit(37)) != 0, F.col("event_time")),
+        }
+    )
+    tables = _candle_table(f"{root}/ohlcv"), _trade_table(f"{root}/raw")
+    for query in jobs.start_pipeline(broken, *tables, f"{root}/checkpoints", f"{root}/rejects", window_seconds=HOUR):
+        _run(query)
+    found = [read_rejects(spark, f"{root}/rejects/{kind}").withColumn("kind", F.lit(kind)) for kind in ("raw", "candles")]
+    both = found[0].unionByName(found[1]).withColumn("violations", F.array_join("violations", ","))
+    return both.groupBy("kind", "violations").agg(F.count(F.lit(1)).alias("records"))
+
+
 def _archived(spark, sf_dir):
-    root = scratch_dir(spark, "archive")
-    _run(jobs.start_archive(_event_stream(spark, sf_dir), root, f"{root}/checkpoint", event_date=True))
-    return root
+    """An archive by event date, of trades of which some have no symbol."""
+
+    def build(root):
+        symbol = F.when(F.pmod("event_id", F.lit(29)) != 0, F.col("symbol"))
+        trades = _event_stream(spark, sf_dir).withColumn("symbol", symbol)
+        _run(jobs.start_archive(trades, root, f"{root}/checkpoint", event_date=True))
+        return root
+
+    return _once(spark, sf_dir, "archive", build)
 
 
 def stream_archive_roundtrip(spark, sf_dir):
-    return read_archive(spark, _archived(spark, sf_dir)).drop("written_at")
+    """The archive read back; a trade without a symbol is in the UNKNOWN folder. Write stamps are there, their values vary."""
+    stamped = (F.col("written_at") > F.col("event_time")).alias("stamped")
+    return read_archive(spark, _archived(spark, sf_dir)).select(*TRADE_COLUMNS, "dt", "symbol_part", stamped)
 
 
 def archive_flushes(spark, sf_dir):
-    """Rows per symbol of the one flush that archives everything at hand."""
-    archive = read_archive(spark, _archived(spark, sf_dir))
-    return monitoring.flush_counts(archive).select("symbol", "records")
+    """Rows per symbol of the one flush that archives everything at hand, from the flush log."""
+    return monitoring.flush_counts(read_flushes(spark, _archived(spark, sf_dir))).select("symbol", "records")
 
 
 def lake_files(spark, sf_dir):
-    return list_files(spark, _archived(spark, sf_dir), max_keys=200)
+    """All files of the archive, page by page; their folders, as names and sizes vary."""
+    root, pages, after = _archived(spark, sf_dir), None, None
+    while True:
+        page = list_files(spark, root, max_keys=200, start_after=after)
+        after = page.agg(F.max("key")).first()[0]
+        if after is None and pages is not None:
+            break
+        pages = page if pages is None else pages.unionByName(page)
+        if after is None:
+            break
+    folder = F.regexp_extract("key", "^trades/dt=([^/]+)/symbol_part=([^/]+)/batch=0/", 1)
+    symbol = F.regexp_extract("key", "^trades/dt=([^/]+)/symbol_part=([^/]+)/batch=0/", 2)
+    return pages.groupBy(folder.alias("dt"), symbol.alias("symbol")).agg(
+        (F.count(F.lit(1)) > 0).alias("has_files"), (F.min("size_kb") > 0).alias("has_size")
+    )
 
 
 def stream_publish_decode(spark, sf_dir):
@@ -422,8 +558,12 @@ _QUERIES = [
     lag_report,
     flush_totals,
     stream_ohlcv_closed,
+    stream_restart,
+    stream_late,
     stream_ohlcv_update,
     stream_raw_upsert,
+    stream_replay,
+    pipeline_rejects,
     stream_archive_roundtrip,
     archive_flushes,
     lake_files,
@@ -478,6 +618,18 @@ _FEED_TRADES = f"""
 SELECT * FROM ({_TRADES}) WHERE symbol <> 'error' AND NOT {_TAIL} AND event_id % 43 <> 0 AND event_id % 41 <> 0
 """
 
+_NAMELESS = f"SELECT * REPLACE (CASE WHEN event_id % 29 <> 0 THEN symbol END AS symbol) FROM ({_TRADES})"
+
+# What the watermark lets into hourly candles if every 50th trade comes in a sixth file. A batch is held against the watermark of the
+# batch before, so the sixth against the latest time of the first four.
+_PUNCTUAL = f"""
+WITH all_trades AS ({_TRADES}), punctual AS (SELECT * FROM all_trades WHERE event_id % 50 <> 0),
+     span AS (SELECT min(event_time) AS first, max(event_time) AS last FROM punctual),
+     passed AS (SELECT max(event_time) - 5000 AS mark FROM punctual, span WHERE (event_time - first) * 5 // (last - first + 1) <= 3)
+SELECT * FROM all_trades
+WHERE event_id % 50 <> 0 OR event_time - event_time % 3600000 + 3600000 > (SELECT mark FROM passed)
+"""
+
 _DIRTY_CASE = f"""
 CASE WHEN event_id % 97 = 0 OR {_TAIL} THEN 'broken' WHEN event_id % 89 = 0 THEN 'negative'
      WHEN event_id % 83 = 0 THEN 'hold' WHEN event_id % 79 = 0 THEN 'extra'
@@ -657,18 +809,50 @@ FROM (SELECT CAST(user_id % 3 AS INTEGER) AS partition, max(event_id) AS latest,
              max(event_id) FILTER (user_id < 100) AS committed, latest - committed AS lag
       FROM events GROUP BY 1)
 """,
-        "flush_totals": """
+        "flush_totals": f"""
 SELECT flush, written, symbols, CAST(sum(written) OVER (ORDER BY flush) AS BIGINT) AS total_written
-FROM (SELECT event_id // 500 AS flush, count(*) AS written, count(DISTINCT event_type) AS symbols FROM events GROUP BY 1)
+FROM (SELECT (event_time - first) * 5 // (last - first + 1) AS flush, count(*) AS written, count(DISTINCT symbol) AS symbols
+      FROM ({_TRADES}), (SELECT min(event_time) AS first, max(event_time) AS last FROM ({_TRADES})) GROUP BY 1)
 """,
         "stream_ohlcv_closed": f"""
 SELECT * FROM ({hour}) WHERE window_end_ms <= (SELECT max(epoch_us(ts) // 1000) - 5000 FROM events)
+""",
+        "stream_restart": f"""
+SELECT * FROM ({hour}) WHERE window_end_ms <= (SELECT max(epoch_us(ts) // 1000) - 5000 FROM events)
+""",
+        "stream_late": f"""
+SELECT * FROM ({_ohlcv_sql(HOUR, body=_PUNCTUAL)}) WHERE window_end_ms <= (SELECT max(epoch_us(ts) // 1000) - 5000 FROM events)
 """,
         "stream_ohlcv_update": hour,
         "stream_raw_upsert": _REISSUED_LATEST,
+        "stream_replay": f"SELECT {_TRADE_LIST.replace('symbol', 'upper(symbol) AS symbol')} FROM ({_TRADES})",
+        "pipeline_rejects": f"""
+WITH broken AS (
+  SELECT upper(CASE WHEN event_id % 29 <> 0 THEN symbol END) AS symbol, quantity, CASE WHEN event_time // 3600000 % 20 <> 0 THEN price END AS price,
+         CASE WHEN event_id % 37 <> 0 THEN event_time END AS event_time
+  FROM ({_TRADES})
+), candles AS (
+  SELECT symbol, event_time - event_time % 3600000 + 3600000 AS window_end, max(price) AS price
+  FROM broken WHERE event_time IS NOT NULL GROUP BY ALL
+)
+SELECT 'raw' AS kind, concat_ws(',', CASE WHEN symbol IS NULL THEN 'symbol:null' END, CASE WHEN price IS NULL THEN 'price:null' END,
+                                CASE WHEN event_time IS NULL THEN 'event_time:null' END) AS violations, count(*) AS records
+FROM broken WHERE symbol IS NULL OR price IS NULL OR event_time IS NULL GROUP BY ALL
+UNION ALL
+SELECT 'candles', concat_ws(',', CASE WHEN symbol IS NULL THEN 'symbol:null' END,
+       CASE WHEN price IS NULL THEN 'open_price:null,high_price:null,low_price:null,close_price:null' END), count(*)
+FROM candles WHERE (symbol IS NULL OR price IS NULL) AND window_end <= (SELECT max(event_time) - 5000 FROM broken) GROUP BY ALL
+""",
         "stream_archive_roundtrip": f"""
-SELECT {_TRADE_LIST}, strftime(make_timestamp(event_time * 1000), '%Y-%m-%d') AS dt, symbol AS symbol_part FROM ({_TRADES})
+SELECT {_TRADE_LIST}, strftime(make_timestamp(event_time * 1000), '%Y-%m-%d') AS dt, coalesce(symbol, 'UNKNOWN') AS symbol_part,
+       true AS stamped
+FROM ({_NAMELESS})
+""",
+        "archive_flushes": f"SELECT coalesce(symbol, 'UNKNOWN') AS symbol, count(*) AS records FROM ({_NAMELESS}) GROUP BY 1",
+        "lake_files": f"""
+SELECT DISTINCT strftime(make_timestamp(event_time * 1000), '%Y-%m-%d') AS dt, coalesce(symbol, 'UNKNOWN') AS symbol,
+       true AS has_files, true AS has_size
+FROM ({_NAMELESS})
 """,
-        "archive_flushes": "SELECT event_type AS symbol, count(*) AS records FROM events GROUP BY 1",
         "stream_publish_decode": f"SELECT {_TRADE_LIST} FROM ({_FEED_TRADES})",
     }

@@ -5,6 +5,8 @@ from dataclasses import dataclass
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tapewright.streaming import batches
+
 BATCH = "batch"
 
 
@@ -28,35 +30,16 @@ def latest_candle(candle_rows):
     )
 
 
-def _folder(spark, path):
-    """Hadoop file system and path object of a folder."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
-
-
-def _numbers(spark, path, prefix):
-    """All n for which a folder ``prefix=<n>`` lies below ``path``, ascending."""
-    fs, root = _folder(spark, path)
-    if not fs.exists(root):
-        return []
-    names = [status.getPath().getName() for status in fs.listStatus(root)]
-    return sorted(int(name.split("=", 1)[1]) for name in names if name.startswith(f"{prefix}="))
-
-
-def _finished(spark, path):
-    fs, marker = _folder(spark, f"{path}/_SUCCESS")
-    return fs.exists(marker)
-
-
 @dataclass(frozen=True)
 class KeyedTable:
-    """Upsert table in plain Parquet.
-
-    ``delta/batch=<id>`` holds the rows of one micro-batch; writing a batch again replaces its folder,
-    so a replay adds nothing. ``base/upto=<id>`` holds one row per key for all batches up to that id.
-    A later batch beats an earlier one; inside a batch ``order_by`` decides. Batch ids are those of one
-    stream checkpoint: a stream started anew needs a new table path. ``files_per_batch`` bounds the
-    files of a small batch that comes in many partitions.
+    """Upsert table in plain Parquet: idempotent batches, and the latest row of each key on reading.
+
+    ``batch=<id>`` holds the rows of one micro-batch. A later batch beats an earlier one; inside a batch ``order_by`` decides. A batch counts once the writer
+    has marked it as finished, and a finished batch is never written again, so a replay adds nothing. Batch ids are those of one
+    stream checkpoint: a stream with another one is refused. ``determined`` names columns that the key fixes, such as the symbol
+    of a trade id; filters on them and on the key reach the scan. Rows are sorted by ``cluster_by`` within files, so such filters skip
+    row groups. ``files_per_batch`` bounds the files of a small batch that comes in many partitions. Merging old batches is left to
+    a table format with MERGE behind the same batch function.
     """
 
     path: str
@@ -65,90 +48,35 @@ class KeyedTable:
     order_by: tuple = ()
     cluster_by: tuple = ()
     files_per_batch: int | None = None
+    determined: tuple = ()
 
     @property
     def _stored(self):
         names = set(self.schema.fieldNames())
-        return T.StructType(self.schema.fields + [f for f in self._order_fields if f.name not in names])
+        extra = [T.StructField(c, T.LongType()) for c in self.order_by if c not in names]
+        return T.StructType(self.schema.fields + extra)
 
     @property
-    def _order_fields(self):
-        return [T.StructField(c, T.LongType()) for c in self.order_by if c not in self.schema.fieldNames()]
+    def _groups(self):
+        return [*self.keys, *self.determined]
 
     @property
-    def _version(self):
-        return (BATCH, *[c for c in self.order_by if c not in self.keys])
+    def _order(self):
+        return [c for c in self.order_by if c not in self._groups]
 
     def write_batch(self, rows, batch_id, unique=False):
         """Stores one batch. ``unique`` tells that no key occurs twice, which saves the shuffle."""
         rows = rows.select(*self._stored.fieldNames())
         if not unique:
-            rows = latest_per_key(rows, self.keys, [c for c in self.order_by if c not in self.keys])
+            rows = latest_per_key(rows, self._groups, self._order)
         if self.files_per_batch:
             # A shuffle and not coalesce, which would also merge the tasks that compute the batch.
             rows = rows.repartition(self.files_per_batch, *self.keys)
-        rows.write.mode("overwrite").parquet(self._delta(batch_id))
-
-    def _delta(self, batch_id):
-        return f"{self.path}/delta/{BATCH}={batch_id}"
-
-    def _base(self, upto):
-        return f"{self.path}/base/upto={upto}"
-
-    def _last_base(self, spark):
-        """Last batch id of the newest finished base, -1 if there is none."""
-        for upto in reversed(_numbers(spark, f"{self.path}/base", "upto")):
-            if _finished(spark, self._base(upto)):
-                return upto
-        return -1
-
-    def _current(self, spark):
-        """The current rows, and the last batch id they cover."""
-        stored = T.StructType(self._stored.fields + [T.StructField(BATCH, T.LongType())])
-        upto = self._last_base(spark)
-        base = spark.read.schema(stored).parquet(self._base(upto)) if upto >= 0 else None
-        newer = [n for n in _numbers(spark, f"{self.path}/delta", BATCH) if n > upto]
-        newer = [n for n in newer if _finished(spark, self._delta(n))]
-        if not newer:
-            return base if base is not None else spark.createDataFrame([], stored), upto
-        reader = spark.read.schema(stored).option("basePath", f"{self.path}/delta")
-        deltas = reader.parquet(*[self._delta(n) for n in newer])
-        fresh = latest_per_key(deltas, self.keys, self._version)
-        if base is None:
-            return fresh, newer[-1]
-        # Every delta row is newer than the base, so base rows only leave. Spark broadcasts the keys
-        # of the deltas if they are small, and the base is then read in place: filters on any of its
-        # columns reach the scan.
-        touched = deltas.select(*self.keys).distinct()
-        kept = base.join(touched, list(self.keys), "left_anti").select(*fresh.columns)
-        return kept.unionByName(fresh), newer[-1]
+        if self.cluster_by:
+            rows = rows.sortWithinPartitions(*self.cluster_by)
+        batches.write_batch(rows, self.path, batch_id)
 
     def read(self, spark):
         """One current row per key."""
-        current, _ = self._current(spark)
-        return current.select(*self.schema.fieldNames())
-
-    def compact(self, spark, files=None):
-        """Writes a new base from all finished batches, ranged and sorted by ``cluster_by`` so that
-        row-group statistics serve lookups. Readers move to it once it is complete. Returns its id."""
-        current, last = self._current(spark)
-        if last < 0:
-            return last
-        if self.cluster_by:
-            spread = [*self.cluster_by, *[k for k in self.keys if k not in self.cluster_by]]
-            args = [files, *spread] if files else spread
-            current = current.repartitionByRange(*args).sortWithinPartitions(*spread)
-        if last != self._last_base(spark):
-            current.write.mode("overwrite").parquet(self._base(last))
-        return last
-
-    def expire(self, spark):
-        """Deletes the batches the newest base covers, and older bases. Call it when no reader of an
-        earlier state is left."""
-        upto = self._last_base(spark)
-        old = [self._delta(n) for n in _numbers(spark, f"{self.path}/delta", BATCH) if n <= upto]
-        old += [self._base(n) for n in _numbers(spark, f"{self.path}/base", "upto") if n < upto]
-        for path in old:
-            fs, jpath = _folder(spark, path)
-            fs.delete(jpath, True)
-        return len(old)
+        rows = batches.read_batches(spark, self.path, self._stored)
+        return latest_per_key(rows, self._groups, [BATCH, *self._order]).select(*self.schema.fieldNames())

@@ -5,6 +5,7 @@ import json
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tapewright.functions.times import DAY_MS
 from tapewright.operators.ordered import with_running_total
 
 OFFSETS = "consumer string, topic string, partition int, latest bigint, committed bigint"
@@ -32,28 +33,17 @@ def progress_offsets(spark, consumer, progress):
     return spark.createDataFrame(rows, OFFSETS)
 
 
-def flush_counts(archive):
-    """Rows per flush and symbol, read back from two columns of the archive: all rows of one flush
-    share their write stamp."""
-    return archive.groupBy(F.col("written_at").alias("flush"), F.col("symbol_part").alias("symbol")).agg(
-        F.count(F.lit(1)).alias("records")
-    )
+def flush_counts(flushes):
+    """Rows per flush and symbol, from the flush log; ``flush`` is the write stamp in epoch ms."""
+    return flushes.groupBy("flush", "symbol").agg(F.sum("records").alias("records"))
+
 
+def flush_totals(counts, chunk_size=DAY_MS):
+    """Records per flush and the running total over flushes; ``counts`` has flush, symbol, records.
 
-def flush_totals(counts, chunk_size):
-    """Records per flush and the running total over flushes; ``counts`` has flush, symbol, records."""
+    Flushes are summed in chunks of ``chunk_size`` along ``flush``, a day of epoch ms by default, and one row a chunk is carried on.
+    """
     flushes = counts.groupBy("flush").agg(
         F.sum("records").alias("written"), F.count(F.lit(1)).alias("symbols")
     )
     return with_running_total(flushes, "flush", "written", chunk_size, "total_written")
-
-
-def flush_files(archive):
-    """Rows and KB of each archive file."""
-    return (
-        archive.groupBy(
-            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length")
-        )
-        .agg(F.count(F.lit(1)).alias("records"))
-        .select("path", "records", F.bround(F.col("length") / 1024.0, 1).alias("size_kb"))
-    )

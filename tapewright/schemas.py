@@ -29,12 +29,24 @@ CANDLE = T.StructType(
 )
 CANDLE_COLUMNS = CANDLE.fieldNames()
 
-# Archive files hold the trade columns and the write stamp; dt and symbol_part live in the path.
+# Archive files hold the trade columns and the write stamp; dt, symbol_part and batch live in the path.
 ARCHIVE_FILE = T.StructType(TRADE.fields + [T.StructField("written_at", T.LongType())])
-ARCHIVE = T.StructType(
+ARCHIVE_ROWS = T.StructType(
     ARCHIVE_FILE.fields
     + [T.StructField("dt", T.StringType()), T.StructField("symbol_part", T.StringType())]
 )
+ARCHIVE = T.StructType(ARCHIVE_ROWS.fields + [T.StructField("batch", T.LongType())])
+
+# The flush log: one row per archive file.
+FLUSH = T.StructType(
+    [
+        T.StructField("flush", T.LongType()),
+        T.StructField("symbol", T.StringType()),
+        T.StructField("path", T.StringType()),
+        T.StructField("records", T.LongType()),
+        T.StructField("size_kb", T.DoubleType()),
+    ]
+)
 
 LAKE_FILE = T.StructType(
     [

@@ -1,31 +1,52 @@
 """The trade archive: partitioned Parquet read back, and the listing of its files."""
 
+import re
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapewright.functions.display import kilobytes
 from tapewright.functions.times import iso_utc
 from tapewright.operators.keyed import latest_per_key
-from tapewright.schemas import ARCHIVE, LAKE_FILE
+from tapewright.schemas import ARCHIVE, FLUSH, LAKE_FILE
 from tapewright.sources.log import is_directory
+from tapewright.streaming import batches
 
 TRADES_FOLDER = "trades"
 
 
+def _last_flush(spark, root):
+    """The newest finished flush, -1 if there is none. Flushes finish in order."""
+    return max(batches.committed(spark, f"{root}/{TRADES_FOLDER}"), default=-1)
+
+
 def read_archive(spark, root, dedupe=False):
-    """Archived trades with partition columns dt and symbol_part; filters on them prune folders.
+    """Archived trades of all finished flushes, with dt, symbol_part and batch; filters on them prune folders.
 
-    ``dedupe`` keeps the last written copy of each trade id.
+    ``dedupe`` keeps the last written copy of each trade id; rows without an id have nothing to be a copy of, and all stay.
     """
-    rows = spark.read.schema(ARCHIVE).parquet(f"{root}/{TRADES_FOLDER}")
+    last = _last_flush(spark, root)
+    if last < 0:
+        return spark.createDataFrame([], ARCHIVE)
+    rows = spark.read.schema(ARCHIVE).parquet(f"{root}/{TRADES_FOLDER}").where(F.col("batch") <= last)
     if not dedupe:
         return rows
-    # A row without an id has nothing to be a copy of.
-    named = latest_per_key(rows.where("trade_id IS NOT NULL"), ["trade_id"], ["written_at"])
-    return named.unionByName(rows.where("trade_id IS NULL"))
+    # One scan: a row without an id is told from its likes by a number that no other has.
+    marked = rows.withColumn("_row", F.when(F.col("trade_id").isNull(), F.monotonically_increasing_id()))
+    return latest_per_key(marked, ["trade_id", "_row"], ["written_at"]).drop("_row")
+
+
+def read_flushes(spark, root):
+    """The flush log: write stamp, symbol, file, rows and KB of each file, by batch."""
+    last = _last_flush(spark, root)
+    full = T.StructType(FLUSH.fields + [T.StructField("batch", T.LongType())])
+    if last < 0:
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(f"{root}/flushes").where(F.col("batch") <= last)
 
 
 def archive_files(spark, root, prefix=f"{TRADES_FOLDER}/"):
-    """Key, length and modification time of the Parquet files whose key starts with ``prefix``.
+    """Key, length and modification time of the Parquet files of finished flushes whose key starts with ``prefix``.
 
     Only the folder part of the prefix is listed and no file is opened: the content column is pruned.
     """
@@ -40,22 +61,25 @@ def archive_files(spark, root, prefix=f"{TRADES_FOLDER}/"):
         .option("pathGlobFilter", "*.parquet")
         .load(start)
     )
-    base = spark._jvm.org.apache.hadoop.fs.Path(root)
-    full = base.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(base).toString().rstrip("/")
-    # The listing gives URIs such as file:/x or file:///x; the key is what follows the root's own path.
-    tail = full.split(":", 1)[-1].lstrip("/")
-    return files.select(
-        F.substring_index("path", f"{tail}/", -1).alias("key"), "length", "modificationTime"
-    ).where(F.col("key").startswith(prefix))
+    fs, base = batches.file_system(spark, root)
+    # file:/x and file:///x name the same place; the key is what follows the root's full length.
+    full = re.sub("^([a-z0-9]+):/+", r"\1:/", fs.makeQualified(base).toString()).rstrip("/")
+    path = F.regexp_replace("path", "^([a-z0-9]+):/+", "$1:/")
+    batch = F.regexp_extract("key", f"^{TRADES_FOLDER}/.*/batch=([0-9]+)/[^/]+$", 1).try_cast("bigint")
+    listed = files.select(F.substring(path, F.lit(len(full) + 2), F.length(path)).alias("key"), "length", "modificationTime")
+    finished = (F.coalesce(batch, F.lit(-1)) <= _last_flush(spark, root)) & ~F.col("key").contains("/_")
+    return listed.where(F.col("key").startswith(prefix) & finished)
 
 
-def list_files(spark, root, prefix=f"{TRADES_FOLDER}/", max_keys=50):
-    """The first ``max_keys`` files in key order."""
+def list_files(spark, root, prefix=f"{TRADES_FOLDER}/", max_keys=50, start_after=None):
+    """The first ``max_keys`` files in key order; with ``start_after``, those behind that key, so a caller can page through all."""
     if not 1 <= max_keys <= 200:
         raise ValueError("max_keys must be between 1 and 200")
+    files = archive_files(spark, root, prefix)
+    if start_after is not None:
+        files = files.where(F.col("key") > start_after)
     return (
-        archive_files(spark, root, prefix)
-        .orderBy("key")
+        files.orderBy("key")
         .limit(max_keys)
         .select("key", kilobytes(F.col("length")).alias("size_kb"), iso_utc("modificationTime").alias("last_modified"))
         .to(LAKE_FILE)

@@ -1,5 +1,9 @@
 """Message sources, as a stream or as a table, with the format chosen by the caller."""
 
+# Fixed value: rows of one archive flush when the caller names none.
+FLUSH_ROWS = 500
+# End of fixed value.
+
 KAFKA_COLUMNS = ["key", "value", "partition", "offset"]
 
 
@@ -32,6 +36,14 @@ def read_kafka(spark, brokers, topic, stream=True, max_offsets_per_trigger=None)
     )
 
 
+def read_kafka_flushes(spark, brokers, topic, rows_per_flush=FLUSH_ROWS):
+    """The log as a stream for the archive: a trigger takes at most ``rows_per_flush`` messages, so a backlog is many flushes.
+
+    Files grow with that number; on a large log raise it to what one flush should hold.
+    """
+    return read_kafka(spark, brokers, topic, stream=True, max_offsets_per_trigger=rows_per_flush)
+
+
 def read_messages(spark, path, stream=False, max_files_per_trigger=None):
     """Recorded messages, one JSON text per line, in a ``value`` column."""
     reader = spark.readStream if stream else spark.read

@@ -2,7 +2,7 @@
 
 from tapewright.operators import candles as candle_ops
 from tapewright.operators import decode
-from tapewright.streaming import sinks
+from tapewright.streaming import batches, sinks
 
 
 # How often the archive flushes when the caller follows the stream.
@@ -24,13 +24,13 @@ def start_candles(
     trades,
     table,
     checkpoint,
+    rejects_path,
     window_seconds=candle_ops.DEFAULT_WINDOW_SECONDS,
     watermark=candle_ops.DEFAULT_WATERMARK,
     output_mode="append",
     every=None,
-    rejects_path=None,
 ):
-    """Upserts candles by (symbol, window_start).
+    """Upserts candles by (symbol, window_start); a candle without any price goes to ``rejects_path``.
 
     ``append`` writes a window once, when the watermark passes its end; ``update`` writes its state so
     far with every batch. Either way a key occurs once per batch.
@@ -44,8 +44,8 @@ def start_candles(
     return _triggered(writer, every).start()
 
 
-def start_raw_trades(trades, table, checkpoint, every=None, rejects_path=None):
-    """Upserts every trade by id. No watermark: a late trade is stored like any other."""
+def start_raw_trades(trades, table, checkpoint, rejects_path, every=None):
+    """Upserts every trade by id; one with a missing field goes to ``rejects_path``. No watermark: a late trade is stored like any other."""
     projected = decode.raw_trades(trades, carry=[c for c in table.order_by if c not in table.schema.fieldNames()])
     writer = projected.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         sinks.upsert_batch(table, rejects_path)
@@ -53,13 +53,14 @@ def start_raw_trades(trades, table, checkpoint, every=None, rejects_path=None):
     return _triggered(writer, every).start()
 
 
-def start_pipeline(trades, candle_table, trade_table, checkpoints, console=False, **candle_options):
+def start_pipeline(trades, candle_table, trade_table, checkpoints, rejects, console=False, **candle_options):
     """The whole serving side of one trade stream: stored trades, candles, and candles on the console if
-    asked. Each query reads the source on its own and keeps its own position below ``checkpoints``."""
+    asked. Each query reads the source on its own, keeps its own position below ``checkpoints`` and what it can't store in ``raw`` or
+    ``candles`` below ``rejects``."""
     every = candle_options.get("every")
     queries = [
-        start_raw_trades(trades, trade_table, f"{checkpoints}/raw", every),
-        start_candles(trades, candle_table, f"{checkpoints}/candles", **candle_options),
+        start_raw_trades(trades, trade_table, f"{checkpoints}/raw", f"{rejects}/raw", every),
+        start_candles(trades, candle_table, f"{checkpoints}/candles", f"{rejects}/candles", **candle_options),
     ]
     if console:
         seconds = candle_options.get("window_seconds", candle_ops.DEFAULT_WINDOW_SECONDS)
@@ -67,49 +68,47 @@ def start_pipeline(trades, candle_table, trade_table, checkpoints, console=False
     return queries
 
 
-def start_archive(
-    trades,
-    root,
-    checkpoint,
-    every=None,
-    event_date=False,
-    spread=True,
-    partitions=None,
-    max_records_per_file=1_000_000,
-):
-    """Appends trades to ``root/trades/dt=/symbol_part=`` as Snappy Parquet, exactly once.
+def start_archive(trades, root, checkpoint, every=None, event_date=False, files=8, max_records_per_file=1_000_000):
+    """Appends trades to ``root/trades/dt=/symbol_part=/batch=`` as Snappy Parquet, exactly once, and to the flush log ``root/flushes``.
 
-    A flush is a micro-batch: time-bound by ``every`` (usually ``ARCHIVE_EVERY``), size-bound by the source's own limit per
-    trigger. The offsets are committed after the files. ``spread=False`` writes the source's partitions
-    as they come, the better way for a log keyed by symbol, where each symbol is in one partition.
+    A flush is a micro-batch: time-bound by ``every`` (usually ``ARCHIVE_EVERY``), size-bound by the source's limit per
+    trigger (``sources.log.FLUSH_ROWS`` by default for a log). ``files`` bounds the files of one folder in a flush, see ``sinks.archive_batch``.
     """
-    rows = sinks.archive_rows(trades, event_date)
-    if spread:
-        rows = sinks.spread_archive(rows, partitions)
-    writer = (
-        rows.writeStream.format("parquet")
-        .partitionBy("dt", "symbol_part")
-        .option("path", f"{root}/trades")
-        .option("compression", "snappy")
-        .option("maxRecordsPerFile", max_records_per_file)
-        .option("checkpointLocation", checkpoint)
+    writer = trades.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        sinks.archive_batch(root, event_date, files, max_records_per_file)
     )
     return _triggered(writer, every).start()
 
 
 def start_publish(messages, checkpoint, fmt="kafka", options=None, every=None):
-    """Exchange messages to canonical trades on the log, keyed by symbol."""
+    """Exchange messages to canonical trades on the log, keyed by symbol.
+
+    As text, the messages go to folders of batches below the option ``path``; see :func:`start_rejects`.
+    """
     out = decode.serialize_trades(decode.normalize_feed(messages))
     if fmt == "text":
-        out = out.select("value")
-    writer = out.writeStream.format(fmt).options(**(options or {})).option("checkpointLocation", checkpoint)
-    return _triggered(writer, every).start()
+        folder = options["path"]
+
+        def write(rows, batch_id):
+            text = rows.select("value")
+            store = lambda: text.write.mode("overwrite").text(f"{folder}/batch={batch_id}")
+            batches.write_once(rows, folder, batch_id, store)
+
+        writer = out.writeStream.foreachBatch(write)
+    else:
+        writer = out.writeStream.format(fmt).options(**(options or {}))
+    return _triggered(writer.option("checkpointLocation", checkpoint), every).start()
 
 
 def start_rejects(messages, path, checkpoint, kind="feed", every=None):
-    """Keeps the messages the other queries skip, with payload and reasons."""
+    """Keeps the messages the other queries skip, with payload and reasons, in folders of batches; ``sinks.read_rejects`` reads them.
+
+    A stream with another checkpoint is refused there, as its batch ids would collide.
+    """
     bad = decode.feed_rejects(messages) if kind == "feed" else decode.decode_rejects(messages)
-    writer = bad.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    writer = bad.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        lambda rows, batch_id: sinks.write_rejects(rows, path, batch_id)
+    )
     return _triggered(writer, every).start()
 
 

@@ -5,23 +5,20 @@ from pyspark.sql import functions as F
 
 from tapewright.functions.times import now_millis, utc_date
 from tapewright.operators import quality
-from tapewright.schemas import ARCHIVE, TRADE_COLUMNS
+from tapewright.schemas import ARCHIVE_ROWS, ARCHIVE_FILE, FLUSH, REJECT, TRADE_COLUMNS
+from tapewright.streaming import batches
 
 UNKNOWN_SYMBOL = "UNKNOWN"
 
 
-def upsert_batch(table, rejects_path=None, unique=False):
-    """foreachBatch function: complete rows go to ``table``, rows with NULLs to ``rejects_path``.
+def upsert_batch(table, rejects_path, unique=False):
+    """foreachBatch function: complete rows go to ``table``, rows with NULLs to ``rejects_path``; none is dropped.
 
-    Both outputs are folders named by the batch id, so running a batch again replaces them.
+    Both outputs are folders of batches, so running a batch again adds nothing.
     """
     required = table.schema.fieldNames()
 
     def write(rows, batch_id):
-        if not rejects_path:
-            good, _ = quality.split_complete(rows, required)
-            table.write_batch(good, batch_id, unique)
-            return
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good, bad = quality.split_complete(rows, required)
@@ -34,7 +31,12 @@ def upsert_batch(table, rejects_path=None, unique=False):
 
 
 def write_rejects(rejects, path, batch_id):
-    rejects.select("value", "violations").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    batches.write_batch(rejects.select("value", "violations"), path, batch_id)
+
+
+def read_rejects(spark, path):
+    """Payload and reasons of all rejected rows below a reject path."""
+    return batches.read_batches(spark, path, REJECT).drop("batch")
 
 
 def archive_rows(trades, event_date=False):
@@ -48,14 +50,57 @@ def archive_rows(trades, event_date=False):
         "*",
         utc_date("event_time" if event_date else "written_at").alias("dt"),
         F.coalesce("symbol", F.lit(UNKNOWN_SYMBOL)).alias("symbol_part"),
-    ).select(*ARCHIVE.fieldNames())
+    ).select(*ARCHIVE_ROWS.fieldNames())
+
 
+def archive_batch(root, event_date=False, files=8, max_records_per_file=1_000_000):
+    """foreachBatch function: appends a flush to ``root/trades/dt=/symbol_part=/batch=`` as Snappy Parquet, exactly once.
+
+    The batch is read from its source once and kept while its rows are counted by folder. With these counts, a folder's rows are dealt
+    into slots in proportion to its share of the batch, ``files`` for all of it, so a symbol with most of the rows is spread and small ones share a task. An
+    attempt that failed left folders of this batch only, which the next one replaces. The flush log is written with the batch.
+    """
+
+    def write(rows, batch_id):
+        spark, folder = rows.sparkSession, f"{root}/trades"
+        stamped = archive_rows(rows, event_date).persist(StorageLevel.MEMORY_AND_DISK)
+
+        def store():
+            counts = stamped.groupBy("dt", "symbol_part").agg(F.count(F.lit(1)).alias("records"))
+            slots = F.ceil(F.col("records") * files / max(stamped.count(), 1)).cast("int")
+            sized = counts.withColumn("slots", slots).withColumnsRenamed({"dt": "_dt", "symbol_part": "_part"})
+            same = F.col("dt").eqNullSafe(F.col("_dt")) & (F.col("symbol_part") == F.col("_part"))
+            slot = F.pmod(F.xxhash64("trade_id", "event_time", "price", "quantity"), F.col("slots"))
+            spread = stamped.join(sized, same).withColumn("_slot", slot).repartition("dt", "symbol_part", "_slot")
+            (
+                spread.select(*ARCHIVE_ROWS.fieldNames()).withColumn("batch", F.lit(batch_id))
+                .sortWithinPartitions("dt", "symbol_part", "batch", "event_time")
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
+                .option("maxRecordsPerFile", max_records_per_file).partitionBy("dt", "symbol_part", "batch").parquet(folder)
+            )
+            log_flush(spark, root, batch_id, stamped)
 
-def spread_archive(rows, partitions=None):
-    """Few files per folder without a hot task: ranges of (dt, symbol, trade) are cut by sampled size,
-    so a symbol with a third of all rows spans a third of the tasks and small ones share a task."""
-    keys = ["dt", "symbol_part", "event_time", "trade_id"]
-    return rows.repartitionByRange(*([partitions] if partitions else []), *keys)
+        try:
+            batches.write_once(rows, folder, batch_id, store)
+        finally:
+            stamped.unpersist()
+
+    return write
+
+
+def log_flush(spark, root, batch_id, stamped):
+    """Adds a row for each file of a flush to ``root/flushes``: file, symbol, rows, KB. Only the folders of the flush are listed."""
+    days = [r.dt for r in stamped.select("dt").distinct().collect()]  # the dates of one flush
+    globs = [f"{root}/trades/dt={d or '__HIVE_DEFAULT_PARTITION__'}/symbol_part=*/batch={batch_id}" for d in days]
+    if globs:
+        written = spark.read.schema(ARCHIVE_FILE).option("recursiveFileLookup", "true").parquet(*globs)
+        files = written.groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length")).agg(
+            F.count(F.lit(1)).alias("records"), F.max("symbol").alias("symbol"), F.max("written_at").alias("flush")
+        )
+        log = files.select("flush", F.coalesce("symbol", F.lit(UNKNOWN_SYMBOL)).alias("symbol"), "path", "records", F.bround(F.col("length") / 1024.0, 1).alias("size_kb"))
+    else:
+        log = spark.createDataFrame([], FLUSH)
+    log.write.mode("overwrite").parquet(f"{root}/flushes/batch={batch_id}")
 
 
 def merge_statement(table, staging, columns, keys):
@@ -69,8 +114,8 @@ def merge_statement(table, staging, columns, keys):
     )
 
 
-def jdbc_upsert_batch(url, table, staging, schema, keys, order_by=(), properties=None, connections=8):
-    """foreachBatch function: the batch replaces a staging table, then one MERGE moves it over.
+def jdbc_upsert_batch(url, table, staging, schema, keys, rejects_path, order_by=(), properties=None, connections=8):
+    """foreachBatch function: the batch replaces a staging table, then one MERGE moves it over; rows with NULLs go to ``rejects_path``.
 
     The rows go from the executors to the database; the driver only sends the statement. ``connections``
     bounds the parallel writers, not the rows.
@@ -81,10 +126,11 @@ def jdbc_upsert_batch(url, table, staging, schema, keys, order_by=(), properties
     properties = dict(properties or {})
 
     def write(rows, batch_id):
-        good, _ = quality.split_complete(rows, columns)
+        good, bad = quality.split_complete(rows, columns)
+        write_rejects(bad.select(F.to_json(F.struct(*columns)).alias("value"), "violations"), rejects_path, batch_id)
         extra = [c for c in order_by if c not in columns]
         one = latest_per_key(good.select(*columns, *extra), keys, [c for c in order_by if c not in keys])
-        one.select(*columns).coalesce(connections).write.mode("overwrite").option("truncate", "true").jdbc(
+        one.select(*columns).repartition(connections).write.mode("overwrite").option("truncate", "true").jdbc(
             url, staging, properties=properties
         )
         jvm = rows.sparkSession._jvm

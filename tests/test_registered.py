@@ -19,8 +19,8 @@ def test_matches_sql(spark, con, name):
     assert compare(spark, con, name, QUERIES[name], ORACLE[name], SF) is None
 
 
-def test_every_query_has_sql_but_the_file_listing():
-    assert {q.__name__ for q in entry._QUERIES} - set(ORACLE) == {"lake_files"}
+def test_every_query_has_sql():
+    assert {q.__name__ for q in entry._QUERIES} == set(entry._trade_sql())
 
 
 @pytest.mark.parametrize("name", ["ohlcv_1h", "candles_last_n", "trade_tape", "stream_archive_roundtrip"])
@@ -30,13 +30,6 @@ def test_time_zone_does_not_matter(spark, con, name):
     assert compare(other, con, name, QUERIES[name], ORACLE[name], SF) is None
 
 
-def test_lake_files(spark):
-    rows = QUERIES["lake_files"](spark, SF).collect()
-    assert rows and [r.key for r in rows] == sorted(r.key for r in rows)
-    assert all(r.key.startswith("trades/dt=2024-01-") and r.size_kb > 0 for r in rows)
-    assert all(r.last_modified.endswith("+00:00") for r in rows)
-
-
 def test_entry(spark):
     frame = entry.entry(spark)
     assert frame.count() > 0

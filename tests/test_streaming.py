@@ -12,9 +12,9 @@ from tapewright.operators.keyed import KeyedTable
 from tapewright.plans import monitoring, views
 from tapewright.schemas import CANDLE, TRADE
 from tapewright.session import scratch_dir, streaming_session
-from tapewright.sources.archive import list_files, read_archive
+from tapewright.sources.archive import list_files, read_archive, read_flushes
 from tapewright.sources.log import kafka_options, read_messages, stream_parquet
-from tapewright.streaming import jobs
+from tapewright.streaming import jobs, sinks
 
 SF = "/root/testdata/sf0.001"
 
@@ -59,7 +59,7 @@ def test_late_rows(streams, spark, tmp_path):
     for number, batch in enumerate(batches):
         put(tmp_path / "in", number, [message(at, price, number=at) for at, price in batch])
     table = candle_table(tmp_path / "table")
-    jobs.start_candles(text_trades(streams, tmp_path / "in"), table, str(tmp_path / "check")).awaitTermination()
+    jobs.start_candles(text_trades(streams, tmp_path / "in"), table, str(tmp_path / "check"), str(tmp_path / "bad")).awaitTermination()
     assert bounds(table.read(spark)) == [
         (0, 10000, "A", 1.0, 99.0, 1.0, 2.0, 0.4, 4),
         (10000, 20000, "A", 5.0, 6.0, 5.0, 6.0, 0.2, 2),
@@ -72,8 +72,8 @@ def test_rows_beyond_the_watermark_miss_the_candle_but_are_stored(streams, spark
         put(tmp_path / "in", number, [message(at, price, number=at) for at, price in batch])
     table = candle_table(tmp_path / "table")
     raw = KeyedTable(str(tmp_path / "raw"), TRADE, ("trade_id",))
-    jobs.start_candles(text_trades(streams, tmp_path / "in"), table, str(tmp_path / "c1")).awaitTermination()
-    jobs.start_raw_trades(text_trades(streams, tmp_path / "in"), raw, str(tmp_path / "c2")).awaitTermination()
+    jobs.start_candles(text_trades(streams, tmp_path / "in"), table, str(tmp_path / "c1"), str(tmp_path / "r1")).awaitTermination()
+    jobs.start_raw_trades(text_trades(streams, tmp_path / "in"), raw, str(tmp_path / "c2"), str(tmp_path / "r2")).awaitTermination()
     assert [(r[0], r[8]) for r in bounds(table.read(spark))] == [(0, 1), (60000, 2)]
     assert sorted(r.event_time for r in raw.read(spark).collect()) == [1000, 2000, 60000, 61000, 90000]
 
@@ -83,7 +83,7 @@ def test_update_mode_gives_open_candles(streams, spark, tmp_path):
     put(tmp_path / "in", 1, [message(2000, 3.0, number=2)])
     table = candle_table(tmp_path / "table")
     trades = text_trades(streams, tmp_path / "in")
-    jobs.start_candles(trades, table, str(tmp_path / "c"), output_mode="update").awaitTermination()
+    jobs.start_candles(trades, table, str(tmp_path / "c"), str(tmp_path / "r"), output_mode="update").awaitTermination()
     assert [(r[3], r[6], r[8]) for r in bounds(table.read(spark))] == [(1.0, 3.0, 2)]
 
 
@@ -107,11 +107,9 @@ def test_replay_equals_the_batch_result_and_restart_adds_nothing(streams, spark,
     last = trades.agg(F.max("event_time")).first()[0]
     expected = [r for r in bounds(candles(trades, 3600)) if r[1] <= last - 5000]
     for _ in range(2):
-        query = jobs.start_candles(text_trades(streams, folder), table, str(tmp_path / "check"), 3600)
+        query = jobs.start_candles(text_trades(streams, folder), table, str(tmp_path / "check"), str(tmp_path / "bad"), 3600)
         query.awaitTermination()
         assert bounds(table.read(spark)) == expected
-    table.compact(spark)
-    assert bounds(table.read(spark)) == expected
 
 
 def test_resume_takes_up_where_it_ended(streams, spark, contiguous, tmp_path):
@@ -122,13 +120,13 @@ def test_resume_takes_up_where_it_ended(streams, spark, contiguous, tmp_path):
         for number, path in enumerate(files[:count]):
             if not (tmp_path / "in" / path.name).exists():
                 put(tmp_path / "in", number, path.read_text().splitlines())
-        jobs.start_candles(text_trades(streams, tmp_path / "in"), table, str(tmp_path / "check"), 3600).awaitTermination()
+        jobs.start_candles(text_trades(streams, tmp_path / "in"), table, str(tmp_path / "check"), str(tmp_path / "bad"), 3600).awaitTermination()
     last = trades.agg(F.max("event_time")).first()[0]
     assert bounds(table.read(spark)) == [r for r in bounds(candles(trades, 3600)) if r[1] <= last - 5000]
 
 
 def test_streaming_candles_hash_aggregate(streams, contiguous, tmp_path):
-    query = jobs.start_candles(text_trades(streams, contiguous[0]), candle_table(tmp_path / "t"), str(tmp_path / "c"), 3600)
+    query = jobs.start_candles(text_trades(streams, contiguous[0]), candle_table(tmp_path / "t"), str(tmp_path / "c"), str(tmp_path / "r"), 3600)
     query.awaitTermination()
     text = query._jsq.explainInternal(False)
     assert "HashAggregate" in text and "SortAggregate" not in text
@@ -142,17 +140,19 @@ def test_archive(streams, spark, tmp_path):
     put(tmp_path / "in", 1, [message(6, 2.0, "cd", number=1)])
     for _ in range(2):
         trades = text_trades(streams, tmp_path / "in")
-        jobs.start_archive(trades, str(root), str(tmp_path / "check"), partitions=2, max_records_per_file=8).awaitTermination()
+        jobs.start_archive(trades, str(root), str(tmp_path / "check"), files=2, max_records_per_file=8).awaitTermination()
     archive = read_archive(spark, str(root))
     assert archive.count() == 23
     unnamed = archive.where("symbol_part = 'UNKNOWN'").collect()
     assert [(r.symbol, r.price, r.event_time) for r in unnamed] == [(None, 3.0, None)]
     assert {r.symbol for r in archive.where("symbol_part = 'cd'").collect()} == {"cd"}
     assert archive.select("dt").distinct().count() == 1
-    stamps = {r.flush for r in monitoring.flush_counts(archive).collect()}
-    assert len(stamps) == 2
+    log = read_flushes(spark, str(root))
+    assert len({r.flush for r in monitoring.flush_counts(log).collect()}) == 2
+    assert {(r.symbol, r.records) for r in monitoring.flush_counts(log).collect()} == {("AB", 20), ("cd", 1), ("UNKNOWN", 1)}
+    assert [r.total_written for r in monitoring.flush_totals(monitoring.flush_counts(log)).orderBy("flush").collect()] == [22, 23]
     assert read_archive(spark, str(root), dedupe=True).count() == 22
-    files = monitoring.flush_files(archive).collect()
+    files = log.collect()
     assert sum(f.records for f in files) == 23 and max(f.records for f in files) <= 8
     assert all(".snappy.parquet" in f.path for f in files)
     stored = spark.read.parquet(files[0].path).schema.fieldNames()
@@ -165,6 +165,17 @@ def test_archive(streams, spark, tmp_path):
     assert only and all("/symbol_part=AB/" in r.key for r in only)
     assert len(list_files(spark, str(root), max_keys=1).collect()) == 1
     assert list_files(spark, str(root), "nothing/").collect() == []
+    # Every prefix gives the same files, also with an attempt that did not end beside them.
+    stray = root / "trades" / f"dt={dt}" / "symbol_part=AB" / "batch=99"
+    stray.mkdir()
+    (stray / "part-0.parquet").write_bytes(b"x")
+    whole = [r.key for r in list_files(spark, str(root)).collect()]
+    assert whole == [r.key for r in listed] == [r.key for r in list_files(spark, str(root), f"trades/dt={dt}/").collect()]
+    assert read_archive(spark, str(root)).count() == 23
+    paged, after = [], None
+    while page := [r.key for r in list_files(spark, str(root), max_keys=2, start_after=after).collect()]:
+        paged, after = paged + page, page[-1]
+    assert paged == whole
     for bad in (0, 201):
         with pytest.raises(ValueError):
             list_files(spark, str(root), max_keys=bad)
@@ -173,12 +184,12 @@ def test_archive(streams, spark, tmp_path):
 def test_archive_by_event_date_prunes_and_spreads_a_hot_symbol(streams, spark, tmp_path):
     put(tmp_path / "in", 0, [message(86_400_000 * (n % 2) + n, 1.0, "HOT" if n % 3 else "x", number=n) for n in range(600)])
     trades = text_trades(streams, tmp_path / "in")
-    jobs.start_archive(trades, str(tmp_path / "lake"), str(tmp_path / "c"), event_date=True, partitions=6).awaitTermination()
+    jobs.start_archive(trades, str(tmp_path / "lake"), str(tmp_path / "c"), event_date=True, files=6).awaitTermination()
     archive = read_archive(spark, str(tmp_path / "lake"))
     counts = {r.dt: r["count"] for r in archive.groupBy("dt").count().collect()}
     assert counts == {"1970-01-01": 300, "1970-01-02": 300}
-    files = [f.records for f in monitoring.flush_files(archive).collect()]
-    assert max(files) <= 200
+    files = [f.records for f in read_flushes(spark, str(tmp_path / "lake")).collect()]
+    assert sum(files) == 600 and max(files) <= 200
     day = archive.where("dt = '1970-01-02' AND symbol_part = 'HOT'")
     text = day._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
@@ -187,9 +198,51 @@ def test_archive_by_event_date_prunes_and_spreads_a_hot_symbol(streams, spark, t
     assert day.count() == 200
 
 
+def test_archive_reads_its_source_once(streams, spark, tmp_path):
+    for n in range(3):
+        put(tmp_path / "in", n, [message(n * 100 + k, 1.0, number=n * 100 + k) for k in range(7)])
+    query = jobs.start_archive(text_trades(streams, tmp_path / "in"), str(tmp_path / "l"), str(tmp_path / "c"))
+    query.awaitTermination()
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [7, 7, 7]
+
+
+def test_keys_follow_the_root_even_if_its_name_occurs_again(streams, spark, tmp_path):
+    root = tmp_path / "lake"
+    put(tmp_path / "in", 0, [message(1, 1.0, "lake"), message(2, 1.0, "snowlake", number=2)])
+    jobs.start_archive(text_trades(streams, tmp_path / "in"), str(root), str(tmp_path / "c")).awaitTermination()
+    keys = [r.key for r in list_files(spark, str(root)).collect()]
+    assert len(keys) == 2 and all(k.startswith("trades/dt=") for k in keys)
+
+
+def test_another_checkpoint_is_refused_before_it_writes(streams, spark, tmp_path):
+    put(tmp_path / "in", 0, [message(n, 1.0, number=n) for n in range(10)])
+    path = lambda name: str(tmp_path / name)
+    table, raw = candle_table(tmp_path / "t"), KeyedTable(path("raw"), TRADE, ("trade_id",))
+    feed = lambda: read_messages(streams, path("in"), stream=True)
+    starts = [
+        lambda c: jobs.start_candles(text_trades(streams, tmp_path / "in"), table, path(f"{c}1"), path("r1")),
+        lambda c: jobs.start_raw_trades(text_trades(streams, tmp_path / "in"), raw, path(f"{c}2"), path("r2")),
+        lambda c: jobs.start_archive(text_trades(streams, tmp_path / "in"), path("lake"), path(f"{c}3")),
+        lambda c: jobs.start_rejects(feed(), path("r4"), path(f"{c}4")),
+        lambda c: jobs.start_publish(feed(), path(f"{c}5"), "text", {"path": path("log")}),
+    ]
+    counts = lambda: (raw.read(spark).count(), read_archive(spark, path("lake")).count(), sinks.read_rejects(spark, path("r4")).count())
+    for start in starts:
+        start("a").awaitTermination()
+    assert counts() == (10, 10, 10)
+    put(tmp_path / "in", 1, [message(n, 1.0, number=n) for n in range(10, 17)])
+    for start in starts:
+        with pytest.raises(Exception, match="belongs to the stream"):
+            start("b").awaitTermination()
+    assert counts() == (10, 10, 10)
+    for start in starts:
+        start("a").awaitTermination()
+    assert counts() == (17, 17, 17)
+
+
 def test_archive_in_source_order(streams, spark, tmp_path):
     put(tmp_path / "in", 0, [message(n, 1.0, number=n) for n in range(50)])
-    jobs.start_archive(text_trades(streams, tmp_path / "in"), str(tmp_path / "l"), str(tmp_path / "c"), spread=False).awaitTermination()
+    jobs.start_archive(text_trades(streams, tmp_path / "in"), str(tmp_path / "l"), str(tmp_path / "c"), files=1).awaitTermination()
     assert read_archive(spark, str(tmp_path / "l")).count() == 50
 
 
@@ -201,9 +254,9 @@ def test_publish_and_rejects(streams, spark, tmp_path):
     out = decode.decode_trades(read_messages(spark, str(tmp_path / "log"))).collect()
     assert sorted(tuple(r) for r in out) == [("AB-1", "AB", 1.5, 2.0, "buy", 7), ("AB-2", "AB", 1.5, 2.0, "buy", 7)]
     jobs.start_rejects(feed, str(tmp_path / "bad"), str(tmp_path / "c2")).awaitTermination()
-    assert sorted(r.violations for r in spark.read.parquet(str(tmp_path / "bad")).collect()) == [["message:event"], ["p:unusable"]]
+    assert sorted(r.violations for r in sinks.read_rejects(spark, str(tmp_path / "bad")).collect()) == [["message:event"], ["p:unusable"]]
     jobs.start_rejects(feed, str(tmp_path / "bad2"), str(tmp_path / "c3"), kind="trades").awaitTermination()
-    assert [r.value for r in spark.read.parquet(str(tmp_path / "bad2")).collect()] == ["junk"]
+    assert [r.value for r in sinks.read_rejects(spark, str(tmp_path / "bad2")).collect()] == ["junk"]
 
 
 def test_console(streams, tmp_path):
@@ -219,7 +272,7 @@ def test_pipeline(streams, spark, contiguous, tmp_path):
     folder, trades = contiguous
     raw = KeyedTable(str(tmp_path / "raw"), TRADE, ("trade_id",))
     table = candle_table(tmp_path / "candles")
-    queries = jobs.start_pipeline(text_trades(streams, folder), table, raw, str(tmp_path / "c"), console=True, window_seconds=3600)
+    queries = jobs.start_pipeline(text_trades(streams, folder), table, raw, str(tmp_path / "c"), str(tmp_path / "bad"), console=True, window_seconds=3600)
     assert len(queries) == 3
     for query in queries:
         query.awaitTermination()
@@ -237,9 +290,9 @@ def test_incomplete_trades_go_to_the_rejects(streams, spark, tmp_path):
     put(tmp_path / "in", 0, [message(1, 1.0), '{"trade_id":"x"}'])
     table = KeyedTable(str(tmp_path / "t"), TRADE, ("trade_id",))
     trades = text_trades(streams, tmp_path / "in")
-    jobs.start_raw_trades(trades, table, str(tmp_path / "c"), rejects_path=str(tmp_path / "r")).awaitTermination()
+    jobs.start_raw_trades(trades, table, str(tmp_path / "c"), str(tmp_path / "r")).awaitTermination()
     assert table.read(spark).count() == 1
-    assert spark.read.parquet(str(tmp_path / "r")).first().violations[0] == "symbol:null"
+    assert sinks.read_rejects(spark, str(tmp_path / "r")).first().violations[0] == "symbol:null"
 
 
 def test_stream_of_a_folder(streams, spark, tmp_path):
@@ -247,7 +300,7 @@ def test_stream_of_a_folder(streams, spark, tmp_path):
     spark.read.parquet(ev.events_path(SF)).repartition(3).write.parquet(path)
     stream = stream_parquet(streams, path, spark.read.parquet(path).schema)
     raw = KeyedTable(str(tmp_path / "raw"), TRADE, ("trade_id",), ("event_id",))
-    jobs.start_raw_trades(ev.trades_of(stream), raw, str(tmp_path / "c")).awaitTermination()
+    jobs.start_raw_trades(ev.trades_of(stream), raw, str(tmp_path / "c"), str(tmp_path / "r")).awaitTermination()
     assert raw.read(spark).count() == spark.read.parquet(path).count()
 
 
