@@ -62,11 +62,13 @@ def repeats(docs, id_col="doc_id", text_col="text", min_words=MIN_WORDS):
     """(id, text_hash, positions): the places of the units to remove from each text that has any.
 
     The first unit of a digest is found by an aggregation that combines in tasks, so a line in a third of all texts costs a
-    row per task. Only units with a repeated digest go on from the join, in which Spark splits hot digests.
+    row per task. Repeated digests are written first: both sides of the join then come from shuffles of their own, of which Spark
+    splits those of hot digests.
     """
     rows = unit_rows(docs, id_col, text_col)
     first = rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "text_hash", "pos")).alias("first"))
-    later = rows.join(first.where("n > 1").drop("n"), ["h1", "h2"]).where(~F.struct("id", "text_hash", "pos").eqNullSafe(F.col("first")))
+    first = stored(first.where("n > 1").drop("n"), "repeated-digests")
+    later = rows.join(first, ["h1", "h2"]).where(~F.struct("id", "text_hash", "pos").eqNullSafe(F.col("first")))
     # Rows with equal id and text are one text; their units count once.
     later = later.select("id", "text_hash", "pos", "words").distinct()
     text = Window.partitionBy("id", "text_hash")
