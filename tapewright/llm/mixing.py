@@ -152,7 +152,9 @@ def mix(docs, id_col="doc_id", text_col="text", source_col="source", weights=WEI
             "block", F.pmod(F.xxhash64("order_a", "order_b", F.lit(level)), F.col("blocks")).cast("int")
         )
         schema = ", ".join(f"{n} {kind(n)}" for n in fields) + ", blocks int, block int"
-        flown = stored(dealt.select(*fields, "blocks", "block").groupBy("rank", "block").applyInPandas(_round(seed, level), schema), "flight")
+        # The join may leave the rows dealt by source alone, which would put all blocks of a source into one task.
+        spread = dealt.select(*fields, "blocks", "block").repartition("rank", "block")
+        flown = stored(spread.groupBy("rank", "block").applyInPandas(_round(seed, level), schema), "flight")
         done = flown.where("chance in (0.0, 1.0)").select("rank", "order_a", "order_b", F.col("chance").cast("long").alias("more"))
         decided = done if decided is None else decided.unionByName(done)
         open_units, level = flown.where("chance not in (0.0, 1.0)").select(*fields), level + 1
