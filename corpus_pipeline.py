@@ -1,7 +1,8 @@
 """Documents to a training mix: each stage works on all rows that the stage before it kept.
 
-A stage takes (spark, docs, sf_dir) and returns the columns of ``docs``, the last one those and ``copy``. Rows without an id, with null or
-empty texts, and repeated rows pass through every stage as its operator says; an empty table stays empty.
+A stage takes (spark, docs, sf_dir) and returns the columns of ``docs``, the last one those and ``copy``. Rows without
+an id, with null or empty texts, and repeated rows pass through every stage as its operator says; an empty table stays
+empty.
 """
 
 from pyspark.sql import Window

@@ -1,8 +1,8 @@
 """Benchmark decontamination by greedy string tiling.
 
-Texts and benchmark items that share a seed, a run of ``min_match`` tokens, are compared by tiling: the longest runs of tokens that
-both have, not yet covered by a tile, are marked again and again, in any order of place, so reordered passages count in full. A text is
-contaminated by an item if tiles cover enough of the item.
+Texts and benchmark items that share a seed, a run of ``min_match`` tokens, are compared by tiling: the longest runs of
+tokens that both have, not yet covered by a tile, are marked again and again, in any order of place, so reordered
+passages count in full. A text is contaminated by an item if tiles cover enough of the item.
 """
 
 import re
@@ -36,7 +36,9 @@ def _powers(base, count):
 
 
 def window_hashes(codes, size):
-    """Karp-Rabin hashes of all windows of ``size`` tokens, modulo 2^64; each comes from the one before by a sum and a shift."""
+    """Karp-Rabin hashes of all windows of ``size`` tokens, modulo 2^64; each comes from the one before by a sum and a
+    shift.
+    """
     if len(codes) < size:
         return np.zeros(0, np.uint64)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * _powers(_BASE, len(codes)), dtype=np.uint64)])
@@ -106,7 +108,9 @@ def _matches(item, text, free_item, free_text, size):
 
 
 def _seed_rows(min_match, seeds_filter=None):
-    """A function for mapInArrow: a row for each window of an item, or for each distinct window of a text that passes the filter."""
+    """A function for mapInArrow: a row for each window of an item, or for each distinct window of a text that passes
+    the filter.
+    """
 
     def run(batches):
         codes_of = Hashes()
@@ -152,7 +156,8 @@ def _hits(bits, seeds):
 
 
 def _seed_filter(seeds):
-    """A Bloom filter of all seeds, two bits a seed, of fixed size; set words are merged before they reach the driver."""
+    """A Bloom filter of all seeds, two bits a seed, of fixed size; set words are merged before they reach the driver.
+    """
 
     def run(batches):
         for batch in batches:
@@ -176,9 +181,10 @@ def _keyed(frame, id_col, text_col):
 def contamination(docs, items, id_col="doc_id", text_col="text", item_col="item_id", item_text_col="text", min_match=MIN_MATCH, threshold=THRESHOLD):
     """(id, text_hash, item, coverage, tiles) for each text and item with coverage of at least ``threshold``.
 
-    ``text_hash`` is xxhash64 of the text, so texts that share an id are told apart; repeated rows count once. ``tiles`` lists (item
-    place, text place, length) in tokens. Null and empty texts, and items of fewer than ``min_match`` tokens, match nothing; null ids are kept.
-    Whole texts are searched. Items may be any number: workers hold a filter of fixed size only, and what passes it is joined.
+    ``text_hash`` is xxhash64 of the text, so texts that share an id are told apart; repeated rows count once. ``tiles``
+    lists (item place, text place, length) in tokens. Null and empty texts, and items of fewer than ``min_match``
+    tokens, match nothing; null ids are kept. Whole texts are searched. Items may be any number: workers hold a filter
+    of fixed size only, and what passes it is joined.
     """
     id_kind, item_kind = docs.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
     own = _keyed(items, item_col, item_text_col).distinct()

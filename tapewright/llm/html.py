@@ -148,8 +148,8 @@ def decide(found):
 def inherit(found, labels):
     """Second pass: an undecided block takes the label of its nearest decided neighbour in its region.
 
-    Of two neighbours as near as each other, one of main text decides. Regions are the article and the rest of the page. With
-    no neighbour, a block counts as main text inside an article, or if the page has no decided block at all.
+    Of two neighbours as near as each other, one of main text decides. Regions are the article and the rest of the page.
+    With no neighbour, a block counts as main text inside an article, or if the page has no decided block at all.
     """
     near = [None] * len(found)
     for order in (range(len(found)), range(len(found) - 1, -1, -1)):
@@ -169,7 +169,9 @@ def inherit(found, labels):
 
 
 def main_text(page):
-    """The main text of a page, one line a block; '' if there is none. If the page marks an article, other blocks are left out."""
+    """The main text of a page, one line a block; '' if there is none. If the page marks an article, other blocks are
+    left out.
+    """
     found = blocks(page or "")
     if any(b[4] for b in found):
         found = [b for b in found if b[4]]

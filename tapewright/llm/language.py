@@ -1,8 +1,9 @@
 """Language identification with hyperdimensional profiles.
 
 Each letter has a random vector of +1 and -1. The vector of a letter sequence is the product of its letters' vectors,
-each permuted (rotated) by the letter's distance from the end. A text's profile is the sum over all its sequences of three, with word ends as a letter;
-a language's prototype is the sum of the profiles of its training texts. The prototype with the highest cosine names the language.
+each permuted (rotated) by the letter's distance from the end. A text's profile is the sum over all its sequences of
+three, with word ends as a letter; a language's prototype is the sum of the profiles of its training texts. The
+prototype with the highest cosine names the language.
 """
 
 import re
@@ -84,7 +85,8 @@ def profiles(texts, groups=None, most=None):
 def prototypes(docs, text_col="text", lang_col="lang"):
     """(languages in order, one unit vector each) from all rows of ``docs`` with a language.
 
-    A task adds up whole numbers for its languages, and the sums over tasks are exact, so the order of rows doesn't matter.
+    A task adds up whole numbers for its languages, and the sums over tasks are exact, so the order of rows doesn't
+    matter.
     """
 
     def run(batches):
@@ -115,10 +117,11 @@ def _unit(rows):
 
 
 def identify(docs, names, vectors, text_col="text", lang_col="lang_pred", score_col="score"):
-    """``docs`` with the language of the nearest prototype and its cosine (0 at least); columns of these names are replaced.
+    """``docs`` with the language of the nearest prototype and its cosine (0 at least); columns of these names are
+    replaced.
 
-    A text that is null or has no letter is ``und`` with score 0, as is any text if nothing was learned. Of equal cosines,
-    the language first in order wins. Whole texts of any length are read, in pieces of bounded size.
+    A text that is null or has no letter is ``und`` with score 0, as is any text if nothing was learned. Of equal
+    cosines, the language first in order wins. Whole texts of any length are read, in pieces of bounded size.
     """
     held = docs.sparkSession.sparkContext.broadcast((np.array([*names, "und"], object), vectors))
 

@@ -1,10 +1,11 @@
 """Mixing sources to target weights by cube-method balanced sampling.
 
-Each source gets a target number of words. A source's ratio of target to size is split into whole copies of every document
-and a fraction, which is every document's inclusion probability. The flight phase of the cube method moves the probabilities of a block of documents
-through the null space of two constraints, document and word totals, until at most two per block lie between 0 and 1;
-those, and a few documents of all lengths that each block holds back, meet in further rounds of blocks until one block a
-source is left. Its small rest is landed by trying all outcomes, so a source misses its target by a few words at most.
+Each source gets a target number of words. A source's ratio of target to size is split into whole copies of every
+document and a fraction, which is every document's inclusion probability. The flight phase of the cube method moves the
+probabilities of a block of documents through the null space of two constraints, document and word totals, until at most
+two per block lie between 0 and 1; those, and a few documents of all lengths that each block holds back, meet in further
+rounds of blocks until one block a source is left. Its small rest is landed by trying all outcomes, so a source misses
+its target by a few words at most.
 """
 
 import random
@@ -35,7 +36,9 @@ def ranked(sources):
 
 
 def with_targets(sources, weights=WEIGHTS, share=SHARE, repeats=REPEATS):
-    """(source, size) -> (source, rank, size, target): words by weight, at most ``repeats`` times the size, the excess dealt again by weight."""
+    """(source, size) -> (source, rank, size, target): words by weight, at most ``repeats`` times the size, the excess
+    dealt again by weight.
+    """
     ranks = ranked(sources).withColumnRenamed("source", "own")
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
     table = sources.join(ranks, F.col("source").eqNullSafe(F.col("own"))).drop("own")
@@ -68,7 +71,9 @@ def _direction(rows):
 
 
 def fly(chances, rows, rng):
-    """Inclusion probabilities after the flight phase; at most two lie between 0 and 1. ``rows`` holds (documents, words)."""
+    """Inclusion probabilities after the flight phase; at most two lie between 0 and 1. ``rows`` holds (documents,
+    words).
+    """
     chances, active = list(chances), []
     for unit, chance in enumerate(chances):
         if not _NONE < chance < 1 - _NONE:
@@ -103,7 +108,9 @@ def land(chances, rows):
 
 
 def settle(chances, rows, rng, last):
-    """One block: the flight of all but a few units of all lengths; with ``last``, the landing too. Units come by falling length."""
+    """One block: the flight of all but a few units of all lengths; with ``last``, the landing too. Units come by
+    falling length.
+    """
     still = [k for k, c in enumerate(chances) if _NONE < c < 1 - _NONE]
     back = {still[i * len(still) // HELD_BACK] for i in range(HELD_BACK)} if len(still) > HELD_BACK else set(still)
     free = [k for k in range(len(chances)) if k not in back]
@@ -129,10 +136,10 @@ def _round(seed, level):
 def mix(docs, id_col="doc_id", text_col="text", source_col="source", weights=WEIGHTS, share=SHARE, repeats=REPEATS, block=BLOCK, seed="mix"):
     """(id, text_hash, source, size, source_size, target, taken, times) for each row of ``docs``.
 
-    Sizes and ``taken`` are in words; a document is taken ``times`` times. ``text_hash`` is xxhash64 of the text. Null texts have size 0; null is a
-    source of its own, last in order. Rows with equal id, source and text are one unit, taken together. Decisions
-    depend on hashes of ids and texts only, so reruns agree on any number of machines. A source of any share of the rows is dealt into blocks
-    of bounded size. Without any word, all targets are 0.
+    Sizes and ``taken`` are in words; a document is taken ``times`` times. ``text_hash`` is xxhash64 of the text. Null
+    texts have size 0; null is a source of its own, last in order. Rows with equal id, source and text are one unit,
+    taken together. Decisions depend on hashes of ids and texts only, so reruns agree on any number of machines. A
+    source of any share of the rows is dealt into blocks of bounded size. Without any word, all targets are 0.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.xxhash64(text).alias("text_hash"), count_words(text_col).alias("size"))

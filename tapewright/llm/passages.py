@@ -1,8 +1,9 @@
 """Repeated passages removed by hashing the units of every text.
 
-A unit is a sentence or the rest of a line, with the white space behind it, so the units of a text put together are the text.
-Units that are equal but for A-Z case and white space have one 128-bit digest. Over the whole table, the first unit of each digest, by
-id and then by place, stays; a later one is a repeat. Runs of neighbouring repeats with enough words are removed.
+A unit is a sentence or the rest of a line, with the white space behind it, so the units of a text put together are the
+text. Units that are equal but for A-Z case and white space have one 128-bit digest. Over the whole table, the first
+unit of each digest, by id and then by place, stays; a later one is a repeat. Runs of neighbouring repeats with enough
+words are removed.
 """
 
 import re
@@ -61,9 +62,9 @@ def unit_rows(docs, id_col, text_col):
 def repeats(docs, id_col="doc_id", text_col="text", min_words=MIN_WORDS):
     """(id, text_hash, positions): the places of the units to remove from each text that has any.
 
-    The first unit of a digest is found by an aggregation that combines in tasks, so a line in a third of all texts costs a
-    row per task. Repeated digests are written first: both sides of the join then come from shuffles of their own, of which Spark
-    splits those of hot digests.
+    The first unit of a digest is found by an aggregation that combines in tasks, so a line in a third of all texts
+    costs a row per task. Repeated digests are written first: both sides of the join then come from shuffles of their
+    own, of which Spark splits those of hot digests.
     """
     rows = unit_rows(docs, id_col, text_col)
     first = rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "text_hash", "pos")).alias("first"))
@@ -95,10 +96,10 @@ def _cut(text, positions):
 def remove_repeats(docs, id_col="doc_id", text_col="text", min_words=MIN_WORDS, spans_col="removed", units_col="n_units", removed_col="n_removed"):
     """``docs`` with repeated passages cut from ``text_col``.
 
-    ``spans_col`` holds what was removed as (start, end) code points of the original text, ``units_col`` and ``removed_col``
-    count units. A null text stays null, with no units; an empty one stays empty. A null id ranks before all others. Rows with equal id and equal text
-    are one text and keep the same passages. New columns replace columns of their names; others stay as they are. All text is
-    read, at any length.
+    ``spans_col`` holds what was removed as (start, end) code points of the original text, ``units_col`` and
+    ``removed_col`` count units. A null text stays null, with no units; an empty one stays empty. A null id ranks before
+    all others. Rows with equal id and equal text are one text and keep the same passages. New columns replace columns
+    of their names; others stay as they are. All text is read, at any length.
     """
     schema = "text string, starts array<int>, ends array<int>, units int, removed int"
 

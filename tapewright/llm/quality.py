@@ -1,8 +1,8 @@
 """Quality rules by distribution divergence.
 
-A text's histograms of character classes and of common words are compared with those of each language's texts by Jensen-Shannon
-distance. The nearest language counts, so a wrong language label of a text does no harm. Short texts have rough histograms: below a guard length a
-histogram is not judged, and above it the limit falls with the length.
+A text's histograms of character classes and of common words are compared with those of each language's texts by
+Jensen-Shannon distance. The nearest language counts, so a wrong language label of a text does no harm. Short texts have
+rough histograms: below a guard length a histogram is not judged, and above it the limit falls with the length.
 """
 
 import re
@@ -96,7 +96,9 @@ def common_words(text, place_of):
 
 
 def js_distance(rows, reference):
-    """Jensen-Shannon distance (base 2, from 0 to 1) of each row of counts to one row of counts; 0 where either is empty."""
+    """Jensen-Shannon distance (base 2, from 0 to 1) of each row of counts to one row of counts; 0 where either is
+    empty.
+    """
     rows, reference = np.asarray(rows, float), np.asarray(reference, float)
     sums = rows.sum(axis=1, keepdims=True)
     p = rows / np.maximum(sums, 1e-300)
@@ -178,7 +180,9 @@ def references(measured):
 
 
 def judge(measured, known, carry=False):
-    """``measured`` with the nearest language, both distances to it and the verdict ``kept``; with its histograms to ``carry`` on."""
+    """``measured`` with the nearest language, both distances to it and the verdict ``kept``; with its histograms to
+    ``carry`` on.
+    """
     held = measured.sparkSession.sparkContext.broadcast(known)
     names = [c for c in measured.columns if carry or c not in ("classes", "common", "lang")]
 
@@ -219,8 +223,9 @@ def verdicts(classes, common, known):
 def rules(docs, id_col="doc_id", text_col="text", lang_col="lang"):
     """(id, base counts, base_failed, nearest, class_distance, word_distance, kept) for each row of ``docs``.
 
-    A null text counts as empty and fails the base rules. Rows without a language are judged but are no part of a reference; without
-    any reference, the base rules alone decide. Whole texts of any length are read. Repeated rows each get a row, other columns are ignored.
+    A null text counts as empty and fails the base rules. Rows without a language are judged but are no part of a
+    reference; without any reference, the base rules alone decide. Whole texts of any length are read. Repeated rows
+    each get a row, other columns are ignored.
     """
     measured = stored(measure(docs, id_col, text_col, lang_col), "histograms")
     first = references(measured.where("not base_failed"))

@@ -1,10 +1,10 @@
 """SimHash near-duplicates by the generalised pigeonhole principle.
 
-Fingerprints that differ in at most ``tau`` of 64 bits are linked, and a class is a connected component of links.
-Bits are grouped into ``m`` parts. If thresholds of the parts sum to ``tau - m + 1``, then two linked fingerprints
-agree in at least one part up to that part's threshold. So both meet in a bucket if each is filed under its
-value in every part, and under every lower value that differs in up to the threshold. Which bits form a part follows from their
-correlation over all distinct fingerprints; thresholds come from a dynamic programme over estimated costs.
+Fingerprints that differ in at most ``tau`` of 64 bits are linked, and a class is a connected component of links. Bits
+are grouped into ``m`` parts. If thresholds of the parts sum to ``tau - m + 1``, then two linked fingerprints agree in
+at least one part up to that part's threshold. So both meet in a bucket if each is filed under its value in every part,
+and under every lower value that differs in up to the threshold. Which bits form a part follows from their correlation
+over all distinct fingerprints; thresholds come from a dynamic programme over estimated costs.
 """
 
 import math
@@ -217,7 +217,9 @@ def _runs(batches, names):
 
 
 def linked(prints, tau):
-    """(member, root) pairs that join the distinct ``prints`` into their components, one row for each member but the roots."""
+    """(member, root) pairs that join the distinct ``prints`` into their components, one row for each member but the
+    roots.
+    """
     left, out_u, out_v = np.sort(prints), [], []
     while len(left) > 1:
         front, left = [left[0]], left[1:]

@@ -1,12 +1,12 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
 Toxic and ordinary training texts each give a word distribution from continuation counts: in how many distinct places,
-told by the word before, the class uses a word. So copies and repeated boilerplate count once. Counts are discounted by how many words
-have one, two, three or four, and what is taken goes to the continuation distribution that both classes share. An expression that is
-rare in both classes therefore has nearly the same probability in both, and a new one has no say.
-A text is judged by its log-likelihoods under the two models, normalised by length: over all its words, and over
-its most telling distinct expressions, so a long text is no safer than a short one. A logistic curve turns these
-into a probability; it is fitted on scores of training texts under models that have not seen them.
+told by the word before, the class uses a word. So copies and repeated boilerplate count once. Counts are discounted by
+how many words have one, two, three or four, and what is taken goes to the continuation distribution that both classes
+share. An expression that is rare in both classes therefore has nearly the same probability in both, and a new one has
+no say. A text is judged by its log-likelihoods under the two models, normalised by length: over all its words, and over
+its most telling distinct expressions, so a long text is no safer than a short one. A logistic curve turns these into a
+probability; it is fitted on scores of training texts under models that have not seen them.
 """
 
 import re
@@ -36,7 +36,9 @@ def words(text):
 
 
 def training_sample(docs, labels, id_col, text_col, label_col, most_texts, most_chars):
-    """(id, label, part, text) of at most ``most_texts`` texts and about ``most_chars`` code points a class; also rows by class."""
+    """(id, label, part, text) of at most ``most_texts`` texts and about ``most_chars`` code points a class; also rows
+    by class.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     sizes = docs.select(F.col(id_col).alias("id"), F.length(text).alias("size"))
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1)").distinct()
@@ -55,7 +57,8 @@ def training_sample(docs, labels, id_col, text_col, label_col, most_texts, most_
 
 
 def continuation_counts(sample):
-    """(word, for each class and part left out, the number of distinct words before it); part ``PARTS`` leaves none out."""
+    """(word, for each class and part left out, the number of distinct words before it); part ``PARTS`` leaves none out.
+    """
 
     def run(batches):
         codes_of = Hashes()
@@ -117,7 +120,8 @@ def log_ratios(ordinary, toxic):
 
 
 class Model:
-    """Word codes in order, their log ratios (a row for each part left out, the last with all) and the curve's weights."""
+    """Word codes in order, their log ratios (a row for each part left out, the last with all) and the curve's weights.
+    """
 
     def __init__(self, codes, ratios, weights):
         self.codes, self.ratios, self.weights = codes, ratios, weights
