@@ -4,6 +4,7 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
+from tapewright.operators.keyed import KeyedTable
 from tapewright.operators.ordered import with_previous, with_running_total
 from tapewright.plans import serving
 from tapewright.schemas import CANDLE, TRADE
@@ -160,3 +161,16 @@ def test_previous_and_running_total_in_chunks(spark, chunk):
     single = frame.where("k = 'a'")
     totals = {r.o: r.running_total for r in with_running_total(single, "o", "v", chunk).collect()}
     assert totals == {n * 7 - 20: sum(range(n + 1)) for n in range(15)}
+
+
+def test_stored_tables_are_read_by_symbol(spark, tmp_path, trade_rows, candle_rows):
+    """Lookups over tables as the streams write them push the symbol into the scan of all batches."""
+    raw = KeyedTable(str(tmp_path / "raw"), TRADE, ("trade_id",), cluster_by=("symbol", "event_time"), determined=("symbol",))
+    ohlcv = KeyedTable(str(tmp_path / "ohlcv"), CANDLE, ("symbol", "window_start"), cluster_by=("symbol", "window_start"))
+    for batch in (0, 1):
+        raw.write_batch(trade_rows, batch)
+        ohlcv.write_batch(candle_rows, batch, unique=True)
+    for frame in (serving.latest_trades(raw.read(spark), "abc"), serving.trade_tape(raw.read(spark), "abc"), serving.candles(ohlcv.read(spark), "abc"), serving.chart_series(ohlcv.read(spark), "abc")):
+        assert "EqualTo(symbol,ABC)" in plan_of(frame)
+    assert serving.latest_trades(raw.read(spark), "abc").collect() == serving.latest_trades(trade_rows, "abc").collect()
+    assert serving.candles(ohlcv.read(spark), "abc").collect() == serving.candles(candle_rows, "abc").collect()
