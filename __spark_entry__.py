@@ -453,7 +453,9 @@ def stream_replay(spark, sf_dir):
 
 
 def pipeline_rejects(spark, sf_dir):
-    """What the whole pipeline can't store: trades without a price, a time or a symbol, candles without a price or a symbol."""
+    """What the whole pipeline can't store: trades without a price, a time or a symbol, candles without a price or a
+    symbol.
+    """
     root, trades = scratch_dir(spark, "rejects"), _event_stream(spark, sf_dir)
     broken = trades.withColumns(
         {
@@ -483,7 +485,9 @@ def _archived(spark, sf_dir):
 
 
 def stream_archive_roundtrip(spark, sf_dir):
-    """The archive read back; a trade without a symbol is in the UNKNOWN folder. Write stamps are there, their values vary."""
+    """The archive read back; a trade without a symbol is in the UNKNOWN folder. Write stamps are there, their values
+    vary.
+    """
     stamped = (F.col("written_at") > F.col("event_time")).alias("stamped")
     return read_archive(spark, _archived(spark, sf_dir)).select(*TRADE_COLUMNS, "dt", "symbol_part", stamped)
 
@@ -511,6 +515,15 @@ def lake_files(spark, sf_dir):
     )
 
 
+def lake_files_day(spark, sf_dir):
+    """The symbols with files on the first day, listed by that day's prefix."""
+    root = _archived(spark, sf_dir)
+    day = read_archive(spark, root).agg(F.min("dt")).first()[0]
+    files = list_files(spark, root, f"trades/dt={day}/", max_keys=200)
+    symbol = F.regexp_extract("key", f"^trades/dt={day}/symbol_part=([^/]+)/batch=0/", 1)
+    return files.select(F.lit(day).alias("dt"), symbol.alias("symbol")).distinct()
+
+
 def stream_publish_decode(spark, sf_dir):
     """Exchange messages through the publishing stream and back through the lenient decode."""
     root = scratch_dir(spark, "published")
@@ -567,6 +580,7 @@ _QUERIES = [
     stream_archive_roundtrip,
     archive_flushes,
     lake_files,
+    lake_files_day,
     stream_publish_decode,
 ]
 
@@ -620,7 +634,8 @@ SELECT * FROM ({_TRADES}) WHERE symbol <> 'error' AND NOT {_TAIL} AND event_id %
 
 _NAMELESS = f"SELECT * REPLACE (CASE WHEN event_id % 29 <> 0 THEN symbol END AS symbol) FROM ({_TRADES})"
 
-# What the watermark lets into hourly candles if every 50th trade comes in a sixth file. A batch is held against the watermark of the
+# What the watermark lets into hourly candles if every 50th trade comes in a sixth file. A batch is held against the
+# watermark of the
 # batch before, so the sixth against the latest time of the first four.
 _PUNCTUAL = f"""
 WITH all_trades AS ({_TRADES}), punctual AS (SELECT * FROM all_trades WHERE event_id % 50 <> 0),
@@ -853,6 +868,11 @@ FROM ({_NAMELESS})
 SELECT DISTINCT strftime(make_timestamp(event_time * 1000), '%Y-%m-%d') AS dt, coalesce(symbol, 'UNKNOWN') AS symbol,
        true AS has_files, true AS has_size
 FROM ({_NAMELESS})
+""",
+        "lake_files_day": f"""
+SELECT DISTINCT dt, coalesce(symbol, 'UNKNOWN') AS symbol
+FROM (SELECT *, strftime(make_timestamp(event_time * 1000), '%Y-%m-%d') AS dt FROM ({_NAMELESS}))
+WHERE dt = (SELECT strftime(make_timestamp(min(event_time) * 1000), '%Y-%m-%d') FROM ({_NAMELESS}))
 """,
         "stream_publish_decode": f"SELECT {_TRADE_LIST} FROM ({_FEED_TRADES})",
     }
