@@ -178,7 +178,10 @@ def _keyed(frame, id_col, text_col):
     return frame.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
-def contamination(docs, items, id_col="doc_id", text_col="text", item_col="item_id", item_text_col="text", min_match=MIN_MATCH, threshold=THRESHOLD):
+def contamination(
+    docs, items, id_col="doc_id", text_col="text", item_col="item_id", item_text_col="text",
+    min_match=MIN_MATCH, threshold=THRESHOLD,
+):
     """(id, text_hash, item, coverage, tiles) for each text and item with coverage of at least ``threshold``.
 
     ``text_hash`` is xxhash64 of the text, so texts that share an id are told apart; repeated rows count once. ``tiles``
@@ -188,9 +191,10 @@ def contamination(docs, items, id_col="doc_id", text_col="text", item_col="item_
     """
     id_kind, item_kind = docs.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
     own = _keyed(items, item_col, item_text_col).distinct()
-    seeds = stored(own.mapInArrow(_seed_rows(min_match), f"id {item_kind}, text_hash long, seed long, pos long, size long"), "item-seeds")
+    seed_row = "text_hash long, seed long, pos long, size long"
+    seeds = stored(own.mapInArrow(_seed_rows(min_match), f"id {item_kind}, {seed_row}"), "item-seeds")
     texts = _keyed(docs, id_col, text_col)
-    rows = texts.mapInArrow(_seed_rows(min_match, _seed_filter(seeds)), f"id {id_kind}, text_hash long, seed long, pos long, size long")
+    rows = texts.mapInArrow(_seed_rows(min_match, _seed_filter(seeds)), f"id {id_kind}, {seed_row}")
     wanted = seeds.select(F.col("id").alias("item"), F.col("text_hash").alias("item_hash"), "seed", "pos", "size")
     shared = rows.select("id", "text_hash", "seed").join(wanted, "seed")
     # Tiles consist of shared seeds, so they can't cover more than this.
@@ -200,7 +204,8 @@ def contamination(docs, items, id_col="doc_id", text_col="text", item_col="item_
     )
     item_texts = own.select(F.col("id").alias("item"), F.col("text_hash").alias("item_hash"), F.col("text").alias("item_text"))
     listed = (
-        stored(pairs, "candidate-pairs").alias("p").join(item_texts.alias("i"), F.expr("p.item <=> i.item AND p.item_hash = i.item_hash"))
+        stored(pairs, "candidate-pairs").alias("p")
+        .join(item_texts.alias("i"), F.expr("p.item <=> i.item AND p.item_hash = i.item_hash"))
         .select("p.id", "p.text_hash", "i.item", "i.item_text")
         .groupBy("id", "text_hash").agg(F.collect_list(F.struct("item", "item_text")).alias("items"))
     )
@@ -241,7 +246,8 @@ def contamination(docs, items, id_col="doc_id", text_col="text", item_col="item_
 
 def remove_contaminated(docs, items, id_col="doc_id", text_col="text", **options):
     """The rows of ``docs`` whose text no item contaminates, with all their columns."""
-    found = contamination(docs, items, id_col, text_col, **options).select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"))
+    found = contamination(docs, items, id_col, text_col, **options)
+    found = found.select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"))
     found = stored(found.distinct(), "contaminated")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     same = docs[id_col].eqNullSafe(found["__id"]) & (F.xxhash64(text) == found["__hash"])

@@ -21,7 +21,9 @@ BLOCK_TAGS = frozenset(
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TAGS = "script|style|template|noscript|iframe|svg|math|textarea|select|object|canvas|noembed|noframes|xmp|title"
 FURNITURE_TAGS = frozenset("aside button dialog fieldset footer form head header menu nav search".split())
-FURNITURE_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search status toolbar".split())
+FURNITURE_ROLES = frozenset(
+    "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search status toolbar".split()
+)
 COMMENT_WORDS = frozenset("comment comments commentlist commentary disqus discussion reply replies respond responses".split())
 FURNITURE_WORDS = COMMENT_WORDS | frozenset(
     "ad ads adbox adsbygoogle advert advertisement adverts alert banner breadcrumb breadcrumbs byline-links consent cookie "
@@ -30,7 +32,10 @@ FURNITURE_WORDS = COMMENT_WORDS | frozenset(
     "recommendations related search share sharing sidebar sidebars signup skip social sponsor sponsored subscribe subscription "
     "tagcloud teaser teasers toolbar topbar widget widgets".split()
 )
-FILLER_WORDS = frozenset("area bar block bottom box container content footer-area form group inner item items left links list main panel right section slot top unit wrap wrapper zone".split())
+FILLER_WORDS = frozenset(
+    "area bar block bottom box container content form group inner item items left links list main panel right section slot "
+    "top unit wrap wrapper zone".split()
+)
 WIDE_WORDS = frozenset("with has no without layout page".split())
 MAIN_TAGS = frozenset(["article", "main"])
 
@@ -40,25 +45,29 @@ LINK_SHARE = 0.5  # of the words of a block of links
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>{RAW_TAGS})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"'<]|\"(?:[^\"<>]*|[^\"]{0,2000})\"|'(?:[^'<>]*|[^']{0,2000})'|[\"'])*+)>"
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)"
+    r"(?P<rest>(?:[^>\"'<]|\"(?:[^\"<>]*|[^\"]{0,2000})\"|'(?:[^'<>]*|[^']{0,2000})'|[\"'])*+)>"
     r"|<[!?/][^>]*>",
     re.S | re.I,
 )
-_NAMES = re.compile(r"(?:^|[\s\"'])(class|id|role|style|aria-hidden|hidden)(?=[\s=/]|$)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_NAMES = re.compile(
+    r"(?:^|[\s\"'])(class|id|role|style|aria-hidden|hidden)(?=[\s=/]|$)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I
+)
+_UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 _WORDS = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|\d+")
 _SPACE = re.compile(r"\s+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 def _furniture(tag, rest, in_article):
-    """'' or why an element is no part of the main text: 'frame' or 'comments'."""
+    """'' or why an element is no part of the main text: 'frame', 'comments', or 'header' of an article, with headings only."""
     found = {n.lower(): (v or "").strip("\"'") for n, v in _NAMES.findall(rest)} if rest else {}
-    if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", found.get("style", ""), re.I):
+    if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or _UNSEEN.search(found.get("style", "")):
         return "frame"
     if found.get("role", "").lower() in FURNITURE_ROLES:
         return "frame"
-    if tag in FURNITURE_TAGS and not (tag == "header" and in_article):
-        return "frame"
+    if tag in FURNITURE_TAGS:
+        return "header" if tag == "header" and in_article else "frame"
     if tag in ("html", "body", "h1", "h2", "h3", "h4", "h5", "h6"):
         return ""
     for name in _SPACE.split(f"{found.get('class', '')} {found.get('id', '')}"):
@@ -68,6 +77,8 @@ def _furniture(tag, rest, in_article):
         kernel = [w for w in words if w not in FILLER_WORDS] or words
         if COMMENT_WORDS & set(kernel):
             return "comments"
+        if in_article and kernel[-1] == "header":
+            return "header"
         if tag not in MAIN_TAGS and (kernel[-1] in FURNITURE_WORDS or kernel[0] in FURNITURE_WORDS):
             return "frame"
     return ""
@@ -121,8 +132,9 @@ def blocks(page):
             why = _furniture(tag, found["rest"], inside)
             if tag in MAIN_TAGS and not why and dropped == "frame":
                 dropped = ""  # furniture that was never closed, or a form around the whole page
-            why = dropped or why
-            open_tags.append((tag, why, inside or (tag in MAIN_TAGS and not why), link or tag == "a", header or (tag == "header" and not why)))
+            headings = header or why == "header"
+            why = dropped or (why if why != "header" else "")
+            open_tags.append((tag, why, inside or (tag in MAIN_TAGS and not why), link or tag == "a", headings))
         _, dropped, inside, link, header = open_tags[-1] if open_tags else ("", "", False, False, False)
     add(page[at:])
     flush()

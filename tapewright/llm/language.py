@@ -23,7 +23,8 @@ _GAPS = re.compile(r"[\W\d_]+")
 def letters(text):
     """Lower-case letters as code points with one space around each word; empty if the text has no letter."""
     plain = _GAPS.sub(" ", (text or "").lower()).strip()
-    return np.frombuffer(f" {plain} ".encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) if plain else np.zeros(0, np.uint64)
+    spaced = f" {plain} " if plain else ""
+    return np.frombuffer(spaced.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
 
 
 def sequences(codes):
@@ -97,11 +98,14 @@ def prototypes(docs, text_col="text", lang_col="lang"):
             for name, row in zip(names, found):
                 sums[str(name)] = sums.get(str(name), 0) + np.rint(row).astype(np.int64)
         for name, row in sums.items():
-            yield pa.RecordBatch.from_pydict({"lang": [name] * DIMENSIONS, "place": np.arange(DIMENSIONS, dtype=np.int32), "value": row})
+            places = np.arange(DIMENSIONS, dtype=np.int32)
+            yield pa.RecordBatch.from_pydict({"lang": [name] * DIMENSIONS, "place": places, "value": row})
 
-    rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("lang is not null")
+    rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.where("lang is not null")
     total = rows.mapInArrow(run, "lang string, place int, value long").groupBy("lang", "place").agg(F.sum("value").alias("value"))
-    by_lang = total.groupBy("lang").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "value"))), lambda s: s["value"]).alias("sums"))
+    in_order = F.sort_array(F.collect_list(F.struct("place", "value")))
+    by_lang = total.groupBy("lang").agg(F.transform(in_order, lambda s: s["value"]).alias("sums"))
     found = by_lang.orderBy("lang").limit(MOST_LANGUAGES + 1).collect()
     if len(found) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")

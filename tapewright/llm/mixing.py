@@ -133,7 +133,10 @@ def _round(seed, level):
     return run
 
 
-def mix(docs, id_col="doc_id", text_col="text", source_col="source", weights=WEIGHTS, share=SHARE, repeats=REPEATS, block=BLOCK, seed="mix"):
+def mix(
+    docs, id_col="doc_id", text_col="text", source_col="source",
+    weights=WEIGHTS, share=SHARE, repeats=REPEATS, block=BLOCK, seed="mix",
+):
     """(id, text_hash, source, size, source_size, target, taken, times) for each row of ``docs``.
 
     Sizes and ``taken`` are in words; a document is taken ``times`` times. ``text_hash`` is xxhash64 of the text. Null
@@ -142,14 +145,17 @@ def mix(docs, id_col="doc_id", text_col="text", source_col="source", weights=WEI
     source of any share of the rows is dealt into blocks of bounded size. Without any word, all targets are 0.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.xxhash64(text).alias("text_hash"), count_words(text_col).alias("size"))
+    names = F.col(id_col).alias("id"), F.col(source_col).alias("source")
+    sized = docs.select(*names, F.xxhash64(text).alias("text_hash"), count_words(text_col).alias("size"))
     units = stored(sized.groupBy("id", "source", "text_hash", "size").agg(F.count(F.lit(1)).alias("copies")), "units")
     sources = units.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("size"), F.count(F.lit(1)).alias("n_units"))
     aims = stored(with_targets(sources, weights, share, repeats).withColumnRenamed("size", "source_size"), "targets")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    aims = aims.withColumn("whole", F.floor(ratio).cast("long")).withColumn("chance", ratio - F.floor(ratio)).withColumnRenamed("source", "own")
+    aims = aims.withColumns({"whole": F.floor(ratio).cast("long"), "chance": ratio - F.floor(ratio)})
+    aims = aims.withColumnRenamed("source", "own")
     placed = units.join(aims, F.col("source").eqNullSafe(F.col("own"))).drop("own")
-    placed = placed.withColumn("words", F.col("size") * F.col("copies")).withColumn("order_a", F.xxhash64("id", "text_hash", F.lit(seed))).withColumn("order_b", F.col("text_hash"))
+    order = {"order_a": F.xxhash64("id", "text_hash", F.lit(seed)), "order_b": F.col("text_hash")}
+    placed = placed.withColumns({"words": F.col("size") * F.col("copies"), **order})
     kind = lambda name: placed.schema[name].dataType.simpleString()
     fields = ["rank", "order_a", "order_b", "copies", "words", "chance"]
     open_units, decided, level = placed.select(*fields), None, 0

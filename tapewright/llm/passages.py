@@ -93,7 +93,10 @@ def _cut(text, positions):
     return "".join(u for u, g in zip(own, gone) if not g), starts, stops, len(own), int(gone.sum())
 
 
-def remove_repeats(docs, id_col="doc_id", text_col="text", min_words=MIN_WORDS, spans_col="removed", units_col="n_units", removed_col="n_removed"):
+def remove_repeats(
+    docs, id_col="doc_id", text_col="text", min_words=MIN_WORDS,
+    spans_col="removed", units_col="n_units", removed_col="n_removed",
+):
     """``docs`` with repeated passages cut from ``text_col``.
 
     ``spans_col`` holds what was removed as (start, end) code points of the original text, ``units_col`` and

@@ -117,7 +117,8 @@ def word_bins(counts, reference, most=20):
     top, rest = order[:most], order[most:]
     own = rest[reference[rest] > 0]
     counts = np.atleast_2d(counts)
-    return np.column_stack([counts[:, top], counts[:, own].sum(axis=1), counts.sum(axis=1) - counts[:, top].sum(axis=1) - counts[:, own].sum(axis=1)])
+    first, listed = counts[:, top], counts[:, own].sum(axis=1)
+    return np.column_stack([first, listed, counts.sum(axis=1) - first.sum(axis=1) - listed])
 
 
 # --- whole tables ------------------------------------------------------------------------------
@@ -143,9 +144,8 @@ def measure(docs, id_col="doc_id", text_col="text", lang_col="lang"):
                     ["id", "lang", *_COUNTS, "classes", "common"],
                 )
 
-    inputs = docs.select(
-        F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
-    )
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    inputs = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), text.alias("text"))
     counts = ", ".join(f"{n} long" for n in _COUNTS)
     kind = docs.schema[id_col].dataType.simpleString()
     measured = inputs.mapInArrow(run, f"id {kind}, lang string, {counts}, classes array<long>, common array<long>")
@@ -163,7 +163,8 @@ def references(measured):
         sums = {}
         for batch in batches:
             lang = batch.column("lang").to_pylist()
-            rows = np.column_stack([np.array(batch.column(c).to_pylist(), np.int64) for c in ("classes", "common")]) if batch.num_rows else []
+            parts = [np.array(batch.column(c).to_pylist(), np.int64) for c in ("classes", "common")]
+            rows = np.column_stack(parts) if batch.num_rows else []
             for name, row in zip(lang, rows):
                 sums[name] = sums.get(name, 0) + row
         for name, row in sums.items():

@@ -20,15 +20,15 @@ def op2_decontamination(spark, sf_dir):
     """Each document and benchmark item of which tiles cover half or more."""
     found = decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     longest = F.array_max(F.transform("tiles", lambda t: t[2]))
-    return found.select(
-        F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "coverage", F.size("tiles").alias("n_tiles"), longest.alias("longest_tile")
-    )
+    names = F.col("id").alias("doc_id"), F.col("item").alias("item_id")
+    return found.select(*names, "coverage", F.size("tiles").alias("n_tiles"), longest.alias("longest_tile"))
 
 
 def op3_simhash(spark, sf_dir):
     """Near-duplicate classes of all documents: 4-word shingles, links at 4 bits or fewer."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, tau=4)
-    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
 def op4_toxicity(spark, sf_dir):
@@ -36,7 +36,8 @@ def op4_toxicity(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     model = toxicity.train(docs, toxicity.learned_rows(_table(spark, sf_dir, "labels")))
     scored = toxicity.score(docs.select("doc_id", "text"), model)
-    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", predicted)
 
 
 def op5_language(spark, sf_dir):

@@ -33,7 +33,7 @@ def split_words(text):
 class Hashes(dict):
     """64-bit hashes of words, remembered; a lookup is cheaper than the hash. Forgets all when full."""
 
-    def __init__(self, most=500_000):
+    def __init__(self, most=300_000):
         super().__init__()
         self.most = most
 

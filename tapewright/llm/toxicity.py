@@ -41,7 +41,8 @@ def training_sample(docs, labels, id_col, text_col, label_col, most_texts, most_
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     sizes = docs.select(F.col(id_col).alias("id"), F.length(text).alias("size"))
-    marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1)").distinct()
+    marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
+    marked = marked.where("label in (0, 1)").distinct()
     known = sizes.join(marked, "id")
     rows = {r.label: r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     order = [F.xxhash64("id"), "id", "size"]
@@ -53,7 +54,8 @@ def training_sample(docs, labels, id_col, text_col, label_col, most_texts, most_
     chosen = chosen.withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0))).where(F.col("before") < most_chars)
     ids = F.broadcast(chosen.select("id", "label").distinct())  # at most 2 * most_texts rows
     sample = docs.select(F.col(id_col).alias("id"), text.alias("text")).join(ids, "id")
-    return sample.select("id", "label", F.pmod(F.xxhash64("id", F.lit("part")), F.lit(PARTS)).cast("int").alias("part"), "text"), rows
+    part = F.pmod(F.xxhash64("id", F.lit("part")), F.lit(PARTS)).cast("int")
+    return sample.select("id", "label", part.alias("part"), "text"), rows
 
 
 def continuation_counts(sample):
@@ -183,7 +185,8 @@ def train(docs, labels, id_col="doc_id", text_col="text", label_col="toxic", mos
                 model.features(codes_of.of(words(text)), part).tolist()
                 for text, part in zip(batch.column("text").to_pylist(), batch.column("part").to_pylist())
             ]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(found, pa.list_(pa.float64()))], ["id", "label", "features"])
+            columns = [batch.column("id"), batch.column("label"), pa.array(found, pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "label", "features"])
 
     kind = sample.schema["id"].dataType.simpleString()
     scored = sample.mapInArrow(run, f"id {kind}, label int, features array<double>").orderBy("id", "label").toArrow()

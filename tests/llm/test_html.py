@@ -65,3 +65,8 @@ def test_rows_and_columns_stay(spark):
     assert found.columns == ["page_id", "html", "text"]
     assert sorted(r.text for r in found.collect()) == ["", "", LONG]
     assert html.extract(pages.limit(0)).collect() == []
+
+
+def test_headings_of_an_article_header_stay():
+    page = f"<article><header><h1>Head</h1><p>By Bob</p></header><div class='entry-header'><h2>Sub</h2><span>1 May</span></div><p>{LONG}</p></article>"
+    assert html.main_text(page) == f"Head\nSub\n{LONG}"
