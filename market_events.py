@@ -36,7 +36,9 @@ def every(n):
 
 
 def _with_tail(body):
-    """Some messages go on behind their object: with another one, with junk, or with text that closes and reopens a wrapper."""
+    """Some messages go on behind their object: with another one, with junk, or with text that closes and reopens a
+    wrapper.
+    """
     return (
         F.when(every(61), F.concat(body, body))
         .when(every(59), F.concat(body, F.lit(" junk }")))
@@ -47,7 +49,8 @@ def _with_tail(body):
 
 
 def feed_messages(trades):
-    """Exchange messages: ``error`` events are pings, odd event ids come without an envelope, some are broken, see ``_with_tail``.
+    """Exchange messages: ``error`` events are pings, odd event ids come without an envelope, some are broken, see
+    ``_with_tail``.
 
     Every 43rd has a price that is no number, every 41st no time.
     """

@@ -18,10 +18,11 @@ def end_mark(value):
 
 
 def wrapped(value):
-    """A message as the first element of a JSON array, with a closing element behind it; NULL if it starts with no brace.
+    """A message as the first element of a JSON array, with a closing element behind it; NULL if it starts with no
+    brace.
 
-    A JSON reader stops at the end of the first value and ignores what follows, so text after the object would go unseen. Inside an
-    array, such text is an error, an element too many, or it cuts the closing element off.
+    A JSON reader stops at the end of the first value and ignores what follows, so text after the object would go
+    unseen. Inside an array, such text is an error, an element too many, or it cuts the closing element off.
     """
     opened = F.ltrim(value, F.lit(JSON_SPACE)).startswith("{")
     closing = F.concat(F.lit(f',{{"{END}":"'), end_mark(value), F.lit('"}]'))

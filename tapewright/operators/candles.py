@@ -48,11 +48,12 @@ def _text_key(offset):
 def _order_keys(window_ms):
     """SQL expressions that order the priced trades of one window by (event time, trade number, trade id).
 
-    Spark aggregates by hashing only when the buffer has fixed width; ordering by a struct makes it sort its whole input, which took
-    three times as long over 10 million rows. So the order goes into numbers. An id that is the symbol in one case, a dash and a number shares one
-    BIGINT with its time; its lowest bit tells lower case, which follows upper case. Other ids with a number, and numbers too
-    large for that, go to a DECIMAL. Ids without a number come first at their time, in text order of their first
-    bytes, in a DECIMAL of their own. A trade without a price has no key, and every other has exactly one.
+    Spark aggregates by hashing only when the buffer has fixed width; ordering by a struct makes it sort its whole
+    input, which took three times as long over 10 million rows. So the order goes into numbers. An id that is the symbol
+    in one case, a dash and a number shares one BIGINT with its time; its lowest bit tells lower case, which follows
+    upper case. Other ids with a number, and numbers too large for that, go to a DECIMAL. Ids without a number come
+    first at their time, in text order of their first bytes, in a DECIMAL of their own. A trade without a price has no
+    key, and every other has exactly one.
     """
     offset_bits = max(1, (window_ms - 1).bit_length())
     shift, bits = 63 - offset_bits, 126 - _NUMBER_BITS - offset_bits
@@ -67,9 +68,9 @@ def _order_keys(window_ms):
 def candles(trades, window_seconds=DEFAULT_WINDOW_SECONDS, watermark=DEFAULT_WATERMARK):
     """One row per upper-cased symbol and window: open, high, low, close, volume, trade_count.
 
-    Open and close follow event time, then trade number, then trade id, and never arrival; trades without a price count, but set no price. All measures combine
-    partially before the one shuffle on (symbol, window), so a hot symbol or a hot window sends one
-    row per map task and not its trades.
+    Open and close follow event time, then trade number, then trade id, and never arrival; trades without a price count,
+    but set no price. All measures combine partially before the one shuffle on (symbol, window), so a hot symbol or a
+    hot window sends one row per map task and not its trades.
     """
     window_seconds = max(1, int(window_seconds))
     keys, shift, bits = _order_keys(window_seconds * 1000)
@@ -102,7 +103,8 @@ def candles(trades, window_seconds=DEFAULT_WINDOW_SECONDS, watermark=DEFAULT_WAT
         return _wide(f"shiftright({key}, {shift})", number, _code(own_id, bits), bits)
 
     def edge(kind, name, sign):
-        """The price at one end: of the two keys with a number the outer one, then against ids without a number by time."""
+        """The price at one end: of the two keys with a number the outer one, then against ids without a number by time.
+        """
         n, w, t = (f"_{kind}_{k}" for k in "nwt")
         price = [f"_{name}_{k}" for k in "nwt"]
         outer_n = f"{w} IS NULL OR {widened(n)} {sign} {w}"

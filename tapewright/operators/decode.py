@@ -28,7 +28,9 @@ _TEXT_TRADE = ", ".join(f"{c} string" for c in TRADE_COLUMNS)
 
 
 def _parsed_trade(messages, value, *keep):
-    """``keep``, the parsed members as ``_t`` (NULL if there is no object), and whether the message is one JSON object as ``_object``; one parse."""
+    """``keep``, the parsed members as ``_t`` (NULL if there is no object), and whether the message is one JSON object
+    as ``_object``; one parse.
+    """
     # Read as text and cast later: a typed read would turn "12.5" in quotes into NULL.
     elements = F.from_json(text.wrapped(value), f"array<struct<{_TEXT_TRADE}, {text.END} string>>", text.JSON_OPTIONS)
     parsed = messages.select(*keep, elements.alias("_elements"), text.end_mark(value).alias("_mark"))

@@ -34,12 +34,13 @@ def latest_candle(candle_rows):
 class KeyedTable:
     """Upsert table in plain Parquet: idempotent batches, and the latest row of each key on reading.
 
-    ``batch=<id>`` holds the rows of one micro-batch. A later batch beats an earlier one; inside a batch ``order_by`` decides. A batch counts once the writer
-    has marked it as finished, and a finished batch is never written again, so a replay adds nothing. Batch ids are those of one
-    stream checkpoint: a stream with another one is refused. ``determined`` names columns that the key fixes, such as the symbol
-    of a trade id; filters on them and on the key reach the scan. Rows are sorted by ``cluster_by`` within files, so such filters skip
-    row groups. ``files_per_batch`` bounds the files of a small batch that comes in many partitions. Merging old batches is left to
-    a table format with MERGE behind the same batch function.
+    ``batch=<id>`` holds the rows of one micro-batch. A later batch beats an earlier one; inside a batch ``order_by``
+    decides. A batch counts once the writer has marked it as finished, and a finished batch is never written again, so a
+    replay adds nothing. Batch ids are those of one stream checkpoint: a stream with another one is refused.
+    ``determined`` names columns that the key fixes, such as the symbol of a trade id; filters on them and on the key
+    reach the scan. Rows are sorted by ``cluster_by`` within files, so such filters skip row groups. ``files_per_batch``
+    bounds the files of a small batch that comes in many partitions. Merging old batches is left to a table format with
+    MERGE behind the same batch function.
     """
 
     path: str

@@ -7,6 +7,7 @@ from operator import and_
 from pyspark.sql import functions as F
 
 from tapewright.functions.text import END, end_mark, wrapped
+from tapewright.functions.times import MAX_EVENT_MS, MIN_EVENT_MS
 from tapewright.operators.rows import reason_list
 
 
@@ -121,9 +122,12 @@ def violation_counts(checked):
     )
 
 
-def split_complete(rows, required):
-    """Rows fit for a keyed table (no NULL in ``required``), and the others with reasons."""
-    absent = reason_list(F.concat_ws(",", *[F.when(F.col(c).isNull(), f"{c}:null") for c in required]))
+def split_complete(rows, required, times=()):
+    """Rows fit for a keyed table, and the others with reasons: no NULL in ``required``, and ``times`` that a timestamp can hold."""
+    wrong = [F.when(F.col(c).isNull(), f"{c}:null") for c in required]
+    wrong += [F.when(~F.col(c).between(MIN_EVENT_MS, MAX_EVENT_MS), f"{c}:range") for c in times]
     # Not dropna, which takes NaN for NULL.
     complete = reduce(and_, [F.col(c).isNotNull() for c in required])
-    return rows.where(complete), rows.where(~complete).withColumn("violations", absent)
+    for c in times:
+        complete = complete & F.coalesce(F.col(c).between(MIN_EVENT_MS, MAX_EVENT_MS), F.lit(False))
+    return rows.where(complete), rows.where(~complete).withColumn("violations", reason_list(F.concat_ws(",", *wrong)))

@@ -41,7 +41,8 @@ def flush_counts(flushes):
 def flush_totals(counts, chunk_size=DAY_MS):
     """Records per flush and the running total over flushes; ``counts`` has flush, symbol, records.
 
-    Flushes are summed in chunks of ``chunk_size`` along ``flush``, a day of epoch ms by default, and one row a chunk is carried on.
+    Flushes are summed in chunks of ``chunk_size`` along ``flush``, a day of epoch ms by default, and one row a chunk is
+    carried on.
     """
     flushes = counts.groupBy("flush").agg(
         F.sum("records").alias("written"), F.count(F.lit(1)).alias("symbols")

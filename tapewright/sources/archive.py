@@ -23,7 +23,8 @@ def _last_flush(spark, root):
 def read_archive(spark, root, dedupe=False):
     """Archived trades of all finished flushes, with dt, symbol_part and batch; filters on them prune folders.
 
-    ``dedupe`` keeps the last written copy of each trade id; rows without an id have nothing to be a copy of, and all stay.
+    ``dedupe`` keeps the last written copy of each trade id; rows without an id have nothing to be a copy of, and all
+    stay.
     """
     last = _last_flush(spark, root)
     if last < 0:
@@ -72,7 +73,9 @@ def archive_files(spark, root, prefix=f"{TRADES_FOLDER}/"):
 
 
 def list_files(spark, root, prefix=f"{TRADES_FOLDER}/", max_keys=50, start_after=None):
-    """The first ``max_keys`` files in key order; with ``start_after``, those behind that key, so a caller can page through all."""
+    """The first ``max_keys`` files in key order; with ``start_after``, those behind that key, so a caller can page
+    through all.
+    """
     if not 1 <= max_keys <= 200:
         raise ValueError("max_keys must be between 1 and 200")
     files = archive_files(spark, root, prefix)

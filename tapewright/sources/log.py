@@ -37,7 +37,8 @@ def read_kafka(spark, brokers, topic, stream=True, max_offsets_per_trigger=None)
 
 
 def read_kafka_flushes(spark, brokers, topic, rows_per_flush=FLUSH_ROWS):
-    """The log as a stream for the archive: a trigger takes at most ``rows_per_flush`` messages, so a backlog is many flushes.
+    """The log as a stream for the archive: a trigger takes at most ``rows_per_flush`` messages, so a backlog is many
+    flushes.
 
     Files grow with that number; on a large log raise it to what one flush should hold.
     """

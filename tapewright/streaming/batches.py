@@ -1,8 +1,8 @@
 """Batches of one stream in one folder: who may write, and which batches count.
 
-Every folder written batch by batch holds ``_owner``, the id of the stream that writes it, and ``_commits/<id>`` for each finished batch.
-Batch ids start anew with a new checkpoint, so a second stream would replace or skip batches of the first; it is refused before it writes.
-Names with an underscore in front are no data to Spark's readers.
+Every folder written batch by batch holds ``_owner``, the id of the stream that writes it, and ``_commits/<id>`` for
+each finished batch. Batch ids start anew with a new checkpoint, so a second stream would replace or skip batches of the
+first; it is refused before it writes. Names with an underscore in front are no data to Spark's readers.
 """
 
 from pyspark.sql import functions as F
@@ -23,7 +23,9 @@ def stream_id(rows):
 
 
 def claim(spark, folder, owner):
-    """Makes the stream ``owner`` the writer of ``folder``; raises if another one is. Without an owner, nothing is claimed."""
+    """Makes the stream ``owner`` the writer of ``folder``; raises if another one is. Without an owner, nothing is
+    claimed.
+    """
     if owner is None:
         return
     fs, path = file_system(spark, f"{folder}/_owner")

@@ -45,7 +45,9 @@ def start_candles(
 
 
 def start_raw_trades(trades, table, checkpoint, rejects_path, every=None):
-    """Upserts every trade by id; one with a missing field goes to ``rejects_path``. No watermark: a late trade is stored like any other."""
+    """Upserts every trade by id; one with a missing field goes to ``rejects_path``. No watermark: a late trade is
+    stored like any other.
+    """
     projected = decode.raw_trades(trades, carry=[c for c in table.order_by if c not in table.schema.fieldNames()])
     writer = projected.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         sinks.upsert_batch(table, rejects_path)
@@ -54,9 +56,10 @@ def start_raw_trades(trades, table, checkpoint, rejects_path, every=None):
 
 
 def start_pipeline(trades, candle_table, trade_table, checkpoints, rejects, console=False, **candle_options):
-    """The whole serving side of one trade stream: stored trades, candles, and candles on the console if
-    asked. Each query reads the source on its own, keeps its own position below ``checkpoints`` and what it can't store in ``raw`` or
-    ``candles`` below ``rejects``."""
+    """The whole serving side of one trade stream: stored trades, candles, and candles on the console if asked. Each
+    query reads the source on its own, keeps its own position below ``checkpoints`` and what it can't store in ``raw``
+    or ``candles`` below ``rejects``.
+    """
     every = candle_options.get("every")
     queries = [
         start_raw_trades(trades, trade_table, f"{checkpoints}/raw", f"{rejects}/raw", every),
@@ -69,10 +72,12 @@ def start_pipeline(trades, candle_table, trade_table, checkpoints, rejects, cons
 
 
 def start_archive(trades, root, checkpoint, every=None, event_date=False, files=8, max_records_per_file=1_000_000):
-    """Appends trades to ``root/trades/dt=/symbol_part=/batch=`` as Snappy Parquet, exactly once, and to the flush log ``root/flushes``.
+    """Appends trades to ``root/trades/dt=/symbol_part=/batch=`` as Snappy Parquet, exactly once, and to the flush log
+    ``root/flushes``.
 
     A flush is a micro-batch: time-bound by ``every`` (usually ``ARCHIVE_EVERY``), size-bound by the source's limit per
-    trigger (``sources.log.FLUSH_ROWS`` by default for a log). ``files`` bounds the files of one folder in a flush, see ``sinks.archive_batch``.
+    trigger (``sources.log.FLUSH_ROWS`` by default for a log). ``files`` bounds the files of one folder in a flush, see
+    ``sinks.archive_batch``.
     """
     writer = trades.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         sinks.archive_batch(root, event_date, files, max_records_per_file)
@@ -101,7 +106,8 @@ def start_publish(messages, checkpoint, fmt="kafka", options=None, every=None):
 
 
 def start_rejects(messages, path, checkpoint, kind="feed", every=None):
-    """Keeps the messages the other queries skip, with payload and reasons, in folders of batches; ``sinks.read_rejects`` reads them.
+    """Keeps the messages the other queries skip, with payload and reasons, in folders of batches;
+    ``sinks.read_rejects`` reads them.
 
     A stream with another checkpoint is refused there, as its batch ids would collide.
     """

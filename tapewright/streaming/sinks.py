@@ -12,16 +12,18 @@ UNKNOWN_SYMBOL = "UNKNOWN"
 
 
 def upsert_batch(table, rejects_path, unique=False):
-    """foreachBatch function: complete rows go to ``table``, rows with NULLs to ``rejects_path``; none is dropped.
+    """foreachBatch function: complete rows go to ``table``, rows with NULLs or an event time that no timestamp holds to
+    ``rejects_path``; none is dropped.
 
     Both outputs are folders of batches, so running a batch again adds nothing.
     """
     required = table.schema.fieldNames()
+    times = [c for c in ("event_time",) if c in required]
 
     def write(rows, batch_id):
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            good, bad = quality.split_complete(rows, required)
+            good, bad = quality.split_complete(rows, required, times)
             table.write_batch(good, batch_id, unique)
             write_rejects(bad.select(F.to_json(F.struct(*required)).alias("value"), "violations"), rejects_path, batch_id)
         finally:
@@ -54,11 +56,13 @@ def archive_rows(trades, event_date=False):
 
 
 def archive_batch(root, event_date=False, files=8, max_records_per_file=1_000_000):
-    """foreachBatch function: appends a flush to ``root/trades/dt=/symbol_part=/batch=`` as Snappy Parquet, exactly once.
+    """foreachBatch function: appends a flush to ``root/trades/dt=/symbol_part=/batch=`` as Snappy Parquet, exactly
+    once.
 
-    The batch is read from its source once and kept while its rows are counted by folder. With these counts, a folder's rows are dealt
-    into slots in proportion to its share of the batch, ``files`` for all of it, so a symbol with most of the rows is spread and small ones share a task. An
-    attempt that failed left folders of this batch only, which the next one replaces. The flush log is written with the batch.
+    The batch is read from its source once and kept while its rows are counted by folder. With these counts, a folder's
+    rows are dealt into slots in proportion to its share of the batch, ``files`` for all of it, so a symbol with most of
+    the rows is spread and small ones share a task. An attempt that failed left folders of this batch only, which the
+    next one replaces. The flush log is written with the batch.
     """
 
     def write(rows, batch_id):
@@ -89,7 +93,9 @@ def archive_batch(root, event_date=False, files=8, max_records_per_file=1_000_00
 
 
 def log_flush(spark, root, batch_id, stamped):
-    """Adds a row for each file of a flush to ``root/flushes``: file, symbol, rows, KB. Only the folders of the flush are listed."""
+    """Adds a row for each file of a flush to ``root/flushes``: file, symbol, rows, KB. Only the folders of the flush
+    are listed.
+    """
     days = [r.dt for r in stamped.select("dt").distinct().collect()]  # the dates of one flush
     globs = [f"{root}/trades/dt={d or '__HIVE_DEFAULT_PARTITION__'}/symbol_part=*/batch={batch_id}" for d in days]
     if globs:
@@ -115,10 +121,11 @@ def merge_statement(table, staging, columns, keys):
 
 
 def jdbc_upsert_batch(url, table, staging, schema, keys, rejects_path, order_by=(), properties=None, connections=8):
-    """foreachBatch function: the batch replaces a staging table, then one MERGE moves it over; rows with NULLs go to ``rejects_path``.
+    """foreachBatch function: the batch replaces a staging table, then one MERGE moves it over; rows with NULLs go to
+    ``rejects_path``.
 
-    The rows go from the executors to the database; the driver only sends the statement. ``connections``
-    bounds the parallel writers, not the rows.
+    The rows go from the executors to the database; the driver only sends the statement. ``connections`` bounds the
+    parallel writers, not the rows.
     """
     from tapewright.operators.keyed import latest_per_key
 

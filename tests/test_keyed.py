@@ -117,6 +117,14 @@ def test_rejects_are_kept(spark, table, tmp_path):
     assert '"trade_id":"b"' in kept[0].value
 
 
+def test_times_beyond_any_timestamp_are_rejected(spark, table, tmp_path):
+    """No candle could hold them; so they are told, not left out."""
+    far = rows(spark, ("a", 1, 1)).unionByName(rows(spark, ("b", 1, 1)).withColumn("event_time", F.lit(2**62)))
+    upsert_batch(table, str(tmp_path / "rejects"))(far, 0)
+    assert content(table.read(spark)) == [("a", 1.0)]
+    assert [r.violations for r in read_rejects(spark, str(tmp_path / "rejects")).collect()] == [["event_time:range"]]
+
+
 def test_latest_candle(spark):
     frame = spark.createDataFrame(
         [("A", 1.0, 10), ("A", 2.0, 30), ("A", 3.0, 20), ("B", 4.0, 5)], "symbol string, close_price double, at int"
