@@ -46,13 +46,11 @@ LINK_SHARE = 0.5  # of the words of a block of links
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>{RAW_TAGS})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)"
-    r"(?P<rest>(?:[^>\"'<]|\"(?:[^\"<>]*|[^\"]{0,2000})\"|'(?:[^'<>]*|[^']{0,2000})'|[\"'])*+)>"
+    r"(?P<rest>(?:[^>\"'<=]|=\s*+(?:\"[^\"]*+\"|'[^']*+')|[=\"'])*+)>"
     r"|<[!?/][^>]*>",
     re.S | re.I,
 )
-_NAMES = re.compile(
-    r"(?:^|[\s\"'])(class|id|role|style|aria-hidden|hidden)(?=[\s=/]|$)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I
-)
+_ATTRIBUTES = re.compile(r"([^\s\"'=/]+)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]+))?")
 _UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 _WORDS = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|\d+")
 _SPACE = re.compile(r"\s+")
@@ -61,7 +59,7 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 def _furniture(tag, rest, in_article):
     """'' or why an element is no part of the main text: 'frame', 'comments', or 'header' of an article, with headings only."""
-    found = {n.lower(): (v or "").strip("\"'") for n, v in _NAMES.findall(rest)} if rest else {}
+    found = {n.lower(): (v or "").strip("\"'") for n, v in _ATTRIBUTES.findall(rest)} if rest else {}
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or _UNSEEN.search(found.get("style", "")):
         return "frame"
     if found.get("role", "").lower() in FURNITURE_ROLES:

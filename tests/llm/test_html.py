@@ -70,3 +70,18 @@ def test_rows_and_columns_stay(spark):
 def test_headings_of_an_article_header_stay():
     page = f"<article><header><h1>Head</h1><p>By Bob</p></header><div class='entry-header'><h2>Sub</h2><span>1 May</span></div><p>{LONG}</p></article>"
     assert html.main_text(page) == f"Head\nSub\n{LONG}"
+
+
+def test_quoted_values_of_any_length_are_no_text():
+    inner = "<p class='ad'>" + LONG + "</p> {\"a\" > 1} "
+    for quote, value in (("'", inner.replace("'", "")), ('"', inner.replace('"', ""))):
+        for times in (1, 100):
+            held = f"data-x={quote}{value * times}{quote}"
+            assert html.main_text(f"<div {held}><p {held}>{LONG}</p></div>") == LONG
+            assert html.main_text(f"<p>{LONG}</p><div {held} class=sidebar><p>{LONG}</p></div><div role=x {held} role = 'menu'>{LONG}</div>") == LONG
+
+
+def test_quotes_that_open_no_value():
+    assert html.main_text(f"<p title=5\" 6'>{LONG}</p><p>{LONG} \"it's\"</p>") == f"{LONG}\n{LONG} \"it's\""
+    page = f'<p class="x>{LONG}</p>' + f"<p>{LONG}</p><p id='a>b'>" * 20_000  # the first quote never ends
+    assert html.main_text(page).count(LONG) == 20_001
