@@ -10,7 +10,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from tapewright.llm.stopwords import ANY_LANGUAGE
+from tapewright.llm.stopwords import STOP_WORDS
 
 # Names of the markup standard, and class words in common use.
 BLOCK_TAGS = frozenset(
@@ -41,8 +41,15 @@ MAIN_TAGS = frozenset(["article", "main"])
 
 SHORT_WORDS = 12  # blocks of fewer words are left to the second pass
 STOP_SHARE = 0.12  # of the words of a block of prose
+KNOWN_SHARE = 0.2  # of the words of all long blocks, in a listed language; other languages share single words with it
 LINK_SHARE = 0.5  # of the words of a block of links
 
+# By word, the numbers of the languages that list it.
+_LANGUAGES = {}
+for _number, _listed in enumerate(STOP_WORDS.values()):
+    for _word in set(_listed.split()):
+        _LANGUAGES[_word] = (*_LANGUAGES.get(_word, ()), _number)
+
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>{RAW_TAGS})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)"
@@ -82,8 +89,19 @@ def _furniture(tag, rest, in_article):
     return ""
 
 
+def _stops(words):
+    """How many of the words each language lists."""
+    counts = [0] * len(STOP_WORDS)
+    for word in words:
+        for number in _LANGUAGES.get(word, ()):
+            counts[number] += 1
+    return counts
+
+
 def blocks(page):
-    """[(text, words, stop words, words in links, in an article, is a heading)] of the page, furniture left out."""
+    """[(text, words, stop words by language, words in links, in an article, is a heading)] of the page, furniture left
+    out.
+    """
     out, open_tags = [], []  # open tags: (name, why dropped, in an article, in a link, in an article's header)
     dropped, inside, link, header = "", False, False, False
     parts, linked = [], 0
@@ -95,7 +113,7 @@ def blocks(page):
             text = _SPACE.sub(" ", "".join(parts)).strip()
             if text:
                 words = _WORDS.findall(text.lower())
-                out.append((text, len(words), sum(w in ANY_LANGUAGE for w in words), linked, inside, heading))
+                out.append((text, len(words), _stops(words), linked, inside, heading))
         parts, linked = [], 0
 
     def add(raw):
@@ -140,15 +158,22 @@ def blocks(page):
 
 
 def decide(found):
-    """First pass: True for main text, False for other text, None where a block's own figures don't tell."""
-    known = sum(b[2] for b in found) >= 0.02 * max(1, sum(b[1] for b in found))  # a language with listed stop words
+    """First pass: True for main text, False for other text, None where a block's own figures don't tell.
+
+    The language of a page counts as known if the best of the listed ones has enough stop words in the long blocks; the
+    long blocks of any other page are main text. A block is judged by the language that lists most of its words.
+    """
+    links = [words and linked > LINK_SHARE * words and not heading for _, words, _, linked, _, heading in found]
+    long = [b for b, link in zip(found, links) if not (link or b[1] < SHORT_WORDS or b[5])]
+    best = max((sum(n) for n in zip(*(b[2] for b in long))), default=0)
+    known = best >= KNOWN_SHARE * sum(b[1] for b in long)
     labels = []
-    for _, words, stops, linked, inside, heading in found:
-        if words and linked > LINK_SHARE * words and not heading:
+    for (_, words, stops, _, inside, heading), link in zip(found, links):
+        if link:
             labels.append(False)
         elif words < SHORT_WORDS or heading:
             labels.append(None)
-        elif not known or stops >= STOP_SHARE * words:
+        elif not known or max(stops) >= STOP_SHARE * words:
             labels.append(True)
         else:
             labels.append(None if inside else False)
@@ -179,12 +204,9 @@ def inherit(found, labels):
 
 
 def main_text(page):
-    """The main text of a page, one line a block; '' if there is none. If the page marks an article, other blocks are
-    left out.
+    """The main text of a page, one line a block; '' if there is none. Blocks outside an article count by the same rules.
     """
     found = blocks(page or "")
-    if any(b[4] for b in found):
-        found = [b for b in found if b[4]]
     return "\n".join(b[0] for b, keep in zip(found, inherit(found, decide(found))) if keep)
 
 

@@ -85,3 +85,22 @@ def test_quotes_that_open_no_value():
     assert html.main_text(f"<p title=5\" 6'>{LONG}</p><p>{LONG} \"it's\"</p>") == f"{LONG}\n{LONG} \"it's\""
     page = f'<p class="x>{LONG}</p>' + f"<p>{LONG}</p><p id='a>b'>" * 20_000  # the first quote never ends
     assert html.main_text(page).count(LONG) == 20_001
+
+
+POLISH = "W tym roku w naszym mieście otwarto nową szkołę, do której chodzi już ponad stu uczniów z całej okolicy i nie tylko."
+ITEMS = "Tuesday menu: tomato soup, grilled fish, green salad, fresh bread, apple cake, coffee, tea, water, juice, milk"
+
+
+def test_languages_without_listed_stop_words():
+    page = f"<div>Strona</div><p>{POLISH}</p><p>Krótko.</p><p>{POLISH} A to i owo do domu.</p><div><a href=x>{POLISH}</a></div>"
+    assert html.main_text(page) == f"Strona\n{POLISH}\nKrótko.\n{POLISH} A to i owo do domu."
+    # Blocks without stop words are other text on a page of a known language, and its stop words are those of one language.
+    assert html.main_text(f"<p>{LONG}</p><p>{ITEMS}</p>") == LONG
+    german = "Die Schule in der Stadt ist neu und sie hat mehr als hundert Schüler, die aus dem ganzen Land zu ihr kommen."
+    assert html.main_text(f"<p>{LONG}</p><p>{german}</p>") == f"{LONG}\n{german}"
+
+
+def test_text_beside_an_article_competes():
+    card = "<article class=card><h3>Card</h3><p>More.</p></article>"
+    assert html.main_text(f"<h1>Head</h1><p>{LONG}</p><p>{LONG}</p>{card}").startswith(f"Head\n{LONG}\n{LONG}")
+    assert html.main_text(f"<p>{ITEMS}</p><article><p>{LONG}</p></article><div>Imprint</div><div>{ITEMS}</div>") == LONG
