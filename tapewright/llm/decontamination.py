@@ -18,14 +18,27 @@ MIN_MATCH = 5  # tokens of the shortest tile
 THRESHOLD = 0.5  # share of an item's tokens under tiles
 FILTER_BITS = 1 << 25  # of the filter of seeds that every worker holds, at any size of the benchmark
 
+# Thai, Lao, Burmese, Khmer, Tai scripts, Javanese, Cham, kana, bopomofo and Han, with their marks and digits.
+UNSPACED = (
+    r"\u0e01-\u0e3a\u0e40-\u0e4e\u0e50-\u0e59\u0e81-\u0edf\u1000-\u1049\u1050-\u109d\u1780-\u17d3\u17dd-\u17e9\u1950-\u19da"
+    r"\u1a20-\u1a99\ua980-\ua9c0\ua9d0-\ua9fe\uaa00-\uaa59\uaa60-\uaadd\u3005-\u3007\u3041-\u309a\u309d-\u309f\u30a1-\u30fa"
+    r"\u30fc-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+)
+
 _TOKEN = re.compile(r"[^\W_]+")
+_UNSPACED = re.compile(f"[{UNSPACED}]")
+_MIXED = re.compile(rf"[{UNSPACED}]|[^\W_{UNSPACED}]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
 def tokens(text):
-    """Letters and digits in lower case; punctuation does not count."""
-    return [t.encode("utf-8", "surrogatepass") for t in _TOKEN.findall((text or "").lower())]
+    """Runs of letters and digits in lower case, and each code point of scripts without spaces; punctuation does not
+    count.
+    """
+    text = (text or "").lower()
+    token = _TOKEN if text.isascii() or not _UNSPACED.search(text) else _MIXED
+    return [t.encode("utf-8", "surrogatepass") for t in token.findall(text)]
 
 
 def _powers(base, count):

@@ -118,3 +118,11 @@ def test_very_long_text_and_hot_item(spark):
     docs = [(0, f"{filler} {item} {filler}")] + [(k, f"n{k} {item}") for k in range(1, 1500)]
     left, right = frames(spark, docs, [(1, item)])
     assert d.contamination(left, right).count() == 1500
+
+
+def test_scripts_without_spaces(spark):
+    assert d.tokens("Abc d_e 12、東京タワーab。ไทย") == [t.encode() for t in ["abc", "d", "e", "12", *"東京タワー", "ab", *"ไทย"]]
+    chinese, thai = "水在标准大气压下的沸点是多少摄氏度？", "เมืองหลวงของประเทศไทยคือเมืองอะไร"
+    docs = [(1, f"前面的文字{chinese}后面的文字。"), (2, f"ก่อน{thai}หลัง"), (3, "水在别的地方，沸点不一样。"), (4, "plain words only in this text")]
+    left, right = frames(spark, docs, [(7, chinese), (8, thai)])
+    assert sorted((r.id, r.item, r.coverage) for r in d.contamination(left, right).collect()) == [(1, 7, 1.0), (2, 8, 1.0)]
