@@ -21,9 +21,3 @@ def trades_frame(spark):
     from tapewright.schemas import TRADE
 
     return lambda rows: spark.createDataFrame(rows, TRADE)
-
-
-def plan_of(frame):
-    return frame._jdf.queryExecution().explainString(
-        frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
-    )

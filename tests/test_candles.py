@@ -2,7 +2,7 @@ import random
 import re
 
 from hypothesis import HealthCheck, given, settings
-from conftest import plan_of
+from plans import plan_of
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import plan_of
+from plans import plan_of
 
 from tapewright.functions.text import symbol_list
 from tapewright.operators import decode

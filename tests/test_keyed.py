@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import plan_of
+from plans import plan_of
 from pyspark.sql import functions as F
 
 from tapewright.operators.keyed import KeyedTable, latest_candle, latest_per_key
