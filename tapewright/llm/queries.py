@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from tapewright.llm import bloom_lm, decontamination, html, language, licenses, mixing, passages, quality, simhash, toxicity
+from tapewright.llm import (
+    bloom_lm, decontamination, html, language, licenses, line_runs, mixing, passages, quality, simhash, toxicity,
+)
 from tapewright.llm.text import fold
 
 
@@ -83,11 +85,18 @@ def op10_passages(spark, sf_dir):
     return done.select("doc_id", "text", "n_units", "n_removed", spans.alias("removed"))
 
 
+def op12_line_dedup(spark, sf_dir):
+    """All documents without the lines of 20 code points or more that three or more share, but in the last of those."""
+    done = line_runs.drop_shared_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
+    return done.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
+
+
 QUERIES = {
     q.__name__: q
     for q in [
         op1_html, op2_decontamination, op3_simhash, op4_toxicity, op5_language,
-        op6_mixing, op7_quality, op8_licenses, op9_language_model, op10_passages,
+        op6_mixing, op7_quality, op8_licenses, op9_language_model, op10_passages, op12_line_dedup,
     ]
 }
-ORACLE_SQL = {"op10_passages": passages.SQL}
+ORACLE_SQL = {"op10_passages": passages.SQL, "op12_line_dedup": line_runs.SQL}
