@@ -69,10 +69,12 @@ class LineRuns:
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self._root = scratch_dir(spark, "line-runs")
 
+    def _tables(self):
+        return [r.tableName for r in self.spark.sql(f"SHOW TABLES LIKE '{self.name}_*'").collect()]
+
     def runs(self):
         """(first, last) batch of each run that no other run covers, oldest first."""
-        tables = self.spark.catalog.listTables(pattern=f"{self.name}_*")
-        spans = [tuple(map(int, t.name.rsplit("_", 2)[1:])) for t in tables]
+        spans = [tuple(map(int, name.rsplit("_", 2)[1:])) for name in self._tables()]
         return sorted(s for s in spans if not any(o != s and o[0] <= s[0] and s[1] <= o[1] for o in spans))
 
     def table(self, span):
@@ -121,8 +123,8 @@ class LineRuns:
 
     def drop(self):
         """Takes the tables out of the catalog; their files stay in the scratch folder, as lazy results may need them."""
-        for table in self.spark.catalog.listTables(pattern=f"{self.name}_*"):
-            self.spark.sql(f"DROP TABLE IF EXISTS {table.name}")
+        for name in self._tables():
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def _mask(positions, n):
