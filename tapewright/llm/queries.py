@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from tapewright.llm import (
-    bloom_lm, decontamination, html, language, licenses, line_runs, mixing, passages, quality, simhash, toxicity,
+    bloom_lm, decontamination, html, language, licenses, line_runs, mixing, passages, prefix_trie, quality,
+    simhash, toxicity,
 )
 from tapewright.llm.text import fold
 
@@ -92,11 +93,18 @@ def op12_line_dedup(spark, sf_dir):
     return done.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
 
 
+def op13_prefix_trie(spark, sf_dir):
+    """Nodes of the prefix trie of all conversations, each rebuilt on the first turns of its base."""
+    own = prefix_trie.turns_of(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.graft(own))
+
+
 QUERIES = {
     q.__name__: q
     for q in [
         op1_html, op2_decontamination, op3_simhash, op4_toxicity, op5_language,
         op6_mixing, op7_quality, op8_licenses, op9_language_model, op10_passages, op12_line_dedup,
+        op13_prefix_trie,
     ]
 }
-ORACLE_SQL = {"op10_passages": passages.SQL, "op12_line_dedup": line_runs.SQL}
+ORACLE_SQL = {"op10_passages": passages.SQL, "op12_line_dedup": line_runs.SQL, "op13_prefix_trie": prefix_trie.SQL}
