@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tapewright.llm import (
-    bloom_lm, decontamination, html, language, licenses, line_runs, mixing, passages, prefix_trie, quality,
+    bloom_lm, decontamination, html, language, lexical_search, licenses, line_runs, mixing, passages, prefix_trie, quality,
     simhash, toxicity,
 )
 from tapewright.llm.text import fold
@@ -86,6 +86,11 @@ def op10_passages(spark, sf_dir):
     return done.select("doc_id", "text", "n_units", "n_removed", spans.alias("removed"))
 
 
+def op11_lexical_search(spark, sf_dir):
+    """The 50 highest-scoring of all documents for each benchmark item."""
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=50)
+
+
 def op12_line_dedup(spark, sf_dir):
     """All documents without the lines of 20 code points or more that three or more share, but in the last of those."""
     done = line_runs.drop_shared_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -103,8 +108,10 @@ QUERIES = {
     q.__name__: q
     for q in [
         op1_html, op2_decontamination, op3_simhash, op4_toxicity, op5_language,
-        op6_mixing, op7_quality, op8_licenses, op9_language_model, op10_passages, op12_line_dedup,
+        op6_mixing, op7_quality, op8_licenses, op9_language_model, op10_passages, op11_lexical_search, op12_line_dedup,
         op13_prefix_trie,
     ]
 }
-ORACLE_SQL = {"op10_passages": passages.SQL, "op12_line_dedup": line_runs.SQL, "op13_prefix_trie": prefix_trie.SQL}
+ORACLE_SQL = {
+    "op10_passages": passages.SQL, "op11_lexical_search": lexical_search.SQL, "op12_line_dedup": line_runs.SQL, "op13_prefix_trie": prefix_trie.SQL,
+}
