@@ -184,6 +184,24 @@ def ohlcv_tied_same_number(spark, sf_dir):
     return _flat(candle_ops.candles(tied.withColumn("trade_id", F.concat_ws("-", "symbol", F.expr("event_id div 2"))), HOUR))
 
 
+def _tied(trades, trade_id):
+    """All trades of an hour at one time, under other ids."""
+    floored = F.col("event_time") - F.pmod("event_time", F.lit(HOUR * 1000))
+    return trades.withColumns({"event_time": floored, "trade_id": trade_id})
+
+
+def ohlcv_tied_text_ids(spark, sf_dir):
+    """Tied times and ids that end in a text, as hexadecimal ones do."""
+    trade_id = F.concat_ws("-", "symbol", F.md5(F.col("event_id").cast("string")))
+    return _flat(candle_ops.candles(_tied(ev.read_trades(spark, sf_dir), trade_id), HOUR))
+
+
+def ohlcv_tied_long_ids(spark, sf_dir):
+    """Tied times and numbers that occur three times, in ids that differ behind a long common start."""
+    parts = F.lit("an-exchange-with-a-long-name"), F.md5(F.col("event_id").cast("string")), F.expr("event_id div 3")
+    return _flat(candle_ops.candles(_tied(ev.read_trades(spark, sf_dir), F.concat_ws("-", *parts)), HOUR))
+
+
 def ohlcv_null_price(spark, sf_dir):
     """Two of three trades without a price; they count, but set no price."""
     trades = ev.read_trades(spark, sf_dir)
@@ -414,8 +432,8 @@ def stream_late(spark, sf_dir):
     return _flat(table.read(spark))
 
 
-def stream_ohlcv_update(spark, sf_dir):
-    """Update mode over files that each span the whole time, so every batch revises most candles."""
+def _revised(spark, sf_dir, change=lambda trades: trades, **options):
+    """Hourly candles in update mode over files that each span the whole time, so every batch revises most of them."""
 
     def build(root):
         slices = ev.read_trades(spark, sf_dir).withColumn("slice", F.pmod("event_id", F.lit(7)))
@@ -426,13 +444,23 @@ def stream_ohlcv_update(spark, sf_dir):
     root = scratch_dir(spark, "revised")
     files = len(spark.read.parquet(staged).inputFiles())
     session = streaming_session(spark)
-    schema = T.StructType(TRADE.fields + [T.StructField("slice", T.IntegerType())])
-    trades = stream_parquet(session, staged, schema, max_files_per_trigger=math.ceil(files / 7))
+    schema = T.StructType(TRADE.fields + [T.StructField("event_id", T.LongType()), T.StructField("slice", T.IntegerType())])
+    trades = change(stream_parquet(session, staged, schema, max_files_per_trigger=math.ceil(files / 7)))
     table = _candle_table(f"{root}/table")
-    _run(jobs.start_candles(trades, table, f"{root}/checkpoint", f"{root}/rejects", HOUR, "366 days", "update"))
+    _run(jobs.start_candles(trades, table, f"{root}/checkpoint", f"{root}/rejects", HOUR, "366 days", "update", **options))
     return _flat(table.read(spark))
 
 
+def stream_ohlcv_update(spark, sf_dir):
+    """Update mode with plain ids, which a stream aggregates by hashing."""
+    return _revised(spark, sf_dir, plain_ids=True)
+
+
+def stream_tied_text_ids(spark, sf_dir):
+    """Update mode over tied times and ids that end in a text."""
+    return _revised(spark, sf_dir, lambda t: _tied(t, F.concat_ws("-", "symbol", F.md5(F.col("event_id").cast("string")))))
+
+
 def stream_raw_upsert(spark, sf_dir):
     root = scratch_dir(spark, "raw")
     table = _trade_table(f"{root}/table")
@@ -541,6 +569,8 @@ _QUERIES = [
     ohlcv_tied_times,
     ohlcv_tied_wide_ids,
     ohlcv_tied_same_number,
+    ohlcv_tied_text_ids,
+    ohlcv_tied_long_ids,
     ohlcv_null_price,
     feed_to_candles,
     normalize_exchange_trades,
@@ -574,6 +604,7 @@ _QUERIES = [
     stream_restart,
     stream_late,
     stream_ohlcv_update,
+    stream_tied_text_ids,
     stream_raw_upsert,
     stream_replay,
     pipeline_rejects,
@@ -708,6 +739,8 @@ def _trade_sql():
             seq="event_id // 2, CASE WHEN event_id % 2 = 1 THEN upper(symbol) ELSE symbol END || '-' || event_id // 2",
             body=_FLOORED,
         ),
+        "ohlcv_tied_text_ids": _ohlcv_sql(HOUR, seq="md5(CAST(event_id AS VARCHAR))", body=_FLOORED),
+        "ohlcv_tied_long_ids": _ohlcv_sql(HOUR, seq="event_id // 3, md5(CAST(event_id AS VARCHAR))", body=_FLOORED),
         "ohlcv_null_price": _ohlcv_sql(HOUR, body=f"SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN price END AS price) FROM ({_TRADES})"),
         "feed_to_candles": _ohlcv_sql(HOUR, body=_FEED_TRADES),
         "normalize_exchange_trades": f"SELECT {_TRADE_LIST} FROM ({_FEED_TRADES})",
@@ -839,6 +872,7 @@ SELECT * FROM ({hour}) WHERE window_end_ms <= (SELECT max(epoch_us(ts) // 1000)
 SELECT * FROM ({_ohlcv_sql(HOUR, body=_PUNCTUAL)}) WHERE window_end_ms <= (SELECT max(epoch_us(ts) // 1000) - 5000 FROM events)
 """,
         "stream_ohlcv_update": hour,
+        "stream_tied_text_ids": _ohlcv_sql(HOUR, seq="md5(CAST(event_id AS VARCHAR))", body=_FLOORED),
         "stream_raw_upsert": _REISSUED_LATEST,
         "stream_replay": f"SELECT {_TRADE_LIST.replace('symbol', 'upper(symbol) AS symbol')} FROM ({_TRADES})",
         "pipeline_rejects": f"""

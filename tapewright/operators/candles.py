@@ -16,77 +16,73 @@ def with_event_time(trades, watermark=None):
     return timed.withWatermark("ts", watermark) if watermark and trades.isStreaming else timed
 
 
-# 0 or 1 if the id is the symbol in upper or lower case, a dash and the number.
-_PLAIN = """CASE WHEN trade_id = concat(upper(symbol), '-', _seq) THEN 0L
-                 WHEN trade_id = concat(lower(symbol), '-', _seq) THEN 1L END"""
+# An id is plain if it is the symbol in one case, a dash and the trade number: 0 for upper, 1 for lower case.
+_PLAIN = """CASE WHEN trade_id = concat(_symbol, '-', _seq) THEN 0L
+                 WHEN trade_id = concat(lower(_symbol), '-', _seq) THEN 1L END"""
+_HIGH = f"{1 << 65}BD"  # above a 64-bit number and the bit of its case
 
-_NUMBER_BITS, _CASE_CHARS = 64, 16
-_TEXT_BYTES = 11
 
+def _plain_keys(window_ms, plain_ids):
+    """SQL expressions that order the priced trades with plain ids of one window by (event time, trade number, case).
 
-def _code(trade_id, bits):
-    """Orders ids of one symbol and number: by letter case over the first characters as text does, then by a hash."""
-    head = f"rpad(substr({trade_id}, 1, {_CASE_CHARS}), {_CASE_CHARS}, '0')"
-    cases = f"CAST(conv(regexp_replace(regexp_replace({head}, '[^a-z]', '0'), '[a-z]', '1'), 2, 10) AS BIGINT)"
-    hashed = bits - _CASE_CHARS
-    return f"(shiftleft({cases}, {hashed}) | (xxhash64({trade_id}) & {(1 << hashed) - 1}L))"
-
+    Spark aggregates by hashing only when the buffer has fixed width; ordering by a struct with a text makes it sort its
+    whole input, which took three times as long over 10 million rows. A plain id says no more than its number and its
+    case, so the order goes into one BIGINT, or a DECIMAL if the number is too large for that.
+    """
+    offset_bits = max(1, (window_ms - 1).bit_length())
+    shift = 63 - offset_bits
+    offset = f"pmod(event_time, {window_ms}L)"
+    fits = f"_seq < {1 << (shift - 1)}L"
+    other = "raise_error(concat('not a plain trade id: ', coalesce(trade_id, 'NULL')))" if plain_ids else "NULL"
+    narrow = f"CASE WHEN price IS NULL THEN NULL WHEN _lower IS NULL THEN {other} WHEN {fits} THEN shiftleft({offset}, {shift}) | shiftleft(_seq, 1) | _lower END"
+    decimals = [f"CAST({x} AS DECIMAL({n},0))" for x, n in ((offset, 12), ("_seq", 20), ("_lower", 1))]
+    wide = f"CASE WHEN price IS NOT NULL AND _lower IS NOT NULL AND NOT {fits} THEN {decimals[0]} * {_HIGH} + {decimals[1]} * 2BD + {decimals[2]} END"
+    return narrow, wide, shift
 
-def _wide(offset, number, code, bits):
-    """(offset, number, code) as one DECIMAL of at most 126 bits."""
-    high, low = f"{1 << (_NUMBER_BITS + bits)}BD", f"{1 << bits}BD"
-    return f"CAST({offset} AS DECIMAL(12,0)) * {high} + CAST({number} AS DECIMAL(20,0)) * {low} + CAST({code} AS DECIMAL(18,0))"
 
+# The whole order: event time, trade number, the id as text; a trade with a smaller price first if even those are equal.
+_ORDER = "named_struct('at', pmod(event_time, {0}L), 'number', coalesce(_seq, -1L), 'id', coalesce(trade_id, ''), 'price', price)"
 
-def _text_key(offset):
-    """(offset, first bytes of the id) as one DECIMAL, for ids without a number."""
-    digits = f"rpad(hex(substr(encode(coalesce(trade_id, ''), 'utf-8'), 1, {_TEXT_BYTES})), {2 * _TEXT_BYTES}, '0')"
-    high, low = (f"CAST(conv(substr({digits}, {start}, {size}), 16, 10) AS DECIMAL(20,0))" for start, size in ((1, 10), (11, 12)))
-    return f"CAST({offset} AS DECIMAL(12,0)) * {1 << 88}BD + {high} * {1 << 48}BD + {low}"
 
+def _edges(kinds):
+    """Aggregates of the first and last price by each of the keys ``kinds``."""
+    ends = (("min", "open", "first"), ("max", "close", "last"))
+    return [e for k in kinds for f, price, key in ends for e in (f"{f}_by(price, _{k}) AS _{price}_{k}", f"{f}(_{k}) AS _{key}_{k}")]
 
-def _order_keys(window_ms):
-    """SQL expressions that order the priced trades of one window by (event time, trade number, trade id).
 
-    Spark aggregates by hashing only when the buffer has fixed width; ordering by a struct makes it sort its whole
-    input, which took three times as long over 10 million rows. So the order goes into numbers. An id that is the symbol
-    in one case, a dash and a number shares one BIGINT with its time; its lowest bit tells lower case, which follows
-    upper case. Other ids with a number, and numbers too large for that, go to a DECIMAL. Ids without a number come
-    first at their time, in text order of their first bytes, in a DECIMAL of their own. A trade without a price has no
-    key, and every other has exactly one.
-    """
-    offset_bits = max(1, (window_ms - 1).bit_length())
-    shift, bits = 63 - offset_bits, 126 - _NUMBER_BITS - offset_bits
-    offset = f"pmod(event_time, {window_ms}L)"
-    fits = f"coalesce(_lower IS NOT NULL AND _seq < {1 << (shift - 1)}L, false)"
-    narrow = f"CASE WHEN price IS NOT NULL AND {fits} THEN shiftleft({offset}, {shift}) | shiftleft(_seq, 1) | _lower END"
-    wide = f"CASE WHEN price IS NOT NULL AND _seq IS NOT NULL AND NOT {fits} THEN {_wide(offset, '_seq', _code('trade_id', bits), bits)} END"
-    text = f"CASE WHEN price IS NOT NULL AND _seq IS NULL THEN {_text_key(offset)} END"
-    return {"n": narrow, "w": wide, "t": text}, shift, bits
-
-
-def candles(trades, window_seconds=DEFAULT_WINDOW_SECONDS, watermark=DEFAULT_WATERMARK):
+def candles(trades, window_seconds=DEFAULT_WINDOW_SECONDS, watermark=DEFAULT_WATERMARK, plain_ids=False):
     """One row per upper-cased symbol and window: open, high, low, close, volume, trade_count.
 
-    Open and close follow event time, then trade number, then trade id, and never arrival; trades without a price count,
-    but set no price. All measures combine partially before the one shuffle on (symbol, window), so a hot symbol or a
-    hot window sends one row per map task and not its trades.
+    Open and close follow event time, then trade number, then trade id, and never arrival; an id without a number comes
+    before all others of its time. Trades without a price count, but set no price. All measures combine partially before
+    the one shuffle on (symbol, window), so a hot symbol or a hot window sends one row per map task and not its trades.
+
+    Trades with plain ids are aggregated by hashing. Others have to be ordered by their whole id: each is a group of its
+    own, by (time, number, id), until it meets the others of its window behind the shuffle. A stream has no such two
+    steps; there the ids of all trades are compared, in an aggregate that sorts. ``plain_ids`` tells that there are only
+    plain ids, as the exchange feed makes them: then a stream hashes, too, and any other id is an error.
     """
     window_seconds = max(1, int(window_seconds))
-    keys, shift, bits = _order_keys(window_seconds * 1000)
-    edges = [
-        f"{function} AS {name}_{k}"
-        for k in keys
-        for function, name in (
-            (f"min_by(price, _{k})", "_open"), (f"max_by(price, _{k})", "_close"), (f"min(_{k})", "_first"), (f"max(_{k})", "_last"),
-        )
-    ]
+    window_ms = window_seconds * 1000
+    narrow, wide, shift = _plain_keys(window_ms, plain_ids)
+    whole = _ORDER.format(window_ms)
+    stream = trades.isStreaming and not plain_ids
+    if stream:
+        keys = {"t": f"CASE WHEN price IS NOT NULL THEN {whole} END"}
+        edges = ["min(_t) AS _first_t", "max(_t) AS _last_t"]
+    else:
+        keys = {"n": narrow, "w": wide}
+        edges = _edges(keys)
+        if not plain_ids:
+            # DISTINCT makes every such trade a group of its own below the shuffle; plain ones share the group of NULL.
+            keys["t"] = f"CASE WHEN price IS NOT NULL AND _lower IS NULL THEN {whole} END"
+            edges += ["min_by(DISTINCT _t, _t) AS _first_t", "max_by(DISTINCT _t, _t) AS _last_t"]
     grouped = (
         with_event_time(trades, watermark)
         # The exchange's own number ends the trade id.
-        .selectExpr("*", f"{TRADE_SEQUENCE} AS _seq")
+        .selectExpr("*", f"{TRADE_SEQUENCE} AS _seq", "upper(symbol) AS _symbol")
         .selectExpr("*", f"{_PLAIN} AS _lower")
-        .selectExpr("upper(symbol) AS symbol", "ts", "price", "quantity", *[f"{key} AS _{k}" for k, key in keys.items()])
+        .selectExpr("_symbol AS symbol", "ts", "price", "quantity", *[f"{key} AS _{k}" for k, key in keys.items()])
         .groupBy("symbol", F.window("ts", f"{window_seconds} seconds").alias("w"))
         .agg(
             *[F.expr(edge) for edge in edges],
@@ -97,33 +93,34 @@ def candles(trades, window_seconds=DEFAULT_WINDOW_SECONDS, watermark=DEFAULT_WAT
         )
     )
 
-    def widened(key):
-        number = f"shiftright({key} & {(1 << shift) - 1}L, 1)"
-        own_id = f"concat(CASE WHEN {key} & 1L = 0 THEN symbol ELSE lower(symbol) END, '-', {number})"
-        return _wide(f"shiftright({key}, {shift})", number, _code(own_id, bits), bits)
-
-    def edge(kind, name, sign):
-        """The price at one end: of the two keys with a number the outer one, then against ids without a number by time.
-        """
-        n, w, t = (f"_{kind}_{k}" for k in "nwt")
-        price = [f"_{name}_{k}" for k in "nwt"]
-        outer_n = f"{w} IS NULL OR {widened(n)} {sign} {w}"
-        numbered = f"CASE WHEN {n} IS NULL THEN {price[1]} WHEN {outer_n} THEN {price[0]} ELSE {price[1]} END"
-        time_n = f"CAST(shiftright({n}, {shift}) AS DECIMAL(38,0))"
-        time_w = f"CAST(floor({w} / {1 << (_NUMBER_BITS + bits)}BD) AS DECIMAL(38,0))"
-        time = f"{'least' if sign == '<=' else 'greatest'}({time_n}, {time_w})"
-        time_t = f"CAST(floor({t} / {1 << 88}BD) AS DECIMAL(38,0))"
-        text_wins = f"{time_t} <= {time}" if sign == "<=" else f"{time_t} > {time}"
-        return f"CASE WHEN {t} IS NULL THEN {numbered} WHEN {n} IS NULL AND {w} IS NULL OR {text_wins} THEN {price[2]} ELSE {numbered} END"
+    def edge(kind, name):
+        """The price at one end: that of the only key, else of the outer one in the whole order."""
+        if stream:
+            return f"_{kind}_t.price"
+        n, w = f"_{kind}_n", f"_{kind}_w"
+        low_w = f"CAST({w} % {_HIGH} AS DECIMAL(38,0))"
+        ids = "concat(CASE WHEN %s THEN symbol ELSE lower(symbol) END, '-', %s)"
+        parts = [
+            (n, f"shiftright({n}, {shift})", f"shiftright({n} & {(1 << shift) - 1}L, 1)", f"{n} & 1L = 0"),
+            (w, f"CAST(floor({w} / {_HIGH}) AS BIGINT)", f"CAST(floor({low_w} / 2BD) AS BIGINT)", f"{low_w} % 2BD = 0"),
+        ]
+        found = [
+            f"CASE WHEN {key} IS NOT NULL THEN named_struct('at', {at}, 'number', {number}, 'id', {ids % (upper, number)}, 'price', _{name}_{key[-1]}) END"
+            for key, at, number, upper in parts
+        ]
+        others = [] if plain_ids else [f"_{kind}_t"]
+        outer = f"array_{'min' if kind == 'first' else 'max'}(array({', '.join(found + others)})).price"
+        alone = " AND ".join(f"{x} IS NULL" for x in [w, *others])
+        return f"CASE WHEN {alone} THEN _{name}_n ELSE {outer} END"
 
     return grouped.selectExpr(
         "symbol",
         "w.start AS window_start",
         "w.end AS window_end",
-        f"{edge('first', 'open', '<=')} AS open_price",
+        f"{edge('first', 'open')} AS open_price",
         "high_price",
         "low_price",
-        f"{edge('last', 'close', '>=')} AS close_price",
+        f"{edge('last', 'close')} AS close_price",
         "volume",
         "trade_count",
     )

@@ -15,9 +15,11 @@ def _triggered(writer, every):
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
-def candle_stream(trades, window_seconds=candle_ops.DEFAULT_WINDOW_SECONDS, watermark=candle_ops.DEFAULT_WATERMARK):
+def candle_stream(
+    trades, window_seconds=candle_ops.DEFAULT_WINDOW_SECONDS, watermark=candle_ops.DEFAULT_WATERMARK, plain_ids=False
+):
     """Candles of a trade stream with the watermark in place."""
-    return candle_ops.candles(trades, window_seconds, watermark)
+    return candle_ops.candles(trades, window_seconds, watermark, plain_ids)
 
 
 def start_candles(
@@ -29,14 +31,16 @@ def start_candles(
     watermark=candle_ops.DEFAULT_WATERMARK,
     output_mode="append",
     every=None,
+    plain_ids=False,
 ):
     """Upserts candles by (symbol, window_start); a candle without any price goes to ``rejects_path``.
 
     ``append`` writes a window once, when the watermark passes its end; ``update`` writes its state so
-    far with every batch. Either way a key occurs once per batch.
+    far with every batch. Either way a key occurs once per batch. ``plain_ids`` tells that all ids are as the exchange
+    feed makes them, which is faster, see :func:`candles.candles`.
     """
     writer = (
-        candle_stream(trades, window_seconds, watermark)
+        candle_stream(trades, window_seconds, watermark, plain_ids)
         .writeStream.outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(sinks.upsert_batch(table, rejects_path, unique=True))

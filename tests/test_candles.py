@@ -1,6 +1,9 @@
+import itertools
+import math
 import random
 import re
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from plans import plan_of
 from hypothesis import strategies as st
@@ -19,15 +22,18 @@ def t(number, at, price=1.0, quantity=1.0, symbol="ABC"):
     return (f"{symbol}-{number}", symbol, price, quantity, "buy", at)
 
 
+def number_of(trade_id):
+    """Ids without a number come before all others of their time."""
+    tail = (trade_id or "").rsplit("-", 1)[-1]
+    return int(tail) if re.fullmatch("[0-9]+", tail) and int(tail) < 2**63 else -1
+
+
 def brute(rows, seconds):
     groups = {}
     size = seconds * 1000
     for trade_id, symbol, price, quantity, _, at in rows:
         if at is not None:
-            tail = trade_id.rsplit("-", 1)[-1]
-            # Ids without a number come before all others of their time.
-            number = int(tail) if re.fullmatch("[0-9]+", tail) and int(tail) < 2**63 else -1
-            groups.setdefault((symbol.upper(), at // size * size), []).append((at, number, trade_id.encode(), price, quantity))
+            groups.setdefault((symbol.upper(), at // size * size), []).append((at, number_of(trade_id), trade_id.encode(), price, quantity))
     out = []
     for (symbol, start), members in groups.items():
         prices = [m[3] for m in sorted(members, key=lambda m: m[:3]) if m[3] is not None] or [None]
@@ -124,7 +130,8 @@ def test_trades_without_a_price_set_no_edge(trades_frame):
 PREFIXES = ["abc", "ABC", "aBc", "Abc"]
 IDS = st.one_of(
     st.tuples(st.sampled_from(PREFIXES), st.sampled_from([0, 1, 2, 2**37, 9 * 10**18, 2**63 - 1, 2**63])).map(lambda x: f"{x[0]}-{x[1]}"),
-    st.sampled_from(["", "a", "b", "abc", "abc-x", "abc-x1", "ABC-", "é", "7"]),
+    st.sampled_from(["", "a", "b", "abc", "abc-x", "abc-x1", "ABC-", "é", "7", "abc-0123456789abcdef-x", "abc-0123456789abcdef-y"]),
+    st.sampled_from(["abc-0123456789abcdefA-1", "abc-0123456789abcdefB-1", "abc-01", "abc-001"]),
 )
 TIED = st.lists(
     st.tuples(IDS, st.sampled_from(PREFIXES), st.one_of(st.none(), st.integers(1, 50)), st.sampled_from([0, 1, 999, 86_399_999])),
@@ -141,5 +148,50 @@ def test_open_and_close_do_not_depend_on_row_order(trades_frame, drawn, seconds,
 
 
 def test_candles_still_aggregate_by_hashing(trades_frame):
-    plan = plan_of(candles(trades_frame([t(1, 1)]), 10))
+    plan = plan_of(candles(trades_frame([t(1, 1)]), 10, plain_ids=True))
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+    # With ids of any kind, trades are hashed; only what is left of them behind the first shuffle is sorted.
+    tree = plan_of(candles(trades_frame([t(1, 1)]), 10)).split("\n\n")[0]
+    order = [line.split("(")[0].strip(" +-:*") for line in tree.splitlines()[::-1]]
+    nodes = [n.strip() for n in order if any(x in n for x in ("Aggregate", "Exchange"))]
+    assert nodes[:3] == ["HashAggregate", "Exchange", "HashAggregate"]
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(drawn=TRADES, parts=st.integers(1, 3))
+def test_plain_ids_hash_to_the_same_candles(trades_frame, drawn, parts):
+    rows = [t(n, at // 100 * 100, p / 4, q / 100, s) for n, at, p, q, s in drawn]
+    assert as_rows(candles(trades_frame(rows).repartition(parts), 10, plain_ids=True)) == brute(rows, 10)
+
+
+@pytest.mark.parametrize("trade_id", ["x", "aBC-1", "ABC-01", "ABC", None, "ABC-x-1", f"ABC-{2**63}"])
+def test_other_ids_are_an_error_where_plain_ones_were_promised(trades_frame, trade_id):
+    rows = [t(1, 1), (trade_id, "ABC", 1.0, 1.0, "buy", 2)]
+    with pytest.raises(Exception, match="not a plain trade id"):
+        candles(trades_frame(rows), 10, plain_ids=True).collect()
+
+
+SHARED = [
+    # Ids that differ behind 11 bytes, behind 16 characters, in a number's place, and not at all but for the price.
+    ["BTCUSDT-abc1x", "BTCUSDT-abcd"], ["BTCUSDT-550e8400-aa", "BTCUSDT-550f8400-bb", "BTCUSDT-550e8400-ab"],
+    ["a-very-long-prefix-of-one-exchange-A-7", "a-very-long-prefix-of-one-exchange-B-7", "A-very-long-prefix-of-one-exchange-A-7"],
+    ["BTCUSDT-7", "btcusdt-7", "BtcUsdt-7", "BTCUSDT-07"], [f"BTCUSDT-{9 * 10**18}", f"btcusdt-{9 * 10**18}", f"bTCUSDT-{9 * 10**18}"],
+    ["", None, "BTCUSDT", "é", "e\u0301", "\U0001f600"],
+]
+
+
+@pytest.mark.parametrize("ids", SHARED)
+def test_any_order_of_rows_gives_one_result(trades_frame, ids):
+    rows = [(i, "BTCUSDT", float(k), 1.0, "buy", 5) for k, i in enumerate(ids)]
+    order = sorted(rows, key=lambda r: (number_of(r[0]), (r[0] or "").encode(), r[2]))
+    want = (order[0][2], order[-1][2])
+    for moved in itertools.islice(itertools.permutations(rows), 0, None, max(1, math.factorial(len(rows)) // 4)):
+        for parts in (1, 3):
+            got = as_rows(candles(trades_frame(list(moved)).repartition(parts), 10))
+            assert (got[0][3], got[0][6]) == want
+
+
+def test_one_id_and_time_with_two_prices(trades_frame):
+    rows = [("x", "ABC", 2.0, 1.0, "buy", 5), ("x", "ABC", 1.0, 1.0, "buy", 5)]
+    for moved in (rows, rows[::-1]):
+        assert [(r[3], r[6]) for r in as_rows(candles(trades_frame(moved), 10))] == [(1.0, 2.0)]
