@@ -82,13 +82,13 @@ def _run(query):
     query.awaitTermination()
 
 
-def _candle_table(path):
-    return KeyedTable(path, CANDLE, ("symbol", "window_start"), cluster_by=("symbol", "window_start"))
+def _candle_table(path, **more):
+    return KeyedTable(path, CANDLE, ("symbol", "window_start"), cluster_by=("symbol", "window_start"), **more)
 
 
-def _trade_table(path):
-    by = {"order_by": ("event_id",), "cluster_by": ("symbol", "event_time"), "determined": ("symbol",)}
-    return KeyedTable(path, TRADE, ("trade_id",), **by)
+def _trade_table(path, determined=("symbol",), **more):
+    by = {"order_by": ("event_id",), "cluster_by": ("symbol", "event_time")}
+    return KeyedTable(path, TRADE, ("trade_id",), determined=determined, **by, **more)
 
 
 def _once(spark, sf_dir, name, build):
@@ -118,7 +118,8 @@ def _stored_tables(spark, sf_dir):
     """The candle and trade tables as the streams write them: every window in its last state, every trade."""
 
     def build(root):
-        candle_table, trade_table = _candle_table(f"{root}/ohlcv"), _trade_table(f"{root}/raw")
+        candle_table = _candle_table(f"{root}/ohlcv", slice_by="window_start")
+        trade_table = _trade_table(f"{root}/raw", ("symbol", "event_time"), slice_by="event_time")
         stream, paths = _event_stream(spark, sf_dir), (f"{root}/checkpoints", f"{root}/rejects")
         _run(jobs.start_candles(stream, candle_table, f"{paths[0]}/c", f"{paths[1]}/c", HOUR, "366 days", "update"))
         _run(jobs.start_raw_trades(stream, trade_table, f"{paths[0]}/r", f"{paths[1]}/r"))
@@ -135,6 +136,14 @@ def _served_trades(spark, sf_dir):
     return _stored_tables(spark, sf_dir)[1].read(spark)
 
 
+def _newest_candles(spark, sf_dir, limit):
+    return serving.newest(spark, _stored_tables(spark, sf_dir)[0], SYMBOL, limit)
+
+
+def _newest_trades(spark, sf_dir, limit):
+    return serving.newest(spark, _stored_tables(spark, sf_dir)[1], SYMBOL, limit)
+
+
 # --- candles -----------------------------------------------------------------------------------
 
 
@@ -314,11 +323,11 @@ def symbols(spark, sf_dir):
 
 
 def candles_last_n(spark, sf_dir):
-    return serving.candles(_served_candles(spark, sf_dir), SYMBOL, 60)
+    return serving.candles(_newest_candles(spark, sf_dir, 60), SYMBOL, 60)
 
 
 def latest_trades(spark, sf_dir):
-    return serving.latest_trades(_served_trades(spark, sf_dir), SYMBOL, 50)
+    return serving.latest_trades(_newest_trades(spark, sf_dir, 50), SYMBOL, 50)
 
 
 def serving_stats(spark, sf_dir):
@@ -340,11 +349,18 @@ def ticker_changes(spark, sf_dir):
 
 
 def chart_series(spark, sf_dir):
-    return serving.chart_series(_served_candles(spark, sf_dir), SYMBOL, 120)
+    return serving.chart_series(_newest_candles(spark, sf_dir, 120), SYMBOL, 120)
+
+
+def trades_since(spark, sf_dir):
+    """A caller that polls: the newest trades of the last two days, by a bound that reaches the scan."""
+    trades = _stored_tables(spark, sf_dir)[1].read(spark)
+    since = trades.agg(F.max("event_time")).first()[0] - 2 * 24 * HOUR * 1000
+    return serving.latest_trades(serving.newest(spark, _stored_tables(spark, sf_dir)[1], SYMBOL, 200, since), SYMBOL, 200, since)
 
 
 def trade_tape(spark, sf_dir):
-    return serving.trade_tape(_served_trades(spark, sf_dir), SYMBOL, 30)
+    return serving.trade_tape(_newest_trades(spark, sf_dir, 30), SYMBOL, 30)
 
 
 def sql_views(spark, sf_dir):
@@ -591,6 +607,7 @@ _QUERIES = [
     symbols,
     candles_last_n,
     latest_trades,
+    trades_since,
     serving_stats,
     latest_prices,
     price_message,
@@ -802,6 +819,12 @@ FROM (SELECT * FROM candles WHERE symbol = 'CLICK' ORDER BY window_start_ms DESC
         "latest_trades": _with_candles(
             f"SELECT {_TRADE_LIST} FROM stored WHERE symbol = 'CLICK' ORDER BY event_time DESC, event_id DESC LIMIT 50"
         ),
+        "trades_since": _with_candles(
+            f"""
+SELECT {_TRADE_LIST} FROM stored WHERE symbol = 'CLICK' AND event_time >= (SELECT max(event_time) FROM stored) - 172800000
+ORDER BY event_time DESC, event_id DESC LIMIT 200
+"""
+        ),
         "serving_stats": _with_candles(
             f"""
 SELECT (SELECT count(*) FROM candles) AS total_candles, (SELECT count(*) FROM stored) AS total_trades_stored,

@@ -5,9 +5,12 @@ from dataclasses import dataclass
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tapewright.functions.times import DAY_MS, floor_div
 from tapewright.streaming import batches
 
 BATCH = "batch"
+SLICE = "time_slice"
+NO_TIME = -(2**62)  # the slice of rows without a time, older than any other
 
 
 def latest_per_key(rows, keys, version):
@@ -41,6 +44,10 @@ class KeyedTable:
     reach the scan. Rows are sorted by ``cluster_by`` within files, so such filters skip row groups. ``files_per_batch``
     bounds the files of a small batch that comes in many partitions. Merging old batches is left to a table format with
     MERGE behind the same batch function.
+
+    ``slice_by`` names a time that the key fixes, in epoch ms or as a timestamp. Batches are then stored below slices of
+    ``slice_ms`` of that time, and :meth:`newest` reads the newest slices only, however long the history is. All
+    versions of a key lie in one slice.
     """
 
     path: str
@@ -50,6 +57,12 @@ class KeyedTable:
     cluster_by: tuple = ()
     files_per_batch: int | None = None
     determined: tuple = ()
+    slice_by: str | None = None
+    slice_ms: int = DAY_MS
+
+    def __post_init__(self):
+        if self.slice_by is not None and self.slice_by not in self._groups:
+            raise ValueError(f"{self.slice_by} must be part of the key or determined by it")
 
     @property
     def _stored(self):
@@ -75,9 +88,37 @@ class KeyedTable:
             rows = rows.repartition(self.files_per_batch, *self.keys)
         if self.cluster_by:
             rows = rows.sortWithinPartitions(*self.cluster_by)
-        batches.write_batch(rows, self.path, batch_id)
-
-    def read(self, spark):
-        """One current row per key."""
-        rows = batches.read_batches(spark, self.path, self._stored)
+        if self.slice_by is None:
+            batches.write_batch(rows, self.path, batch_id)
+        else:
+            batches.write_batch(rows.withColumn(SLICE, self._slice()), self.path, batch_id, SLICE)
+
+    def _slice(self):
+        timestamp = isinstance(self.schema[self.slice_by].dataType, T.TimestampType)
+        ms = F.unix_millis(self.slice_by) if timestamp else F.col(self.slice_by)
+        return F.coalesce(floor_div(ms, self.slice_ms), F.lit(NO_TIME))
+
+    def read(self, spark, among=None):
+        """One current row per key; of the slices ``among`` only, if they are given."""
+        paths = None if among is None else [f"{SLICE}={n}" for n in among]
+        rows = batches.read_batches(spark, self.path, self._stored, paths)
         return latest_per_key(rows, self._groups, [BATCH, *self._order]).select(*self.schema.fieldNames())
+
+    def newest(self, spark, where, limit, since_ms=None, widen=4):
+        """The rows that ``where`` accepts in the newest slices that hold ``limit`` of them, or in all slices if those
+        have fewer; none from before ``since_ms``.
+
+        Slices are read newest first, ``widen`` times as many in each round, until there are enough rows. So the files
+        read for the newest rows of an active key do not grow with the history; only names of slices are listed.
+        """
+        if self.slice_by is None:
+            raise ValueError("the table is not stored by time")
+        first = NO_TIME if since_ms is None else since_ms // self.slice_ms
+        left = [n for n in batches.values_of(spark, self.path, SLICE) if n >= first]
+        chosen, found, size = [], 0, 1
+        while left and found < limit:
+            left, some = left[:-size], left[-size:]
+            chosen, size = some + chosen, size * widen
+            if left:  # with nothing left to read, how many there are decides nothing
+                found += self.read(spark, some).where(where).limit(limit - found).count()
+        return self.read(spark, chosen).where(where)

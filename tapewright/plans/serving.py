@@ -48,7 +48,8 @@ def candles(candle_rows, symbol, limit=60, since_ms=None):
 def latest_trades(trade_rows, symbol, limit=50, since_ms=None):
     """The last ``limit`` trades of a symbol, newest first; equal times follow the trade number.
 
-    ``since_ms`` asks for trades of that epoch time or later only, see :func:`candles`.
+    ``since_ms`` asks for trades of that epoch time or later only, see :func:`candles`. It reaches the scan of a stored
+    table that declares ``event_time`` as determined by the trade id.
     """
     check_limit(limit, 200)
     wanted = trade_rows.where(F.col("symbol") == symbol.upper())
@@ -60,6 +61,15 @@ def latest_trades(trade_rows, symbol, limit=50, since_ms=None):
     return newest.limit(limit).select(*TRADE_COLUMNS)
 
 
+def newest(spark, table, symbol, limit, since_ms=None):
+    """The rows of a symbol in the newest time slices of a stored table that hold ``limit`` of them.
+
+    For the lookups below, which take them like any rows: ``latest_trades(newest(spark, raw, "btc", 50), "btc", 50)``
+    reads the last day or so, and not the symbol's history.
+    """
+    return table.newest(spark, F.col("symbol") == symbol.upper(), limit, since_ms)
+
+
 def pipeline_stats(candle_rows, trade_rows):
     """One row: candles, stored trades, symbols with candles, end of the newest candle or NULL."""
     per_symbol = candle_rows.groupBy("symbol").agg(

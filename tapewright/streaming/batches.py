@@ -5,6 +5,8 @@ each finished batch. Batch ids start anew with a new checkpoint, so a second str
 first; it is refused before it writes. Names with an underscore in front are no data to Spark's readers.
 """
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,11 +31,16 @@ def claim(spark, folder, owner):
     if owner is None:
         return
     fs, path = file_system(spark, f"{folder}/_owner")
-    if not fs.exists(path):
-        out = fs.create(path, False)
+    if not fs.exists(path) or not fs.getFileStatus(path).getLen():
+        # Written aside and renamed, so a stop in between leaves no claim of nobody; an empty one names nobody.
+        _, aside = file_system(spark, f"{folder}/_owner-{uuid.uuid4().hex}")
+        out = fs.create(aside, False)
         out.write(bytearray(owner.encode()))
         out.close()
-        return
+        if fs.exists(path) and not fs.getFileStatus(path).getLen():
+            fs.delete(path, False)
+        if not fs.rename(aside, path):
+            fs.delete(aside, False)
     stream = fs.open(path)
     found = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     stream.close()
@@ -69,15 +76,33 @@ def write_once(rows, folder, batch_id, write):
         commit(spark, folder, batch_id)
 
 
-def write_batch(rows, folder, batch_id):
-    """A batch as Parquet in a folder of its own, which a repeated attempt replaces."""
-    write_once(rows, folder, batch_id, lambda: rows.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}"))
+def write_batch(rows, folder, batch_id, slices=None):
+    """A batch as Parquet in a folder of its own, which a repeated attempt replaces; with ``slices``, in one below each
+    value of that column.
+    """
+    if slices is None:
+        store = lambda: rows.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+    else:
+        sliced = rows.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        store = lambda: sliced.partitionBy(slices, "batch").parquet(folder)
+    write_once(rows, folder, batch_id, store)
+
 
+def read_batches(spark, folder, schema, paths=None):
+    """All rows of the finished batches, with ``batch``; empty without any. A stream finishes its batches in order.
 
-def read_batches(spark, folder, schema):
-    """All rows of the finished batches, with ``batch``; empty without any. A stream finishes its batches in order."""
+    ``paths`` are the folders below ``folder`` to read, if not all are; no other is listed.
+    """
     done = committed(spark, folder)
     full = T.StructType(schema.fields + [T.StructField("batch", T.LongType())])
-    if not done:
+    if not done or paths is not None and not paths:
         return spark.createDataFrame([], full)
-    return spark.read.schema(full).parquet(folder).where(F.col("batch") <= done[-1])
+    rows = spark.read.schema(full).option("basePath", folder).parquet(*([folder] if paths is None else [f"{folder}/{p}" for p in paths]))
+    return rows.where(F.col("batch") <= done[-1])
+
+
+def values_of(spark, folder, slices):
+    """The whole numbers ``slices`` has folders for, ascending. One listing of names."""
+    fs, root = file_system(spark, folder)
+    names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{slices}="))

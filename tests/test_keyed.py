@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tapewright.operators.keyed import KeyedTable, latest_candle, latest_per_key
 from tapewright.schemas import TRADE
+from tapewright.streaming import batches
 from tapewright.streaming.sinks import merge_statement, read_rejects, upsert_batch
 
 VERSIONED = "trade_id string, symbol string, price double, quantity double, side string, event_time long, event_id long"
@@ -140,3 +141,79 @@ def test_merge_statement():
         "WHEN MATCHED THEN UPDATE SET v = s.v "
         "WHEN NOT MATCHED THEN INSERT (symbol, at, v) VALUES (s.symbol, s.at, s.v)"
     )
+
+
+def days(spark, first, last, per_day=10, symbol="ABC"):
+    """Trades with the numbers and the days ``first`` to ``last``, all of one symbol, and one a day of another."""
+    items = [(f"{symbol}-{d}-{n}", symbol, 1.0, 1.0, "buy", d * 86_400_000 + n, 0) for d in range(first, last) for n in range(per_day)]
+    items += [(f"RARE-{d}", "RARE", 1.0, 1.0, "buy", d * 86_400_000, 0) for d in range(first, last)]
+    return spark.createDataFrame(items, VERSIONED)
+
+
+def sliced(path, **more):
+    return KeyedTable(str(path), TRADE, ("trade_id",), ("event_id",), ("symbol", "event_time"), determined=("symbol", "event_time"), slice_by="event_time", **more)
+
+
+def test_newest_rows_do_not_read_the_history(spark, tmp_path):
+    table, read = sliced(tmp_path / "t", files_per_batch=1), []
+    for batch in range(3):
+        table.write_batch(days(spark, batch * 10, batch * 10 + 10), batch)
+        found = table.newest(spark, F.col("symbol") == "ABC", 7)
+        assert found.count() == 10
+        read.append(len(found.inputFiles()))
+    assert read == [1, 1, 1] and len(table.read(spark).inputFiles()) == 30
+    # A symbol with few trades widens the search; one without any ends it at the last slice.
+    assert table.newest(spark, F.col("symbol") == "RARE", 7).count() == 21
+    assert table.newest(spark, F.col("symbol") == "RARE", 100).count() == 30
+    assert table.newest(spark, F.col("symbol") == "NONE", 7).collect() == []
+
+
+def test_newest_rows_are_those_of_the_whole_table(spark, tmp_path):
+    table = sliced(tmp_path / "t", slice_ms=3_600_000)
+    rng = random.Random(3)
+    for batch in range(3):  # late trades, new versions of old ones, times below zero
+        items = [(f"k{n}", rng.choice("AB"), float(batch), 1.0, "buy", n * 1_700_000 - 20_000_000, batch) for n in rng.sample(range(40), 15)]
+        fixed = [(i, "A" if int(i[1:]) % 3 else "B", p, q, s, at, v) for i, _, p, q, s, at, v in items]
+        table.write_batch(spark.createDataFrame(fixed, VERSIONED), batch)
+    for symbol in "AB":
+        for limit in (1, 3, 50):
+            order = [F.desc("event_time"), "trade_id"]
+            want = table.read(spark).where(F.col("symbol") == symbol).orderBy(*order).limit(limit).collect()
+            assert table.newest(spark, F.col("symbol") == symbol, limit).orderBy(*order).limit(limit).collect() == want
+
+
+def test_a_time_bound_reaches_the_scan(spark, tmp_path):
+    table = sliced(tmp_path / "t")
+    table.write_batch(days(spark, 0, 6), 0)
+    since = 4 * 86_400_000 + 5
+    found = table.newest(spark, F.col("symbol") == "ABC", 100, since).where(F.col("event_time") >= since)
+    assert f"GreaterThanOrEqual(event_time,{since})" in plan_of(found) and "EqualTo(symbol,ABC)" in plan_of(found)
+    assert found.count() == 15 and {f.split("time_slice=")[1][0] for f in found.inputFiles()} == {"4", "5"}
+
+
+def test_a_sliced_batch_is_replaced_and_unfinished_ones_are_not_read(spark, tmp_path):
+    table = sliced(tmp_path / "t")
+    table.write_batch(days(spark, 0, 2), 0)
+    (tmp_path / "t" / "_commits" / "0").unlink()
+    assert table.read(spark).collect() == [] and table.newest(spark, F.col("symbol") == "ABC", 3).collect() == []
+    table.write_batch(days(spark, 0, 2), 0)
+    table.write_batch(days(spark, 0, 2), 0)
+    assert table.read(spark).count() == 22 == spark.read.parquet(str(tmp_path / "t")).count()
+
+
+def test_only_a_time_that_the_key_fixes_slices(spark, tmp_path):
+    with pytest.raises(ValueError, match="determined"):
+        KeyedTable(str(tmp_path / "t"), TRADE, ("trade_id",), slice_by="event_time")
+    with pytest.raises(ValueError, match="not stored by time"):
+        KeyedTable(str(tmp_path / "t"), TRADE, ("trade_id",)).newest(spark, F.lit(True), 1)
+
+
+def test_an_owner_file_of_a_stopped_claim_names_nobody(spark, tmp_path):
+    folder = tmp_path / "owned"
+    folder.mkdir()
+    (folder / "_owner").touch()
+    batches.claim(spark, str(folder), "stream-1")
+    assert (folder / "_owner").read_text() == "stream-1" and [p.name for p in folder.iterdir() if not p.name.startswith(".")] == ["_owner"]
+    batches.claim(spark, str(folder), "stream-1")
+    with pytest.raises(ValueError, match="belongs to the stream stream-1"):
+        batches.claim(spark, str(folder), "stream-2")
