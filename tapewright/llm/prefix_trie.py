@@ -3,11 +3,12 @@
 Conversations that begin with the same turns share the nodes of those turns. The trie is built from its deepest level
 up: conversations that end at a depth are merged with the nodes that survive from below, which gives all nodes of that
 depth with their totals; then the last turn is stripped from each node, and those that now are equal become one node of
-the level above. So each level is one aggregation over nodes, and no conversation is read twice. A node is named by its
-turns, each as 128 bits of role and text.
+the level above. So no conversation is read twice. A node is named by its turns, each as 128 bits of role and text.
 
-A group of copies costs a row for each task, since all totals combine before they are shuffled. A level is stored before
-the next one is made from it, so there are as many rounds as the longest conversation has turns.
+A level is one aggregation over nodes in Spark, whose totals combine before they are shuffled, so a group of copies costs
+a row for each task. Few conversations go deep, and a round for each of their turns would cost more than its rows. So
+below ``NEAR`` turns, conversations that share these turns are peeled together by one task, level by level in the same
+way, if they have at most ``TASK_TURNS`` turns in all; where there are more, and above, Spark's rounds do it.
 """
 
 import hashlib
@@ -15,6 +16,7 @@ import hashlib
 import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapewright.llm.tables import stored
 from tapewright.llm.text import count_words
@@ -22,6 +24,11 @@ from tapewright.session import scratch_dir
 
 #: Ids that are joined to one piece of text before pieces meet at their node.
 PIECE = 1024
+#: Depth below which conversations with the same turns so far may be peeled by one task, and the turns these may have.
+NEAR, TASK_TURNS = 4, 1 << 17
+
+_TOTALS = ["conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens"]
+_NODE = "p1 long, p2 long, q1 long, q2 long, depth long, " + ", ".join(f"{c} long" for c in _TOTALS)
 
 
 def turns_of(rows, conv_col="conv_id", turn_col="turn", role_col="role", text_col="text"):
@@ -58,31 +65,120 @@ def graft(conversations, every=20, most=4):
 
 def _named(path):
     """128 bits for a path of turns."""
-    return F.xxhash64(path).alias("p1"), F.xxhash64(F.lit(1), path).alias("p2")
+    return F.xxhash64(path).alias("p1"), F.xxhash64(F.lit(1), path).alias("p2")  # the literal is another seed
 
 
 def _parent(path):
     return F.slice(path, F.lit(1), F.greatest(F.size(path) - 1, F.lit(0)))
 
 
-def _nodes(conversations):
-    """All nodes from the deepest up, as one stored table a depth: (depth, path, and totals)."""
+def _peel(rows, near):
+    """Nodes of some conversations that share their first ``near`` turns, deepest first, and what is left of them there.
+
+    ``rows`` are (names, words, n_convs, conv_id), with a name and the words for each turn behind the first ``near`` - 1.
+    Yields (name, parent's name, depth, totals); the parent of the last one is None, and its totals are sums so far.
+    """
+    ended = {}
+    for names, words, n, conv in rows:
+        ended.setdefault(len(names), []).append((names, words, n, conv))
+    nodes = {}
+    for depth in range(max(ended), 0, -1):
+        for names, words, n, conv in ended.get(depth, ()):
+            nodes[names[-1]] = _joined(nodes.get(names[-1]), [names, words, conv, n, 0, 0, 0])
+        above = {}
+        for name, (names, words, conv, n, children, leaves, saved) in nodes.items():
+            if depth == 1:
+                yield name, None, near, (conv, n, children, leaves, saved)
+                continue
+            leaves, saved = leaves if children else 1, saved + (n - 1) * words[depth - 1]
+            up = names[depth - 2]
+            yield name, up, near - 1 + depth, (conv, n, children, leaves, saved)
+            above[up] = _joined(above.get(up), [names, words, conv, n, 1, leaves, saved])
+        nodes = above
+
+
+def _joined(node, more):
+    """Two parts of one node as one."""
+    if node is None:
+        return more
+    return [*node[:2], min(node[2], more[2]), *(a + b for a, b in zip(node[3:], more[3:]))]
+
+
+def _peeled(ended, near):
+    """Runs :func:`_peel` for the groups of ``ended`` that have rows below ``near`` and few turns, each in one task.
+
+    Nodes below ``near`` come with their names; what is left at ``near`` comes with its ``path``.
+    """
+    path = "array<struct<h1:bigint,h2:bigint,words:bigint>>"
+
+    def columns(found, turns):
+        names = [pa.array([f[c][h] if f[c] else None for f in found], pa.int64()) for c in (0, 1) for h in (0, 1)]
+        totals = [pa.array([f[3][k] for f in found], pa.int64()) for k in range(len(_TOTALS))]
+        first = pa.array([t if f[1] is None else None for f, t in zip(found, turns)], pa.list_(pa.struct([(c, pa.int64()) for c in ("h1", "h2", "words")])))
+        arrays = [*names, pa.array([f[2] for f in found], pa.int64()), *totals, first]
+        return pa.RecordBatch.from_arrays(arrays, ["p1", "p2", "q1", "q2", "depth", *_TOTALS, "path"])
+
+    def run(batches):
+        key, group, first, done, turns = None, [], None, [], []
+        for batch in batches:
+            parts = [batch.column(c).to_pylist() for c in ("k1", "k2", "names1", "names2", "words", "n_convs", "conv_id", "first")]
+            for k1, k2, names1, names2, words, n, conv, own in zip(*parts):
+                if (k1, k2) != key:
+                    if group:
+                        found = list(_peel(group, near))
+                        done, turns = done + found, turns + [first] * len(found)
+                    if len(done) > 4096:
+                        yield columns(done, turns)
+                        done, turns = [], []
+                    key, group, first = (k1, k2), [], own
+                group.append((list(zip(names1, names2)), words, n, conv))
+        if group:
+            found = list(_peel(group, near))
+            done, turns = done + found, turns + [first] * len(found)
+        if done:
+            yield columns(done, turns)
+
+    # Names and words from the last shared turn on.
+    depths = F.sequence(F.lit(near), F.size("path"))
+    names = [F.transform(depths, lambda d: _named(F.slice("path", F.lit(1), d))[half]) for half in (0, 1)]  # noqa: B023
+    words = F.transform(F.slice("path", F.lit(near), F.size("path")), lambda t: t["words"])
+    grouped = ended.select(
+        "k1", "k2", names[0].alias("names1"), names[1].alias("names2"), words.alias("words"), "n_convs", "conv_id",
+        F.slice("path", 1, near).alias("first"),
+    )
+    return grouped.repartition("k1", "k2").sortWithinPartitions("k1", "k2").mapInArrow(run, f"{_NODE}, path {path}")
+
+
+def _nodes(conversations, near=NEAR, task_turns=TASK_TURNS):
+    """All nodes with their names and those of their parents, as a stored table; None without a conversation."""
     spark = conversations.sparkSession
-    ended = conversations.groupBy("turns").agg(F.count(F.lit(1)).alias("n_convs"), F.min("conv_id").alias("conv_id"))
-    ended = ended.select(
-        F.col("turns").alias("path"), "n_convs", "conv_id", *[F.lit(0).cast("long").alias(c) for c in ("n_children", "n_leaves", "saved_tokens")],
-        F.size("turns").alias("depth"),
+    ended = conversations.groupBy(F.col("turns").alias("path")).agg(F.count(F.lit(1)).alias("n_convs"), F.min("conv_id").alias("conv_id"))
+    shared = F.slice("path", 1, near)
+    ended = stored(
+        ended.select("*", F.size("path").alias("depth"), F.xxhash64(shared).alias("k1"), F.xxhash64(F.lit(1), shared).alias("k2")), "ended"
     )
-    path = scratch_dir(spark, "ended")
-    ended.write.partitionBy("depth").parquet(path)
-    ended = spark.read.schema(ended.schema).parquet(path)
-    deepest = ended.agg(F.max("depth")).first()[0]
+    # Rows that end just at the shared turns belong to their group, so it stays one node.
+    sizes = ended.where(F.col("depth") >= near).groupBy("k1", "k2").agg(F.sum(F.col("depth").cast("long")).alias("turns"), F.max("depth").alias("deepest"))
+    small = sizes.where((F.col("deepest") > near) & (F.col("turns") <= task_turns)).select("k1", "k2")
+    marked = ended.where(F.col("depth") >= near).join(small.withColumn("small", F.lit(True)), ["k1", "k2"], "left")
+    marked = stored(marked.withColumn("small", F.coalesce("small", F.lit(False))), "ended-deep")
+    peeled = stored(_peeled(marked.where("small"), near), "trie-peeled")
+
+    zeros = [F.lit(0).cast("long").alias(c) for c in ("n_children", "n_leaves", "saved_tokens")]
+    part = ["path", "depth", *_TOTALS]
+    whole = ended.where(F.col("depth") < near).select("path", "depth", "conv_id", "n_convs", *zeros)
+    whole = whole.unionByName(marked.where(~F.col("small")).select("path", "depth", "conv_id", "n_convs", *zeros))
+    whole = whole.unionByName(peeled.where(F.col("path").isNotNull()).select("path", F.lit(near).alias("depth"), *_TOTALS))
+    parts = scratch_dir(spark, "trie-parts")
+    whole.select(part).write.partitionBy("depth").parquet(parts)
+    whole = spark.read.schema(whole.select(part).schema).parquet(parts)
+    deepest = whole.agg(F.max("depth")).first()[0]
     if deepest is None:
-        return []
+        return None
 
-    levels, below = [], None
+    root, below = scratch_dir(spark, "trie-levels"), None
     for depth in range(deepest, -1, -1):
-        found = ended.where(F.col("depth") == depth).drop("depth")
+        found = whole.where(F.col("depth") == depth).drop("depth")
         if below is not None:
             found = found.unionByName(below)
         merged = found.groupBy("path").agg(
@@ -90,16 +186,19 @@ def _nodes(conversations):
         )
         last_words = F.coalesce(F.get("path", F.size("path") - 1)["words"], F.lit(0))
         level = merged.select(
-            "path", F.lit(depth).cast("long").alias("depth"), "conv_id", "n_convs", "n_children",
+            "path", *_named(F.col("path")), *[c.alias(n) for c, n in zip(_named(_parent(F.col("path"))), ("q1", "q2"))],
+            F.lit(depth).cast("long").alias("depth"), "conv_id", "n_convs", "n_children",
             F.when(F.col("n_children") == 0, F.lit(1)).otherwise(F.col("n_leaves")).cast("long").alias("n_leaves"),
             (F.col("saved_tokens") + (F.col("n_convs") - 1) * last_words).alias("saved_tokens"),
         )
-        level = stored(level, f"trie-{depth}")
-        levels.append(level)
+        level.write.parquet(f"{root}/level={depth}")
+        level = spark.read.schema(level.schema).parquet(f"{root}/level={depth}")
         below = level.select(
-            _parent(F.col("path")).alias("path"), "n_convs", "conv_id", F.lit(1).cast("long").alias("n_children"), "n_leaves", "saved_tokens"
+            _parent(F.col("path")).alias("path"), "conv_id", "n_convs", F.lit(1).cast("long").alias("n_children"), "n_leaves", "saved_tokens"
         )
-    return levels
+    names = T.StructType.fromDDL(_NODE).fieldNames()
+    levels = spark.read.schema(level.schema).parquet(root).select(names)
+    return levels.unionByName(peeled.where(F.col("path").isNull()).select(names))
 
 
 def _pieces(batches):
@@ -151,7 +250,7 @@ def ends_digests(conversations):
     return ordered.mapInArrow(_digests, "p1 long, p2 long, ends_sha256 string")
 
 
-def trie(conversations):
+def trie(conversations, near=NEAR, task_turns=TASK_TURNS):
     """The nodes of the trie of (conv_id, turns) rows: depth, conv_id, parent_conv_id, n_convs, n_children, n_leaves,
     saved_tokens, ends_sha256.
 
@@ -159,32 +258,23 @@ def trie(conversations):
     ``conv_id`` is the smallest of them. The root, of depth 0, has no turn; all conversations are members, also those
     without a turn. ``saved_tokens`` adds up over the node and all below it: members but one, times the words of the
     node's last turn. ``ends_sha256`` is that of no id for a node at which no conversation ends. A table without
-    conversations has no node.
+    conversations has no node. Every turn of a conversation is a node, however many there are.
     """
     conversations = stored(conversations.select("conv_id", "turns"), "rebuilt")
-    levels = _nodes(conversations)
     columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
-    if not levels:
+    nodes = _nodes(conversations, max(1, near), task_turns)
+    if nodes is None:
         kinds = ", ".join(f"{c} {'string' if c == 'ends_sha256' else 'long'}" for c in columns)
         return conversations.sparkSession.createDataFrame([], kinds)
 
-    root = levels[-1].select("*", F.lit(None).cast("long").alias("parent_conv_id"))
-    found = root
-    if len(levels) > 1:  # the root is the parent of the whole next level, so its id goes there as a value
-        top = levels[-1].first()["conv_id"]
-        found = found.unionByName(levels[-2].select("*", F.lit(top).alias("parent_conv_id")))
-    if len(levels) > 2:
-        deeper, above = levels[0], levels[1]
-        for level in levels[1:-2]:
-            deeper = deeper.unionByName(level)
-        for level in levels[2:-1]:
-            above = above.unionByName(level)
-        parents = above.select(*[c.alias(f"up{k}") for k, c in enumerate(_named(F.col("path")))], F.col("conv_id").alias("parent_conv_id"))
-        children = deeper.select("*", *[c.alias(f"own{k}") for k, c in enumerate(_named(_parent(F.col("path"))))])
-        same = (F.col("own0") == F.col("up0")) & (F.col("own1") == F.col("up1"))
-        found = found.unionByName(children.join(parents, same).select(*found.columns))
-    ends = ends_digests(conversations)
-    done = found.select("*", *_named(F.col("path"))).join(ends, ["p1", "p2"], "left")
+    # The root is the parent of the whole next level, so its id goes there as a value.
+    top = nodes.where("depth = 0").first()["conv_id"]
+    known = F.when(F.col("depth") == 1, F.lit(top)).cast("long")
+    upper = nodes.where("depth <= 1").withColumn("parent_conv_id", known)
+    parents = nodes.where("depth > 0").select(F.col("p1").alias("q1"), F.col("p2").alias("q2"), F.col("conv_id").alias("parent_conv_id"))
+    lower = nodes.where("depth > 1").join(parents, ["q1", "q2"])
+    found = upper.unionByName(lower.select(upper.columns))
+    done = found.join(ends_digests(conversations), ["p1", "p2"], "left")
     nothing = F.lit(hashlib.sha256(b"").hexdigest())
     return done.withColumn("ends_sha256", F.coalesce("ends_sha256", nothing)).select(columns)
 

@@ -61,9 +61,13 @@ def brute(rows):
     return sorted(out, key=str)
 
 
-def run(spark, rows):
+def run(spark, rows, **options):
     own = prefix_trie.turns_of(spark.createDataFrame(rows, ROWS))
-    return sorted(map(tuple, prefix_trie.trie(prefix_trie.graft(own)).collect()), key=str)
+    return sorted(map(tuple, prefix_trie.trie(prefix_trie.graft(own), **options).collect()), key=str)
+
+
+def brute_nodes(rows):
+    return {turns[:d] for turns in rebuilt(rows).values() for d in range(len(turns) + 1)}
 
 
 def test_odd_rows(spark):
@@ -86,6 +90,22 @@ def test_large_group_of_copies(spark):
     assert run(spark, rows) == brute(rows)
 
 
+def test_deep_conversations_in_tasks_and_in_rounds(spark):
+    rows = [(c, t, "user", f"w {t % 3}" if t < 30 + c // 20 else f"own {c}") for c in (20, 40, 60, 61, 80) for t in range(33 + c // 20)]
+    rows += [(100, t, "user", f"w {t % 3}") for t in range(3)] + [(120, t, "user", f"w {t % 3}") for t in range(4)]
+    want = brute(rows)
+    assert run(spark, rows) == want
+    assert run(spark, rows, task_turns=0) == want
+    assert run(spark, rows, near=1) == want and run(spark, rows, near=33, task_turns=10_000) == want
+
+
+def test_a_conversation_of_many_turns(spark):
+    rows = [(20, t, "user", f"turn {t}") for t in range(600)] + [(21, 0, "user", "turn 0"), (40, 0, "user", "turn 0"), (40, 1, "user", "turn 1")]
+    found = run(spark, rows)
+    assert len(found) == len(brute_nodes(rows)) and {r[1] for r in found} == set(range(601))
+    assert sum(r[2] is None for r in found) == 1
+
+
 def test_empty_table_one_turnless_conversation_and_extra_columns(spark):
     assert run(spark, []) == []
     turnless = next(c for c in range(21, 40) if zlib.crc32(str(c).encode()) % 4)
