@@ -36,6 +36,17 @@ ARCHIVE_ROWS = T.StructType(
     + [T.StructField("dt", T.StringType()), T.StructField("symbol_part", T.StringType())]
 )
 ARCHIVE = T.StructType(ARCHIVE_ROWS.fields + [T.StructField("batch", T.LongType())])
+# The folders of archive files below the root of the trades; a slot is one file, or several of limited size.
+ARCHIVE_FOLDERS = T.StructType(ARCHIVE.fields[-3:] + [T.StructField("slot", T.IntegerType())])
+
+# The index of archive files, in key order within a date.
+ARCHIVE_INDEX = T.StructType(
+    [
+        T.StructField("key", T.StringType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("modified", T.TimestampType()),
+    ]
+)
 
 # The flush log: one row per archive file.
 FLUSH = T.StructType(

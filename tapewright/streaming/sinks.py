@@ -1,11 +1,14 @@
 """Where streams end: keyed tables, archive folders, a relational table, the log, the console."""
 
 from pyspark import StorageLevel
+from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapewright.functions.times import now_millis, utc_date
 from tapewright.operators import quality
-from tapewright.schemas import ARCHIVE_ROWS, ARCHIVE_FILE, FLUSH, REJECT, TRADE_COLUMNS
+from tapewright.schemas import ARCHIVE_FOLDERS, ARCHIVE_INDEX, ARCHIVE_ROWS, REJECT, TRADE_COLUMNS
+from tapewright.sources.archive import archive_files
 from tapewright.streaming import batches
 
 UNKNOWN_SYMBOL = "UNKNOWN"
@@ -56,33 +59,42 @@ def archive_rows(trades, event_date=False):
 
 
 def archive_batch(root, event_date=False, files=8, max_records_per_file=1_000_000):
-    """foreachBatch function: appends a flush to ``root/trades/dt=/symbol_part=/batch=`` as Snappy Parquet, exactly
-    once.
+    """foreachBatch function: appends a flush to ``root/trades/dt=/symbol_part=/batch=/slot=`` as Snappy Parquet,
+    exactly once.
 
     The batch is read from its source once and kept while its rows are counted by folder. With these counts, a folder's
     rows are dealt into slots in proportion to its share of the batch, ``files`` for all of it, so a symbol with most of
-    the rows is spread and small ones share a task. An attempt that failed left folders of this batch only, which the
-    next one replaces. The flush log is written with the batch.
+    the rows is spread and small ones share a task. A slot is written by one task. An attempt that failed left folders
+    of this batch only, which the next one replaces. The flush log and the file index are written with the batch, from
+    the counts and a listing: no file is read.
     """
 
     def write(rows, batch_id):
-        spark, folder = rows.sparkSession, f"{root}/trades"
+        folder = f"{root}/trades"
         stamped = archive_rows(rows, event_date).persist(StorageLevel.MEMORY_AND_DISK)
 
         def store():
-            counts = stamped.groupBy("dt", "symbol_part").agg(F.count(F.lit(1)).alias("records"))
-            slots = F.ceil(F.col("records") * files / max(stamped.count(), 1)).cast("int")
-            sized = counts.withColumn("slots", slots).withColumnsRenamed({"dt": "_dt", "symbol_part": "_part"})
-            same = F.col("dt").eqNullSafe(F.col("_dt")) & (F.col("symbol_part") == F.col("_part"))
-            slot = F.pmod(F.xxhash64("trade_id", "event_time", "price", "quantity"), F.col("slots"))
-            spread = stamped.join(sized, same).withColumn("_slot", slot).repartition("dt", "symbol_part", "_slot")
-            (
-                spread.select(*ARCHIVE_ROWS.fieldNames()).withColumn("batch", F.lit(batch_id))
-                .sortWithinPartitions("dt", "symbol_part", "batch", "event_time")
-                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
-                .option("maxRecordsPerFile", max_records_per_file).partitionBy("dt", "symbol_part", "batch").parquet(folder)
-            )
-            log_flush(spark, root, batch_id, stamped)
+            counts = stamped.groupBy("dt", "symbol_part").agg(F.count(F.lit(1)).alias("records")).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                total = counts.agg(F.sum("records")).first()[0] or 1
+                slots = F.ceil(F.col("records") * files / total).cast("int")
+                sized = counts.select(F.col("dt").alias("_dt"), F.col("symbol_part").alias("_part"), slots.alias("_slots"))
+                same = F.col("dt").eqNullSafe(F.col("_dt")) & (F.col("symbol_part") == F.col("_part"))
+                slot = F.pmod(F.xxhash64("trade_id", "event_time", "price", "quantity"), F.col("_slots")).cast("int").alias("slot")
+                dealt = stamped.join(sized, same).select(*ARCHIVE_ROWS.fieldNames(), slot)
+                (
+                    dealt.repartition("dt", "symbol_part", "slot").withColumn("batch", F.lit(batch_id))
+                    .select(*ARCHIVE_ROWS.fieldNames(), "batch", "slot")
+                    .sortWithinPartitions("dt", "symbol_part", "batch", "slot", "event_time")
+                    .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
+                    .option("maxRecordsPerFile", max_records_per_file).partitionBy("dt", "symbol_part", "batch", "slot").parquet(folder)
+                )
+                in_slots = dealt.groupBy("dt", "symbol_part", "slot").agg(
+                    F.count(F.lit(1)).alias("records"), F.max("written_at").alias("flush")
+                )
+                log_flush(root, batch_id, in_slots, [r.dt for r in counts.select("dt").distinct().collect()], max_records_per_file)
+            finally:
+                counts.unpersist()
 
         try:
             batches.write_once(rows, folder, batch_id, store)
@@ -92,21 +104,35 @@ def archive_batch(root, event_date=False, files=8, max_records_per_file=1_000_00
     return write
 
 
-def log_flush(spark, root, batch_id, stamped):
-    """Adds a row for each file of a flush to ``root/flushes``: file, symbol, rows, KB. Only the folders of the flush
-    are listed.
+def log_flush(root, batch_id, in_slots, dates, max_records_per_file):
+    """Adds the files of a flush to ``root/flushes``, with symbol, rows and KB, and to the index ``root/index``.
+
+    ``in_slots`` counts the rows of each slot; files of one slot are full but for the last. Only the folders of the
+    flush are listed, those of its ``dates``.
     """
-    days = [r.dt for r in stamped.select("dt").distinct().collect()]  # the dates of one flush
-    globs = [f"{root}/trades/dt={d or '__HIVE_DEFAULT_PARTITION__'}/symbol_part=*/batch={batch_id}" for d in days]
-    if globs:
-        written = spark.read.schema(ARCHIVE_FILE).option("recursiveFileLookup", "true").parquet(*globs)
-        files = written.groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length")).agg(
-            F.count(F.lit(1)).alias("records"), F.max("symbol").alias("symbol"), F.max("written_at").alias("flush")
+    spark = in_slots.sparkSession
+    paths = [f"{root}/trades/dt={d or '__HIVE_DEFAULT_PARTITION__'}/symbol_part=*/batch={batch_id}/slot=*" for d in dates]
+    written = archive_files(spark, root, paths) if paths else spark.createDataFrame([], T.StructType(ARCHIVE_INDEX.fields + ARCHIVE_FOLDERS.fields))
+    files = written.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        slot = ["dt", "symbol_part", "slot"]
+        place = F.row_number().over(Window.partitionBy(*slot).orderBy("key")) - 1
+        counted = files.withColumn("place", place).alias("f").join(
+            in_slots.alias("s"), F.expr("f.dt <=> s.dt AND f.symbol_part = s.symbol_part AND f.slot = s.slot")
+        )
+        records = F.least(F.lit(max_records_per_file), F.col("records") - F.col("place") * max_records_per_file).cast("long")
+        log = counted.select(
+            "flush", F.col("f.symbol_part").alias("symbol"), F.concat(F.lit(f"{root}/"), "key").alias("path"),
+            records.alias("records"), F.bround(F.col("length") / 1024.0, 1).alias("size_kb"),
+        )
+        log.write.mode("overwrite").parquet(f"{root}/flushes/batch={batch_id}")
+        (
+            files.select(*ARCHIVE_INDEX.fieldNames(), "dt", F.lit(batch_id).alias("batch"))
+            .repartition("dt").sortWithinPartitions("dt", "key")
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt", "batch").parquet(f"{root}/index")
         )
-        log = files.select("flush", F.coalesce("symbol", F.lit(UNKNOWN_SYMBOL)).alias("symbol"), "path", "records", F.bround(F.col("length") / 1024.0, 1).alias("size_kb"))
-    else:
-        log = spark.createDataFrame([], FLUSH)
-    log.write.mode("overwrite").parquet(f"{root}/flushes/batch={batch_id}")
+    finally:
+        files.unpersist()
 
 
 def merge_statement(table, staging, columns, keys):

@@ -4,6 +4,7 @@ import time
 
 import market_events as ev
 import pytest
+from plans import plan_of
 from pyspark.sql import functions as F
 
 from tapewright.operators import decode
@@ -12,7 +13,7 @@ from tapewright.operators.keyed import KeyedTable
 from tapewright.plans import monitoring, views
 from tapewright.schemas import CANDLE, TRADE
 from tapewright.session import scratch_dir, streaming_session
-from tapewright.sources.archive import list_files, read_archive, read_flushes
+from tapewright.sources.archive import archive_files, list_files, read_archive, read_flushes
 from tapewright.sources.log import kafka_options, read_messages, stream_parquet
 from tapewright.streaming import jobs, sinks
 
@@ -125,11 +126,16 @@ def test_resume_takes_up_where_it_ended(streams, spark, contiguous, tmp_path):
     assert bounds(table.read(spark)) == [r for r in bounds(candles(trades, 3600)) if r[1] <= last - 5000]
 
 
-def test_streaming_candles_hash_aggregate(streams, contiguous, tmp_path):
-    query = jobs.start_candles(text_trades(streams, contiguous[0]), candle_table(tmp_path / "t"), str(tmp_path / "c"), str(tmp_path / "r"), 3600)
-    query.awaitTermination()
-    text = query._jsq.explainInternal(False)
-    assert "HashAggregate" in text and "SortAggregate" not in text
+def test_streaming_candles_hash_aggregate_plain_ids(streams, contiguous, tmp_path):
+    """Ids of other kinds need their whole text in the state, which Spark keeps in sorted aggregates only."""
+    for plain in (True, False):
+        path = lambda name: str(tmp_path / f"{name}-{plain}")  # noqa: B023, E731
+        trades = text_trades(streams, contiguous[0])
+        query = jobs.start_candles(trades, candle_table(path("t")), path("c"), path("r"), 3600, plain_ids=plain)
+        query.awaitTermination()
+        text = query._jsq.explainInternal(False)
+        assert ("SortAggregate" in text) != plain
+        assert "HashAggregate" in text or not plain
 
 
 def test_archive(streams, spark, tmp_path):
@@ -166,8 +172,8 @@ def test_archive(streams, spark, tmp_path):
     assert len(list_files(spark, str(root), max_keys=1).collect()) == 1
     assert list_files(spark, str(root), "nothing/").collect() == []
     # Every prefix gives the same files, also with an attempt that did not end beside them.
-    stray = root / "trades" / f"dt={dt}" / "symbol_part=AB" / "batch=99"
-    stray.mkdir()
+    stray = root / "trades" / f"dt={dt}" / "symbol_part=AB" / "batch=99" / "slot=0"
+    stray.mkdir(parents=True)
     (stray / "part-0.parquet").write_bytes(b"x")
     whole = [r.key for r in list_files(spark, str(root)).collect()]
     assert whole == [r.key for r in listed] == [r.key for r in list_files(spark, str(root), f"trades/dt={dt}/").collect()]
@@ -199,6 +205,40 @@ def test_archive_by_event_date_prunes_and_spreads_a_hot_symbol(streams, spark, t
     assert day.count() == 200
 
 
+def test_flush_log_and_index_agree_with_the_folders(streams, spark, tmp_path):
+    """Rows of each file from counts, sizes from the listing; the files themselves are not read."""
+    root = str(tmp_path / "lake")
+    for n in range(2):
+        put(tmp_path / "in", n, [message(86_400_000 * (k % 3) + k, 1.0, ("HOT", "a/b", "7")[min(k % 5, 2)], number=1000 * n + k) for k in range(90)] + [message(5, 1.0, None)])
+    jobs.start_archive(text_trades(streams, tmp_path / "in"), root, str(tmp_path / "c"), event_date=True, files=5, max_records_per_file=7).awaitTermination()
+    log = {r.path.split("/lake/")[1]: r for r in read_flushes(spark, root).collect()}
+    walked = {r.key: r for r in archive_files(spark, root).collect()}
+    assert log.keys() == walked.keys()
+    read = spark.read.parquet(*[f"{root}/{k}" for k in walked]).groupBy(F.col("_metadata.file_path").alias("f")).count().collect()
+    assert {r.f.split("/lake/")[1].replace("%25", "%"): r["count"] for r in read} == {k: r.records for k, r in log.items()}
+    assert all(r.size_kb == round(walked[k].length / 1024, 1) for k, r in log.items())
+    assert {r.symbol for r in log.values()} == {"HOT", "a/b", "7", "UNKNOWN"}
+    listed, after = [], None
+    while page := list_files(spark, root, max_keys=11, start_after=after).collect():
+        listed, after = listed + page, page[-1].key
+    assert [r.key for r in listed] == sorted(walked)
+    assert all(r.size_kb == round(walked[r.key].length / 1024, 2) for r in listed)
+
+
+def test_a_page_reads_the_index_of_its_dates_only(streams, spark, tmp_path):
+    root = str(tmp_path / "lake")
+    put(tmp_path / "in", 0, [message(86_400_000 * d + k, 1.0, f"S{k}", number=k) for d in range(40) for k in range(3)])
+    jobs.start_archive(text_trades(streams, tmp_path / "in"), root, str(tmp_path / "c"), event_date=True, files=1).awaitTermination()
+    dates = lambda frame: {f.split("/index/")[1][:13] for f in frame.inputFiles()}
+    assert dates(list_files(spark, root, max_keys=2)) == {"dt=1970-01-01"}
+    middle = list_files(spark, root, max_keys=2, start_after="trades/dt=1970-01-20/symbol_part=S1")
+    assert dates(middle) == {"dt=1970-01-20"} and "GreaterThan(key,trades/dt=1970-01-20/symbol_part=S1)" in plan_of(middle)
+    assert "StringStartsWith(key,trades/)" in plan_of(middle)
+    assert [r.key.split("/batch")[0] for r in middle.collect()] == ["trades/dt=1970-01-20/symbol_part=S1", "trades/dt=1970-01-20/symbol_part=S2"]
+    assert dates(list_files(spark, root, "trades/dt=1970-02-0", max_keys=1)) == {"dt=1970-02-01"}
+    assert list_files(spark, root, "trades/dt=1970-02-0").count() == 27 and list_files(spark, root, "trades/dt=2").collect() == []
+
+
 def test_archive_reads_its_source_once(streams, spark, tmp_path):
     for n in range(3):
         put(tmp_path / "in", n, [message(n * 100 + k, 1.0, number=n * 100 + k) for k in range(7)])
