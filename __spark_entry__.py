@@ -14,15 +14,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tapewright.functions import display
 from tapewright.operators import candles as candle_ops
 from tapewright.operators import decode, quality
 from tapewright.operators.keyed import KeyedTable, latest_per_key
 from tapewright.plans import monitoring, serving, views
 from tapewright.schemas import CANDLE, TRADE, TRADE_COLUMNS
 from tapewright.session import scratch_dir, streaming_session
-from tapewright.sources.archive import list_files, read_archive, read_flushes
+from tapewright.sources.archive import archive_files, list_files, read_archive, read_flushes
 from tapewright.sources.log import read_messages, stream_parquet
 from tapewright.streaming import jobs
+from tapewright.streaming.progress import ProgressLog, read_progress
 from tapewright.streaming.sinks import read_rejects, upsert_batch
 
 try:  # the operators for training text come as a subpackage that may be left out
@@ -400,7 +402,12 @@ def _flushed(spark, sf_dir):
     def build(root):
         trades = ev.read_trades(spark, sf_dir)
         _slices(spark, sf_dir, trades, f"{root}/in", range(5))
-        _run(jobs.start_archive(_sliced_stream(spark, f"{root}/in", trades.schema), root, f"{root}/checkpoint"))
+        stream = _sliced_stream(spark, f"{root}/in", trades.schema)
+        log = ProgressLog(stream.sparkSession, f"{root}/progress").watch()
+        query = jobs.start_archive(stream, root, f"{root}/checkpoint")
+        _run(query)
+        log.wait(query)
+        log.close()
         return root
 
     return _once(spark, sf_dir, "flushed", build)
@@ -413,6 +420,25 @@ def flush_totals(spark, sf_dir):
     return totals.select((number - 1).alias("flush"), "written", "symbols", "total_written")
 
 
+def flush_lag(spark, sf_dir):
+    """Rows and times of five flushes as the stream reported them, and the rows each of them left unread."""
+    reports = read_progress(spark, f"{_flushed(spark, sf_dir)}/progress")
+    found = monitoring.flush_lag(reports, spark.read.parquet(ev.events_path(sf_dir)).count())
+    return found.select("batch", "rows", "first_ms", "last_ms", "written", "lag")
+
+
+def flush_log(spark, sf_dir):
+    """Each flush and symbol: rows from the flush log, and whether its files and KB are those that the folders hold."""
+    root = _flushed(spark, sf_dir)
+    stored = archive_files(spark, root).select("key", F.bround(F.col("length") / 1024.0, 1).alias("stored_kb"))
+    log = read_flushes(spark, root).withColumn("key", F.substring_index("path", f"{root}/", -1))
+    both = log.join(stored, "key", "full").groupBy("batch", "symbol")
+    return both.agg(
+        F.sum("records").alias("records"), (F.count("path") > 0).alias("has_files"),
+        F.bool_and(F.coalesce(F.col("size_kb") == F.col("stored_kb"), F.lit(False))).alias("sizes_match"),
+    )
+
+
 # --- streams -----------------------------------------------------------------------------------
 
 
@@ -541,21 +567,27 @@ def archive_flushes(spark, sf_dir):
     return monitoring.flush_counts(read_flushes(spark, _archived(spark, sf_dir))).select("symbol", "records")
 
 
-def lake_files(spark, sf_dir):
-    """All files of the archive, page by page; their folders, as names and sizes vary."""
-    root, pages, after = _archived(spark, sf_dir), None, None
+def _pages(spark, root, prefix="trades/"):
+    """All files of a prefix, page by page."""
+    pages, after = None, None
     while True:
-        page = list_files(spark, root, max_keys=200, start_after=after)
+        page = list_files(spark, root, prefix, max_keys=200, start_after=after)
         after = page.agg(F.max("key")).first()[0]
         if after is None and pages is not None:
-            break
+            return pages
         pages = page if pages is None else pages.unionByName(page)
         if after is None:
-            break
-    folder = F.regexp_extract("key", "^trades/dt=([^/]+)/symbol_part=([^/]+)/batch=0/", 1)
-    symbol = F.regexp_extract("key", "^trades/dt=([^/]+)/symbol_part=([^/]+)/batch=0/", 2)
-    return pages.groupBy(folder.alias("dt"), symbol.alias("symbol")).agg(
-        (F.count(F.lit(1)) > 0).alias("has_files"), (F.min("size_kb") > 0).alias("has_size")
+            return pages
+
+
+def lake_files(spark, sf_dir):
+    """All files of the archive, page by page, by folder, as names vary; sizes against those of a walk of the folders."""
+    root = _archived(spark, sf_dir)
+    walked = archive_files(spark, root).select(F.col("key").alias("walked"), F.bround(F.col("length") / 1024.0, 2).alias("kb"))
+    both = _pages(spark, root).join(walked, F.col("key") == F.col("walked"), "full")
+    parts = [F.regexp_extract(F.coalesce("key", "walked"), "^trades/dt=([^/]+)/symbol_part=([^/]+)/batch=0/", k) for k in (1, 2)]
+    return both.groupBy(parts[0].alias("dt"), parts[1].alias("symbol")).agg(
+        (F.count("key") > 0).alias("has_files"), F.bool_and(F.coalesce(F.col("size_kb") == F.col("kb"), F.lit(False))).alias("has_size")
     )
 
 
@@ -563,11 +595,18 @@ def lake_files_day(spark, sf_dir):
     """The symbols with files on the first day, listed by that day's prefix."""
     root = _archived(spark, sf_dir)
     day = read_archive(spark, root).agg(F.min("dt")).first()[0]
-    files = list_files(spark, root, f"trades/dt={day}/", max_keys=200)
+    files = _pages(spark, root, f"trades/dt={day}/")
     symbol = F.regexp_extract("key", f"^trades/dt={day}/symbol_part=([^/]+)/batch=0/", 1)
     return files.select(F.lit(day).alias("dt"), symbol.alias("symbol")).distinct()
 
 
+def size_labels(spark, sf_dir):
+    """File sizes in KB as the listing shows them, of lengths made from the events."""
+    events = spark.read.parquet(ev.events_path(sf_dir))
+    length = (F.col("event_id") * 37 + F.col("user_id") * 128).alias("length")
+    return events.select("event_id", length).select("event_id", "length", display.kilobytes(F.col("length")).alias("size_kb"))
+
+
 def stream_publish_decode(spark, sf_dir):
     """Exchange messages through the publishing stream and back through the lenient decode."""
     root = scratch_dir(spark, "published")
@@ -617,6 +656,8 @@ _QUERIES = [
     sql_views,
     lag_report,
     flush_totals,
+    flush_lag,
+    flush_log,
     stream_ohlcv_closed,
     stream_restart,
     stream_late,
@@ -629,6 +670,7 @@ _QUERIES = [
     archive_flushes,
     lake_files,
     lake_files_day,
+    size_labels,
     stream_publish_decode,
 ]
 
@@ -730,6 +772,11 @@ _LABEL = "CASE WHEN {0} < 10 THEN format('{{:,.4f}}', round({0}, 4)) ELSE format
 _FLOORED = f"SELECT * REPLACE (event_time - event_time % 3600000 AS event_time) FROM ({_TRADES})"
 
 
+# The stretch of time, of five, that a trade belongs to.
+_SPAN = f"SELECT min(event_time) AS first, max(event_time) AS last FROM ({_TRADES})"
+_FLUSH = "(event_time - first) * 5 // (last - first + 1)"
+
+
 def oracle_sql() -> dict[str, str]:
     return _trade_sql() | (text_queries.ORACLE_SQL if text_queries else {})
 
@@ -884,6 +931,15 @@ FROM (SELECT CAST(user_id % 3 AS INTEGER) AS partition, max(event_id) AS latest,
 SELECT flush, written, symbols, CAST(sum(written) OVER (ORDER BY flush) AS BIGINT) AS total_written
 FROM (SELECT (event_time - first) * 5 // (last - first + 1) AS flush, count(*) AS written, count(DISTINCT symbol) AS symbols
       FROM ({_TRADES}), (SELECT min(event_time) AS first, max(event_time) AS last FROM ({_TRADES})) GROUP BY 1)
+""",
+        "flush_lag": f"""
+SELECT *, CAST(sum(rows) OVER (ORDER BY batch) AS BIGINT) AS written, CAST(sum(rows) OVER () - sum(rows) OVER (ORDER BY batch) AS BIGINT) AS lag
+FROM (SELECT {_FLUSH} AS batch, count(*) AS rows, min(event_time) AS first_ms, max(event_time) AS last_ms
+      FROM ({_TRADES}), ({_SPAN}) GROUP BY 1)
+""",
+        "flush_log": f"""
+SELECT {_FLUSH} AS batch, symbol, count(*) AS records, true AS has_files, true AS sizes_match
+FROM ({_TRADES}), ({_SPAN}) GROUP BY 1, 2
 """,
         "stream_ohlcv_closed": f"""
 SELECT * FROM ({hour}) WHERE window_end_ms <= (SELECT max(epoch_us(ts) // 1000) - 5000 FROM events)
@@ -930,6 +986,10 @@ FROM ({_NAMELESS})
 SELECT DISTINCT dt, coalesce(symbol, 'UNKNOWN') AS symbol
 FROM (SELECT *, strftime(make_timestamp(event_time * 1000), '%Y-%m-%d') AS dt FROM ({_NAMELESS}))
 WHERE dt = (SELECT strftime(make_timestamp(min(event_time) * 1000), '%Y-%m-%d') FROM ({_NAMELESS}))
+""",
+        "size_labels": """
+SELECT event_id, length, round_even(length / 1024.0::DOUBLE, 2) AS size_kb
+FROM (SELECT event_id, event_id * 37 + user_id * 128 AS length FROM events)
 """,
         "stream_publish_decode": f"SELECT {_TRADE_LIST} FROM ({_FEED_TRADES})",
     }

@@ -33,6 +33,30 @@ def progress_offsets(spark, consumer, progress):
     return spark.createDataFrame(rows, OFFSETS)
 
 
+def reported_offsets(progress):
+    """Offset rows for :func:`lag_report` from the last report of each query in a progress table, for sources that report
+    their positions per partition, see :func:`progress_offsets`.
+    """
+    last = progress.groupBy("consumer", "query").agg(F.max_by("sources", F.struct("batch", "at")).alias("sources"))
+    source = last.select("consumer", F.explode("sources").alias("s"))
+    positions = lambda c: F.from_json(c, "map<string,map<string,bigint>>")
+    topics = source.select("consumer", F.explode(positions("s.latestOffset")).alias("topic", "newest"), positions("s.endOffset").alias("ends"))
+    partitions = topics.select("consumer", "topic", F.explode("newest").alias("partition", "latest"), "ends")
+    committed = F.coalesce(F.try_element_at(F.try_element_at("ends", "topic"), "partition"), F.lit(0))
+    return partitions.select("consumer", "topic", F.col("partition").cast("int").alias("partition"), "latest", committed.alias("committed"))
+
+
+def flush_lag(progress, total_rows, chunk_size=1000):
+    """What each flush wrote and what it left behind: consumer, batch, rows, first_ms, last_ms, written so far, lag.
+
+    ``progress`` holds the reports of one query, ``total_rows`` the rows its source has. For sources whose positions are
+    no row numbers, such as folders of files.
+    """
+    flushes = progress.where(F.col("rows").isNotNull()).select("consumer", "batch", "rows", "first_ms", "last_ms")
+    totals = with_running_total(flushes, "batch", "rows", chunk_size, "written")
+    return totals.withColumn("lag", F.lit(total_rows) - F.col("written"))
+
+
 def flush_counts(flushes):
     """Rows per flush and symbol, from the flush log; ``flush`` is the write stamp in epoch ms."""
     return flushes.groupBy("flush", "symbol").agg(F.sum("records").alias("records"))

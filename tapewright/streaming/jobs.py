@@ -2,7 +2,7 @@
 
 from tapewright.operators import candles as candle_ops
 from tapewright.operators import decode
-from tapewright.streaming import batches, sinks
+from tapewright.streaming import batches, progress, sinks
 
 
 # How often the archive flushes when the caller follows the stream.
@@ -81,9 +81,10 @@ def start_archive(trades, root, checkpoint, every=None, event_date=False, files=
 
     A flush is a micro-batch: time-bound by ``every`` (usually ``ARCHIVE_EVERY``), size-bound by the source's limit per
     trigger (``sources.log.FLUSH_ROWS`` by default for a log). ``files`` bounds the files of one folder in a flush, see
-    ``sinks.archive_batch``.
+    ``sinks.archive_batch``. The rows of a flush and their times are counted in its own pass and reported, see
+    ``progress.ProgressLog``.
     """
-    writer = trades.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+    writer = progress.observed(trades).writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         sinks.archive_batch(root, event_date, files, max_records_per_file)
     )
     return _triggered(writer, every).start()

@@ -16,6 +16,7 @@ from tapewright.session import scratch_dir, streaming_session
 from tapewright.sources.archive import archive_files, list_files, read_archive, read_flushes
 from tapewright.sources.log import kafka_options, read_messages, stream_parquet
 from tapewright.streaming import jobs, sinks
+from tapewright.streaming.progress import ProgressLog, read_progress
 
 SF = "/root/testdata/sf0.001"
 
@@ -400,3 +401,37 @@ def test_flush_totals(spark):
     counts = spark.createDataFrame([(1, "a", 5), (1, "b", 2), (2, "a", 1), (5, "c", 4)], "flush long, symbol string, records long")
     got = monitoring.flush_totals(counts, 2).orderBy("flush").collect()
     assert [(r.flush, r.written, r.symbols, r.total_written) for r in got] == [(1, 7, 2, 7), (2, 1, 1, 8), (5, 4, 1, 12)]
+
+
+def test_progress_log_keeps_every_batch_of_every_query(streams, spark, tmp_path):
+    for n in range(3):
+        put(tmp_path / "in", n, [message(n * 100 + k, 1.0, number=n * 100 + k) for k in range(5 + n)])
+    log = ProgressLog(streams, str(tmp_path / "log")).watch()
+    try:
+        queries = [jobs.start_archive(text_trades(streams, tmp_path / "in"), str(tmp_path / c), str(tmp_path / f"{c}-c")) for c in "ab"]
+        for query in queries:
+            query.awaitTermination()
+            assert log.wait(query)
+    finally:
+        log.close()
+    found = read_progress(spark, str(tmp_path / "log")).orderBy("query", "batch").collect()
+    assert [(r.batch, r.rows, r.input_rows, r.first_ms, r.last_ms) for r in found] == [(n, 5 + n, 5 + n, n * 100, n * 100 + 4 + n) for n in range(3)] * 2
+    assert {r.consumer for r in found} == {str(q.id) for q in queries}
+    one = read_progress(spark, str(tmp_path / "log")).where(F.col("query") == str(queries[0].id))
+    lag = monitoring.flush_lag(one, 18, chunk_size=2).orderBy("batch").collect()
+    assert [(r.written, r.lag) for r in lag] == [(5, 13), (11, 7), (18, 0)]
+
+
+def test_positions_of_a_log_from_its_reports(spark, tmp_path):
+    """As a log reports them: positions as objects or as text, a partition that nothing was read from yet."""
+    report = lambda batch, ends, newest: {
+        "id": "q", "runId": "r", "name": "archive", "timestamp": f"2026-01-01T00:00:0{batch}Z", "batchId": batch, "numInputRows": 5,
+        "sources": [{"description": "log", "endOffset": ends, "latestOffset": newest}], "observedMetrics": {},
+    }
+    (tmp_path / "0.json").write_text(json.dumps(report(0, {"trades": {"0": 1}}, {"trades": {"0": 9, "1": 9}})))
+    (tmp_path / "1.json").write_text(json.dumps(report(1, {"trades": {"0": 4821}}, {"trades": {"0": 5200, "1": 7}})))
+    (tmp_path / "2.json").write_text(json.dumps(report(0, None, None) | {"id": "other", "name": None}))
+    offsets = monitoring.reported_offsets(read_progress(spark, str(tmp_path)))
+    got = monitoring.lag_report(offsets).orderBy("partition").collect()
+    assert [(r.consumer, r.topic, r.partition, r.lag, r.total_lag) for r in got] == [("archive", "trades", 0, 379, 386), ("archive", "trades", 1, 7, 386)]
+    assert offsets.schema.simpleString() == spark.createDataFrame([], monitoring.OFFSETS).schema.simpleString()
