@@ -317,6 +317,16 @@ def keyed_table_roundtrip(spark, sf_dir):
     return table.read(spark)
 
 
+def keyed_table_bucketed(spark, sf_dir):
+    """The same batches in a table bucketed by trade id, which resolves versions without a shuffle."""
+    rows = decode.raw_trades(_reissued(ev.read_trades(spark, sf_dir)), carry=["event_id"])
+    table = _trade_table(scratch_dir(spark, "bucketed"), buckets=8)
+    cycle = F.floor(F.pmod("event_id", F.lit(15000)) / 5000)
+    for batch in (0, 1, 1, 2):
+        table.write_batch(rows.where(cycle == batch), batch)
+    return table.read(spark)
+
+
 # --- serving -----------------------------------------------------------------------------------
 
 
@@ -643,6 +653,7 @@ _QUERIES = [
     raw_trades_upsert,
     candles_upsert,
     keyed_table_roundtrip,
+    keyed_table_bucketed,
     symbols,
     candles_last_n,
     latest_trades,
@@ -766,6 +777,13 @@ FROM (SELECT * REPLACE (symbol || '-' || event_id % 5000 AS trade_id) FROM ({_TR
 QUALIFY row_number() OVER (PARTITION BY trade_id ORDER BY event_id DESC) = 1
 """
 
+# Ids that repeat every 5000 events, in batches of which later ones win.
+_CYCLES = f"""
+SELECT trade_id, upper(symbol) AS symbol, price, quantity, side, event_time
+FROM (SELECT * REPLACE (symbol || '-' || event_id % 5000 AS trade_id) FROM ({_TRADES}))
+QUALIFY row_number() OVER (PARTITION BY trade_id ORDER BY event_id % 15000 // 5000 DESC, event_id DESC) = 1
+"""
+
 _TRADE_LIST = "trade_id, symbol, price, quantity, side, event_time"
 _ISO = "strftime(make_timestamp({} * 1000), '%Y-%m-%dT%H:%M:%S') || '+00:00'"
 _LABEL = "CASE WHEN {0} < 10 THEN format('{{:,.4f}}', round({0}, 4)) ELSE format('{{:,.2f}}', round({0}, 2)) END"
@@ -851,11 +869,8 @@ SELECT {measures}
 FROM (SELECT *, 1 AS version FROM ({hour}) UNION ALL SELECT *, 2 AS version FROM ({day}))
 QUALIFY row_number() OVER (PARTITION BY symbol, window_start_ms ORDER BY version DESC) = 1
 """,
-        "keyed_table_roundtrip": f"""
-SELECT trade_id, upper(symbol) AS symbol, price, quantity, side, event_time
-FROM (SELECT * REPLACE (symbol || '-' || event_id % 5000 AS trade_id) FROM ({_TRADES}))
-QUALIFY row_number() OVER (PARTITION BY trade_id ORDER BY event_id % 15000 // 5000 DESC, event_id DESC) = 1
-""",
+        "keyed_table_roundtrip": _CYCLES,
+        "keyed_table_bucketed": _CYCLES,
         "symbols": _with_candles("SELECT DISTINCT symbol FROM candles ORDER BY symbol"),
         "candles_last_n": _with_candles(
             f"""

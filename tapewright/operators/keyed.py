@@ -1,5 +1,6 @@
 """Latest row per key, and a Parquet table with upsert semantics built on it."""
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import functions as F
@@ -48,6 +49,9 @@ class KeyedTable:
     ``slice_by`` names a time that the key fixes, in epoch ms or as a timestamp. Batches are then stored below slices of
     ``slice_ms`` of that time, and :meth:`newest` reads the newest slices only, however long the history is. All
     versions of a key lie in one slice.
+
+    With ``buckets``, the folder is a Spark table bucketed by the key, so all versions of a key are in the files of one
+    bucket, and reading resolves them without a shuffle. The table's entry is made in whatever catalog the session has.
     """
 
     path: str
@@ -59,6 +63,7 @@ class KeyedTable:
     determined: tuple = ()
     slice_by: str | None = None
     slice_ms: int = DAY_MS
+    buckets: int | None = None
 
     def __post_init__(self):
         if self.slice_by is not None and self.slice_by not in self._groups:
@@ -83,15 +88,60 @@ class KeyedTable:
         rows = rows.select(*self._stored.fieldNames())
         if not unique:
             rows = latest_per_key(rows, self._groups, self._order)
-        if self.files_per_batch:
+        if self.buckets:
+            rows = rows.repartition(self.buckets, *self.keys)  # a file for each bucket
+        elif self.files_per_batch:
             # A shuffle and not coalesce, which would also merge the tasks that compute the batch.
             rows = rows.repartition(self.files_per_batch, *self.keys)
         if self.cluster_by:
             rows = rows.sortWithinPartitions(*self.cluster_by)
-        if self.slice_by is None:
-            batches.write_batch(rows, self.path, batch_id)
+        if self.slice_by is not None:
+            rows = rows.withColumn(SLICE, self._slice())
+        if self.buckets:
+            batches.write_once(rows, self.path, batch_id, lambda: self._insert(rows.withColumn(BATCH, F.lit(batch_id))))
         else:
-            batches.write_batch(rows.withColumn(SLICE, self._slice()), self.path, batch_id, SLICE)
+            batches.write_batch(rows, self.path, batch_id, SLICE if self.slice_by else None)
+
+    @property
+    def _folders(self):
+        return [SLICE, BATCH] if self.slice_by else [BATCH]
+
+    def _table(self, spark):
+        """The name of the bucketed table over the folder; a catalog that has no such table gets one."""
+        name = f"keyed_{hashlib.md5(self.path.encode()).hexdigest()}"
+        if not spark.catalog.tableExists(name):
+            fields = [(f.name, f.dataType.simpleString()) for f in self._stored.fields] + [(c, "bigint") for c in self._folders]
+            quoted = lambda names: ", ".join(f"`{c}`" for c in names)
+            spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(f'`{c}` {kind}' for c, kind in fields)}) USING parquet "
+                f"PARTITIONED BY ({quoted(self._folders)}) CLUSTERED BY ({quoted(self.keys)}) "
+                f"SORTED BY ({quoted(self.cluster_by or self.keys)}) INTO {self.buckets} BUCKETS LOCATION '{self.path}'"
+            )
+            fs, folder = batches.file_system(spark, self.path)
+            fs.mkdirs(folder)
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        return name
+
+    def _insert(self, rows):
+        """Replaces the folders of a batch. Spark takes the way to overwrite from the session, which gets its own back."""
+        conf, key = rows.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+        before = conf.get(key)
+        conf.set(key, "dynamic")
+        try:
+            rows.select(*self._stored.fieldNames(), *self._folders).write.insertInto(self._table(rows.sparkSession), overwrite=True)
+        finally:
+            conf.set(key, before)
+
+    def _versions(self, spark, among):
+        """The rows of all finished batches, of some slices if ``among`` names them."""
+        if not self.buckets:
+            return batches.read_batches(spark, self.path, self._stored, None if among is None else [f"{SLICE}={n}" for n in among])
+        done, name = batches.committed(spark, self.path), self._table(spark)
+        last = done[-1] if done else -1
+        if done and spark.sql(f"SHOW PARTITIONS {name} PARTITION ({BATCH} = {last})").isEmpty():
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")  # written by an application with another catalog
+        rows = spark.table(name).where(F.col(BATCH) <= last)
+        return rows if among is None else rows.where(F.col(SLICE).isin(list(among)))
 
     def _slice(self):
         timestamp = isinstance(self.schema[self.slice_by].dataType, T.TimestampType)
@@ -100,8 +150,7 @@ class KeyedTable:
 
     def read(self, spark, among=None):
         """One current row per key; of the slices ``among`` only, if they are given."""
-        paths = None if among is None else [f"{SLICE}={n}" for n in among]
-        rows = batches.read_batches(spark, self.path, self._stored, paths)
+        rows = self._versions(spark, among)
         return latest_per_key(rows, self._groups, [BATCH, *self._order]).select(*self.schema.fieldNames())
 
     def newest(self, spark, where, limit, since_ms=None, widen=4):

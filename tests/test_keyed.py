@@ -217,3 +217,48 @@ def test_an_owner_file_of_a_stopped_claim_names_nobody(spark, tmp_path):
     batches.claim(spark, str(folder), "stream-1")
     with pytest.raises(ValueError, match="belongs to the stream stream-1"):
         batches.claim(spark, str(folder), "stream-2")
+
+
+def bucketed(path, **more):
+    return KeyedTable(str(path), TRADE, ("trade_id",), ("event_id",), ("symbol", "event_time"), buckets=3, **more)
+
+
+@pytest.mark.parametrize("sliced_by", [None, "event_time"])
+def test_a_bucketed_table_resolves_versions_without_a_shuffle(spark, tmp_path, sliced_by):
+    table = bucketed(tmp_path / "t", determined=("symbol", "event_time"), slice_by=sliced_by)
+    assert table.read(spark).collect() == []
+    for batch, price in ((0, 1.0), (1, 2.0), (1, 9.0), (2, 3.0)):
+        table.write_batch(days(spark, batch, batch + 2).withColumn("price", F.lit(price)), batch)
+    found = table.read(spark)
+    plan = plan_of(found)
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    assert sorted((r.event_time // 86_400_000, r.price) for r in found.collect()) == sorted([(0, 1.0)] * 11 + [(1, 2.0)] * 11 + [(2, 3.0)] * 11 + [(3, 3.0)] * 11)
+    pushed = plan_of(found.where("symbol = 'RARE'"))
+    assert "EqualTo(symbol,RARE)" in pushed and "Exchange" not in pushed
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    if sliced_by:
+        newest = table.newest(spark, F.col("symbol") == "ABC", 5)
+        assert newest.count() == 10 and "PartitionFilters: [isnotnull" in plan_of(newest)
+
+
+def test_a_bucketed_table_outlives_its_catalog_entry(spark, tmp_path):
+    table = bucketed(tmp_path / "t")
+    table.write_batch(rows(spark, ("a", 1, 1), ("b", 1, 1)), 0)
+    table.write_batch(rows(spark, ("a", 2, 2)), 1)
+    spark.sql(f"DROP TABLE {table._table(spark)}")
+    assert content(table.read(spark)) == [("a", 2.0), ("b", 1.0)]
+    # Another application writes a batch that this catalog has not seen.
+    table.write_batch(rows(spark, ("b", 3, 3)), 2)
+    spark.sql(f"ALTER TABLE {table._table(spark)} DROP PARTITION (batch = 2)")
+    other = KeyedTable(str(tmp_path / "copy"), TRADE, ("trade_id",), ("event_id",))
+    assert content(table.read(spark)) == [("a", 2.0), ("b", 3.0)] and other.read(spark).collect() == []
+
+
+def test_an_unfinished_bucketed_batch_is_replaced(spark, tmp_path):
+    table = bucketed(tmp_path / "t")
+    table.write_batch(rows(spark, ("a", 1, 1)), 0)
+    table.write_batch(rows(spark, ("a", 2, 2), ("c", 2, 2)), 1)
+    (tmp_path / "t" / "_commits" / "1").unlink()
+    assert content(table.read(spark)) == [("a", 1.0)]
+    table.write_batch(rows(spark, ("a", 3, 3)), 1)
+    assert content(table.read(spark)) == [("a", 3.0)]
