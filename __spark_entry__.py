@@ -6,6 +6,7 @@ milliseconds or ISO text, so results do not depend on the session time zone.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Callable
 
@@ -460,6 +461,18 @@ def stream_ohlcv_closed(spark, sf_dir):
     return _flat(table.read(spark))
 
 
+def stream_open_windows(spark, sf_dir):
+    """Append mode stopped at the end of the trades: the closed candles, and from its state those still open."""
+    root, state = scratch_dir(spark, "open"), []
+    for plain in (True, False):
+        table = _candle_table(f"{root}/table-{plain}")
+        names = [f"{root}/{name}-{plain}" for name in ("checkpoint", "rejects")]
+        _run(jobs.start_candles(_event_stream(spark, sf_dir), table, *names, HOUR, plain_ids=plain))
+        rows = {"closed": table.read(spark), "open": candle_ops.open_candles(spark, names[0], HOUR, plain)}
+        state += [_flat(r).select("*", F.lit(k).alias("state"), F.lit(plain).alias("plain_ids")) for k, r in rows.items()]
+    return functools.reduce(DataFrame.unionByName, state)
+
+
 def stream_restart(spark, sf_dir):
     """Append mode over five files in time order, ended after three and started again from its checkpoint."""
     root, trades = scratch_dir(spark, "restart"), ev.read_trades(spark, sf_dir)
@@ -670,6 +683,7 @@ _QUERIES = [
     flush_lag,
     flush_log,
     stream_ohlcv_closed,
+    stream_open_windows,
     stream_restart,
     stream_late,
     stream_ohlcv_update,
@@ -958,6 +972,10 @@ FROM ({_TRADES}), ({_SPAN}) GROUP BY 1, 2
 """,
         "stream_ohlcv_closed": f"""
 SELECT * FROM ({hour}) WHERE window_end_ms <= (SELECT max(epoch_us(ts) // 1000) - 5000 FROM events)
+""",
+        "stream_open_windows": f"""
+SELECT *, CASE WHEN window_end_ms <= (SELECT max(epoch_us(ts) // 1000) - 5000 FROM events) THEN 'closed' ELSE 'open' END AS state
+FROM ({hour}), (VALUES (true), (false)) AS plain(plain_ids)
 """,
         "stream_restart": f"""
 SELECT * FROM ({hour}) WHERE window_end_ms <= (SELECT max(epoch_us(ts) // 1000) - 5000 FROM events)

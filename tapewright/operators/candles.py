@@ -1,5 +1,7 @@
 """OHLCV candles over tumbling event-time windows, the same plan for tables and streams."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from tapewright.functions.text import TRADE_SEQUENCE
@@ -44,10 +46,31 @@ def _plain_keys(window_ms, plain_ids):
 _ORDER = "named_struct('at', pmod(event_time, {0}L), 'number', coalesce(_seq, -1L), 'id', coalesce(trade_id, ''), 'price', price)"
 
 
-def _edges(kinds):
-    """Aggregates of the first and last price by each of the keys ``kinds``."""
-    ends = (("min", "open", "first"), ("max", "close", "last"))
-    return [e for k in kinds for f, price, key in ends for e in (f"{f}_by(price, _{k}) AS _{price}_{k}", f"{f}(_{k}) AS _{key}_{k}")]
+_MEASURES = {"high_price": "max(price)", "low_price": "min(price)", "volume": "round(sum(quantity), 6)", "trade_count": "count(1)"}
+
+
+def _aggregates(window_ms, plain_ids, stream):
+    """Order keys by name, the aggregates of a candle by name, and the bits of a number in the narrow key.
+
+    ``_open_`` and ``_close_`` are prices by a key, ``_first_`` and ``_last_`` the keys themselves.
+    """
+    narrow, wide, shift = _plain_keys(window_ms, plain_ids)
+    whole = _ORDER.format(window_ms)
+    if stream and not plain_ids:
+        keys = {"t": f"CASE WHEN price IS NOT NULL THEN {whole} END"}
+        edges = {"_first_t": "min(_t)", "_last_t": "max(_t)"}
+    else:
+        keys = {"n": narrow, "w": wide}
+        ends = (("min", "open", "first"), ("max", "close", "last"))
+        edges = {
+            name: e for k in keys for f, price, key in ends
+            for name, e in ((f"_{price}_{k}", f"{f}_by(price, _{k})"), (f"_{key}_{k}", f"{f}(_{k})"))
+        }
+        if not plain_ids:
+            # DISTINCT makes every such trade a group of its own below the shuffle; plain ones share the group of NULL.
+            keys["t"] = f"CASE WHEN price IS NOT NULL AND _lower IS NULL THEN {whole} END"
+            edges |= {"_first_t": "min_by(DISTINCT _t, _t)", "_last_t": "max_by(DISTINCT _t, _t)"}
+    return keys, edges | _MEASURES, shift
 
 
 def candles(trades, window_seconds=DEFAULT_WINDOW_SECONDS, watermark=DEFAULT_WATERMARK, plain_ids=False):
@@ -63,20 +86,7 @@ def candles(trades, window_seconds=DEFAULT_WINDOW_SECONDS, watermark=DEFAULT_WAT
     plain ids, as the exchange feed makes them: then a stream hashes, too, and any other id is an error.
     """
     window_seconds = max(1, int(window_seconds))
-    window_ms = window_seconds * 1000
-    narrow, wide, shift = _plain_keys(window_ms, plain_ids)
-    whole = _ORDER.format(window_ms)
-    stream = trades.isStreaming and not plain_ids
-    if stream:
-        keys = {"t": f"CASE WHEN price IS NOT NULL THEN {whole} END"}
-        edges = ["min(_t) AS _first_t", "max(_t) AS _last_t"]
-    else:
-        keys = {"n": narrow, "w": wide}
-        edges = _edges(keys)
-        if not plain_ids:
-            # DISTINCT makes every such trade a group of its own below the shuffle; plain ones share the group of NULL.
-            keys["t"] = f"CASE WHEN price IS NOT NULL AND _lower IS NULL THEN {whole} END"
-            edges += ["min_by(DISTINCT _t, _t) AS _first_t", "max_by(DISTINCT _t, _t) AS _last_t"]
+    keys, aggregates, shift = _aggregates(window_seconds * 1000, plain_ids, trades.isStreaming)
     grouped = (
         with_event_time(trades, watermark)
         # The exchange's own number ends the trade id.
@@ -84,14 +94,54 @@ def candles(trades, window_seconds=DEFAULT_WINDOW_SECONDS, watermark=DEFAULT_WAT
         .selectExpr("*", f"{_PLAIN} AS _lower")
         .selectExpr("_symbol AS symbol", "ts", "price", "quantity", *[f"{key} AS _{k}" for k, key in keys.items()])
         .groupBy("symbol", F.window("ts", f"{window_seconds} seconds").alias("w"))
-        .agg(
-            *[F.expr(edge) for edge in edges],
-            F.expr("max(price) AS high_price"),
-            F.expr("min(price) AS low_price"),
-            F.expr("round(sum(quantity), 6) AS volume"),
-            F.expr("count(1) AS trade_count"),
-        )
+        .agg(*[F.expr(f"{e} AS {name}") for name, e in aggregates.items()])
     )
+    return _finished(grouped, keys, shift)
+
+
+def open_candles(spark, checkpoint, window_seconds=DEFAULT_WINDOW_SECONDS, plain_ids=False):
+    """The candles so far of the windows that a stream in append mode has not closed, from the state in its checkpoint.
+
+    ``window_seconds`` and ``plain_ids`` are those of the stream. Reads its last finished batch, whether it runs or not.
+    A stream in update mode keeps its windows until the watermark has passed them, so there closed ones come as well.
+    """
+    keys, aggregates, shift = _aggregates(max(1, int(window_seconds)) * 1000, plain_ids, True)
+    state = spark.read.format("statestore").load(checkpoint)
+    fields = _state_fields(state.schema["value"].dataType.fields)
+    if set(fields) - {""} != set(aggregates):
+        raise ValueError(f"{checkpoint} holds the state of another aggregate, or of candles with other ids")
+    kinds = [f.dataType.simpleString() for f in state.schema["value"].dataType.fields]
+    named = ", ".join(f"{name or f'_{n}'}: {kind}" for n, (name, kind) in enumerate(zip(fields, kinds)))
+    values = [f"round(v.{name}, 6) AS {name}" if name == "volume" else f"v.{name}" for name in aggregates]
+    return _finished(state.selectExpr("key", f"CAST(value AS STRUCT<{named}>) AS v").selectExpr("key.symbol", "key.window AS w", *values), keys, shift)
+
+
+def _state_fields(fields):
+    """Which aggregate each field of the state belongs to, '' for the ordering of a price by a key.
+
+    Spark names a field by what it does and orders them as the result uses them, so open comes before close.
+    """
+    keys = {"bigint": "n", "decimal": "w", "struct": "t"}
+    key_of = lambda field: keys.get(re.split("[(<]", field.dataType.simpleString())[0], "")
+    found = []
+    for k, field in enumerate(fields):
+        if field.name in ("sum", "count"):
+            name = {"sum": "volume", "count": "trade_count"}[field.name]
+        elif field.name.startswith("value") and k + 1 < len(fields):
+            key = key_of(fields[k + 1])
+            name = f"_close_{key}" if f"_open_{key}" in found else f"_open_{key}"
+        elif field.name in ("min", "max"):
+            key = key_of(field)
+            name = f"_{'first' if field.name == 'min' else 'last'}_{key}" if key else {"min": "low_price", "max": "high_price"}[field.name]
+        else:
+            name = ""
+        found.append(name)
+    return found
+
+
+def _finished(grouped, keys, shift):
+    """Candles of aggregated windows."""
+    stream, plain_ids = "n" not in keys, "t" not in keys
 
     def edge(kind, name):
         """The price at one end: that of the only key, else of the outer one in the whole order."""

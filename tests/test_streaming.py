@@ -8,7 +8,7 @@ from plans import plan_of
 from pyspark.sql import functions as F
 
 from tapewright.operators import decode
-from tapewright.operators.candles import candles
+from tapewright.operators.candles import candles, open_candles
 from tapewright.operators.keyed import KeyedTable
 from tapewright.plans import monitoring, views
 from tapewright.schemas import CANDLE, TRADE
@@ -435,3 +435,23 @@ def test_positions_of_a_log_from_its_reports(spark, tmp_path):
     got = monitoring.lag_report(offsets).orderBy("partition").collect()
     assert [(r.consumer, r.topic, r.partition, r.lag, r.total_lag) for r in got] == [("archive", "trades", 0, 379, 386), ("archive", "trades", 1, 7, 386)]
     assert offsets.schema.simpleString() == spark.createDataFrame([], monitoring.OFFSETS).schema.simpleString()
+
+
+@pytest.mark.parametrize("plain", [True, False])
+def test_open_windows_come_from_the_state(streams, spark, tmp_path, plain):
+    big = 9 * 10**18
+    rows = [(1000, 1.0, 1), (12_000, 2.0, 2), (12_000, 7.0, big), (12_000, 3.0, 1), (13_000, None, 3), (14_000, 5.0, big + 1), (14_000, 4.0, 9)]
+    put(tmp_path / "in", 0, [message(at, price, number=n, quantity=0.1) for at, price, n in rows])
+    path = lambda name: str(tmp_path / name)
+    start = lambda: jobs.start_candles(text_trades(streams, tmp_path / "in"), candle_table(path("t")), path("c"), path("r"), 10, "1 second", plain_ids=plain)
+    start().awaitTermination()
+    closed = bounds(candle_table(path("t")).read(spark))
+    still = bounds(open_candles(spark, path("c"), 10, plain))
+    assert [r[0] for r in closed] == [0]
+    assert still == [(10_000, 20_000, "A", 3.0, 7.0, 2.0, 5.0, 0.6, 6)]
+    with pytest.raises(ValueError, match="another aggregate"):
+        open_candles(spark, path("c"), 10, not plain)
+    put(tmp_path / "in", 1, [message(40_000, 8.0, number=3)])
+    start().awaitTermination()
+    assert bounds(candle_table(path("t")).read(spark)) == closed + still
+    assert [r[0] for r in bounds(open_candles(spark, path("c"), 10, plain))] == [40_000]
