@@ -22,7 +22,7 @@ from tapewright.operators.keyed import KeyedTable, latest_per_key
 from tapewright.plans import monitoring, serving, views
 from tapewright.schemas import CANDLE, TRADE, TRADE_COLUMNS
 from tapewright.session import scratch_dir, streaming_session
-from tapewright.sources.archive import archive_files, list_files, read_archive, read_flushes
+from tapewright.sources.archive import archive_files, list_files, read_archive, read_flushes, read_triggers
 from tapewright.sources.log import read_messages, stream_parquet
 from tapewright.streaming import jobs
 from tapewright.streaming.progress import ProgressLog, read_progress
@@ -105,16 +105,25 @@ def _once(spark, sf_dir, name, build):
 _STORED = {}
 
 
+SLICE_ROWS = 250_000  # in a file of a slice
+
+
 def _slices(spark, sf_dir, trades, folder, numbers, count=5):
-    """Adds files to ``folder``, each a stretch of time; later stretches get later files."""
-    first, last = trades.agg(F.min("event_time"), F.max("event_time")).first()
+    """Adds slices of ``trades`` to ``folder``, each a stretch of time; later stretches get later files. The files of a
+    slice: as many as the rows of the largest ask for.
+    """
+    first, last, rows = trades.agg(F.min("event_time"), F.max("event_time"), F.count(F.lit(1))).first()
     number = F.floor((F.col("event_time") - first) * count / (last - first + 1))
+    most = trades.groupBy(number).count().agg(F.max("count")).first()[0] if rows > SLICE_ROWS else rows
+    files = math.ceil(most / SLICE_ROWS)
     for n in numbers:
-        trades.where(number == n).coalesce(1).write.mode("append").parquet(folder)
+        trades.where(number == n).repartition(files).write.mode("append").parquet(folder)
+    return files
 
 
-def _sliced_stream(spark, folder, schema):
-    return stream_parquet(streaming_session(spark), folder, schema, max_files_per_trigger=1)
+def _sliced_stream(spark, folder, schema, files=1):
+    """A slice for each batch."""
+    return stream_parquet(streaming_session(spark), folder, schema, max_files_per_trigger=files)
 
 
 def _stored_tables(spark, sf_dir):
@@ -412,8 +421,8 @@ def _flushed(spark, sf_dir):
 
     def build(root):
         trades = ev.read_trades(spark, sf_dir)
-        _slices(spark, sf_dir, trades, f"{root}/in", range(5))
-        stream = _sliced_stream(spark, f"{root}/in", trades.schema)
+        files = _slices(spark, sf_dir, trades, f"{root}/in", range(5))
+        stream = _sliced_stream(spark, f"{root}/in", trades.schema, files)
         log = ProgressLog(stream.sparkSession, f"{root}/progress").watch()
         query = jobs.start_archive(stream, root, f"{root}/checkpoint")
         _run(query)
@@ -431,6 +440,26 @@ def flush_totals(spark, sf_dir):
     return totals.select((number - 1).alias("flush"), "written", "symbols", "total_written")
 
 
+def flush_triggers(spark, sf_dir):
+    """An archive over ten slices that flushes at a quarter of the largest symbol's rows or after 60 seconds, by a clock
+    that first goes on 25 seconds a slice, then 70: the flushes, what caused them, their rows by symbol.
+    """
+
+    def build(root):
+        trades = ev.read_trades(spark, sf_dir)
+        most = trades.groupBy("symbol").count().agg(F.max("count")).first()[0]
+        files = _slices(spark, sf_dir, trades, f"{root}/in", range(10), 10)
+        stream = _sliced_stream(spark, f"{root}/in", trades.schema, files)
+        times = iter([0, *(25 * k for k in range(5)), *(100 + 70 * k for k in range(1, 99))])
+        paths = root, f"{root}/checkpoint"
+        _run(jobs.start_triggered_archive(stream, *paths, rows_per_symbol=most // 4, clock=lambda: next(times)))
+        return root
+
+    root = _once(spark, sf_dir, "triggers", build)
+    by_symbol = read_archive(spark, root).groupBy("batch", F.col("symbol_part").alias("symbol")).agg(F.count(F.lit(1)).alias("records"))
+    return by_symbol.join(read_triggers(spark, root).drop("records"), "batch").select("batch", "trigger", "most", "symbol", "records")
+
+
 def flush_lag(spark, sf_dir):
     """Rows and times of five flushes as the stream reported them, and the rows each of them left unread."""
     reports = read_progress(spark, f"{_flushed(spark, sf_dir)}/progress")
@@ -478,8 +507,8 @@ def stream_restart(spark, sf_dir):
     root, trades = scratch_dir(spark, "restart"), ev.read_trades(spark, sf_dir)
     table = _candle_table(f"{root}/table")
     for numbers in (range(3), range(3, 5)):
-        _slices(spark, sf_dir, trades, f"{root}/in", numbers)
-        stream = _sliced_stream(spark, f"{root}/in", trades.schema)
+        files = _slices(spark, sf_dir, trades, f"{root}/in", numbers)
+        stream = _sliced_stream(spark, f"{root}/in", trades.schema, files)
         _run(jobs.start_candles(stream, table, f"{root}/checkpoint", f"{root}/rejects", HOUR))
     return _flat(table.read(spark))
 
@@ -489,10 +518,10 @@ def stream_late(spark, sf_dir):
     root, trades = scratch_dir(spark, "late"), ev.read_trades(spark, sf_dir)
     late = F.pmod("event_id", F.lit(50)) == 0
     punctual = trades.where(~late)
-    _slices(spark, sf_dir, punctual, f"{root}/in", range(5))
-    trades.where(late).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    files = _slices(spark, sf_dir, punctual, f"{root}/in", range(5))
+    trades.where(late).repartition(files).write.mode("append").parquet(f"{root}/in")
     table = _candle_table(f"{root}/table")
-    stream = _sliced_stream(spark, f"{root}/in", trades.schema)
+    stream = _sliced_stream(spark, f"{root}/in", trades.schema, files)
     _run(jobs.start_candles(stream, table, f"{root}/checkpoint", f"{root}/rejects", HOUR))
     return _flat(table.read(spark))
 
@@ -536,9 +565,9 @@ def stream_raw_upsert(spark, sf_dir):
 def stream_replay(spark, sf_dir):
     """A stream of five batches, after which its first and last batches come once more."""
     root, trades = scratch_dir(spark, "replay"), ev.read_trades(spark, sf_dir)
-    _slices(spark, sf_dir, trades, f"{root}/in", range(5))
+    files = _slices(spark, sf_dir, trades, f"{root}/in", range(5))
     table = _trade_table(f"{root}/table")
-    _run(jobs.start_raw_trades(_sliced_stream(spark, f"{root}/in", trades.schema), table, f"{root}/checkpoint", f"{root}/rejects"))
+    _run(jobs.start_raw_trades(_sliced_stream(spark, f"{root}/in", trades.schema, files), table, f"{root}/checkpoint", f"{root}/rejects"))
     again = upsert_batch(table, f"{root}/rejects")
     for batch_id in (0, 4):
         again(decode.raw_trades(trades, carry=["event_id"]).withColumn("price", F.lit(0.0)), batch_id)
@@ -682,6 +711,7 @@ _QUERIES = [
     flush_totals,
     flush_lag,
     flush_log,
+    flush_triggers,
     stream_ohlcv_closed,
     stream_open_windows,
     stream_restart,
@@ -965,6 +995,31 @@ FROM (SELECT (event_time - first) * 5 // (last - first + 1) AS flush, count(*) A
 SELECT *, CAST(sum(rows) OVER (ORDER BY batch) AS BIGINT) AS written, CAST(sum(rows) OVER () - sum(rows) OVER (ORDER BY batch) AS BIGINT) AS lag
 FROM (SELECT {_FLUSH} AS batch, count(*) AS rows, min(event_time) AS first_ms, max(event_time) AS last_ms
       FROM ({_TRADES}), ({_SPAN}) GROUP BY 1)
+""",
+        "flush_triggers": f"""
+WITH RECURSIVE counts AS (
+  SELECT (event_time - first) * 10 // (last - first + 1) AS slice, symbol, count(*) AS n
+  FROM ({_TRADES}), ({_SPAN}) GROUP BY 1, 2
+), bound AS (
+  SELECT max(n) // 4 AS most FROM (SELECT sum(n)::BIGINT AS n FROM counts GROUP BY symbol)
+), pending AS (
+  SELECT a.slice AS first_slice, b.slice AS last_slice, max(n)::BIGINT AS most
+  FROM (SELECT DISTINCT slice FROM counts) a
+  JOIN LATERAL (SELECT DISTINCT slice FROM counts) b ON b.slice >= a.slice
+  JOIN LATERAL (SELECT sum(n) AS n FROM counts c WHERE c.slice BETWEEN a.slice AND b.slice GROUP BY symbol) ON true
+  GROUP BY ALL
+), steps AS (
+  SELECT 0::BIGINT AS slice, 0::BIGINT AS first_slice, 0::BIGINT AS since, NULL::VARCHAR AS trigger, 0::BIGINT AS start
+  UNION ALL
+  SELECT slice + 1, CASE WHEN cause IS NULL THEN first_slice ELSE slice + 1 END, CASE WHEN cause IS NULL THEN since ELSE now END, cause, first_slice
+  FROM (SELECT s.slice, s.first_slice, s.since, CASE WHEN s.slice < 5 THEN 25 * s.slice ELSE 100 + 70 * (s.slice - 4) END AS now,
+               CASE WHEN p.most >= bound.most THEN 'rows' WHEN now - since >= 60 THEN 'time' END AS cause
+        FROM steps s JOIN pending p ON p.first_slice = s.first_slice AND p.last_slice = s.slice, bound WHERE s.slice < 10)
+)
+SELECT s.slice - 1 AS batch, s.trigger, p.most, c.symbol, sum(c.n)::BIGINT AS records
+FROM steps s JOIN pending p ON p.first_slice = s.start AND p.last_slice = s.slice - 1
+     JOIN counts c ON c.slice BETWEEN s.start AND s.slice - 1
+WHERE s.trigger IS NOT NULL GROUP BY ALL
 """,
         "flush_log": f"""
 SELECT {_FLUSH} AS batch, symbol, count(*) AS records, true AS has_files, true AS sizes_match

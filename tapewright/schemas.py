@@ -59,6 +59,15 @@ FLUSH = T.StructType(
     ]
 )
 
+# What caused a flush: its name, the rows of the symbol with most, and all rows.
+TRIGGER = T.StructType(
+    [
+        T.StructField("trigger", T.StringType()),
+        T.StructField("most", T.LongType()),
+        T.StructField("records", T.LongType()),
+    ]
+)
+
 LAKE_FILE = T.StructType(
     [
         T.StructField("key", T.StringType()),

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from tapewright.functions.display import kilobytes
 from tapewright.functions.times import iso_utc
 from tapewright.operators.keyed import latest_per_key
-from tapewright.schemas import ARCHIVE, ARCHIVE_FOLDERS, ARCHIVE_INDEX, FLUSH, LAKE_FILE
+from tapewright.schemas import ARCHIVE, ARCHIVE_FOLDERS, ARCHIVE_INDEX, FLUSH, LAKE_FILE, TRIGGER
 from tapewright.streaming import batches
 
 TRADES_FOLDER, INDEX_FOLDER = "trades", "index"
@@ -46,6 +46,15 @@ def read_flushes(spark, root):
     return spark.read.schema(full).parquet(f"{root}/flushes").where(F.col("batch") <= last)
 
 
+def read_triggers(spark, root):
+    """What caused each finished flush of an archive with triggers of its own, by batch."""
+    last = _last_flush(spark, root)
+    full = T.StructType(TRIGGER.fields + [T.StructField("batch", T.LongType())])
+    if last < 0:
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(f"{root}/triggers").where(F.col("batch") <= last)
+
+
 def archive_files(spark, root, paths=None):
     """Key, length and modification time of the Parquet files below the archive's trades, with dt, symbol_part, batch and
     slot, as their folders list them; of the folders ``paths`` only, if given. No file is opened: the content column is

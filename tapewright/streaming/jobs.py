@@ -2,6 +2,7 @@
 
 from tapewright.operators import candles as candle_ops
 from tapewright.operators import decode
+from tapewright.sources.log import FLUSH_ROWS
 from tapewright.streaming import batches, progress, sinks
 
 
@@ -90,6 +91,19 @@ def start_archive(trades, root, checkpoint, every=None, event_date=False, files=
     return _triggered(writer, every).start()
 
 
+def start_triggered_archive(trades, root, checkpoint, rows_per_symbol=FLUSH_ROWS, seconds=60, every=None, **options):
+    """The archive with both of its triggers: a flush when a symbol has ``rows_per_symbol`` waiting trades, or when
+    ``seconds`` have passed since the last one, whatever batches the source makes. ``every`` is how often to look.
+
+    Time is looked at when a batch comes; trades that wait while none does are archived with the next one. See
+    ``sinks.triggered_archive_batch`` for ``options``.
+    """
+    writer = progress.observed(trades).writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        sinks.triggered_archive_batch(root, rows_per_symbol, seconds, **options)
+    )
+    return _triggered(writer, every).start()
+
+
 def start_publish(messages, checkpoint, fmt="kafka", options=None, every=None):
     """Exchange messages to canonical trades on the log, keyed by symbol.
 

@@ -1,5 +1,7 @@
 """Where streams end: keyed tables, archive folders, a relational table, the log, the console."""
 
+import time
+
 from pyspark import StorageLevel
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -7,7 +9,7 @@ from pyspark.sql import types as T
 
 from tapewright.functions.times import now_millis, utc_date
 from tapewright.operators import quality
-from tapewright.schemas import ARCHIVE_FOLDERS, ARCHIVE_INDEX, ARCHIVE_ROWS, REJECT, TRADE_COLUMNS
+from tapewright.schemas import ARCHIVE_FOLDERS, ARCHIVE_INDEX, ARCHIVE_ROWS, REJECT, TRADE, TRADE_COLUMNS, TRIGGER
 from tapewright.sources.archive import archive_files
 from tapewright.streaming import batches
 
@@ -104,6 +106,39 @@ def archive_batch(root, event_date=False, files=8, max_records_per_file=1_000_00
     return write
 
 
+def triggered_archive_batch(root, rows_per_symbol, seconds, clock=time.time, **options):
+    """foreachBatch function: rows wait in ``root/pending`` until a symbol has ``rows_per_symbol`` of them or ``seconds``
+    have passed since the last flush, or since the start; then all of them are archived as one flush.
+
+    So a flush spans batches of any source, and its size doesn't depend on how the source cuts them. Waiting rows are
+    stored, so a restart goes on with them; a batch that comes again neither waits nor is archived twice. What caused a
+    flush is kept in ``root/triggers``. ``clock`` tells the seconds; ``options`` are those of :func:`archive_batch`.
+    """
+    archive, since = archive_batch(root, **options), [clock()]
+
+    def write(rows, batch_id):
+        spark, pending = rows.sparkSession, f"{root}/pending"
+        batches.write_batch(rows.select(*TRADE_COLUMNS), pending, batch_id)
+        flushed = max(batches.committed(spark, f"{root}/trades"), default=-1)
+        waiting = batches.read_batches(spark, pending, TRADE).where(F.col("batch") > flushed)
+        counts = waiting.groupBy(F.coalesce("symbol", F.lit(UNKNOWN_SYMBOL)).alias("symbol")).agg(F.count(F.lit(1)).alias("records"))
+        most, total = counts.agg(F.max("records"), F.sum("records")).first()
+        now = clock()
+        trigger = "rows" if (most or 0) >= rows_per_symbol else "time" if total and now - since[0] >= seconds else None
+        if trigger is None:
+            return
+        log = spark.createDataFrame([(trigger, most, total)], TRIGGER).coalesce(1)
+        log.write.mode("overwrite").parquet(f"{root}/triggers/batch={batch_id}")
+        archive(waiting, batch_id)
+        since[0] = now
+        fs, _ = batches.file_system(spark, pending)
+        for number in batches.values_of(spark, pending, "batch"):
+            if number <= batch_id:
+                fs.delete(batches.file_system(spark, f"{pending}/batch={number}")[1], True)
+
+    return write
+
+
 def log_flush(root, batch_id, in_slots, dates, max_records_per_file):
     """Adds the files of a flush to ``root/flushes``, with symbol, rows and KB, and to the index ``root/index``.
 

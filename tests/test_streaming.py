@@ -13,7 +13,7 @@ from tapewright.operators.keyed import KeyedTable
 from tapewright.plans import monitoring, views
 from tapewright.schemas import CANDLE, TRADE
 from tapewright.session import scratch_dir, streaming_session
-from tapewright.sources.archive import archive_files, list_files, read_archive, read_flushes
+from tapewright.sources.archive import archive_files, list_files, read_archive, read_flushes, read_triggers
 from tapewright.sources.log import kafka_options, read_messages, stream_parquet
 from tapewright.streaming import jobs, sinks
 from tapewright.streaming.progress import ProgressLog, read_progress
@@ -455,3 +455,46 @@ def test_open_windows_come_from_the_state(streams, spark, tmp_path, plain):
     start().awaitTermination()
     assert bounds(candle_table(path("t")).read(spark)) == closed + still
     assert [r[0] for r in bounds(open_candles(spark, path("c"), 10, plain))] == [40_000]
+
+
+def test_archive_flushes_by_rows_and_by_time(streams, spark, tmp_path):
+    root, seconds = str(tmp_path / "lake"), [0]
+    start = lambda: jobs.start_triggered_archive(
+        text_trades(streams, tmp_path / "in"), root, str(tmp_path / "c"), rows_per_symbol=10, seconds=60, clock=lambda: seconds[0]
+    )
+
+    def batch(number, rows, at):
+        put(tmp_path / "in", number, [message(k, 1.0, symbol, number=k + 100 * number) for k, symbol in enumerate(rows)])
+        start().awaitTermination()
+        return sorted((r.batch, r.trigger, r.most, r.records) for r in read_triggers(spark, root).collect()), read_archive(spark, root).count()
+
+    assert batch(0, "AAAAAB", 0) == ([], 0)
+    assert batch(1, ["A"] * 4 + [None] * 9, 0) == ([], 0)
+    assert batch(2, "A", 0) == ([(2, "rows", 10, 20)], 20)  # the tenth row of one symbol takes all that waits along
+    assert batch(3, "BB", 0) == ([(2, "rows", 10, 20)], 20)
+    # Within one run, time passes between batches.
+    ticks = iter([0, 59, 60, 61, 200])
+    for n in (4, 5, 6, 7):
+        put(tmp_path / "in", n, [message(n, 1.0, "C", number=n)])
+    query = jobs.start_triggered_archive(
+        text_trades(streams, tmp_path / "in"), root, str(tmp_path / "c"), rows_per_symbol=10, seconds=60, clock=lambda: next(ticks)
+    )
+    query.awaitTermination()
+    assert sorted((r.batch, r.trigger, r.most, r.records) for r in read_triggers(spark, root).collect()) == [
+        (2, "rows", 10, 20), (5, "time", 2, 4), (7, "time", 2, 2)
+    ]
+    assert read_archive(spark, root).count() == 26 == read_archive(spark, root).select("trade_id").distinct().count()
+    assert not [p for p in (tmp_path / "lake" / "pending").iterdir() if p.name.startswith("batch=")]
+
+
+def test_a_batch_that_comes_again_is_archived_once(spark, tmp_path):
+    root, flush = str(tmp_path / "lake"), []
+    trades = spark.createDataFrame([(f"A-{n}", "A", 1.0, 1.0, "buy", n) for n in range(6)], TRADE)
+    for batch_id in (0, 0, 1, 1, 0, 2):
+        sinks.triggered_archive_batch(root, 10, 1e9)(trades, batch_id)
+        flush.append(read_archive(spark, root).count())
+    assert flush == [0, 0, 12, 12, 12, 12]
+    # An attempt that ended between archiving and clearing away leaves waiting rows behind, which count no more.
+    trades.write.parquet(f"{root}/pending/batch=1")
+    sinks.triggered_archive_batch(root, 12, 1e9)(trades, 3)
+    assert read_archive(spark, root).count() == 24
