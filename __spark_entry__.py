@@ -26,7 +26,7 @@ from tapewright.sources.archive import archive_files, list_files, read_archive,
 from tapewright.sources.log import read_messages, stream_parquet
 from tapewright.streaming import jobs
 from tapewright.streaming.progress import ProgressLog, read_progress
-from tapewright.streaming.sinks import read_rejects, upsert_batch
+from tapewright.streaming.sinks import read_rejects, read_ticker, upsert_batch
 
 try:  # the operators for training text come as a subpackage that may be left out
     import corpus_pipeline
@@ -356,6 +356,37 @@ def serving_stats(spark, sf_dir):
     return serving.pipeline_stats(_served_candles(spark, sf_dir), _served_trades(spark, sf_dir))
 
 
+def approx_distinct(spark, sf_dir):
+    """Users and trade times from daily sketches against exact counts, which they have to meet within four standard
+    deviations.
+    """
+    trades = ev.read_trades(spark, sf_dir).withColumn("day", F.col("event_time").cast("long") - F.pmod("event_time", F.lit(24 * HOUR * 1000)))
+    found = []
+    for column in ("user_id", "event_time", "symbol"):
+        guess = serving.sketched_count(serving.sketches(trades, "day", column))
+        exact = trades.agg(F.count_distinct(column).alias("exact"))
+        near = F.abs(F.col("approx_distinct") - F.col("exact")) <= F.ceil(F.col("exact") * 4 * 0.013)
+        both = guess.unionByName(exact, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in ("approx_distinct", "exact")])
+        found.append(both.select(F.lit(column).alias("counted"), "exact", near.alias("near")))
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def limit_checks(spark, sf_dir):
+    """Which of the limits from -10 to 509 that the events make the lookups take: 1 to 200 for trades, 1 to 500 for
+    candles.
+    """
+
+    def taken(limit, highest):
+        try:
+            return serving.check_limit(limit, highest) == limit
+        except ValueError:
+            return False
+
+    wanted = ev.read_trades(spark, sf_dir).select((F.pmod("event_id", F.lit(520)) - 10).alias("n")).distinct().collect()  # 520 at most
+    rows = [(r.n, taken(r.n, 200), taken(r.n, 500)) for r in wanted]
+    return spark.createDataFrame(rows, "n bigint, for_trades boolean, for_candles boolean")
+
+
 def latest_prices(spark, sf_dir):
     return serving.latest_prices(_served_candles(spark, sf_dir))
 
@@ -502,6 +533,52 @@ def stream_open_windows(spark, sf_dir):
     return functools.reduce(DataFrame.unionByName, state)
 
 
+def stream_ticker(spark, sf_dir):
+    """The ticker's changes from a stream of five batches, each compared with the closes that the one before left."""
+    root, trades = scratch_dir(spark, "ticker"), ev.read_trades(spark, sf_dir)
+    files = _slices(spark, sf_dir, trades, f"{root}/in", range(5))
+    stream = _sliced_stream(spark, f"{root}/in", trades.schema, files)
+    _run(jobs.start_ticker(stream, root, f"{root}/checkpoint", HOUR, plain_ids=True))
+    return read_ticker(spark, root).withColumns({"change": F.round("change", 6), "percent": F.round("percent", 6)})
+
+
+def stream_positions(spark, sf_dir):
+    """A stream that starts at the first of three slices at hand, ends, and goes on behind them when there are five:
+    rows and times of each batch as it reported them.
+    """
+
+    def build(root):
+        trades = ev.read_trades(spark, sf_dir)
+        table = _trade_table(f"{root}/table")
+        for numbers in (range(3), range(3, 5)):
+            files = _slices(spark, sf_dir, trades, f"{root}/in", numbers)
+            stream = _sliced_stream(spark, f"{root}/in", trades.schema, files)
+            log = ProgressLog(stream.sparkSession, f"{root}/progress").watch()
+            query = jobs.start_raw_trades(stream, table, f"{root}/checkpoint", f"{root}/rejects")
+            _run(query)
+            log.wait(query)
+            log.close()
+        return f"{root}/progress"
+
+    return read_progress(spark, _once(spark, sf_dir, "positions", build)).where("rows > 0").select("batch", "rows", "first_ms", "last_ms")
+
+
+def stream_idle(spark, sf_dir):
+    """Two sources, one of which has no more trades after the first fifth of the time: windows close all the same."""
+    root, trades = scratch_dir(spark, "idle"), ev.read_trades(spark, sf_dir)
+    first, last = trades.agg(F.min("event_time"), F.max("event_time")).first()
+    early = F.floor((F.col("event_time") - first) * 5 / (last - first + 1)) == 0
+    quiet = F.pmod("user_id", F.lit(2)) == 0
+    trades.where(quiet & early).write.parquet(f"{root}/quiet")
+    files = _slices(spark, sf_dir, trades.where(~quiet), f"{root}/in", range(5))
+    session = streaming_session(spark)
+    busy = stream_parquet(session, f"{root}/in", trades.schema, max_files_per_trigger=files)
+    table = _candle_table(f"{root}/table")
+    both = busy.unionByName(stream_parquet(session, f"{root}/quiet", trades.schema))
+    _run(jobs.start_candles(both, table, f"{root}/checkpoint", f"{root}/rejects", HOUR, plain_ids=True))
+    return _flat(table.read(spark))
+
+
 def stream_restart(spark, sf_dir):
     """Append mode over five files in time order, ended after three and started again from its checkpoint."""
     root, trades = scratch_dir(spark, "restart"), ev.read_trades(spark, sf_dir)
@@ -701,6 +778,8 @@ _QUERIES = [
     latest_trades,
     trades_since,
     serving_stats,
+    approx_distinct,
+    limit_checks,
     latest_prices,
     price_message,
     ticker_changes,
@@ -714,6 +793,9 @@ _QUERIES = [
     flush_triggers,
     stream_ohlcv_closed,
     stream_open_windows,
+    stream_ticker,
+    stream_positions,
+    stream_idle,
     stream_restart,
     stream_late,
     stream_ohlcv_update,
@@ -839,6 +921,24 @@ _SPAN = f"SELECT min(event_time) AS first, max(event_time) AS last FROM ({_TRADE
 _FLUSH = "(event_time - first) * 5 // (last - first + 1)"
 
 
+# Every second user goes quiet after the first fifth of the time.
+_QUIET = f"SELECT t.* FROM ({_TRADES}) t, ({_SPAN}) WHERE user_id % 2 = 1 OR {_FLUSH} = 0"
+
+
+def _ticker_sql(where=""):
+    return _with_candles(
+        f"""
+SELECT symbol, window_start_ms, price, previous, round(price - previous, 6) AS change, round(percent, 6) AS percent,
+       CASE WHEN price >= previous THEN 'up' ELSE 'down' END AS direction, {_LABEL.format('price')} AS price_label,
+       CASE WHEN price >= previous THEN '+' ELSE '-' END || format('{{:,.2f}}', round(abs(percent), 2)) || '%' AS percent_label
+FROM (SELECT *, CASE WHEN previous <> 0 THEN (price - previous) / previous * 100 ELSE 0.0 END AS percent
+      FROM (SELECT symbol, window_start_ms, close_price AS price,
+                   coalesce(lag(close_price) OVER (PARTITION BY symbol ORDER BY window_start_ms), close_price) AS previous
+            FROM candles {where}))
+"""
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     return _trade_sql() | (text_queries.ORACLE_SQL if text_queries else {})
 
@@ -948,17 +1048,23 @@ SELECT '{{"type":"price_update","prices":[' || string_agg('{{"symbol":"' || symb
 FROM ({newest})
 """
         ),
-        "ticker_changes": _with_candles(
-            f"""
-SELECT symbol, window_start_ms, price, previous, round(price - previous, 6) AS change, round(percent, 6) AS percent,
-       CASE WHEN price >= previous THEN 'up' ELSE 'down' END AS direction, {_LABEL.format('price')} AS price_label,
-       CASE WHEN price >= previous THEN '+' ELSE '-' END || format('{{:,.2f}}', round(abs(percent), 2)) || '%' AS percent_label
-FROM (SELECT *, CASE WHEN previous <> 0 THEN (price - previous) / previous * 100 ELSE 0.0 END AS percent
-      FROM (SELECT symbol, window_start_ms, close_price AS price,
-                   coalesce(lag(close_price) OVER (PARTITION BY symbol ORDER BY window_start_ms), close_price) AS previous
-            FROM candles))
-"""
-        ),
+        "approx_distinct": """
+SELECT 'user_id' AS counted, count(DISTINCT user_id) AS exact, true AS near FROM events
+UNION ALL SELECT 'event_time', count(DISTINCT epoch_us(ts) // 1000), true FROM events
+UNION ALL SELECT 'symbol', count(DISTINCT event_type), true FROM events
+""",
+        "limit_checks": """
+SELECT DISTINCT n, n BETWEEN 1 AND 200 AS for_trades, n BETWEEN 1 AND 500 AS for_candles FROM (SELECT event_id % 520 - 10 AS n FROM events)
+""",
+        "stream_ticker": _ticker_sql("WHERE window_end_ms <= (SELECT max(epoch_us(ts) // 1000) - 5000 FROM events)"),
+        "stream_positions": f"""
+SELECT {_FLUSH} AS batch, count(*) AS rows, min(event_time) AS first_ms, max(event_time) AS last_ms FROM ({_TRADES}), ({_SPAN}) GROUP BY 1
+""",
+        "stream_idle": f"""
+SELECT * FROM ({_ohlcv_sql(HOUR, body=_QUIET)})
+WHERE window_end_ms <= (SELECT max(epoch_us(ts) // 1000) - 5000 FROM events WHERE user_id % 2 = 1)
+""",
+        "ticker_changes": _ticker_sql(),
         "chart_series": _with_candles(
             """
 SELECT window_start_ms // 1000 AS time, open_price AS open, high_price AS high, low_price AS low, close_price AS close

@@ -54,7 +54,7 @@ def start_raw_trades(trades, table, checkpoint, rejects_path, every=None):
     stored like any other.
     """
     projected = decode.raw_trades(trades, carry=[c for c in table.order_by if c not in table.schema.fieldNames()])
-    writer = projected.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+    writer = progress.observed(projected).writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         sinks.upsert_batch(table, rejects_path)
     )
     return _triggered(writer, every).start()
@@ -104,6 +104,13 @@ def start_triggered_archive(trades, root, checkpoint, rows_per_symbol=FLUSH_ROWS
     return _triggered(writer, every).start()
 
 
+def start_ticker(trades, root, checkpoint, window_seconds=candle_ops.DEFAULT_WINDOW_SECONDS, every=None, plain_ids=False):
+    """The ticker's changes as candles close, see ``sinks.ticker_batch``; ``sinks.read_ticker`` reads them."""
+    closed = candle_stream(trades, window_seconds, plain_ids=plain_ids).where("close_price IS NOT NULL")
+    writer = closed.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(sinks.ticker_batch(root))
+    return _triggered(writer, every).start()
+
+
 def start_publish(messages, checkpoint, fmt="kafka", options=None, every=None):
     """Exchange messages to canonical trades on the log, keyed by symbol.
 

@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 
 from tapewright.functions.times import now_millis, utc_date
 from tapewright.operators import quality
+from tapewright.operators.keyed import latest_per_key
+from tapewright.plans import serving
 from tapewright.schemas import ARCHIVE_FOLDERS, ARCHIVE_INDEX, ARCHIVE_ROWS, REJECT, TRADE, TRADE_COLUMNS, TRIGGER
 from tapewright.sources.archive import archive_files
 from tapewright.streaming import batches
@@ -106,6 +108,44 @@ def archive_batch(root, event_date=False, files=8, max_records_per_file=1_000_00
     return write
 
 
+def ticker_batch(root):
+    """foreachBatch function: the change of each closed candle against the one before of its symbol, in ``root/ticker``.
+
+    The newest close of every symbol is kept in ``root/state`` with each batch, one row a symbol, and is what the first
+    candle of the next batch is compared with. Closed windows come in order, so nothing older follows.
+    """
+
+    def write(rows, batch_id):
+        spark, folder = rows.sparkSession, f"{root}/ticker"
+        closes = rows.select("symbol", "window_start", "window_end", "close_price").persist(StorageLevel.MEMORY_AND_DISK)
+
+        def store():
+            before = batches.committed(spark, folder)
+            if before:
+                carried = spark.read.schema(closes.schema).parquet(f"{root}/state/batch={before[-1]}")
+            else:
+                carried = spark.createDataFrame([], closes.schema)
+            both = carried.unionByName(closes)
+            known = carried.select("symbol", F.unix_millis("window_start").alias("window_start_ms"))
+            changes = serving.ticker_changes(both).join(known, ["symbol", "window_start_ms"], "left_anti")
+            changes.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+            newest = latest_per_key(both, ["symbol"], ["window_start"])
+            newest.write.mode("overwrite").parquet(f"{root}/state/batch={batch_id}")
+
+        try:
+            batches.write_once(rows, folder, batch_id, store)
+        finally:
+            closes.unpersist()
+
+    return write
+
+
+def read_ticker(spark, root):
+    """The changes of all finished batches."""
+    schema = "symbol string, window_start_ms bigint, price double, previous double, change double, percent double, direction string, price_label string, percent_label string"
+    return batches.read_batches(spark, f"{root}/ticker", T.StructType.fromDDL(schema)).drop("batch")
+
+
 def triggered_archive_batch(root, rows_per_symbol, seconds, clock=time.time, **options):
     """foreachBatch function: rows wait in ``root/pending`` until a symbol has ``rows_per_symbol`` of them or ``seconds``
     have passed since the last flush, or since the start; then all of them are archived as one flush.
@@ -188,8 +228,6 @@ def jdbc_upsert_batch(url, table, staging, schema, keys, rejects_path, order_by=
     The rows go from the executors to the database; the driver only sends the statement. ``connections`` bounds the
     parallel writers, not the rows.
     """
-    from tapewright.operators.keyed import latest_per_key
-
     columns = schema.fieldNames()
     properties = dict(properties or {})
 

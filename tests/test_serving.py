@@ -174,3 +174,13 @@ def test_stored_tables_are_read_by_symbol(spark, tmp_path, trade_rows, candle_ro
         assert "EqualTo(symbol,ABC)" in plan_of(frame)
     assert serving.latest_trades(raw.read(spark), "abc").collect() == serving.latest_trades(trade_rows, "abc").collect()
     assert serving.candles(ohlcv.read(spark), "abc").collect() == serving.candles(candle_rows, "abc").collect()
+
+
+@pytest.mark.parametrize("lg_k", [10, 14])
+def test_merged_sketches_stay_within_their_error(spark, lg_k):
+    rows = spark.range(200_000).selectExpr("id % 7 AS day", "CAST(id % 50000 AS STRING) AS symbol")
+    sketched = serving.sketches(rows, "day", "symbol", lg_k)
+    assert sketched.count() == 7
+    guess = serving.sketched_count(sketched).first().approx_distinct
+    assert abs(guess - 50_000) <= 4 * 0.8 / 2 ** (lg_k / 2) * 50_000
+    assert serving.sketched_count(serving.sketches(rows.where("day > 9"), "day", "symbol")).first().approx_distinct in (None, 0)

@@ -498,3 +498,26 @@ def test_a_batch_that_comes_again_is_archived_once(spark, tmp_path):
     trades.write.parquet(f"{root}/pending/batch=1")
     sinks.triggered_archive_batch(root, 12, 1e9)(trades, 3)
     assert read_archive(spark, root).count() == 24
+
+
+def test_ticker_goes_on_from_the_last_close_of_each_symbol(streams, spark, tmp_path):
+    root = str(tmp_path / "ticker")
+    lines = [[(0, 1.0, "A"), (0, 8.0, "B")], [(12_000, 2.0, "A")], [(24_000, None, "A"), (36_000, 3.0, "A")], [(48_000, 4.0, "B"), (90_000, 1.0, "A")]]
+    for n, batch in enumerate(lines):
+        put(tmp_path / "in", n, [message(at, price, symbol, number=at) for at, price, symbol in batch])
+        for _ in range(2):  # a second run finds nothing new
+            jobs.start_ticker(text_trades(streams, tmp_path / "in"), root, str(tmp_path / "c"), 10).awaitTermination()
+    got = sorted((r.symbol, r.window_start_ms, r.previous, r.price, r.direction) for r in sinks.read_ticker(spark, root).collect())
+    assert got == [
+        ("A", 0, 1.0, 1.0, "up"), ("A", 10_000, 1.0, 2.0, "up"), ("A", 30_000, 2.0, 3.0, "up"), ("B", 0, 8.0, 8.0, "up"), ("B", 40_000, 8.0, 4.0, "down"),
+    ]
+
+
+def test_a_ticker_batch_that_comes_again_adds_nothing(spark, tmp_path):
+    write = sinks.ticker_batch(str(tmp_path))
+    batch = lambda at, price: spark.createDataFrame([("A", at, at + 10, price)], "symbol string, s long, e long, close_price double").select(
+        "symbol", F.timestamp_seconds("s").alias("window_start"), F.timestamp_seconds("e").alias("window_end"), "close_price"
+    )
+    for number, rows in ((0, batch(0, 1.0)), (1, batch(10, 2.0)), (0, batch(0, 5.0)), (1, batch(10, 5.0)), (2, batch(20, 3.0))):
+        write(rows, number)
+    assert sorted((r.window_start_ms, r.previous, r.price) for r in sinks.read_ticker(spark, str(tmp_path)).collect()) == [(0, 1.0, 1.0), (10_000, 1.0, 2.0), (20_000, 2.0, 3.0)]
