@@ -120,9 +120,15 @@ def _matches(item, text, free_item, free_text, size):
 # --- whole tables ------------------------------------------------------------------------------
 
 
-def _seed_rows(min_match, seeds_filter=None):
+def _sized_seeds(codes, size, min_match):
+    """Hashes of all windows of ``size`` tokens; those shorter than ``min_match`` are told apart from the usual seeds."""
+    found = window_hashes(codes, size)
+    return found if size == min_match else found ^ np.uint64((size * 0x9E3779B97F4A7C15) % (1 << 64))
+
+
+def _seed_rows(min_match, seeds_filter=None, short=()):
     """A function for mapInArrow: a row for each window of an item, or for each distinct window of a text that passes
-    the filter.
+    the filter. An item of fewer than ``min_match`` tokens is one window; ``short`` are the lengths of such items.
     """
 
     def run(batches):
@@ -133,9 +139,11 @@ def _seed_rows(min_match, seeds_filter=None):
                 some, seeds, places, sizes = batch.slice(k, 256), [], [], []
                 for text in some.column("text").to_pylist():
                     codes = codes_of.of(tokens(text))
-                    found = window_hashes(codes, min_match)
-                    at = np.arange(len(found))
-                    if bits is not None:
+                    if bits is None:
+                        found = _sized_seeds(codes, min(min_match, len(codes)), min_match) if len(codes) else np.zeros(0, np.uint64)
+                        at = np.arange(len(found))
+                    else:
+                        found = np.concatenate([_sized_seeds(codes, size, min_match) for size in (min_match, *short)])
                         found = np.unique(found[_hits(bits, found)])
                         at = np.zeros(len(found), int)
                     seeds.append(found)
@@ -198,8 +206,8 @@ def contamination(
     """(id, text_hash, item, coverage, tiles) for each text and item with coverage of at least ``threshold``.
 
     ``text_hash`` is xxhash64 of the text, so texts that share an id are told apart; repeated rows count once. ``tiles``
-    lists (item place, text place, length) in tokens. Null and empty texts, and items of fewer than ``min_match``
-    tokens, match nothing; null ids are kept. Whole texts are searched. Items may be any number: workers hold a filter
+    lists (item place, text place, length) in tokens. Null and empty texts match nothing, and neither does an item without
+    a token; an item of fewer than ``min_match`` tokens matches as one tile of its full length. Null ids are kept. Whole texts are searched. Items may be any number: workers hold a filter
     of fixed size only, and what passes it is joined.
     """
     id_kind, item_kind = docs.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
@@ -207,7 +215,8 @@ def contamination(
     seed_row = "text_hash long, seed long, pos long, size long"
     seeds = stored(own.mapInArrow(_seed_rows(min_match), f"id {item_kind}, {seed_row}"), "item-seeds")
     texts = _keyed(docs, id_col, text_col)
-    rows = texts.mapInArrow(_seed_rows(min_match, _seed_filter(seeds)), f"id {id_kind}, {seed_row}")
+    short = [r["size"] for r in seeds.where(F.col("size") < min_match).select("size").distinct().collect()]  # fewer than min_match
+    rows = texts.mapInArrow(_seed_rows(min_match, _seed_filter(seeds), short), f"id {id_kind}, {seed_row}")
     wanted = seeds.select(F.col("id").alias("item"), F.col("text_hash").alias("item_hash"), "seed", "pos", "size")
     shared = rows.select("id", "text_hash", "seed").join(wanted, "seed")
     # Tiles consist of shared seeds, so they can't cover more than this.
@@ -236,7 +245,7 @@ def contamination(
                 out = []
                 for item in row.column("items")[0].as_py():
                     codes = codes_of.of(tokens(item["item_text"]))
-                    tiles = tile(codes, text, min_match)
+                    tiles = tile(codes, text, min(min_match, len(codes)))
                     coverage = sum(t[2] for t in tiles) / len(codes)
                     if coverage >= threshold:
                         out.append((item["item"], coverage, [list(t) for t in tiles]))
@@ -258,10 +267,13 @@ def contamination(
 
 
 def remove_contaminated(docs, items, id_col="doc_id", text_col="text", **options):
-    """The rows of ``docs`` whose text no item contaminates, with all their columns."""
+    """The rows of ``docs`` whose text no item contaminates, with all their columns, whatever their names.
+
+    Null and empty texts stay, and so do all rows if there is no item; a null id is an id like any other. Repeated rows
+    stay or go together. Whole texts are searched, at any length.
+    """
     found = contamination(docs, items, id_col, text_col, **options)
-    found = found.select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"))
-    found = stored(found.distinct(), "contaminated")
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    same = docs[id_col].eqNullSafe(found["__id"]) & (F.xxhash64(text) == found["__hash"])
-    return docs.join(found, same, "left_anti")
+    found = stored(found.select("id", "text_hash").distinct(), "contaminated").alias("found")
+    text = F.coalesce(F.col(f"rows.{text_col}").cast("string"), F.lit(""))
+    same = F.col(f"rows.{id_col}").eqNullSafe(F.col("found.id")) & (F.xxhash64(text) == F.col("found.text_hash"))
+    return docs.alias("rows").join(found, same, "left_anti")

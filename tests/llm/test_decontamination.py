@@ -95,7 +95,7 @@ def test_reordered_edited_and_odd_rows(spark):
     moved = " ".join(["x", *WORDS[30:], "y", *WORDS[10:30], "z z", *WORDS[:10]]).upper().replace(" ", ",\n ")
     third = " ".join(WORDS[:13])
     docs = [(1, moved), (2, third), (3, None), (4, ""), (None, item), (5, item), (5, item), (5, "other text"), (6, "a b c d e f")]
-    left, right = frames(spark, docs, [(7, item), (7, item), (8, None), (9, "w1 w2"), (None, item)])
+    left, right = frames(spark, docs, [(7, item), (7, item), (8, None), (9, "w2 w1"), (None, item)])
     found = d.contamination(left, right).collect()
     assert sorted(((r.id, r.item) for r in found), key=str) == [(1, 7), (1, None), (5, 7), (5, None), (None, 7), (None, None)]
     assert all(r.coverage == 1 for r in found)
@@ -106,6 +106,23 @@ def test_reordered_edited_and_odd_rows(spark):
     ]
 
 
+def test_items_shorter_than_a_tile_match_in_full(spark):
+    docs = [(1, "What is two plus"), (2, "so, what is TWO plus three?"), (3, "what is two minus"), (4, "plus"), (5, "two plus what is"), (6, ""), (7, "is two")]
+    left, right = frames(spark, docs, [(1, "what is two plus"), (2, "is two"), (3, "..."), (4, "plus"), (5, None)])
+    found = sorted((r.id, r.item, r.coverage, [t[2] for t in r.tiles]) for r in d.contamination(left, right).collect())
+    assert found == [
+        (1, 1, 1.0, [4]), (1, 2, 1.0, [2]), (1, 4, 1.0, [1]), (2, 1, 1.0, [4]), (2, 2, 1.0, [2]), (2, 4, 1.0, [1]), (3, 2, 1.0, [2]),
+        (4, 4, 1.0, [1]), (5, 4, 1.0, [1]), (7, 2, 1.0, [2]),
+    ]
+
+
+def test_clashing_names_of_the_rows(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", 1, 2, 3), (2, "x", 1, 2, 3)], "doc_id long, text string, id int, text_hash int, __id int")
+    items = spark.createDataFrame([(9, "a b c d e f")], "item_id long, text string")
+    kept = d.remove_contaminated(docs, items)
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [2]
+
+
 def test_empty_tables(spark):
     left, right = frames(spark, [(1, " ".join(WORDS))], [(1, " ".join(WORDS))])
     assert d.contamination(left.limit(0), right).collect() == []
