@@ -7,6 +7,7 @@ prototype with the highest cosine names the language.
 """
 
 import re
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -17,7 +18,9 @@ DIMENSIONS = 1024
 PIECE = 200_000  # code points that are counted at once
 MOST_LANGUAGES = 5000  # prototypes that workers hold, 8 KB each; more labels than that raise an error
 
-_GAPS = re.compile(r"[\W\d_]+")
+# Digits of any kind that count as word characters, such as fractions, superscripts and Roman numerals.
+_NUMBERS = "".join(c for c in map(chr, range(0x80, 0x110000)) if c.isnumeric() and not c.isalpha())
+_GAPS = re.compile(rf"[\W\d_{_NUMBERS}]+")
 
 
 def letters(text):
@@ -141,6 +144,7 @@ def identify(docs, names, vectors, text_col="text", lang_col="lang_pred", score_
         score = np.where(none, 0.0, np.clip(cosines.max(axis=1), 0, 1))
         return pd.DataFrame({"lang": labels[best], "score": score})
 
-    done = docs.withColumn("__found", run(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    new = {lang_col: F.col("__found.lang"), score_col: F.col("__found.score")}
-    return done.withColumns(new).drop("__found")
+    found = f"found_{uuid.uuid4().hex}"
+    done = docs.withColumn(found, run(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    new = {lang_col: F.col(found)["lang"], score_col: F.col(found)["score"]}
+    return done.withColumns(new).drop(found)

@@ -137,11 +137,12 @@ def mix(
     docs, id_col="doc_id", text_col="text", source_col="source",
     weights=WEIGHTS, share=SHARE, repeats=REPEATS, block=BLOCK, seed="mix",
 ):
-    """(id, text_hash, source, size, source_size, target, taken, times) for each row of ``docs``.
+    """(id, text_hash, source, size, source_size, target, taken, times, copy, copies) for each row of ``docs``.
 
     Sizes and ``taken`` are in words; a document is taken ``times`` times. ``text_hash`` is xxhash64 of the text. Null
-    texts have size 0; null is a source of its own, last in order. Rows with equal id, source and text are one unit,
-    taken together. Decisions depend on hashes of ids and texts only, so reruns agree on any number of machines. A
+    texts have size 0; null is a source of its own, last in order. Rows with equal id, source and text are the ``copies``
+    of one unit, numbered by ``copy``: of those that its share asks for, whole ones are taken as they are and a fraction
+    of one is decided like any other. Decisions depend on hashes of ids and texts only, so reruns agree on any number of machines. A
     source of any share of the rows is dealt into blocks of bounded size. Without any word, all targets are 0.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -155,7 +156,10 @@ def mix(
     aims = aims.withColumnRenamed("source", "own")
     placed = units.join(aims, F.col("source").eqNullSafe(F.col("own"))).drop("own")
     order = {"order_a": F.xxhash64("id", "text_hash", F.lit(seed)), "order_b": F.col("text_hash")}
-    placed = placed.withColumns({"words": F.col("size") * F.col("copies"), **order})
+    # Of equal rows, some are taken once more for sure; at most one is open.
+    share_of = F.col("chance") * F.col("copies")
+    placed = placed.withColumns({"extra": F.floor(share_of).cast("long"), "chance": share_of - F.floor(share_of)})
+    placed = placed.withColumnsRenamed({"copies": "n_copies"}).withColumns({"copies": F.lit(1).cast("long"), "words": F.col("size"), **order})
     kind = lambda name: placed.schema[name].dataType.simpleString()
     fields = ["rank", "order_a", "order_b", "copies", "words", "chance"]
     open_units, decided, level = placed.select(*fields), None, 0
@@ -174,9 +178,11 @@ def mix(
         if open_units.isEmpty():
             break
     result = placed.join(decided, ["rank", "order_a", "order_b"])
-    result = result.withColumn("times", (F.col("whole") + F.col("more")).cast("int"))
+    result = result.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies").cast("int"))))
+    once_more = (F.col("copy") <= F.col("extra") + F.col("more")).cast("long")
+    result = result.withColumn("times", (F.col("whole") + once_more).cast("int"))
     taken = (F.col("size") * F.col("times")).cast("long").alias("taken")
-    return result.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
+    return result.select(
         F.col("id").alias(id_col), "text_hash", F.col("source").alias(source_col), F.col("size").cast("long"),
-        F.col("source_size").cast("long"), "target", taken, "times",
+        F.col("source_size").cast("long"), "target", taken, "times", "copy", F.col("n_copies").alias("copies"),
     )

@@ -7,6 +7,7 @@ words are removed.
 """
 
 import re
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -111,22 +112,24 @@ def remove_repeats(
         rows = [_cut(t or "", p) for t, p in zip(texts, positions)]
         return pd.DataFrame(rows, columns=["text", "starts", "ends", "units", "removed"])
 
+    tag = uuid.uuid4().hex  # no column of the caller has such a name
+    own_id, own_hash, own_cut = f"id_{tag}", f"hash_{tag}", f"cut_{tag}"
     found = stored(repeats(docs, id_col, text_col, min_words), "repeats").select(
-        F.col("id").alias("__id"), F.col("text_hash").alias("__text_hash"), F.col("positions").alias("__positions")
+        F.col("id").alias(own_id), F.col("text_hash").alias(f"found_{tag}"), F.col("positions").alias(f"places_{tag}")
     )
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    keyed = docs.withColumn("__own_hash", F.xxhash64(text))
-    same = keyed[id_col].eqNullSafe(found["__id"]) & (keyed["__own_hash"] == found["__text_hash"])
-    done = keyed.join(found, same, "left").withColumn("__cut", cut(text, F.col("__positions")))
+    keyed = docs.withColumn(own_hash, F.xxhash64(text))
+    same = F.col(id_col).eqNullSafe(F.col(own_id)) & (F.col(own_hash) == F.col(f"found_{tag}"))
+    done = keyed.join(found, same, "left").withColumn(own_cut, cut(text, F.col(f"places_{tag}")))
     spans = F.transform(
-        F.arrays_zip(F.col("__cut.starts").alias("start"), F.col("__cut.ends").alias("end")),
+        F.arrays_zip(F.col(own_cut)["starts"].alias("start"), F.col(own_cut)["ends"].alias("end")),
         lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")),
     )
     new = {
-        text_col: F.when(F.col(text_col).isNotNull(), F.col("__cut.text")),
+        text_col: F.when(F.col(text_col).isNotNull(), F.col(own_cut)["text"]),
         spans_col: spans,
-        units_col: F.col("__cut.units"),
-        removed_col: F.col("__cut.removed"),
+        units_col: F.col(own_cut)["units"],
+        removed_col: F.col(own_cut)["removed"],
     }
     names = [*docs.columns, *(n for n in new if n not in docs.columns)]
     return done.select(*[new[n].alias(n) if n in new else F.col(n) for n in names])

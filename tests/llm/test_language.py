@@ -63,3 +63,13 @@ def test_very_long_text(spark):
     docs = spark.createDataFrame([(1, "the house and the garden " * 40_000, "en"), (2, "das haus und der garten " * 3, "de")], "doc_id long, text string, lang string")
     names, vectors = language.prototypes(docs)
     assert [r.lang_pred for r in language.identify(docs, names, vectors).orderBy("doc_id").collect()] == ["en", "de"]
+
+
+def test_numbers_of_any_kind_are_no_letters(spark):
+    for text in ("½", "² ³", "Ⅷ", "12 ٣", "①", "_"):
+        assert len(language.letters(text)) == 0
+    assert len(language.letters("a½b")) == len(language.letters("a b"))
+    docs = spark.createDataFrame([("½ Ⅷ", 1), ("abc", 2)], "text string, __found int")
+    names, vectors = language.prototypes(spark.createDataFrame([("abc abd", "x")], "text string, lang string"))
+    found = {r.text: r for r in language.identify(docs, names, vectors).collect()}
+    assert found["½ Ⅷ"].lang_pred == "und" and found["abc"].lang_pred == "x" and found["abc"]["__found"] == 2

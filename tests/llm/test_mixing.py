@@ -92,6 +92,16 @@ def test_many_rounds_of_blocks(spark):
     assert all(abs(sums[s] - t) <= 3 for s, t in targets.items())
 
 
+def test_equal_rows_are_taken_to_their_share(spark):
+    """Ten equal rows of 100 words and a target of 1500: five are taken once more than the others."""
+    docs = spark.createDataFrame([(1, "w " * 100, "a")] * 10, "doc_id long, text string, source string")
+    found = mixing.mix(docs).collect()
+    assert sorted(r.times for r in found) == [1] * 5 + [2] * 5 and {r.target for r in found} == {1500.0}
+    assert [(r.copy, r.copies) for r in sorted(found, key=lambda r: r.copy)] == [(k, 10) for k in range(1, 11)]
+    odd = spark.createDataFrame([(1, "w " * 10, "a")] * 7 + [(2, "v " * 3, "a")] * 2, "doc_id long, text string, source string")
+    assert abs(sum(r.taken for r in mixing.mix(odd).collect()) - 114) <= 5
+
+
 def test_odd_rows(spark):
     rows = [(1, None, "a"), (2, "", None), (None, "x y", None), (None, "x y", None), (3, "x", "b"), (3, "x y z", "b"), (4, "u v w", "")]
     docs = spark.createDataFrame([(*r, 5, "z") for r in rows], "doc_id long, text string, source string, size int, rank string")

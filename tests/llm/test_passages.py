@@ -75,3 +75,11 @@ def test_shortest_passage(spark, words, gone):
     line = " ".join(f"w{k}" for k in range(words))
     found = {r.doc_id: r.text for r in run(spark, [(1, line), (2, line)]).collect()}
     assert found == {1: line, 2: "" if gone else line}
+
+
+def test_clashing_names(spark):
+    names = ["__id", "__text_hash", "__positions", "__own_hash", "__cut", "id", "h1", "first"]
+    docs = spark.createDataFrame([(k, A + B, *range(8)) for k in range(3)], "doc_id long, text string" + "".join(f", `{n}` int" for n in names))
+    found = passages.remove_repeats(docs)
+    assert found.columns == [*docs.columns, "removed", "n_units", "n_removed"]
+    assert sorted((r.doc_id, r.n_removed, r["__cut"], r["__own_hash"]) for r in found.collect()) == [(0, 0, 4, 3), (1, 3, 4, 3), (2, 3, 4, 3)]
