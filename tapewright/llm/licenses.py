@@ -1,9 +1,10 @@
 """License scans by conditional compression.
 
 In a text with a cue word, stretches as long as a template that hold enough of its word pairs are candidate blocks,
-whatever their lines and marks. Each block is aligned with the template word for word, then compressed by itself and with
-the template as a raw zstandard dictionary, which must shrink it. All confirmed blocks that match different words are
-notices of their own.
+whatever their lines and marks. Each block is compressed by itself and with every template as a raw zstandard dictionary.
+Templates are ranked by how much they shrink it, and the first one whose wording the block has, word for word but for a
+few named differences, is its license. Of blocks that share words, the one that its template saves most bytes of stays.
+Cue words come from the templates: so many of each that no block can do without all of them.
 """
 
 import difflib
@@ -22,7 +23,9 @@ TEMPLATES = {
     'or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR '
     "CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and "
     "limitations under the License.",
+    "Apache-2.0-short": "Licensed under the Apache License 2.0.",
     "MIT": "Released under the MIT License.",
+    "MIT-licensed": "Licensed under the MIT License.",
     "MIT-permission": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
     'documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights '
     "to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to "
@@ -36,6 +39,7 @@ TEMPLATES = {
     "without specific prior written permission.",
     "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
+    "GPL-3.0-short": "Distributed under the GNU General Public License v3.",
     "GPL-3.0-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
     "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
@@ -49,13 +53,11 @@ TEMPLATES = {
     "All-rights-reserved": "All rights reserved.",
 }
 
-CUE = r"(?i)licen[cs]|copyright|permission|permitted|distribut|warrant|public domain|rights reserved|all rights|waived|creative commons|free software|without restriction"
 MIN_REDUCTION = 0.2  # of a block's compressed size by a template that is confirmed at all
 MIN_SHARE = 0.9  # of a template's words, in order, in a confirmed block
 MIN_PAIRS = 0.5  # of a template's neighbouring words, in a block that is compared at all
 EXTRA, SLACK = 0.25, 4  # words that a block may have beyond its template: a share of the template's, and a number
 
-_CUE = re.compile(CUE)
 _WORDS = re.compile(r"[^\W_]+")
 _MARKS = re.compile(r"[.!?;:,)\]}\"'”’]*")
 
@@ -90,6 +92,20 @@ class Templates:
         self.words = {name: _WORDS.findall(text.lower()) for name, text in templates.items()}
         self.ids = {w: k for k, w in enumerate(sorted({w for words in self.words.values() for w in words}), 1)}
         self.pairs = {name: self._pairs([self.ids[w] for w in words]) for name, words in self.words.items()}
+        cues = sorted({w for words in self.words.values() for w in self._cues(words)})
+        #: Matches every text with a block; without a template, nothing.
+        self.cue = "(?iu)" + ("|".join(cues) if cues else "(?!)")
+
+    @staticmethod
+    def _cues(words):
+        """The longest words of a template that together are more of it than a block may lack."""
+        found, covered = [], 0
+        for word in sorted(set(words), key=lambda w: (-len(w), w)):
+            if covered > len(words) * (1 - MIN_SHARE) + 1e-9:
+                break
+            found.append(word)
+            covered += words.count(word)
+        return found
 
     def _pairs(self, codes):
         codes = np.asarray(codes, np.int64)
@@ -138,11 +154,31 @@ def blocks(words, want, at):
     return found
 
 
+def ranking(raw, tools):
+    """[(size, template)] of a block compressed with each template, smallest first, and its size by itself."""
+    plain, own = tools
+    return sorted((len(tool.compress(raw)), name) for name, tool in own.items()), len(plain.compress(raw))
+
+
+def license_of(block, templates, tools):
+    """(license, bytes saved, reduction, share, differences) of a block, or None: the best-ranked template that shrinks
+    it enough and has its wording.
+    """
+    ranked, alone = ranking(block.lower().encode("utf-8", "surrogatepass"), tools)
+    for size, name in ranked:
+        if 1 - size / alone < MIN_REDUCTION:
+            return None
+        share, differences = wording(templates[name], block)
+        if share >= MIN_SHARE:
+            return name, alone - size, 1 - size / alone, share, differences
+    return None
+
+
 def scan_text(text, templates, tools, known=None):
     """[(start, end, license, reduction, share, differences)] of the confirmed blocks of a text, in order."""
-    if not _CUE.search(text or ""):
+    known = known or Templates(templates)
+    if not re.search(known.cue, text or ""):
         return []
-    known, (plain, own) = known or Templates(templates), tools
     spans = [m.span() for m in _WORDS.finditer(text)]
     words = [text[a:b].lower() for a, b in spans]
     confirmed = []
@@ -150,14 +186,10 @@ def scan_text(text, templates, tools, known=None):
         for places in blocks(words, known.words[name], at):
             start, end = spans[places[0]][0], spans[places[-1]][1]
             end += len(_MARKS.match(text, end).group())
-            block = text[start:end]
-            raw = block.lower().encode("utf-8", "surrogatepass")
-            reduction = 1 - len(own[name].compress(raw)) / len(plain.compress(raw))
-            share, differences = wording(templates[name], block)
-            if reduction >= MIN_REDUCTION and share >= MIN_SHARE:
-                other = places[-1] - places[0] + 1 - len(places) + len(known.words[name]) - len(places)
-                order = (other - len(places), len(differences), -share, -reduction, name)
-                confirmed.append((order, places, (start, end, name, reduction, share, differences)))
+            best = license_of(text[start:end], templates, tools)
+            # A block that another template fits better is found as a block of that template.
+            if best and best[0] == name:
+                confirmed.append(((-best[1], len(best[4]), start, name), places, (start, end, name, *best[2:])))
     found, taken = [], set()
     for _, places, hit in sorted(confirmed):
         if taken.isdisjoint(places):
@@ -171,12 +203,12 @@ def scan(docs, id_col="doc_id", text_col="text", templates=None):
 
     Starts and ends are code points. ``reduction`` is the part of the block's compressed size that the license's
     template saves, ``share`` the part of the template's words that the block has in order, ``differences`` what reads
-    otherwise. A text gives a row for each confirmed stretch that shares no word with a better one: the one with the
-    most words in common less those that differ, then with the fewest differences, the larger share and reduction, and
-    the first name. Null and empty texts give no rows; texts of any length are read whole; repeated rows each give their
+    otherwise. A text gives a row for each confirmed stretch that shares no word with a better one: the one that its
+    template saves more bytes of, then the one with fewer differences, then the first. Null and empty texts give no rows; texts of any length are read whole; repeated rows each give their
     rows; null ids are kept.
     """
     templates = dict(templates or TEMPLATES)
+    cue = Templates(templates).cue
 
     def run(batches):
         tools, known = compressors(templates), Templates(templates)
@@ -191,7 +223,7 @@ def scan(docs, id_col="doc_id", text_col="text", templates=None):
                     ["id", "start", "end", "license", "reduction", "share", "differences"],
                 )
 
-    inputs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where(F.col("text").rlike(CUE))
+    inputs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where(F.col("text").rlike(cue))
     kind = docs.schema[id_col].dataType.simpleString()
     found = inputs.mapInArrow(run, f"id {kind}, start int, end int, license string, reduction double, share double, differences array<string>")
     return found.withColumnRenamed("id", id_col)

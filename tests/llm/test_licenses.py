@@ -112,3 +112,31 @@ def test_many_notices_take_linear_time():
     started = time.monotonic()
     assert len(names("Released under the MIT License.\nAll rights reserved. Words between.\n" * 5000)) == 10_000
     assert time.monotonic() - started < 20
+
+
+def test_notices_in_other_words():
+    assert names("Licensed under the MIT License.") == ["MIT-licensed"]
+    assert names("Licensed under the Apache License 2.0") == ["Apache-2.0-short"]
+    assert names("Distributed under the GNU General Public License v3") == ["GPL-3.0-short"]
+
+
+def test_the_ranking_by_compression_decides(monkeypatch):
+    """Of templates that all have the wording of a block, the one that shrinks it most; without it, another comes."""
+    text = "Licensed under CC BY-SA 4.0."
+    assert {k for k in ("CC-BY-4.0", "CC-BY-SA-4.0") if licenses.wording(licenses.TEMPLATES[k], text)[0] == 1} == {"CC-BY-4.0", "CC-BY-SA-4.0"}
+    assert names(text) == ["CC-BY-SA-4.0"]
+    monkeypatch.setattr(licenses, "ranking", lambda raw, tools: (sorted((1, name) for name in tools[1]), 9))
+    assert names(text) == ["CC-BY-4.0"]
+
+
+def test_templates_without_the_usual_words(spark):
+    templates = {"motto": "Take what you like and leave the rest to others who come.", "short": "Ça ira"}
+    docs = spark.createDataFrame([(1, f"{PROSE} take what you LIKE, and leave the rest to others who come! {PROSE}"), (2, "ça ira"), (3, PROSE)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.license) for r in licenses.scan(docs, templates=templates).collect()) == [(1, "motto")]
+    known = licenses.Templates(templates)
+    for words in known.words.values():
+        cues = known._cues(words)
+        assert sum(words.count(c) for c in cues) > len(words) * (1 - licenses.MIN_SHARE)
+    # A block may lack a tenth of the words, but never all cues.
+    lacking = "take what you like and leave the rest to who come"
+    assert [h[2] for h in licenses.scan_text(lacking, templates, licenses.compressors(templates))] == ["motto"]
