@@ -1,8 +1,9 @@
 """Main text of web pages by two passes of block rules.
 
-A page is cut into blocks at block-level tags. Blocks inside page furniture, as told by tags, roles and class names,
-are dropped. The first pass decides blocks by stop-word density, length and link density; the second lets each undecided
-block, mostly a short one, take the label of its nearest decided neighbour.
+A page is cut into blocks at block-level tags. The first pass decides blocks by stop-word density, length and link
+density, menus and other lists of links included; the second lets each undecided block, mostly a short one, take the
+label of its nearest decided neighbour. What figures can't tell from an article, as it is prose too, is dropped by tags,
+roles and class names: footers, notices, adverts, sidebars, teasers, comments.
 """
 
 import html as entities
@@ -19,18 +20,32 @@ BLOCK_TAGS = frozenset(
     "search section select summary table tbody td textarea tfoot th thead title tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = "script|style|template|noscript|iframe|svg|math|textarea|select|object|canvas|noembed|noframes|xmp|title"
-FURNITURE_TAGS = frozenset("aside button dialog fieldset footer form head header menu nav search".split())
+RAW_TAGS = "script|style|template|noscript|iframe|textarea|select|object|canvas|noembed|noframes|xmp|title"
+# Drawings, and what formulas hold beside their text; and the tags at which a drawing ends that was never closed.
+FOREIGN_TAGS = frozenset("svg annotation annotation-xml".split())
+BREAKOUT_TAGS = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre "
+    "ruby s small span strike strong sub sup table tt u ul var".split()
+)
+INTEGRATION_TAGS = frozenset("foreignobject desc".split())
+# Lists of links, told by the rules.
+LINK_TAGS = frozenset("menu nav".split())
+LINK_WORDS = frozenset("breadcrumb breadcrumbs menu menubar nav navbar navi navigation pager pagination tagcloud toolbar".split())
+FURNITURE_TAGS = frozenset("aside button dialog fieldset footer form head header search".split())
 FURNITURE_ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search status toolbar".split()
 )
 COMMENT_WORDS = frozenset("comment comments commentlist commentary disqus discussion reply replies respond responses".split())
 FURNITURE_WORDS = COMMENT_WORDS | frozenset(
-    "ad ads adbox adsbygoogle advert advertisement adverts alert banner breadcrumb breadcrumbs byline-links consent cookie "
-    "cookies copyright disclaimer footer footnav gdpr header login masthead menu menubar modal nav navbar navi navigation "
-    "newsletter notice notices notification overlay pager pagination paywall popup promo promoted promotion recommended "
-    "recommendations related search share sharing sidebar sidebars signup skip social sponsor sponsored subscribe subscription "
-    "tagcloud teaser teasers toolbar topbar widget widgets".split()
+    "ad ads adbox adsbygoogle advert advertisement adverts alert banner consent cookie cookies copyright disclaimer footer footnav "
+    "gdpr header login masthead modal newsletter notice notices notification overlay paywall popup promo promoted promotion "
+    "recommended recommendations related search share sharing sidebar sidebars signup skip social sponsor sponsored subscribe "
+    "subscription teaser teasers topbar widget widgets".split()
+)
+# Behind a furniture word, these leave it what it is; any other word names a part of the article.
+PART_WORDS = frozenset(
+    "article articles button buttons card cards feed icon icons image label link links logo news post posts stories story tag tags "
+    "text title titles video videos".split()
 )
 FILLER_WORDS = frozenset(
     "area bar block bottom box container content form group inner item items left links list main panel right section slot "
@@ -65,14 +80,20 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 def _furniture(tag, rest, in_article):
-    """'' or why an element is no part of the main text: 'frame', 'comments', or 'header' of an article, with headings only."""
+    """'' or why an element is no part of the main text: 'frame', 'comments', or 'header' of an article, with headings only;
+    'links' is left to the rules.
+    """
     found = {n.lower(): (v or "").strip("\"'") for n, v in _ATTRIBUTES.findall(rest)} if rest else {}
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or _UNSEEN.search(found.get("style", "")):
         return "frame"
     if found.get("role", "").lower() in FURNITURE_ROLES:
         return "frame"
+    if tag in FOREIGN_TAGS:
+        return "foreign"
     if tag in FURNITURE_TAGS:
         return "header" if tag == "header" and in_article else "frame"
+    if tag in LINK_TAGS:
+        return "links"
     if tag in ("html", "body", "h1", "h2", "h3", "h4", "h5", "h6"):
         return ""
     for name in _SPACE.split(f"{found.get('class', '')} {found.get('id', '')}"):
@@ -84,8 +105,11 @@ def _furniture(tag, rest, in_article):
             return "comments"
         if in_article and kernel[-1] == "header":
             return "header"
-        if tag not in MAIN_TAGS and (kernel[-1] in FURNITURE_WORDS or kernel[0] in FURNITURE_WORDS):
-            return "frame"
+        if tag in MAIN_TAGS:
+            continue
+        for listed, why in ((FURNITURE_WORDS, "frame"), (LINK_WORDS, "links")):
+            if kernel[-1] in listed or kernel[0] in listed and set(kernel[1:]) <= PART_WORDS | listed:
+                return why
     return ""
 
 
@@ -98,12 +122,16 @@ def _stops(words):
     return counts
 
 
+_OUTSIDE = ("", "", "", False, False)
+
+
 def blocks(page):
-    """[(text, words, stop words by language, words in links, in an article, is a heading)] of the page, furniture left
-    out.
+    """[(text, words, stop words by language, words in links, region, is a heading)] of the page, furniture left out.
+
+    Regions are 'article', 'links' for menus and the like, and '' for the rest of the page.
     """
-    out, open_tags = [], []  # open tags: (name, why dropped, in an article, in a link, in an article's header)
-    dropped, inside, link, header = "", False, False, False
+    out, open_tags = [], []  # open tags: (name, why dropped, region, in a link, in an article's header)
+    dropped, inside, link, header = "", "", False, False
     parts, linked = [], 0
     at = 0
 
@@ -132,6 +160,11 @@ def blocks(page):
         if tag is None:
             continue
         tag = tag.lower()
+        if dropped == "foreign" and tag in BREAKOUT_TAGS and not found["close"]:
+            inner = next((k for k, t in enumerate(open_tags) if t[1] == "foreign"), len(open_tags))
+            if not any(t[0] in INTEGRATION_TAGS for t in open_tags[inner:]):
+                del open_tags[inner:]
+                _, dropped, inside, link, header = open_tags[-1] if open_tags else _OUTSIDE
         if tag == "br":
             parts.append(" ")
         if tag in BLOCK_TAGS:
@@ -144,14 +177,15 @@ def blocks(page):
         elif tag not in VOID_TAGS and not found["rest"].endswith("/"):
             if tag in BLOCK_TAGS and open_tags and open_tags[-1][0] == "p":
                 open_tags.pop()  # a paragraph ends where the next block begins
-                _, dropped, inside, link, header = open_tags[-1] if open_tags else ("", "", False, False, False)
-            why = _furniture(tag, found["rest"], inside)
+                _, dropped, inside, link, header = open_tags[-1] if open_tags else _OUTSIDE
+            why = _furniture(tag, found["rest"], inside == "article")
             if tag in MAIN_TAGS and not why and dropped == "frame":
                 dropped = ""  # furniture that was never closed, or a form around the whole page
             headings = header or why == "header"
             why = dropped or (why if why != "header" else "")
-            open_tags.append((tag, why, inside or (tag in MAIN_TAGS and not why), link or tag == "a", headings))
-        _, dropped, inside, link, header = open_tags[-1] if open_tags else ("", "", False, False, False)
+            region = "links" if why == "links" or inside == "links" else "article" if tag in MAIN_TAGS and not why else inside
+            open_tags.append((tag, "" if why == "links" else why, region, link or tag == "a", headings))
+        _, dropped, inside, link, header = open_tags[-1] if open_tags else _OUTSIDE
     add(page[at:])
     flush()
     return out
@@ -176,15 +210,16 @@ def decide(found):
         elif not known or max(stops) >= STOP_SHARE * words:
             labels.append(True)
         else:
-            labels.append(None if inside else False)
+            labels.append(None if inside == "article" else False)
     return labels
 
 
 def inherit(found, labels):
     """Second pass: an undecided block takes the label of its nearest decided neighbour in its region.
 
-    Of two neighbours as near as each other, one of main text decides. Regions are the article and the rest of the page.
-    With no neighbour, a block counts as main text inside an article, or if the page has no decided block at all.
+    Of two neighbours as near as each other, one of main text decides. Regions are the article, lists of links and the
+    rest of the page. With no neighbour, a block counts as main text inside an article, or outside of lists of links if the
+    page has no decided block at all.
     """
     near = [None] * len(found)
     for order in (range(len(found)), range(len(found) - 1, -1, -1)):
@@ -199,7 +234,8 @@ def inherit(found, labels):
                     near[i] = j
     none = all(x is None for x in labels)
     return [
-        (labels[near[i]] if near[i] is not None else found[i][4] or none) if x is None else x for i, x in enumerate(labels)
+        (labels[near[i]] if near[i] is not None else found[i][4] == "article" or none and not found[i][4]) if x is None else x
+        for i, x in enumerate(labels)
     ]
 
 

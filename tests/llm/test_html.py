@@ -104,3 +104,48 @@ def test_text_beside_an_article_competes():
     card = "<article class=card><h3>Card</h3><p>More.</p></article>"
     assert html.main_text(f"<h1>Head</h1><p>{LONG}</p><p>{LONG}</p>{card}").startswith(f"Head\n{LONG}\n{LONG}")
     assert html.main_text(f"<p>{ITEMS}</p><article><p>{LONG}</p></article><div>Imprint</div><div>{ITEMS}</div>") == LONG
+
+
+def test_drawings_end_where_the_standard_ends_them():
+    for drawing in ('<svg class="i"/>', "<svg/>", "<svg><path d='M0 0'/><text>no</text></svg>", "<svg><svg><text>no</text></svg><text>no</text></svg>", "<math/>"):
+        assert html.main_text(f"<article><p>{LONG}</p>{drawing}<p>{LONG} more</p></article>") == f"{LONG}\n{LONG} more", drawing
+    assert html.main_text(f"<article><p>{LONG}<svg><text>no</text></p><p>{LONG}</p><div><svg><g><p>{LONG}</p></article>") == "\n".join([LONG] * 3)
+    held = f"<svg><foreignObject><div>{LONG}</div></foreignObject></svg>"
+    assert html.main_text(f"<article>{held}<p>{LONG} after</p></article>") == f"{LONG} after"
+
+
+def test_formulas_stay_in_their_sentence():
+    formula = "<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding='t'>no</annotation></math>"
+    assert html.main_text(f"<article><p>{LONG} Let {formula} be.</p></article>") == f"{LONG} Let x=2 be."
+
+
+def test_names_that_only_begin_like_furniture():
+    for name in ("share-price-table", "notice-board-history", "social-history", "related-work-section", "search-theory", "nav_history_of"):
+        assert html.main_text(f"<article><p>{LONG}</p><section class='{name}'><p>{LONG} in it</p></section></article>") == f"{LONG}\n{LONG} in it", name
+    for name in ("share-buttons", "related-posts", "sidebar-left", "ad-slot-1", "newsletter-box", "social-links", "header-logo", "promoTeaser"):
+        assert html.main_text(f"<article><p>{LONG}</p></article><section class='{name}'><p>{LONG} in it</p></section>") == LONG, name
+
+
+LINKS = "".join(f"<li><a href=/{w}>{w} page</a></li>" for w in "home news sport about".split())
+
+
+def test_the_rules_decide_menus():
+    """Menus come through as blocks, and link density tells them; prose in one is told by its words."""
+    for menu in (f"<nav><ul>{LINKS}</ul></nav>", f"<div class='main-menu'><ul>{LINKS}<li>More</li></ul></div>", f"<ul class=breadcrumb>{LINKS}</ul>"):
+        page = f"{menu}<article><h1>Head</h1><p>{LONG}</p></article>{menu}"
+        found = html.blocks(page)
+        labels = html.decide(found)
+        assert [b[4] for b in found].count("links") >= 8
+        assert all(x is False for x, b in zip(labels, found) if b[4] == "links" and b[3])
+        assert html.main_text(page) == f"Head\n{LONG}"
+    assert html.main_text(f"<nav>{LINKS}</nav>") == "" and html.main_text("<nav><p>Menu</p></nav>") == ""
+
+
+def test_the_rules_decide_the_menus_of_the_given_pages(spark):
+    kinds = {"links": 0, "prose": 0, "inherited": 0}
+    for r in spark.read.parquet(f"{SF}/pages.parquet").collect():
+        found = html.blocks(r.html)
+        for (*_, region, _), label in zip(found, html.decide(found)):
+            kinds["inherited" if label is None else "prose" if label else "links"] += 1
+            assert label is not True or region == "article"
+    assert min(kinds.values()) > 0
