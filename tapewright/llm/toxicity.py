@@ -4,9 +4,10 @@ Toxic and ordinary training texts each give a word distribution from continuatio
 told by the word before, the class uses a word. So copies and repeated boilerplate count once. Counts are discounted by
 how many words have one, two, three or four, and what is taken goes to the continuation distribution that both classes
 share. An expression that is rare in both classes therefore has nearly the same probability in both, and a new one has
-no say. A text is judged by its log-likelihoods under the two models, normalised by length: over all its words, and over
-its most telling distinct expressions, so a long text is no safer than a short one. A logistic curve turns these into a
-probability; it is fitted on scores of training texts under models that have not seen them.
+no say. A text is judged by the ratio of its log-likelihoods under the two models, normalised by length: over all its
+words, and over its most telling one, two and four distinct words, so a long text is no safer than a short one. A logistic
+curve with weights of zero or more, so that a higher ratio never lowers a score, turns these into a probability; it is
+fitted on scores of training texts under models that have not seen them.
 """
 
 import re
@@ -21,7 +22,7 @@ from tapewright.llm.text import Hashes, fold
 
 MOST_TEXTS = 6000  # training texts of a class, those with the smallest hash of their id
 MOST_CHARS = 30_000_000  # code points of a class's training texts together
-PEAKS = 4  # expressions that are looked at one by one
+PEAKS = (1, 2, 4)  # numbers of most telling words whose ratio is looked at
 PARTS = 4  # of the training texts, for scores by models that have not seen a text
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -129,15 +130,16 @@ class Model:
         self.codes, self.ratios, self.weights = codes, ratios, weights
 
     def features(self, codes, row=-1):
-        """Mean log ratio over all words, then the highest of distinct words, in order."""
-        out = np.zeros(1 + PEAKS)
+        """Mean log ratio over all words, then over the most telling distinct words."""
+        out = np.zeros(1 + len(PEAKS))
         if len(codes) and len(self.codes):
             at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
             known = self.codes[at] == codes
             ratios = self.ratios[row]
             out[0] = np.where(known, ratios[at], ratios[-1]).mean(dtype=np.float64)
-            top = np.sort(ratios[np.unique(at[known])])[::-1][:PEAKS]
-            out[1 : 1 + len(top)] = np.maximum(top, 0)
+            top = np.maximum(np.sort(ratios[np.unique(at[known])])[::-1][: PEAKS[-1]], 0).cumsum(dtype=np.float64)
+            if len(top):
+                out[1:] = [top[min(n, len(top)) - 1] / n for n in PEAKS]
         return out
 
     def score(self, codes):
@@ -148,8 +150,23 @@ def _curve(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit_curve(features, labels, weights, ridge=1e-2, rounds=50):
-    """Weighted logistic regression by Newton steps; the last weight is the constant."""
+def fit_curve(features, labels, weights):
+    """Weighted logistic regression with weights of zero or more; the last one is the constant, of any sign.
+
+    Features whose weight would be below zero are left out, the worst first, until none is.
+    """
+    used = list(range(features.shape[1]))
+    while True:
+        found = _newton(features[:, used], labels, weights)
+        if not used or found[:-1].min() >= 0:
+            break
+        del used[int(found[:-1].argmin())]
+    out = np.zeros(features.shape[1] + 1)
+    out[[*used, -1]] = found
+    return out
+
+
+def _newton(features, labels, weights, ridge=1e-2, rounds=50):
     x = np.column_stack([features, np.ones(len(features))])
     w = np.zeros(x.shape[1])
     keep = ridge * np.eye(x.shape[1])
@@ -172,7 +189,7 @@ def train(docs, labels, id_col="doc_id", text_col="text", label_col="toxic", mos
     codes = np.asarray(table.column("word")).view(np.uint64)[order]
     counts = {n: np.asarray(table.column(n)).astype(np.int64)[order] for n in table.column_names[1:]}
     prior = np.log((rows.get(1, 0) + 0.5) / (rows.get(0, 0) + 0.5))
-    weights = np.append(np.zeros(1 + PEAKS), prior)
+    weights = np.append(np.zeros(1 + len(PEAKS)), prior)
     if not len(codes) or not rows.get(0) or not rows.get(1):
         return Model(codes[:0], np.zeros((PARTS + 1, 1), np.float32), weights)
     ratios = np.stack([log_ratios(counts[f"n0_{k}"], counts[f"n1_{k}"]) for k in range(PARTS + 1)])
@@ -192,7 +209,7 @@ def train(docs, labels, id_col="doc_id", text_col="text", label_col="toxic", mos
     scored = sample.mapInArrow(run, f"id {kind}, label int, features array<double>").orderBy("id", "label").toArrow()
     labels_of = np.asarray(scored.column("label"))
     shares = np.array([rows[c] / max(1, (labels_of == c).sum()) for c in (0, 1)])
-    features = np.array(scored.column("features").to_pylist()).reshape(-1, 1 + PEAKS)
+    features = np.array(scored.column("features").to_pylist()).reshape(-1, 1 + len(PEAKS))
     return Model(codes, ratios, fit_curve(features, labels_of, shares[labels_of]))
 
 

@@ -89,3 +89,50 @@ def test_sample_is_bounded(spark):
     labels = spark.createDataFrame([(k, k % 2) for k in range(300)], "doc_id long, toxic int")
     sample, rows = toxicity.training_sample(docs, labels, "doc_id", "text", "toxic", 20, 1000)
     assert sample.count() == 20 and rows == {0: 150, 1: 150}
+
+
+def test_query_equals_a_plain_version(spark):
+    """Counts, ratios, features and scores of the whole query from sets and loops."""
+    small = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{small}/labels.parquet").collect() if zlib.crc32(str(r.doc_id).encode()) % 5}
+    part_of = {r.id: r.part for r in spark.createDataFrame([(i,) for i in labels], "id long").selectExpr("id", "CAST(pmod(xxhash64(id, 'part'), 4) AS INT) AS part").collect()}
+
+    def ratios(left_out):
+        contexts = ({}, {})
+        for i, label in labels.items():
+            if part_of[i] != left_out:
+                own = toxicity.words(docs[i])
+                for before, word in zip([b"", *own], own):
+                    contexts[label].setdefault(word, set()).add(before)
+        names = sorted({w for i in labels for w in toxicity.words(docs[i])})
+        counts = [np.array([len(c.get(w, ())) for w in names]) for c in contexts]
+        found = toxicity.log_ratios(*counts)
+        return dict(zip(names, found.tolist())), float(found[-1])
+
+    def features(text, known):
+        own = toxicity.words(text)
+        if not own:
+            return [0.0] * 4
+        top = sorted((max(known[0][w], 0) for w in set(own) if w in known[0]), reverse=True)
+        return [sum(known[0].get(w, known[1]) for w in own) / len(own), *(sum(top[:n]) / n for n in (1, 2, 4))]
+
+    models = [ratios(k) for k in range(4)]
+    ids = sorted(labels)
+    trained = np.array([features(docs[i], models[part_of[i]]) for i in ids])
+    curve = toxicity.fit_curve(trained, np.array([labels[i] for i in ids]), np.ones(len(ids)))
+    assert (curve[:-1] >= 0).all()
+    whole = ratios(None)
+    want = {i: 1 / (1 + math.exp(-(np.dot(features(t, whole), curve[:-1]) + curve[-1]))) for i, t in docs.items()}
+    got = {r.doc_id: r.score for r in queries.op4_toxicity(spark, small).collect()}
+    assert got.keys() == want.keys()
+    assert max(abs(got[i] - want[i]) for i in want) < 1e-4
+
+
+def test_a_higher_ratio_never_lowers_a_score():
+    rng = np.random.default_rng(1)
+    for _ in range(20):
+        x = rng.normal(size=(60, 4))
+        y = (x @ rng.normal(size=4) + rng.normal(size=60) > 0).astype(int)
+        w = toxicity.fit_curve(x, y, np.ones(60))
+        assert (w[:-1] >= 0).all()
