@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import functools
 import math
+import time
 from collections.abc import Callable
 
 import market_events as ev
@@ -98,11 +99,16 @@ def _once(spark, sf_dir, name, build):
     """What ``build`` stores below a fresh folder, done once per application and input: its result."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
+        started = time.perf_counter()
         _STORED[key] = build(scratch_dir(spark, name))
+        BUILD_SECONDS[name] = time.perf_counter() - started
+    USED.add(name)
     return _STORED[key]
 
 
 _STORED = {}
+#: How long each stored input took to make, and which were asked for; the bench reports the first and clears the second.
+BUILD_SECONDS, USED = {}, set()
 
 
 SLICE_ROWS = 250_000  # in a file of a slice
