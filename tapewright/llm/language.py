@@ -19,16 +19,15 @@ PIECE = 200_000  # code points that are counted at once
 MOST_LANGUAGES = 5000  # prototypes that workers hold, 8 KB each; more labels than that raise an error
 
 _GAPS = re.compile(r"[\W\d_]+")
-# Numbers that count as word characters, such as fractions, superscripts and Roman numerals: a class without categories,
-# which is looked up and not searched.
-_NUMBERS = re.compile(f"[{''.join(c for c in map(chr, range(0x80, 0x110000)) if c.isnumeric() and not c.isalpha())}]")
+# Numbers that count as word characters, such as fractions, superscripts and Roman numerals.
+_NUMBERS = frozenset(c for c in map(chr, range(0x80, 0x110000)) if c.isnumeric() and not c.isalpha())
 
 
 def letters(text):
     """Lower-case letters as code points with one space around each word; empty if the text has no letter."""
     plain = (text or "").lower()
-    if not plain.isascii():
-        plain = _NUMBERS.sub(" ", plain)
+    if not plain.isascii() and (found := _NUMBERS.intersection(plain)):
+        plain = plain.translate(dict.fromkeys(map(ord, found), " "))
     plain = _GAPS.sub(" ", plain).strip()
     spaced = f" {plain} " if plain else ""
     return np.frombuffer(spaced.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
