@@ -162,12 +162,14 @@ def mix(
     placed = placed.withColumnsRenamed({"copies": "n_copies"}).withColumns({"copies": F.lit(1).cast("long"), "words": F.col("size"), **order})
     kind = lambda name: placed.schema[name].dataType.simpleString()
     fields = ["rank", "order_a", "order_b", "copies", "words", "chance"]
-    open_units, decided, level = placed.select(*fields), None, 0
+    in_blocks = lambda n: F.ceil(n / F.lit(block)).cast("int").alias("blocks")
+    # The units of a source are counted already, so the first round deals them without a join by source.
+    open_units, decided, level = placed.select(*fields, in_blocks(F.col("n_units"))), None, 0
     while True:
-        counts = open_units.groupBy("rank").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
-        dealt = open_units.join(counts, "rank").withColumn(
-            "block", F.pmod(F.xxhash64("order_a", "order_b", F.lit(level)), F.col("blocks")).cast("int")
-        )
+        if level:
+            counts = open_units.groupBy("rank").agg(in_blocks(F.count(F.lit(1))))
+            open_units = open_units.join(counts, "rank")
+        dealt = open_units.withColumn("block", F.pmod(F.xxhash64("order_a", "order_b", F.lit(level)), F.col("blocks")).cast("int"))
         schema = ", ".join(f"{n} {kind(n)}" for n in fields) + ", blocks int, block int"
         # The join may leave the rows dealt by source alone, which would put all blocks of a source into one task.
         spread = dealt.select(*fields, "blocks", "block").repartition("rank", "block")
