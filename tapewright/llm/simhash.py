@@ -294,7 +294,9 @@ def near_duplicates(docs, id_col="doc_id", text_col="text", shingle=4, tau=4):
     prints = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     distinct = stored(prints.groupBy("fp").agg(F.min("id").alias("first_id")), "distinct-fingerprints")
     roots = components(links(distinct, plan_parts(distinct, tau), tau))
-    members = distinct.join(roots, distinct.fp == roots.node, "left").withColumn("root", F.coalesce("root", "fp"))
-    names = members.groupBy("root").agg(F.min("first_id").alias("component"))
+    members = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    members = stored(members, "members")
+    # Written first, so both sides of the join are shuffled for it and Spark can split a large class.
+    names = stored(members.groupBy("root").agg(F.min("first_id").alias("component")), "class-names")
     named = stored(members.join(names, "root").select("fp", "component"), "classes")
     return prints.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component")
